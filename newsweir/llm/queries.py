@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .base import table
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document's bytes without strings of 200 bytes that start elsewhere too."""
+    from .suffix_dedup import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix with target weights takes from every document."""
     from .mixing import mixed_sizes
@@ -16,6 +23,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents")).drop("times")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     from .html_text import extracted
@@ -44,6 +58,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document's words without windows of 35 words that start elsewhere too."""
+    from .substring_dedup import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    from .vector_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     from .langid import identify
