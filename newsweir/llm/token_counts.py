@@ -52,14 +52,13 @@ def section_tokens(docs: DataFrame, name: str = TOKENIZER, rule: str = "first")
     repeat a doc_id give their own sections."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Pieces(name, offsets=True)
+        cache = Pieces.of(name, offsets=True)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part, out = batch.slice(lo, 256), []
-                for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    text = text or ""
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for key, text, (_, begin, end) in zip(part.column(0).to_pylist(), texts, encode_spans(texts, cache), strict=True):
                     starts = line_starts(text)
-                    _, begin, end = encode_spans(text, cache)
                     n = np.bincount(attribute(begin, end, starts, rule), minlength=len(starts))
                     out.append((key, starts, np.append(starts[1:], len(text)), n))
                 sizes = [len(x[1]) for x in out]

@@ -105,7 +105,7 @@ class TokenFile:
 
 def _writer(name: str, end_id: int, per_file: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, seg = Pieces(name), TaskContext.get().partitionId(), 0
+        cache, part, seg = Pieces.of(name), TaskContext.get().partitionId(), 0
         docs, counts, ids, held = [], [], [], 0
 
         def flush():

@@ -2,7 +2,8 @@
 
 The public tokenizers split a text into pieces that are encoded on their own, so a piece that was seen before need not
 be encoded again. Texts are split where the tokenizer's own pre-tokenizer always splits, distinct pieces are encoded
-once per task, and their ids are gathered back; the ids are those of encoding the whole text."""
+once per worker process (up to MOST of them, then the memo starts anew), and their ids are gathered back; the ids are those
+of encoding the whole text."""
 
 from __future__ import annotations
 
@@ -14,7 +15,8 @@ import pyarrow.compute as pc
 
 from .base import ragged
 
-MOST = 400_000
+MOST = 800_000
+_MEMO: dict[tuple[str, bool], Pieces] = {}
 
 
 def tokenizer(name: str):
@@ -35,7 +37,13 @@ class Pieces:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.begin, self.end, self.counts = (np.zeros(0, np.int64) for _ in range(4))
+        self.ids, self.begin, self.end, self.counts = (np.zeros(0, np.int32) for _ in range(4))
+        self.first = np.zeros(0, np.int64)
+
+    @classmethod
+    def of(cls, name: str, offsets: bool = False) -> Pieces:
+        """The pieces that this process keeps for a tokenizer, across tasks."""
+        return _MEMO[name, offsets] if (name, offsets) in _MEMO else _MEMO.setdefault((name, offsets), cls(name, offsets))
 
     def look_up(self, pieces: list[str]) -> np.ndarray:
         """Numbers of the pieces in the tables, after encoding those that are new."""
@@ -44,13 +52,15 @@ class Pieces:
         new = [p for p in pieces if p not in self.known]
         for k in range(0, len(new), 20_000):
             part = new[k : k + 20_000]
-            got = self.tok.encode_batch(part, add_special_tokens=False)
+            got = (self.tok.encode_batch if self.offsets else self.tok.encode_batch_fast)(part, add_special_tokens=False)
             self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
-            self.counts = np.concatenate([self.counts, np.fromiter((len(x) for x in got), np.int64, len(got))])
-            self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x.ids], np.int64)])
+            self.counts = np.concatenate([self.counts, np.fromiter(map(len, got), np.int32, len(got))])
+            self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x.ids], np.int32)])
             if self.offsets:
-                at = np.array([o for x in got for o in x.offsets], np.int64).reshape(-1, 2)
+                at = np.array([o for x in got for o in x.offsets], np.int32).reshape(-1, 2)
                 self.begin, self.end = np.concatenate([self.begin, at[:, 0]]), np.concatenate([self.end, at[:, 1]])
+        if new:
+            self.first = np.cumsum(self.counts, dtype=np.int64) - self.counts
         return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
 
@@ -60,34 +70,49 @@ def encode_words(texts: pa.Array, cache: Pieces) -> tuple[np.ndarray, np.ndarray
     coded = pc.dictionary_encode(split.flatten())
     coded = coded if isinstance(coded, pa.DictionaryArray) else coded.combine_chunks()
     where = cache.look_up(coded.dictionary.to_pylist())
-    first = np.cumsum(cache.counts) - cache.counts
     at = where[coded.indices.to_numpy(zero_copy_only=False)]
     n = cache.counts[at]
-    ids = cache.ids[ragged(first[at], n)]
+    ids = cache.ids[ragged(cache.first[at], n)]
     offsets = split.offsets.to_numpy()
     upto = np.concatenate([[0], np.cumsum(n)])
     return ids, upto[offsets[1:] - offsets[0]] - upto[offsets[:-1] - offsets[0]]
 
 
-def encode_spans(text: str, cache: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, first and end characters of the tokens of one text. For byte-level tokenizers, whose pieces start at a space.
+def _plain(text: str) -> bool:
+    """Whether a piece starts at every space of the text and at no other place that matters."""
+    if text[:1] == " " or text[-1:] == " " or "<|" in text or any(x in text for x in ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")):
+        return False
+    return text.isascii() and not any(x in text for x in "\v\f\x1c\x1d\x1e\x1f") or not any(x.isspace() and x not in " \n\t\r" for x in set(text))
+
+
+def encode_spans(texts: list[str], cache: Pieces) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, first and end characters of the tokens of each text. For byte-level tokenizers, whose pieces start at a space.
 
     A single space between two other characters always starts a piece. Texts with other runs of white space at a space
     are encoded as they are."""
-    if text[:1] == " " or text[-1:] == " " or any(x in text for x in ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")) or not text.isascii() and any(x.isspace() and x not in " \n\t\r" for x in text) or "<|" in text:
-        e = cache.tok.encode(text, add_special_tokens=False)
-        at = np.array(e.offsets, np.int64).reshape(-1, 2)
-        return np.array(e.ids, np.int64), at[:, 0], at[:, 1]
-    if not text:
-        return (np.zeros(0, np.int64),) * 3
-    words = text.split(" ")
-    pieces = words[:1] + [f" {w}" for w in words[1:]]
-    distinct = list(dict.fromkeys(pieces))
-    where = dict(zip(distinct, cache.look_up(distinct).tolist(), strict=True))
-    first = np.cumsum(cache.counts) - cache.counts
-    at = np.fromiter(map(where.__getitem__, pieces), np.int64, len(pieces))
-    n = cache.counts[at]
-    take = ragged(first[at], n)
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    base = np.repeat(np.cumsum(size) - size, n)
-    return cache.ids[take], cache.begin[take] + base, cache.end[take] + base
+    plain = [bool(t) and _plain(t) for t in texts]
+    split = pc.split_pattern(pa.array([t if p else "" for t, p in zip(texts, plain, strict=True)], pa.string()), " ")
+    at = split.offsets.to_numpy()
+    # all but the first word of a text have their space before them
+    spaced = np.full(at[-1], True)
+    spaced[at[:-1]] = False
+    flat = pc.binary_join_element_wise(pa.array(np.where(spaced, " ", ""), pa.string()), split.flatten(), "")
+    coded = pc.dictionary_encode(flat)
+    where = cache.look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+    n = cache.counts[where].astype(np.int64)
+    take = ragged(cache.first[where], n)
+    size = pc.utf8_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(size) - size
+    base = np.repeat(begins - np.repeat(begins[at[:-1]], np.diff(at)), n)
+    ids, begin, end = cache.ids[take], cache.begin[take] + base, cache.end[take] + base
+    upto = np.concatenate([[0], np.cumsum(n)])[at]
+    out = []
+    for k, text in enumerate(texts):
+        if plain[k] or not text:
+            part = slice(upto[k], upto[k + 1])
+            out.append((ids[part], begin[part], end[part]))
+        else:
+            e = cache.tok.encode(text, add_special_tokens=False)
+            o = np.array(e.offsets, np.int64).reshape(-1, 2)
+            out.append((np.array(e.ids, np.int64), o[:, 0], o[:, 1]))
+    return out

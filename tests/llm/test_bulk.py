@@ -45,9 +45,9 @@ def test_random_access():
 
 def test_spans_equal_plain_encoding():
     cache = Pieces(token_counts.TOKENIZER, offsets=True)
-    for text in [*filter(None, ODD), "The cat sat.\nOn the mat, it's fine.\n\nEnd"]:
+    texts = [t or "" for t in [*ODD, "The cat sat.\nOn the mat, it's fine.\n\nEnd", "a\x1cb c", "x\u3000y z", "\u00a0 x"]]
+    for text, (ids, a, b) in zip(texts, encode_spans(texts, cache), strict=True):
         e = cache.tok.encode(text, add_special_tokens=False)
-        ids, a, b = encode_spans(text, cache)
         assert ids.tolist() == e.ids, text
         assert list(zip(a.tolist(), b.tolist(), strict=True)) == e.offsets, text
 
