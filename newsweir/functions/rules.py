@@ -72,8 +72,12 @@ def _pattern(word: str) -> str | None:
 
 def hits(text: Column, words: list[str]) -> Column:
     """The words of a list that a lower-case text has, trimmed, in the list's order."""
-    found = [F.when(F.contains(text, F.lit(w.lower())) & (text.rlike("(?U)" + p) if p else F.lit(True)), F.lit(w.strip())) for w in words for p in [_pattern(w)]]
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    if not words:
+        return F.array().cast("array<string>")
+    # a pattern is compiled for the few words alone that the text contains
+    rows = F.array(*[F.struct(F.lit(w.lower()).alias("w"), F.lit("(?U)" + p if p else "").alias("p"), F.lit(w.strip()).alias("say")) for w in words for p in [_pattern(w)]])
+    found = F.filter(rows, lambda k: F.contains(text, k["w"]) & ((k["p"] == "") | F.regexp_like(text, k["p"])))
+    return F.transform(found, lambda k: k["say"])
 
 
 def topic_verdict(title: Column, body: Column, language: Column, topic: list[str] = fixed.TOPIC, off_topic: list[str] = fixed.OFF_TOPIC, covered: list[str] = fixed.COVERED_LANGUAGES) -> Column:

@@ -453,3 +453,66 @@ def prompt_keys(spark, d):
     return articles(spark, d).select("seq", text.prompt_hash(F.col("title"), F.col("source_name")).alias("prompt"))
 
 
+
+
+def _settings():
+    from .runs import Settings
+
+    return Settings(now=NOW, hours=24 * 40, blocked_domains=["src7.example.com"], blocked_phrases=["trash"], press=PRESS, whitelist=TRUSTED, sections=["Market"])
+
+
+@query(
+    f"WITH {_ARTICLES}, v AS (SELECT seq * 2 AS seq, * EXCLUDE (seq) FROM a UNION ALL SELECT seq * 2 + 1, * EXCLUDE (seq) FROM a WHERE seq % 7 = 0), "
+    "g AS (SELECT *, d = 'src7.example.com' OR contains(lower(title), 'trash') AS black FROM v WHERE published_at IS NULL OR published_at >= TIMESTAMP '2023-12-22'), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY url, black ORDER BY seq) AS k FROM g) SELECT seq, CASE WHEN black THEN 'blacklisted' WHEN k > 1 THEN 'duplicate' ELSE 'graded' END AS gate FROM r"
+)
+def gate_order(spark, d):
+    from .runs import graded
+
+    a = articles(spark, d)
+    twice = a.withColumn("seq", F.col("seq") * 2).unionByName(a.where("seq % 7 = 0").withColumn("seq", F.col("seq") * 2 + 1))
+    v = F.col("verdict")
+    return graded(twice, _settings()).select("seq", F.when(v.isin("blacklisted", "duplicate"), v).otherwise("graded").alias("gate"))
+
+
+@query()
+def batch_run(spark, d):
+    from .runs import graded, report_rows
+
+    return report_rows(graded(articles(spark, d), _settings()))
+
+
+@query()
+def production_run(spark, d):
+    from .runs import production_run as run
+
+    a = articles(spark, d)
+    key = text.prompt_hash(F.col("title"), F.substring("body", 1, 500))
+    answers = a.select(key.alias("key"), (F.col("seq") % 5 != 0).alias("relevant"), F.lit("Market").alias("section"), F.lit("Global").alias("region"), F.lit(0.9).alias("confidence"), F.col("title").alias("title_en"), F.col("title").alias("title_ru"), F.lit(0.01).alias("cost"), F.lit(None).cast("string").alias("error"))
+    kind = "url_hash string, canonical_url string, title string, published_at timestamp, first_seen_at timestamp, last_seen_at timestamp, source_domain string, portal string, cached_row_json string"
+    known = table(spark, d, "benchmark").select(text.first_line(F.col("text")).alias("title"))
+    return run(a, spark.createDataFrame([], kind), known, answers, _settings())["rows"].select("seq", "section", "primary_domain", "primary_confidence", "confidence")
+
+
+@query(f"WITH {_ARTICLES}, b(brand) AS (VALUES ('trash'), ('apache'), ('und'), ('que'), ('the')) SELECT brand, count(*) AS n FROM a JOIN b ON contains(lower(title), brand) GROUP BY brand")
+def brand_counts(spark, d):
+    names = origins.mentioned(F.lower("title"), [(b, [], []) for b in BRANDS])
+    return articles(spark, d).select(F.explode(names).alias("brand")).groupBy("brand").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id AS seq, CASE WHEN doc_id % 2 = 0 THEN 'years: 2024,2025' ELSE 'years: 2024' END AS issue FROM documents WHERE doc_id % 3 = 0")
+def suspect_titles(spark, d):
+    from .runs import suspects
+
+    ru = F.when(F.col("doc_id") % 2 == 0, "same words 2025").otherwise("same words")
+    t = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("EN: same words 2024\nRU: "), ru)).otherwise("EN: same words 2024\nRU: same words 2024")
+    return suspects(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), t.alias("title"))).select("seq", F.explode("issues").alias("issue")).where("issue <> 'unlike'")
+
+
+@query("SELECT lang AS source_language, count(*) AS n, count(*) FILTER (doc_id % 2 = 0) AS patched FROM documents GROUP BY 1")
+def update_join(spark, d):
+    from .runs import applied
+
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("source_language"), F.lit(0).alias("mark"))
+    out = applied(rows, rows.where("seq % 2 = 0").select("seq", F.lit(1).alias("mark")))
+    return out.groupBy("source_language").agg(F.count("*").alias("n"), F.sum("mark").alias("patched"))
