@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import cut, discard, shared_dir
+
+__all__ = ["cut", "discard", "shared_dir"]
+
 #: Words as the contracts of the operators define them.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,36 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset a local one (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='newsweir-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def cut(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back, which cuts its lineage.
-
-    The files survive the loss of any executor. `discard` deletes them."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/newsweir-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.__dict__["_written_to"] = path
-    return out
-
-
-def discard(df: DataFrame | None) -> None:
-    """Delete the table that `cut` wrote for `df`."""
-    path = getattr(df, "__dict__", {}).get("_written_to")
-    if path:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def partitions(spark: SparkSession) -> int:
     """Partitions for an explicit repartition: at least the cores, at most what the session sets for shuffles."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
