@@ -155,3 +155,27 @@ def junk_cluster(title: Column, urls: Column, lede: Column, junk: list[str]) ->
 def link_domain(url: Column) -> Column:
     """Domain of a link without www., m. or amp."""
     return bare_domain(domain(url))
+
+
+def retryable(status: Column, error: Column) -> Column:
+    """Whether a fetch is worth a second try: 202, a server error or a broken connection, never a timeout or another 4xx."""
+    e = F.lower(F.coalesce(error, F.lit("")))
+    return F.coalesce((status == 202) | status.between(500, 599), F.lit(False)) | e.rlike("readerror|remoteprotocolerror")
+
+
+def source_kind(url: Column, content_type: Column, head: Column, feed_entries: Column) -> Column:
+    """How a source is read: a channel, a feed by type or first bytes, a page with a feed that has entries, or a page."""
+    feed = F.lower(F.coalesce(content_type, F.lit(""))).rlike("rss|atom|xml") & strip(F.coalesce(head, F.lit(""))).rlike(r"(?is)^(?:<\?xml.*)?<(?:rss|feed|rdf)|^<\?xml")
+    return F.when(F.regexp_replace(netloc(url), r"^www\.", "") == "t.me", "channel").when(feed, "rss").when(feed_entries > 0, "discovered").otherwise("html")
+
+
+def looks_like_news(title: Column, body: Column, published: Column, url_hint: Column) -> Column:
+    """A cheap test of a captured page: a title of ten characters or more, and a date, a hint in the URL or a long body."""
+    return F.coalesce(F.length(strip(title)) >= 10, F.lit(False)) & (published.isNotNull() | url_hint | (F.length(F.coalesce(body, F.lit(""))) >= 500))
+
+
+def language_tag(language: Column, tags: dict[str, str]) -> Column:
+    """The tag of a language, its code in upper case if it has none, empty for null or blank."""
+    known = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv]) if tags else F.create_map().cast("map<string,string>")
+    low = F.lower(strip(F.coalesce(language, F.lit(""))))
+    return F.coalesce(F.try_element_at(known, low), F.upper(low))

@@ -62,3 +62,14 @@ def agreement(answers: DataFrame, item: str, provider: str, value: str) -> DataF
     """Items that two providers answered, those on which they agree, and the share."""
     x = answers.groupBy(item).agg(F.count_distinct(provider).alias("providers"), F.count_distinct(value).alias("values")).where("providers >= 2")
     return x.agg(F.count("*").alias("items"), F.count_if(F.col("values") == 1).alias("agree")).withColumn("share", F.coalesce(F.try_divide("agree", "items"), F.lit(0.0)))
+
+
+def outcomes(df: DataFrame, section: Column, note: Column) -> DataFrame:
+    """Rows that a model answered, refused with a note, or never saw."""
+    done, failed = F.coalesce(section, F.lit("")) != "", F.coalesce(note, F.lit("")) != ""
+    return df.agg(F.count_if(done).alias("answered"), F.count_if(~done & failed).alias("failed"), F.count_if(~done & ~failed).alias("unasked"))
+
+
+def spent(calls: DataFrame, by: str) -> DataFrame:
+    """Calls, cost, and mean tokens and latency of each provider."""
+    return calls.groupBy(by).agg(F.count("*").alias("calls"), F.sum("cost").alias("cost"), F.avg(F.col("input_tokens") + F.col("output_tokens")).alias("mean_tokens"), F.avg("latency_ms").alias("mean_latency"))

@@ -516,3 +516,33 @@ def update_join(spark, d):
     rows = table(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.col("lang").alias("source_language"), F.lit(0).alias("mark"))
     out = applied(rows, rows.where("seq % 2 = 0").select("seq", F.lit(1).alias("mark")))
     return out.groupBy("source_language").agg(F.count("*").alias("n"), F.sum("mark").alias("patched"))
+
+
+@query("SELECT count(*) FILTER (event_type = 'purchase') AS answered, count(*) FILTER (event_type <> 'purchase' AND value < 20) AS failed, count(*) FILTER (event_type <> 'purchase' AND NOT value < 20) AS unasked FROM events")
+def llm_outcomes(spark, d):
+    return stats.outcomes(table(spark, d, "events"), F.when(F.col("event_type") == "purchase", "s"), F.when(F.col("value") < 20, "e"))
+
+
+@query("SELECT event_type AS provider, count(*) AS calls, sum(user_id)::DOUBLE AS cost, avg(user_id + 10) AS mean_tokens, avg(event_id % 7) AS mean_latency FROM events GROUP BY 1")
+def provider_costs(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("provider"), F.col("user_id").cast("double").alias("cost"), F.col("user_id").alias("input_tokens"), F.lit(10).alias("output_tokens"), (F.col("event_id") % 7).alias("latency_ms"))
+    return stats.spent(e, "provider")
+
+
+@query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'https://press.maker.com/a/b' ELSE url END AS primary_url, CASE page_id % 3 WHEN 0 THEN 'high' ELSE 'low' END AS confidence FROM pages")
+def primary_repair(spark, d):
+    p = table(spark, d, "pages").select("page_id", "url", F.lit("https://maker.com/").alias("primary_url"), F.lit("high").alias("primary_confidence"), F.when(F.col("page_id") % 3 == 0, F.array(F.lit("https://e.org/x"), F.lit("https://press.maker.com/a/b"))).otherwise(F.array("url")).alias("urls"))
+    return origins.repaired(p, ["press.maker.com"], []).select("page_id", "primary_url", F.col("primary_confidence").alias("confidence"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_id % 5 = 0 THEN true WHEN event_id % 5 = 1 THEN true WHEN event_id % 5 = 2 THEN false WHEN event_id % 5 = 3 THEN true ELSE false END AS again, "
+    "CASE event_id % 4 WHEN 0 THEN 'channel' WHEN 1 THEN 'rss' WHEN 2 THEN 'discovered' ELSE 'html' END AS kind FROM events"
+)
+def fetch_rules(spark, d):
+    k, m = F.col("event_id") % 5, F.col("event_id") % 4
+    status = F.when(k == 0, 202).when(k == 1, 503).when(k == 2, 404)
+    error = F.when(k == 3, "ReadError").when(k == 4, "timeout")
+    url = F.when(m == 0, "https://t.me/x").otherwise("https://e.com/")
+    kind = rules.source_kind(url, F.when(m == 1, "application/rss+xml"), F.when(m == 1, "<?xml version='1.0'?><rss>"), F.when(m == 2, 3).otherwise(0))
+    return table(spark, d, "events").select("event_id", rules.retryable(status, error).alias("again"), kind.alias("kind"))
