@@ -77,5 +77,5 @@ def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents that hold no item, all columns as they are."""
-    bad = contained(docs, items, **how).select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti")
+    bad = contained(docs, items, **how).select(F.col("doc_id").alias("_nw_bad")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_nw_bad")), "left_anti")

@@ -4,11 +4,13 @@ A page is cut into blocks at block-level tags. The first pass looks at each bloc
 outside the article, footer, aside, form, class or id of an advert, notice, menu or comment section), link density,
 stop-word density and length make it good, bad, near-good or short. The second pass decides the ambiguous ones: a near
 or short block takes the label of its nearest decided neighbours, of the side that is nearer, and good if both are good.
-Inside an article element, blocks that are not bad by place are text of the article.
+Inside an article element, blocks that are not bad by place are text of the article; what stands outside it, or outside a main
+element, isn't.
 """
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import re
 from collections.abc import Iterator
@@ -23,10 +25,11 @@ VOID = {*"area base br col embed hr img input link meta param source track wbr".
 BAD_ELEMENTS = {*"nav footer aside form menu dialog fieldset".split()}
 BAD_ROLES = {*"navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split()}
 BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|foot|header|masthead|topbar|cookies?|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w*|signup|login|"
-    r"share|sharing|social|comments?|comment-\w+|disqus|replies|respond|related\w*|recommend\w*|widget\w*|toolbar|pagination|pager|skip\w*|copyright|legal|disclaimer|paywall|tags)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|foot|masthead|topbar|cookies?|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w*|signup|login|"
+    r"share|sharing|social|comment\w*|disqus|replies|respond|related\w*|recommend\w*|widget\w*|toolbar|pagination|pager|skip\w*|copyright|legal|disclaimer|paywall|tags)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+_HEADER = re.compile(r"(?:^|[\s_-])(?:header|head)(?=$|[\s_-])", re.IGNORECASE)  # bad outside an article alone
 # fixed values: frequent function words
 STOP = {*(
     "a about after all also an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its just like more most my new no not of on one only or other our out over she so some than that the their them then there these they this to up us was we were what when which who will with would you your "
@@ -34,6 +37,7 @@ STOP = {*(
     "au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais même ne nous on ou par pas plus pour qu que qui sa sans se ses son sont sur tout un une vous "
     "al como con cuando de del donde el ella en entre era es esta este fue ha hay la las le lo los más me mi muy no nos o para pero por que se si sin sobre su sus también un una y ya"
 ).split()}
+_OTHER = re.compile(r"[\W\d_]+")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b", re.IGNORECASE)
 _RAW = {k: re.compile(rf"</{k}\s*>", re.IGNORECASE) for k in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "select", "object", "canvas", "video", "audio", "button")}
@@ -49,15 +53,15 @@ def _bad_place(name: str, attrs: str, in_article: bool) -> bool:
         value, key = a or b or c, (key or bare).lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
             return True
-        if key == "role" and value.lower() in BAD_ROLES or key in ("class", "id") and name not in ("html", "body", "article", "main") and BAD_NAMES.search(value):
+        if key == "role" and value.lower() in BAD_ROLES or key in ("class", "id") and name not in ("html", "body", "article", "main") and (BAD_NAMES.search(value) or not in_article and _HEADER.search(value)):
             return True
     return False
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """Blocks in page order: text, characters in links, bad by place, inside an article, a heading. Empty ones are left out."""
+def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
+    """Blocks in page order: text, characters in links, bad by place, inside a main element (1) or an article (2), a heading. Empty ones are left out."""
     out, text, linked, at = [], [], 0, 0
-    stack: list[tuple[str, bool, bool]] = []  # name, bad, article
+    stack: list[tuple[str, bool, int]] = []  # name, bad, place
     links, breaks = 0, 0
 
     def flush():
@@ -65,7 +69,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if text:
             joined = " ".join(html_lib.unescape("".join(text)).split())
             if joined:
-                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
                 out.append((joined, linked, bad, article, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[-3:])))
         text, linked = [], 0
 
@@ -120,9 +124,9 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
                 stack.pop()
         if name in BLOCKS or name in ("span", "b", "i", "em", "strong", "small", "font", "label", "a", "u"):
             if name not in VOID and not m[3].endswith("/"):
-                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                article = article or name == "article"
-                worse = bad or (name in BLOCKS or name == "span") and _bad_place(name, m[3], article)
+                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                article = max(article, {"article": 2, "main": 1}.get(name, 0))
+                worse = bad or (name in BLOCKS or name == "span") and _bad_place(name, m[3], article > 0)
                 if name in BLOCKS or worse != bad:
                     stack.append((name, worse, article))
     put(page[at:])
@@ -130,19 +134,18 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     return out
 
 
-def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
+def labels(found: list[tuple[str, int, bool, int, bool]]) -> list[bool]:
     """Whether each block is text of the article."""
     first = []
-    has_article = any(x[3] and not x[2] for x in found)
-    for text, linked, bad, article, heading in found:
-        words = text.lower().split()
-        stop, density = sum(w.strip(".,;:!?\"'()") in STOP for w in words) / max(len(words), 1), linked / max(len(text), 1)
-        if bad:
+    has_article = any(x[3] == 2 and not x[2] for x in found)
+    if has_article:  # what stands outside the article isn't part of it
+        return [place == 2 and not bad for _, _, bad, place, _ in found]
+    has_main = any(x[3] == 1 and not x[2] for x in found)
+    for text, linked, bad, place, heading in found:
+        words = [w for w in _OTHER.split(text.lower()) if w]
+        stop, density = sum(w in STOP for w in words) / max(len(words), 1), linked / max(len(text), 1)
+        if bad or has_main and not place:
             first.append("bad")
-        elif article:
-            first.append("good")
-        elif has_article:
-            first.append("bad" if density > LINKS else "outside")
         elif density > LINKS:
             first.append("bad")
         elif heading or len(text) < SHORT:
@@ -153,8 +156,6 @@ def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
             first.append("near")
         else:
             first.append("short" if stop == 0 and len(text) < LONG else "near")
-    if has_article:  # what stands outside the article isn't part of it
-        return [x == "good" for x in first]
     decided = [k for k, x in enumerate(first) if x in ("good", "bad")]
     anything = any(x == "good" for x in first)
     out = []
@@ -162,9 +163,8 @@ def labels(found: list[tuple[str, int, bool, bool, bool]]) -> list[bool]:
         if x in ("good", "bad"):
             out.append(x == "good")
             continue
-        before = max((d for d in decided if d < k), default=None)
-        after = min((d for d in decided if d > k), default=None)
-        near = [(abs(d - k), first[d] == "good") for d in (before, after) if d is not None]
+        at = bisect.bisect(decided, k)
+        near = [(abs(d - k), first[d] == "good") for d in decided[max(at - 1, 0) : at + 1]]
         if not anything:  # no block is decided as good: near-good ones are the text
             out.append(x == "near" or not any(y == "near" for y in first) and not near)
         elif x == "near":

@@ -117,9 +117,9 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model.fit([r[2] for r in rows], [r[0] for r in rows])
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """`keep` (columns of docs) with lang_pred and score. Null texts and texts without a letter are `und`, score 0."""
-    keep = keep if keep is not None else [c for c in docs.columns if c not in ("lang_pred", "score")]
+def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """`keep` (columns of docs) with the predicted language and its score, under `names`. Null texts and texts without a
+    letter are `und`, score 0."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.select(*keep, F.col("text").alias("_text_")) if "text" not in keep else docs.select(*keep)
     text = "_text_" if "text" not in keep else "text"
@@ -129,10 +129,10 @@ def predicted(docs: DataFrame, model: Model, keep: list[str] | None = None) -> D
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 langs, scores = sent.value.predict(part.column(part.schema.get_field_index(text)).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in keep] + [pa.array(langs, pa.string()), pa.array(scores)], names=[*keep, *names])
 
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return at.mapInArrow(score, f"{schema}{', ' * bool(keep)}lang_pred string, score double")
+    return at.mapInArrow(score, f"{schema}{', ' * bool(keep)}{names[0]} string, {names[1]} double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -145,4 +145,5 @@ def identify(docs: DataFrame) -> DataFrame:
 def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """Documents, all columns as they are, but for those without a language (`und`, or a score under `least`)."""
     cols = docs.columns
-    return predicted(docs, train(docs), cols).where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least)).select(*cols)
+    x = predicted(docs, train(docs), cols, ("_nw_lang", "_nw_score"))
+    return x.where((F.col("_nw_lang") != UNDECIDED) & (F.col("_nw_score") >= least)).select(*cols)

@@ -113,11 +113,12 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     the taken words remain, joined by one space."""
     m = mix(docs, **how)
     p = m["pieces"].where("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    p = p.groupBy("doc_id", "tie", "pass").agg(F.sum("words").alias("got"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("parts"))
-    copies = docs.withColumn("tie", F.xxhash64("text"))
-    out = copies.alias("d").join(p.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.tie").eqNullSafe(F.col("p.tie")))
+    p = p.groupBy("doc_id", "tie", "pass").agg(F.sum("words").alias("_nw_got"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("_nw_parts"))
+    p = p.select(F.col("doc_id").alias("_nw_id"), F.col("tie").alias("_nw_of"), "_nw_got", "_nw_parts")
+    copies = docs.withColumn("_nw_tie", F.xxhash64("text"))
+    out = copies.join(p, F.col("doc_id").eqNullSafe(F.col("_nw_id")) & F.col("_nw_tie").eqNullSafe(F.col("_nw_of")))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    some = F.array_join(F.flatten(F.transform("parts", lambda x: F.slice(F.col("all_words"), x["from"].cast("int") + 1, x["words"].cast("int")))), " ")
-    out = out.withColumn("all_words", F.when(F.col("got") < word_count("text"), words))
-    out = out.withColumn("new_text", F.when(F.col("all_words").isNull(), F.col("text")).otherwise(some))
-    return out.select(*[F.col("new_text").alias("text") if c == "text" else F.length("new_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"d.{c}") for c in docs.columns])
+    some = F.array_join(F.flatten(F.transform("_nw_parts", lambda x: F.slice(F.col("_nw_words"), x["from"].cast("int") + 1, x["words"].cast("int")))), " ")
+    out = out.withColumn("_nw_words", F.when(F.col("_nw_got") < word_count("text"), words))
+    out = out.withColumn("_nw_text", F.when(F.col("_nw_words").isNull(), F.col("text")).otherwise(some))
+    return out.select(*[F.col("_nw_text").alias("text") if c == "text" else F.length("_nw_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])

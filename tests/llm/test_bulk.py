@@ -179,7 +179,23 @@ def test_html(spark):
     assert html_text.main_text(PAGE) == "Title é\nOne two three.\nShort.\nLast <p> link text."
     a, b = "It was the best of the times and it was what they had in the town of their own. " * 4, "There is a house in the city that we like and it is not for sale, as you know. " * 4
     assert html_text.main_text(PLAIN.format(a, b)).split("\n") == [a.strip(), "Short one.", b.strip()]
+    inner = f'<div class="site-header">Site</div><main><header class="entry-header"><h1>Head</h1></header><p>{a}</p><p>Short one.</p><ul class="commentlist"><li>{b}</li></ul></main><p>{b}</p>'
+    assert html_text.main_text(inner).split("\n") == ["Head", a.strip(), "Short one."]
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "<p"), (5, "u", "<article>" + "<p>x y</p>" * 5000), (1, "u", PAGE), (6, "u", "just text & more")]
     out = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert len(out) == 7 and all(r.n_chars == len(r.text) for r in out)
     assert next(r for r in out if r.page_id == 2).text == "" and next(r for r in out if r.page_id == 5).text.count("x y") == 5000
+
+
+def test_clashing_columns(spark):
+    """Columns of any name come through unchanged."""
+    from newsweir.llm import near_dedup
+    from pyspark.sql import functions as F
+
+    docs = odd(spark)
+    for c in ("gone", "bad", "tie", "got", "parts", "times", "k", "size", "lang_pred", "score", "hub", "rn", "words", "block"):
+        docs = docs.withColumn(c, F.lit(c))
+    items = frame(spark, [(1, "a b c d e f")], "item_id long, text string")
+    for out in (langid.known_language(docs), decontam.clean_documents(docs, items), mixing.mixed_documents(docs), near_dedup.one_of_each(docs)):
+        assert out.columns == docs.columns
+        assert {r.got for r in out.collect()} == {"got"}
