@@ -8,7 +8,8 @@ windows with the same anchor form a run, and a run is known by its anchor's hash
 2. Equal runs form a class. All windows of a class with two or more runs are repeated.
 3. Anchors with several classes are settled by comparing one run of each class: the strings are dealt to tasks by anchor,
    so that equal windows meet in one task, and a `settle` function says which windows occur in two strings.
-4. Anchors with more than MANY classes never meet in a task: their windows are counted by digest.
+4. Anchors with more than MANY classes never meet in a task: their strings are cut into parts of few windows, dealt by the
+   symbols that these have in common, and parts of which more than MANY meet are counted by digests of single windows.
 5. Repeated windows go back to their documents, which are read once more to apply them.
 
 Steps 1, 2 and 4 hold however many rows share an anchor or a run; joins by run have one row per run on one side.
@@ -26,24 +27,24 @@ from pyspark.sql import functions as F
 
 from .base import cut, discard, mix64, partitions
 
-MANY, CHUNK, TASK_SYMBOLS = 4096, 1 << 22, 1 << 20
+MANY, CHUNK, TASK_SYMBOLS = 2048, 1 << 22, 1 << 18
 _CLASS = ["mh", "c1", "c2"]
 
 
 def gram_hashes(h: np.ndarray, gram: int) -> np.ndarray:
     """Hashes of all runs of `gram` symbols from the symbols' hashes, by doubling."""
     total, done, power, step = None, 0, 1, h
-    base = mult = np.uint64(0x9E3779B97F4A7C15)
+    mult = 0x9E3779B97F4A7C15
     left = gram
     while True:
         if left & 1:
             m = len(h) - (done + power) + 1
-            total = step[:m] if total is None else total[:m] * mult + step[done : done + m]
+            total = step[:m] if total is None else total[:m] * np.uint64(mult) + step[done : done + m]
             done += power
         left >>= 1
         if not left:
             return mix64(total)
-        step, power, mult = step[: len(step) - power] * mult + step[power:], power * 2, mult * mult * base | np.uint64(1)
+        step, power, mult = step[: len(step) - power] * np.uint64(mult) + step[power:], power * 2, (mult * mult * 0x9E3779B97F4A7C15 | 1) % (1 << 64)
 
 
 def runs_of(grams: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,13 +74,13 @@ def digests(data: memoryview, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.frombuffer(b"".join([of(data[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]), "<i8").reshape(-1, 2)
 
 
-def _runs(symbols: Callable, width: int, gram: int):
+def _runs(symbols: Callable, hashed: Callable, width: int, gram: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
                 rows, cols = [], ([], [], [], [])
-                for row, (sym, hashed) in enumerate(symbols(part.column(2))):
+                for row, sym in enumerate(symbols(part.column(2))):
                     if len(sym) < width:
                         continue
                     g = gram_hashes(hashed(sym), gram)
@@ -105,7 +106,7 @@ def _slices(symbols: Callable, width: int):
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 out, data = [], []
-                for (sym, _), want in zip(symbols(part.column(0)), part.column(1).to_pylist(), strict=True):
+                for sym, want in zip(symbols(part.column(0)), part.column(1).to_pylist(), strict=True):
                     raw, size = memoryview(np.ascontiguousarray(sym)).cast("B"), sym.itemsize
                     out += want
                     data += [bytes(raw[w["s"] * size : (w["s"] + w["n"] - 1 + width) * size]) for w in want]
@@ -121,42 +122,42 @@ def _ranges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _settled(settle: Callable, dtype: str, width: int):
-    """Ranges of windows that occur in two strings, from strings in order of anchor."""
+    """Ranges of windows that occur in two strings, from strings in order of bucket."""
 
-    def work(keys: list[np.ndarray], runs: list, data: list[bytes]):
+    def work(keys: list[np.ndarray], data: list[bytes]):
         text = np.frombuffer(b"".join(data), dtype)
         size = np.array([len(d) for d in data]) // text.itemsize
         at = np.cumsum(size) - size
         windows = size - width + 1
         first = np.cumsum(windows) - windows
         starts = np.arange(int(windows.sum())) + np.repeat(at - first, windows)
-        twice = settle(text, starts)
+        key = np.concatenate(keys)  # mh, c1, c2, off, runs
         # classes of two or more runs are repeated as a whole: no need to say so again
-        twice &= np.repeat(np.array(runs) == 1, windows)
+        twice = settle(text, starts) & np.repeat(key[:, 4] == 1, windows)
         a, b = _ranges_within(twice, first, windows)
         of = np.searchsorted(first, a, "right") - 1
-        k = np.concatenate(keys)[of]
-        return pa.RecordBatch.from_arrays([*(pa.array(k[:, j].copy()) for j in range(3)), pa.array(a - first[of]), pa.array(b - first[of])], names=[*_CLASS, "a", "b"])
+        move = key[of, 3] - first[of]
+        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(3)), pa.array(a + move), pa.array(b + move)], names=[*_CLASS, "a", "b"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, runs, data, held, last = [], [], [], 0, None
+        keys, data, held, last = [], [], 0, None
         for batch in batches:
-            k = np.stack([batch.column(j).to_numpy() for j in range(3)], 1)
-            n, d = batch.column(4).to_pylist(), batch.column(6).to_pylist()
-            cuts = np.flatnonzero(np.concatenate([[last != k[0, 0]], k[1:, 0] != k[:-1, 0]])) if len(k) else []
+            if not batch.num_rows:
+                continue
+            bucket, d = batch.column(0).to_numpy(), batch.column(6).to_pylist()
+            k = np.stack([batch.column(j).to_numpy() for j in range(1, 6)], 1)
             lo = 0
-            for c in [*cuts, len(k)]:
+            for c in [*np.flatnonzero(np.concatenate([[last != bucket[0]], bucket[1:] != bucket[:-1]])).tolist(), len(k)]:
                 if c > lo:
                     keys.append(k[lo:c])
-                    runs += n[lo:c]
                     data += d[lo:c]
                     held += sum(map(len, d[lo:c]))
-                    lo, last = c, k[c - 1, 0]
+                    lo, last = c, bucket[c - 1]
                 if c < len(k) and held >= TASK_SYMBOLS * np.dtype(dtype).itemsize:
-                    yield work(keys, runs, data)
-                    keys, runs, data, held = [], [], [], 0
+                    yield work(keys, data)
+                    keys, data, held = [], [], 0
         if data:
-            yield work(keys, runs, data)
+            yield work(keys, data)
 
     return go
 
@@ -173,6 +174,34 @@ def _ranges_within(flags: np.ndarray, first: np.ndarray, windows: np.ndarray) ->
     return a, np.flatnonzero(flags & after) + 1
 
 
+def _parts(hashed: Callable, dtype: str, width: int, gram: int):
+    """Strings cut into runs of at most PART windows, whose bucket is the digest of the symbols that all windows at those
+    places from the anchor have in common, whether the string has them all or not."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, step = np.dtype(dtype).itemsize, max(1, width // 12)
+        for batch in batches:
+            rows, data = [], []
+            for row, raw in enumerate(batch.column(6)):
+                raw = raw.as_py()
+                sym = np.frombuffer(raw, dtype)
+                n = len(sym) - width + 1
+                anchor = int(runs_of(gram_hashes(hashed(sym), gram), width - gram + 1)[2][0])
+                back = (anchor - np.arange(n)) // step  # how far before the anchor a window starts
+                for g in np.unique(back).tolist():
+                    at = np.flatnonzero(back == g)
+                    lo, hi = int(at[0]), int(at[-1]) + 1
+                    core = slice(max(anchor - g * step, 0), anchor - (g + 1) * step + 1 + width)
+                    rows.append((row, lo, int.from_bytes(xxhash.xxh3_64_digest(raw[core.start * size : core.stop * size]), "little", signed=True)))
+                    data.append(raw[lo * size : (hi - 1 + width) * size])
+            if rows:
+                at = pa.array([r[0] for r in rows])
+                fixed = [batch.column(j).take(at) for j in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), *fixed, pa.array([r[1] for r in rows], pa.int64()), batch.column(4).take(at), pa.array(data, pa.binary())], names=["bucket", *_CLASS, "off", "runs", "data"])
+
+    return go
+
+
 def _windows(width: int, dtype: str):
     """Digests of all windows of strings."""
 
@@ -183,20 +212,20 @@ def _windows(width: int, dtype: str):
                 data = memoryview(batch.column(6)[row].as_py())
                 n = len(data) // size - width + 1
                 w = digests(data, np.arange(n) * size, (np.arange(n) + width) * size)
-                fixed = [pa.array(np.full(n, batch.column(j)[row].as_py())) for j in (0, 1, 2, 4)]
-                yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n)), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())], names=[*_CLASS, "runs", "a", "w1", "w2"])
+                fixed = [pa.array(np.full(n, batch.column(j)[row].as_py())) for j in (1, 2, 3, 5)]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n) + batch.column(4)[row].as_py()), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())], names=[*_CLASS, "runs", "a", "w1", "w2"])
 
     return go
 
 
-def repeated_windows(docs: DataFrame, symbols: Callable, settle: Callable, width: int, gram: int, dtype: str, many: int = MANY) -> DataFrame:
+def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settle: Callable, width: int, gram: int, dtype: str, many: int = MANY) -> DataFrame:
     """doc_id, k (hash of the text), spans: ranges [a, b) of first symbols of windows that start at another place too.
 
-    symbols(texts) gives, for each text of an Arrow array, its symbols (of `dtype`) and a function to their hashes.
+    symbols(texts) gives the symbols (of `dtype`) of each text of an Arrow array; hashed(symbols) gives their hashes.
     settle(text, starts) says which windows of a string at `starts` are equal to another there. Documents without
     such windows have no row; documents that are equal in doc_id and text share one."""
     texts = docs.select("doc_id", F.xxhash64("text").alias("k"), "text")
-    runs = cut(texts.mapInArrow(_runs(symbols, width, gram), "doc_id long, k long, s long, n long, mh long, c1 long, c2 long"), "runs")
+    runs = cut(texts.mapInArrow(_runs(symbols, hashed, width, gram), "doc_id long, k long, s long, n long, mh long, c1 long, c2 long"), "runs")
     often = runs.groupBy("mh").agg(F.count("*").alias("c")).where("c > 1").select("mh")
     live = cut(runs.join(often, "mh", "left_semi"), "live")
     discard(runs)
@@ -208,9 +237,17 @@ def repeated_windows(docs: DataFrame, symbols: Callable, settle: Callable, width
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.k").eqNullSafe(F.col(f"{b}.k"))
     strings = texts.alias("t").join(asked.alias("q"), same("t", "q")).select("text", "want")
     strings = cut(strings.mapInArrow(_slices(symbols, width), "mh long, c1 long, c2 long, n long, runs long, classes long, data binary"), "strings")
-    n = partitions(docs.sparkSession)
-    few = strings.where(F.col("classes") <= many).repartition(n, "mh").sortWithinPartitions(*_CLASS).mapInArrow(_settled(settle, dtype, width), "mh long, c1 long, c2 long, a long, b long")
-    hot = strings.where(F.col("classes") > many).mapInArrow(_windows(width, dtype), "mh long, c1 long, c2 long, runs long, a long, w1 long, w2 long")
+    n, ranged = partitions(docs.sparkSession), "mh long, c1 long, c2 long, a long, b long"
+    row = ["bucket", *_CLASS, "off", "runs", "data"]
+    few = strings.where(F.col("classes") <= many).select(F.col("mh").alias("bucket"), *_CLASS, F.lit(0).cast("long").alias("off"), "runs", "data")
+    # anchors with many classes: by what windows at about the same place have in common
+    parts = strings.where(F.col("classes") > many).mapInArrow(_parts(hashed, dtype, width, gram), "bucket long, mh long, c1 long, c2 long, off long, runs long, data binary")
+    sizes = parts.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    parts = cut(parts.join(sizes, "bucket").select(*row, "c"), "parts")
+    few = few.unionByName(parts.where(F.col("c") <= many).select(*row))
+    few = few.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_settled(settle, dtype, width), ranged)
+    # and what is still too much for a task, by digests of single windows
+    hot = parts.where(F.col("c") > many).select(*row).mapInArrow(_windows(width, dtype), "mh long, c1 long, c2 long, runs long, a long, w1 long, w2 long")
     counted = hot.groupBy("w1", "w2").agg(F.sum("runs").alias("c")).where("c > 1").select("w1", "w2")
     hot = hot.where("runs = 1").join(counted, ["w1", "w2"], "left_semi").select(*_CLASS, "a", (F.col("a") + 1).alias("b"))
     whole = classes.where("runs > 1").select(*_CLASS, F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))
@@ -218,7 +255,7 @@ def repeated_windows(docs: DataFrame, symbols: Callable, settle: Callable, width
     ranges = ranges.groupBy(*_CLASS).agg(F.collect_list(F.struct("a", "b")).alias("r"))
     spans = live.join(ranges, _CLASS).select("doc_id", "k", F.transform("r", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b"))).alias("r"))
     spans = cut(spans.groupBy("doc_id", "k").agg(F.flatten(F.collect_list("r")).alias("spans")), "spans")
-    for x in (live, classes, strings):
+    for x in (live, classes, strings, parts):
         discard(x)
     return spans
 

@@ -55,9 +55,12 @@ def _words(texts: pa.Array):
     every = hashes[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.uint64)
     there = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     at = split.offsets.to_numpy() - split.offsets[0].as_py()
-    hashed = lambda x: x
     for a, b in zip(at[:-1], at[1:], strict=True):
-        yield every[a:b][there[a:b]], hashed
+        yield every[a:b][there[a:b]]
+
+
+def _same(x: np.ndarray) -> np.ndarray:
+    return x
 
 
 def _apply(width: int, with_text: bool):
@@ -87,7 +90,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, with_text: bool = False
 
     One row per document: doc_id, n_words, n_removed, kept_sha256, and with `with_text` the kept words joined by a space.
     Windows are judged on the input; null texts have no words; rows that repeat a doc_id are documents of their own."""
-    spans = repeated_windows(docs, _words, lambda t, s: equal_windows(t, s, width), width, (width + 3) // 4, "u8", **how)
+    spans = repeated_windows(docs, _words, _same, lambda t, s: equal_windows(t, s, width), width, (width + 3) // 4, "u8", **how)
     t, q = docs.select("doc_id", "text", F.xxhash64("text").alias("k")).alias("t"), spans.alias("q")
     x = t.join(q, F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & F.col("t.k").eqNullSafe(F.col("q.k")), "left").select("t.doc_id", "text", "spans")
     return x.mapInArrow(_apply(width, with_text), f"doc_id long, n_words long, n_removed long, kept_sha256 string{', kept string' * with_text}")

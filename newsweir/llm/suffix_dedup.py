@@ -3,7 +3,8 @@
 `repeats` deals strings to tasks by anchor, so that equal windows meet in one task, however large the corpus. A task sorts
 the suffixes of its strings by the difference cover {1, 2} modulo 3: it sorts the sampled triples, names them, recurses on
 the names until they are unique or cover a window, merges the remaining suffixes, and compares the prefixes of suffixes
-that are adjacent in order, byte by byte. Anchors with too many classes for one task are counted by windows' digests.
+that are adjacent in order, byte by byte. Anchors with too many classes for one task are cut
+into parts, and what is still too much is counted by windows' digests.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ def names_of(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _before(x: np.ndarray) -> np.ndarray:
+    """For each of sorted keys, how many are less."""
+    return np.maximum.accumulate(np.where(np.concatenate([[True], x[1:] != x[:-1]]), np.arange(len(x)), 0)) if len(x) else np.zeros(0, np.int64)
+
+
 def suffix_ranks(s: np.ndarray, depth: int, span: int = 1) -> np.ndarray:
     """Ranks of the suffixes of s (positive integers under 2^21, fewer than 2^20 of them, each spanning `span` symbols
     of the text). Suffixes that agree over `depth` symbols may share a rank."""
@@ -50,15 +56,15 @@ def suffix_ranks(s: np.ndarray, depth: int, span: int = 1) -> np.ndarray:
     triple = lambda i: p3[i] << 42 | p3[i + 1] << 21 | r[i + 2]
     one, two = one[one < n], two[two < n]
     k0, k0t, k1, k2 = pair(zero), triple(zero), pair(one), triple(two)
-    o0, o1, o2 = np.argsort(k0), np.argsort(r[one]), np.argsort(r[two])
-    s0, s0t, s1, s2 = k0[o0], np.sort(k0t), k1[o1], k2[o2]
+    o0, ot, o1, o2 = np.argsort(k0), np.argsort(k0t), np.argsort(r[one]), np.argsort(r[two])
+    s0, s0t, s1, s2 = k0[o0], k0t[ot], k1[o1], k2[o2]
+    r1, r2 = r[one][o1], r[two][o2]
     out = np.empty(n, np.int64)
     # how many suffixes of each kind are less
-    out[zero[o0]] = np.searchsorted(s0, s0) + np.searchsorted(s1, s0)
-    out[zero] += np.searchsorted(s2, k0t)
-    r1, r2 = r[one][o1], r[two][o2]
-    out[one[o1]] = np.searchsorted(r1, r1) + np.searchsorted(r2, r1) + np.searchsorted(s0, s1)
-    out[two[o2]] = np.searchsorted(r2, r2) + np.searchsorted(r1, r2) + np.searchsorted(s0t, s2)
+    out[zero[o0]] = _before(s0) + np.searchsorted(s1, s0)
+    out[zero[ot]] += np.searchsorted(s2, s0t)
+    out[one[o1]] = _before(r1) + np.searchsorted(r2, r1) + np.searchsorted(s0, s1)
+    out[two[o2]] = _before(r2) + np.searchsorted(r1, r2) + np.searchsorted(s0t, s2)
     return out
 
 
@@ -97,9 +103,8 @@ def equal_windows(text: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> n
 
 
 def _bytes(texts: pa.Array):
-    hashed = _BYTE_HASH.__getitem__
     for t in texts:
-        yield np.frombuffer(t.as_buffer(), np.uint8) if t.is_valid else np.zeros(0, np.uint8), hashed
+        yield np.frombuffer(t.as_buffer(), np.uint8) if t.is_valid else np.zeros(0, np.uint8)
 
 
 def _apply(width: int, with_text: bool):
@@ -108,7 +113,7 @@ def _apply(width: int, with_text: bool):
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 out = []
-                for (sym, _), spans in zip(_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
+                for sym, spans in zip(_bytes(part.column(1)), part.column(2).to_pylist(), strict=True):
                     gone = covered(len(sym), spans, width)
                     kept = sym[~gone].tobytes()
                     out.append((len(sym), len(sym) - len(kept), len(_ranges(gone)[0]), hashlib.sha256(kept).hexdigest(), kept if with_text else None))
@@ -125,7 +130,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_
     One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with `with_text`
     the kept bytes. Strings are judged on the input; null texts are empty; texts shorter than `width` stay; rows that
     repeat a doc_id are documents of their own, so equal rows lose all windows."""
-    spans = repeated_windows(docs, _bytes, lambda t, s: equal_windows(t, s, width), width, gram, "u1", **how)
+    spans = repeated_windows(docs, _bytes, _BYTE_HASH.__getitem__, lambda t, s: equal_windows(t, s, width), width, gram, "u1", **how)
     t, q = docs.select("doc_id", "text", F.xxhash64("text").alias("k")).alias("t"), spans.alias("q")
     x = t.join(q, F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & F.col("t.k").eqNullSafe(F.col("q.k")), "left").select("t.doc_id", "text", "spans")
     return x.mapInArrow(_apply(width, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string{', kept binary' * with_text}")

@@ -61,13 +61,13 @@ def check_words(spark, rows, width, **how):
     assert Counter(map(tuple, got)) == want
 
 
-@pytest.mark.parametrize("many", [4096, 2])
+@pytest.mark.parametrize("many", [4096, 8, 2])
 def test_bytes(spark, many):
     rng = random.Random(many)
     check_bytes(spark, corpus(rng, ["alpha", "be", "gamma", "dé", "\n", "zeta-zeta"], 24, 120), 200, 32, many=many)
 
 
-@pytest.mark.parametrize("many", [4096, 2])
+@pytest.mark.parametrize("many", [4096, 8, 2])
 def test_words(spark, many):
     rng = random.Random(many)
     check_words(spark, corpus(rng, ["alpha", "be", "gamma", "dé", "\n", "zeta zeta"], 24, 160), 35, many=many)
