@@ -86,7 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {"op6_decontamination": OP6, "op2_mixing": OP2}
+    return {"op6_decontamination": OP6, "op2_mixing": OP2, "op1_suffix_array_dedup": OP1, "op8_substring_dedup": OP8, "op9_embedding_near_dedup": OP9}
 
 
 OP6 = r"""
@@ -137,3 +137,37 @@ got AS (SELECT doc_id, sum((least(size, (c.block + 1) * 32 - pos) - greatest(0,
 SELECT d.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM d JOIN s8 ON d.source IS NOT DISTINCT FROM s8.source LEFT JOIN got ON got.doc_id = d.doc_id
 """
+
+# windows of 200 bytes, by position from 1
+OP1 = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (SELECT doc_id, i, md5(hex(b[i:i + 199])) AS k FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM win JOIN rep USING (k)),
+run AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit),
+span AS (SELECT doc_id, r, min(i) AS a, max(i) + 199 AS z FROM run GROUP BY doc_id, r),
+gap AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+kept AS (SELECT d.doc_id, coalesce(string_agg(CASE WHEN g.a > g.before + 1 THEN hex(d.b[g.before + 1:g.a - 1]) ELSE '' END, '' ORDER BY g.a), '') AS h, coalesce(max(g.z), 0) AS z, count(g.a) AS n, coalesce(sum(g.z - g.a + 1), 0) AS gone
+         FROM d LEFT JOIN gap g USING (doc_id) GROUP BY d.doc_id)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, gone::BIGINT AS n_removed, n AS n_spans,
+       sha256(unhex(h || CASE WHEN octet_length(b) > z THEN hex(b[z + 1:octet_length(b)]) ELSE '' END)) AS kept_sha256
+FROM d JOIN kept USING (doc_id)
+"""
+
+OP8 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+rep AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN rep USING (k)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN cov USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP9 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN m ON id = vec_id LEFT JOIN n ON a = vec_id
+"""
