@@ -226,7 +226,8 @@ def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settl
     such windows have no row; documents that are equal in doc_id and text share one."""
     texts = docs.select("doc_id", F.xxhash64("text").alias("k"), "text")
     runs = cut(texts.mapInArrow(_runs(symbols, hashed, width, gram), "doc_id long, k long, s long, n long, mh long, c1 long, c2 long"), "runs")
-    often = runs.groupBy("mh").agg(F.count("*").alias("c")).where("c > 1").select("mh")
+    # what is joined below is written first: a join of two exchanges alone can be split where one key has very many rows
+    often = cut(runs.groupBy("mh").agg(F.count("*").alias("c")).where("c > 1").select("mh"), "often")
     live = cut(runs.join(often, "mh", "left_semi"), "live")
     discard(runs)
     classes = live.groupBy(*_CLASS).agg(F.count("*").alias("runs"), F.min(F.struct("doc_id", "k", "s")).alias("rep"), F.max("n").alias("n"))
@@ -252,10 +253,10 @@ def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settl
     hot = hot.where("runs = 1").join(counted, ["w1", "w2"], "left_semi").select(*_CLASS, "a", (F.col("a") + 1).alias("b"))
     whole = classes.where("runs > 1").select(*_CLASS, F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))
     ranges = few.unionByName(hot).unionByName(whole)
-    ranges = ranges.groupBy(*_CLASS).agg(F.collect_list(F.struct("a", "b")).alias("r"))
+    ranges = cut(ranges.groupBy(*_CLASS).agg(F.collect_list(F.struct("a", "b")).alias("r")), "ranges")
     spans = live.join(ranges, _CLASS).select("doc_id", "k", F.transform("r", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b"))).alias("r"))
     spans = cut(spans.groupBy("doc_id", "k").agg(F.flatten(F.collect_list("r")).alias("spans")), "spans")
-    for x in (live, classes, strings, parts):
+    for x in (live, classes, strings, parts, often, ranges):
         discard(x)
     return spans
 

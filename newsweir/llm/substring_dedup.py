@@ -68,18 +68,18 @@ def _apply(width: int, with_text: bool):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                out = []
-                for words, spans in zip(pc.ascii_split_whitespace(pc.fill_null(part.column(1), "")).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    words = [w for w in words if w]
-                    if spans:
-                        gone = covered(len(words), spans, width)
-                        kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                    else:
-                        kept = words
-                    text = " ".join(kept)
-                    out.append((len(words), len(words) - len(kept), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), text))
-                cols = list(zip(*out, strict=True))
-                arrays = [part.column(0), *(pa.array(c, pa.int64()) for c in cols[:2]), pa.array(cols[2], pa.string()), *[pa.array(cols[3], pa.string())] * with_text]
+                split = pc.ascii_split_whitespace(pc.fill_null(part.column(1), ""))
+                flat, at = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+                there = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+                n = np.diff(np.concatenate([[0], np.cumsum(there)])[at])
+                keep = there.copy()
+                for row in np.flatnonzero(part.column(2).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    own = np.flatnonzero(there[at[row] : at[row + 1]]) + at[row]
+                    keep[own[covered(int(n[row]), part.column(2)[row].as_py(), width)]] = False
+                upto = np.concatenate([[0], np.cumsum(keep)])[at]
+                text = pc.binary_join(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), flat.filter(pa.array(keep))), " ")
+                sums = [hashlib.sha256(t.as_buffer()).hexdigest() for t in text]
+                arrays = [part.column(0), pa.array(n), pa.array(n - np.diff(upto)), pa.array(sums, pa.string()), *[text] * with_text]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * with_text])
 
     return go
