@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .base import partitions, shared_dir
 from .tokens import Pieces, encode_words
 
-TOKENIZER, END, PER_FILE, TEXT = "word_bpe_49k.json", 1, 1_000_000, 4_000_000
+TOKENIZER, END, PER_FILE, TEXT = "word_bpe_49k.json", 1, 1_000_000, 16_000_000
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 

@@ -8,6 +8,7 @@ of encoding the whole text."""
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ import pyarrow.compute as pc
 from .base import ragged
 
 MOST = 800_000
+#: Where a piece always ends: a letter or digit before a sign that is in no contraction and no special token.
+_EDGE = r"([\pL\pN])([!\"#$%&()*+,\-./:;=?@\[\]^_{}~])"
 _MEMO: dict[tuple[str, bool], Pieces] = {}
 
 
@@ -49,30 +52,38 @@ class Pieces:
         """Numbers of the pieces in the tables, after encoding those that are new."""
         if len(self.known) > MOST:
             self.clear()
-        new = [p for p in pieces if p not in self.known]
+        found = list(map(self.known.get, pieces))
+        new = [p for p, at in zip(pieces, found, strict=True) if at is None]  # pieces are distinct
         for k in range(0, len(new), 20_000):
             part = new[k : k + 20_000]
             got = (self.tok.encode_batch if self.offsets else self.tok.encode_batch_fast)(part, add_special_tokens=False)
             self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
             self.counts = np.concatenate([self.counts, np.fromiter(map(len, got), np.int32, len(got))])
-            self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x.ids], np.int32)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(x.ids for x in got), np.int32)])
             if self.offsets:
                 at = np.array([o for x in got for o in x.offsets], np.int32).reshape(-1, 2)
                 self.begin, self.end = np.concatenate([self.begin, at[:, 0]]), np.concatenate([self.end, at[:, 1]])
         if new:
             self.first = np.cumsum(self.counts, dtype=np.int64) - self.counts
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+            after = iter(map(self.known.__getitem__, new))
+            found = [next(after) if at is None else at for at in found]
+        return np.fromiter(found, np.int64, len(pieces))
 
 
 def encode_words(texts: pa.Array, cache: Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of many texts one after another, and the number of each text's ids. For tokenizers that drop white space."""
-    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    """Ids of many texts one after another, and the number of each text's ids. For tokenizers that drop white space and
+    part letters and digits from signs."""
+    split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.fill_null(texts, ""), _EDGE, r"\1 \2"))
     coded = pc.dictionary_encode(split.flatten())
     coded = coded if isinstance(coded, pa.DictionaryArray) else coded.combine_chunks()
     where = cache.look_up(coded.dictionary.to_pylist())
-    at = where[coded.indices.to_numpy(zero_copy_only=False)]
-    n = cache.counts[at]
-    ids = cache.ids[ragged(cache.first[at], n)]
+    # a table of these words alone: small enough to stay in a processor's cache
+    counts = cache.counts[where]
+    own = cache.ids[ragged(cache.first[where], counts)]
+    first = np.cumsum(counts, dtype=np.int64) - counts
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    n = counts[at]
+    ids = own[ragged(first[at], n)]
     offsets = split.offsets.to_numpy()
     upto = np.concatenate([[0], np.cumsum(n)])
     return ids, upto[offsets[1:] - offsets[0]] - upto[offsets[:-1] - offsets[0]]

@@ -9,7 +9,7 @@ from newsweir.llm import decontam, html_text, langid, mixing, token_counts, toke
 from newsweir.llm.tokens import Pieces, encode_spans, tokenizer
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
-ODD = ["", None, "  ", "a", "Hello  World\n\n x", " lead and trail ", "It's we'll they'd", "tab\tsep\r\nline", "é combining ́x", "İstanbul ΣΑΣ", "a<|endoftext|>b <|endoftext|> c", "emoji 😀😀 ok", "nb sp x", "12 345 6.7", "...!!! ??", "x" * 3000, "word " * 2000, "a \n b", "\n\n\n", "日本語 テキスト です"]
+ODD = ["", None, "  ", "a", "Hello  World\n\n x", " lead and trail ", "It's we'll they'd", "tab\tsep\r\nline", "é combining ́x", "İstanbul ΣΑΣ", "a<|endoftext|>b <|endoftext|> c", "emoji 😀😀 ok", "nb sp x", "12 345 6.7", "...!!! ??", "x" * 3000, "word " * 2000, "a \n b", "\n\n\n", "日本語 テキスト です", "foo!'s a-'t b=\u0338c don't.stop x!!'re y'll-z 3,5.7% e-mail_x@y.z a<|endoftext|>!b é!\u0301"]
 
 
 def frame(spark, rows, schema=DOC):
