@@ -137,16 +137,18 @@ def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
 def labels(found: list[tuple[str, int, bool, int, bool]]) -> list[bool]:
     """Whether each block is text of the article."""
     first = []
-    has_article = any(x[3] == 2 and not x[2] for x in found)
-    if has_article:  # what stands outside the article isn't part of it
-        return [place == 2 and not bad for _, _, bad, place, _ in found]
-    has_main = any(x[3] == 1 and not x[2] for x in found)
+    # the narrowest element for main text that the page has: what stands outside it isn't part of the article
+    within = max((place for _, _, bad, place, _ in found if not bad), default=0)
     for text, linked, bad, place, heading in found:
+        if bad or place < within:
+            first.append("bad")
+            continue
+        if within == 2:
+            first.append("good")
+            continue
         words = [w for w in _OTHER.split(text.lower()) if w]
         stop, density = sum(w in STOP for w in words) / max(len(words), 1), linked / max(len(text), 1)
-        if bad or has_main and not place:
-            first.append("bad")
-        elif density > LINKS:
+        if density > LINKS:
             first.append("bad")
         elif heading or len(text) < SHORT:
             first.append("short")
