@@ -11,6 +11,7 @@ The matrix is bounded by the parameters (2^18 x languages) and is the only thing
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents of each language to learn from, and languages at most (the most frequent), as bounds of the model.
-PER_LANGUAGE, LANGUAGES, LANDMARKS, RIDGE, ORDERS, PLACES = 300, 64, 256, 1e-2, (1, 2, 3, 4), 1 << 18
+#: Documents of each language to learn from, documents in all and languages at most (the most frequent), as bounds of the model.
+PER_LANGUAGE, SAMPLE, LANGUAGES, LANDMARKS, RIDGE, ORDERS, PLACES = 300, 4096, 64, 256, 1e-2, (1, 2, 3, 4), 1 << 18
 _OTHER = re.compile(r"[\W\d_]+")
 UNDECIDED = "und"
 
@@ -50,30 +51,36 @@ class Model:
         self.labels, self.places, self.weights, self.bias = labels, places, weights, bias
 
     @classmethod
-    def fit(cls, texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-        """Train on normalised texts; landmarks are spread evenly over the languages in the order given."""
-        labels = sorted(set(langs))
+    def fit(cls, marks: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+        """Train on presence vectors (a row of packed bits each); landmarks are spread evenly over the languages in the
+        order given. Vectors are unpacked a block of places at a time."""
+        labels, n = sorted(set(langs)), len(langs)
         if not labels:
             return cls([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0))
-        marks, norm = np.zeros((len(texts), PLACES), np.uint8), np.zeros(len(texts))
-        for k, t in enumerate(texts):
-            norm[k] = presence(t, marks[k])
-        places = np.flatnonzero(marks.any(0))
-        x = marks[:, places].astype(np.float32) / np.sqrt(np.maximum(norm, 1))[:, None].astype(np.float32)
+        scale = 1 / np.sqrt(np.maximum(np.bitwise_count(marks).sum(1, dtype=np.int64), 1))
+        places = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(marks, 0)))
         by = [[k for k, g in enumerate(langs) if g == lang] for lang in labels]
         each = max(1, landmarks // len(labels))
-        z = x[[k for ks in by for k in ks[:each]]]
-        values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
+        pick = np.array([k for ks in by for k in ks[:each]])
+        parts = [slice(k, k + 1024) for k in range(0, marks.shape[1], 1024)]
+        kernel = np.zeros((n, len(pick)), np.float32)  # counts, exact
+        for part in parts:
+            x = np.unpackbits(marks[:, part], axis=1).astype(np.float32)
+            kernel += x @ x[pick].T
+        kernel = kernel * scale[:, None] * scale[pick]
+        values, vectors = np.linalg.eigh(kernel[pick])
         keep = values > 1e-6 * max(values[-1], 1e-12)
         white = vectors[:, keep] / np.sqrt(values[keep])
-        phi = (x @ z.T).astype(np.float64) @ white
+        phi = kernel @ white
         y = np.array([[1.0 if g == lang else -1.0 for lang in labels] for g in langs])
         # every language weighs the same, however many documents it has
-        w = np.array([len(texts) / (len(labels) * len(by[labels.index(g)])) for g in langs])[:, None]
+        w = np.array([n / (len(labels) * len(by[labels.index(g)])) for g in langs])[:, None]
         mean_phi, mean_y = (w * phi).sum(0) / w.sum(), (w * y).sum(0) / w.sum()
-        a = (w * (phi - mean_phi)).T @ (phi - mean_phi) + ridge * len(texts) * np.eye(phi.shape[1])
+        a = (w * (phi - mean_phi)).T @ (phi - mean_phi) + ridge * n * np.eye(phi.shape[1])
         beta = np.linalg.solve(a, (w * (phi - mean_phi)).T @ (y - mean_y))
-        return cls(labels, places, (z.T.astype(np.float64) @ (white @ beta)).astype(np.float32), mean_y - mean_phi @ beta)
+        of_mark = scale[pick][:, None] * (white @ beta)
+        weights = np.concatenate([np.unpackbits(marks[pick, part], axis=1).T.astype(np.float64) @ of_mark for part in parts])
+        return cls(labels, places, weights[places].astype(np.float32), mean_y - mean_phi @ beta)
 
     def predict(self, texts: list[str | None], batch: int = 64) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. The score is the softmax of the regressions (times 4), 0 if undecided."""
@@ -104,17 +111,30 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed presence vectors of whole texts; null for a text without a letter."""
+    for batch in batches:
+        out = []
+        for text in batch.column(2):
+            t, marks = normalised(text.as_py()), np.zeros(PLACES, np.uint8)
+            out.append(zlib.compress(np.packbits(marks).tobytes(), 1) if t and presence(t, marks) else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["lang", "k", "marks"])
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE) -> Model:
     """A model of a bounded sample: of each of the LANGUAGES most frequent languages the `per_language` documents with
-    the least hash of doc_id, of those that are not held out, have a language and a letter."""
+    the least hash of doc_id, of those that are not held out, have a language and a letter, and at most `most` in all.
+
+    Tasks read the whole texts; the driver gets their presence vectors, of 32 KB each at most."""
     x = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     top = [r[0] for r in x.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
     w = Window.partitionBy("lang").orderBy("h", "doc_id")
     x = x.where(F.col("lang").isin(top) & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"), "text")
-    rows = x.withColumn("k", F.row_number().over(w)).where(F.col("k") <= per_language).select("lang", "k", F.substring("text", 1, 100_000).alias("text")).collect()
-    rows = sorted(((r.lang, r.k, normalised(r.text)) for r in rows), key=lambda r: r[:2])
-    rows = [r for r in rows if r[2]]
-    return Model.fit([r[2] for r in rows], [r[0] for r in rows])
+    each = min(per_language, max(1, most // max(len(top), 1)))
+    sample = x.withColumn("k", F.row_number().over(w)).where(F.col("k") <= each).select("lang", "k", "text")
+    rows = sorted((r.lang, r.k, r.marks) for r in sample.mapInArrow(_marked, "lang string, k int, marks binary").where("marks is not null").collect())
+    marks = np.frombuffer(b"".join(zlib.decompress(r[2]) for r in rows), np.uint8).reshape(len(rows), PLACES // 8)
+    return Model.fit(marks, [r[0] for r in rows])
 
 
 def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
