@@ -6,12 +6,13 @@ stand in the text: two documents agree on a band with the probability that they
 follows edit similarity, not just the sets. With 3 k-mers and 10 bands, two documents that share 0.8 of their k-mers in
 order agree on a band with probability 0.999.
 
-Equal sequences of words are one vertex. In a bucket of equal bands every document is compared with one other, the bucket's
-least (a star, never all pairs). Documents that fail against it go on, in buckets of two equal bands, where documents
-that share only a common passage part ways, to further stars of 8, 16, 32, ... hubs each until a round finds no link;
-those that the links so far put in one class are not compared again. Compared pairs are verified:
+Equal sequences of words are one vertex. In a bucket of equal bands every document is first compared with one other, the
+bucket's least (a star), which joins most of a large group. Then all pairs of a bucket whose classes differ are settled,
+also those with a document that has its link already: buckets are dealt in tiles of about TILE documents a side, and
+within a tile only pairs are compared that share a word among their rarest fifth and one more. Similar texts share
+at least 0.8 of the longer one's words, so none is lost by that. Compared pairs are verified:
 the edit distance of the word sequences, by furthest-reaching points on a band of diagonals, is at most 0.2 of the
-longer one. Classes are the connected components of the links.
+longer one. Classes are the connected components of the links, which are those of all similar pairs that share a band.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .base import cut, discard, mix64
+from .base import cut, mix64, partitions
 from .repeats import gram_hashes
 
 SHINGLE, LEAST, BANDS, SIMILAR = 5, 3, 10, 0.8
+TILE, TILE_WORDS = 512, 500_000
+_TILE = ["x", "y", "i", "j"]
 _ODD = (mix64(np.arange(1, BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _XOR = mix64(np.arange(101, BANDS + 101, dtype=np.uint64))[:, None]
 
@@ -127,16 +130,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 1024):
             part = batch.slice(lo, 1024)
-            ids, exact, bands = [], [], []
+            ids, exact, sizes, bands = [], [], [], []
             for row, w in enumerate(words_of(part.column(1))):
                 if not len(w):
                     continue
                 ids.append(row)
                 exact.append(xxhash.xxh3_128_digest(memoryview(w).cast("B")))
+                sizes.append(len(w))
                 bands.append(order_min_hash(w).view(np.int64).tolist() if len(w) >= SHINGLE else [])
             if ids:
                 e = np.frombuffer(b"".join(exact), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ids)), pa.array(e[:, 0].copy()), pa.array(e[:, 1].copy()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "c1", "c2", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ids)), pa.array(e[:, 0].copy()), pa.array(e[:, 1].copy()), pa.array(sizes), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "c1", "c2", "words", "bands"])
 
 
 def _verify(least: float):
@@ -150,6 +154,107 @@ def _verify(least: float):
     return go
 
 
+def candidates(docs: list[np.ndarray], least: float) -> np.ndarray:
+    """Symmetric matrix that has every pair of documents (by their words) whose edit similarity can be `least` or more.
+
+    Such a pair shares max(n, m) - limit words or more, each counted as often as it occurs. In one order of all words, the
+    first limit + 1 of the two documents therefore have one in common; the order is by rarity."""
+    n = np.array([len(w) for w in docs])
+    words, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), n)
+    order = np.lexsort((words, doc))
+    words, doc = words[order], doc[order]
+    new = np.concatenate([[True], (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])])
+    occurrence = np.arange(len(words)) - np.maximum.accumulate(np.where(new, np.arange(len(words)), 0))
+    _, token, count = np.unique(words + mix64(occurrence.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15), return_inverse=True, return_counts=True)
+    order = np.lexsort((token, count[token], doc))
+    place = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
+    first = order[place <= ((1 - least) * n + 1e-9).astype(np.int64)[doc]]
+    token, doc = token[first], doc[first]
+    order = np.argsort(token, kind="stable")
+    token, doc = token[order], doc[order]
+    ends = np.flatnonzero(np.concatenate([token[1:] != token[:-1], [True]])) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    many = ends - starts > 1
+    out = np.zeros((len(n), len(n)), bool)
+    for a, b in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
+        out[doc[a:b, None], doc[a:b]] = True
+    return out & (np.abs(n[:, None] - n) <= (1 - least) * np.maximum(n[:, None], n) + 1e-9)
+
+
+def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
+    """Links between different classes of a tile: of all pairs, or of those across its two parts, that meet in no earlier band."""
+    docs = [w for c in tile.column("text").chunks for w in words_of(c)]
+    ids, kind, part = (tile.column(c).to_numpy() for c in ("doc_id", "class", "part"))
+    bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(len(docs), BANDS)
+    x, i, j = (tile.column(c)[0].as_py() for c in "xij")
+    maybe = candidates(docs, least) & (kind[:, None] != kind)
+    if i != j:
+        maybe &= part[:, None] != part
+    a, b = np.nonzero(np.triu(maybe))
+    here = (bands[a] == bands[b]).argmax(axis=1) == x if len(a) else np.zeros(0, bool)
+    up: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    out = []
+    for p, q in zip(a[here].tolist(), b[here].tolist(), strict=True):
+        c, d = top(int(kind[p])), top(int(kind[q]))
+        if c != d and alike(docs[p], docs[q], least):
+            up[max(c, d)] = min(c, d)
+            out.append((int(ids[p]), int(ids[q])))
+    return out
+
+
+def _tiles(least: float):
+    """Links of tiles, whose rows follow each other."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if held and sum(h.num_rows for h in held) > 1:
+                got = _tile_links(pa.Table.from_batches(held), least)
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in got], pa.int64()), pa.array([q for _, q in got], pa.int64())], names=["a", "b"])
+            held.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy() for c in _TILE])
+            ends = [*(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            start = 0
+            for end in ends:
+                if held and [held[-1].column(c)[0].as_py() for c in _TILE] != key[:, start].tolist():
+                    yield from done()
+                held.append(batch.slice(start, end - start))
+                start = end
+        yield from done()
+
+    return go
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Tiles x, y, i, j with their members, whose `part` is i or j, of buckets x, y with several classes.
+
+    The members of a bucket's largest class need not be compared with each other: they meet only the rest."""
+    per = members.groupBy("x", "y", "class").agg(F.count("*").alias("n"), F.sum("words").alias("w"))
+    total = per.groupBy("x", "y").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "w", "class")).alias("top")).where("n > top.n")
+    parts = lambda n, w: F.ceil(F.greatest(n / TILE, w / TILE_WORDS))
+    whole = parts(F.col("n"), F.col("w")) <= 1
+    total = total.select("x", "y", F.col("top.class").alias("top"), F.when(whole, 1).otherwise(parts(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w"))).alias("rest"), F.when(whole, 0).otherwise(parts(F.col("top.n"), F.col("top.w"))).alias("tops"))
+    m = members.join(total, ["x", "y"])
+    among = F.xxhash64("doc_id", F.lit("part"))
+    is_top = (F.col("class") == F.col("top")) & (F.col("tops") > 0)
+    m = m.withColumn("part", F.when(is_top, F.col("rest") + F.expr("pmod(xxhash64(doc_id, 'part'), greatest(tops, 1))")).otherwise(F.pmod(among, F.col("rest"))))
+    other = F.explode(F.when(F.col("part") >= F.col("rest"), F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("rest") + F.col("tops") - 1)))
+    m = m.withColumn("other", other)
+    return m.select("x", "y", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "class", "bands")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """doc_id, class_id (the least doc_id of the document's class), kept (doc_id = class_id) of every row.
 
@@ -160,50 +265,29 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     known = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     if known.groupBy("doc_id").count().where("count > 1").limit(1).count():
         known = known.groupBy("doc_id").agg(F.min("text").alias("text"))
-    sketches = cut(known.mapInArrow(_sketch, "doc_id long, c1 long, c2 long, bands array<long>"), "sketches")
-    exact = sketches.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min_by("bands", "doc_id").alias("bands"))
+    sketches = cut(known.mapInArrow(_sketch, "doc_id long, c1 long, c2 long, words long, bands array<long>"), "sketches")
+    exact = sketches.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.max("words").alias("words"), F.min_by("bands", "doc_id").alias("bands"))
     exact = cut(exact, "exact")
     copies = sketches.join(exact.where("n > 1").select("c1", "c2", "rep"), ["c1", "c2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = exact.select(F.col("rep").alias("doc_id"), "bands").where("size(bands) > 0")
-    key, links, tried, texts, hubs_each = ["x", "y", "z"], [copies], None, None, 1
-    members = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", F.col("doc_id").alias("class"), F.col("band").cast("long").alias("x"), F.col("key").alias("y"), F.lit(0).cast("long").alias("z"))
-    while True:
-        # the least member of a bucket, in later rounds of each of the parts of a bucket, twice as many every time
-        shared = members.groupBy(*key).agg(F.min("class").alias("c"), F.max("class").alias("d")).where("c <> d").select(*key)
-        members = cut(members.join(shared, key, "left_semi"), "members")
-        hubs = members.groupBy(*key, F.pmod(F.xxhash64("doc_id"), F.lit(hubs_each)).alias("part")).agg(F.min(F.struct("doc_id", "class")).alias("hub"))
-        hubs = cut(hubs.select(*key, F.col("hub.doc_id").alias("hub"), F.col("hub.class").alias("hub_class")), "hubs")  # so that a join with a very large bucket can be split
-        x = members.join(hubs, key)
-        with_hub = cut(x.select("doc_id", "class", *key, (F.col("class") == F.col("hub_class")).alias("same"), F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")), "compared")
-        met = pairs = cut(with_hub.where("not same").select("a", "b").distinct(), "pairs")
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        if len(links) < 3:
-            # the documents that are compared at all, and after the first round those that go on; by a merge join at any size
-            ids = (met if tried is None else members).select(F.explode(F.array("a", "b")).alias("doc_id") if tried is None else "doc_id").distinct().hint("merge")
-            texts = cut((known if texts is None else texts).join(ids, "doc_id", "left_semi"), "texts")
-        ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        both = pairs.hint("merge").join(tb, "b").hint("merge").join(ta, "a").select("a", "b", "ta", "tb")
-        got = cut(both.mapInArrow(_verify(least), "a long, b long, ok boolean"), "verified")
-        links.append(got.where("ok").select("a", "b"))
-        if tried is not None and not got.where("ok").limit(1).count():  # past the first round, one without a link is the last
-            break
-        # documents without a link to a hub of their bucket go on, after the first round by two bands, so that only like ones meet
-        again = tried is None
-        tried = got if again else tried.unionByName(got)
-        failed = with_hub.join(tried, ["a", "b"], "left").groupBy("doc_id", "class", *key).agg(F.max(F.col("same") | F.coalesce("ok", F.lit(False))).alias("ok")).where("not ok").drop("ok")
-        if again:
-            # the classes so far: documents of one class need not be compared any more
-            known_class = cut(components(links[0].unionByName(links[1])), "classes")
-            failed = failed.drop("class").join(known_class.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component")
-            p = failed.join(reps, "doc_id").select("doc_id", "class", "x", "y", F.posexplode("bands").alias("band", "key")).where("band <> x")
-            first = F.col("x") < F.col("band")
-            failed = p.select("doc_id", "class", (F.least("x", "band") * BANDS + F.greatest("x", "band")).alias("x"), F.when(first, F.col("y")).otherwise(F.col("key")).alias("y"), F.when(first, F.col("key")).otherwise(F.col("y")).alias("z")).distinct()
-        discard(members)
-        members, hubs_each = cut(failed, "failed"), 8 if again else 2 * hubs_each
-        discard(with_hub)
-        if not members.limit(1).count():
-            break
+    reps = exact.select(F.col("rep").alias("doc_id"), "words", "bands").where("size(bands) > 0")
+    members = reps.select("doc_id", "words", F.posexplode("bands").alias("band", "key")).select("doc_id", "words", F.col("band").cast("long").alias("x"), F.col("key").alias("y"))
+    hubs = members.groupBy("x", "y").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
+    hubs = cut(hubs, "hubs")  # so that a join with a very large bucket can be split
+    shared = cut(members.join(hubs, ["x", "y"]), "shared")
+    pairs = cut(shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
+    # the documents that are compared at all; by a merge join at any size
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
+    texts = cut(known.join(ids, "doc_id", "left_semi"), "texts")
+    ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    both = pairs.hint("merge").join(tb, "b").hint("merge").join(ta, "a").select("a", "b", "ta", "tb")
+    got = cut(both.mapInArrow(_verify(least), "a long, b long, ok boolean"), "verified")
+    links = [copies, got.where("ok").select("a", "b")]
+    known_class = cut(components(links[1]), "classes")
+    classed = shared.drop("hub").join(known_class, F.col("doc_id") == F.col("id"), "left").withColumn("class", F.coalesce("component", "doc_id")).drop("id", "component")
+    tiles = cut(_dealt(cut(classed, "members").join(reps.select("doc_id", "bands"), "doc_id")), "tiles")
+    dealt = tiles.hint("merge").join(texts, "doc_id").select(*_TILE, "part", "doc_id", "class", "bands", "text")
+    dealt = dealt.repartition(4 * partitions(docs.sparkSession), *_TILE).sortWithinPartitions(*_TILE)
+    links.append(cut(dealt.mapInArrow(_tiles(least), "a long, b long"), "more"))
     edges = links[0]
     for x in links[1:]:
         edges = edges.unionByName(x)

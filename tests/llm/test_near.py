@@ -117,3 +117,30 @@ def test_near_vectors(spark):
     assert [got[k].n_links for k in (1000, 1001, 1002, 1003, 1004)] == [0] * 5 and got[1006].component_id == 1005
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values() if r.vec_id is not None)
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+def band_classes(rows):
+    """Classes by brute force: components of all pairs that share a band and are similar."""
+    tokens = [t.split() for _, t, *_ in rows]
+    code = {w: i for i, w in enumerate(sorted({w for t in tokens for w in t}))}
+    docs = [np.array([code[w] for w in t], np.uint64) for t in tokens]
+    bands = [near_dedup.order_min_hash(w) for t in tokens for w in near_dedup.words_of(near_dedup.pa.array([" ".join(t)]))]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (bands[i] == bands[j]).any() and near_dedup.alike(docs[i], docs[j])]
+    return components_of(pairs, range(len(rows))), pairs
+
+
+def test_pairs_within_a_template(spark, monkeypatch):
+    """Texts of one template, nearly all unlike, of which a few late pairs are alike."""
+    monkeypatch.setattr(near_dedup, "TILE", 64, raising=False)  # several tiles a bucket
+    rng = random.Random(5)
+    template, texts = [f"t{i}" for i in range(110)], []
+    for _ in range(400):
+        texts.append(" ".join(template + [f"v{rng.randrange(10**6)}" for _ in range(40)]))
+    for k in range(380, 400):  # no five words outside the template are common
+        w = texts[k].split()
+        texts.append(" ".join(x if i < 110 or i % 4 else f"u{k}-{i}" for i, x in enumerate(w)))
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    want, pairs = band_classes(rows)
+    assert len(pairs) >= 18
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == want
