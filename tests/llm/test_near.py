@@ -144,3 +144,22 @@ def test_pairs_within_a_template(spark, monkeypatch):
     assert len(pairs) >= 18
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
     assert got == want
+
+
+def test_chains_of_versions(spark):
+    """Versions v1, v2, v3, of which v1 and v3 are unlike: v2, linked to its bucket's hub v1, still meets v3."""
+    rng = random.Random(7)
+    first, texts = [f"t{i}" for i in range(60)], []
+    texts.append(" ".join(first))
+    late = []
+    for k in range(100):
+        at = rng.randrange(40)
+        v2 = first[:at] + [f"a{k}-{i}" for i in range(9)] + first[at + 9 :]
+        to = rng.choice([x for x in range(52) if abs(x - at) >= 9])
+        late.append(" ".join(v2[:to] + [f"b{k}-{i}" for i in range(8)] + v2[to + 8 :]))
+        texts.append(" ".join(v2))
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts + late)]
+    want, pairs = band_classes(rows)
+    assert len({want[i] for i in range(101, 201)}) < 100
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == want
