@@ -163,3 +163,15 @@ def test_chains_of_versions(spark):
     assert len({want[i] for i in range(101, 201)}) < 100
     got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
     assert got == want
+
+
+def test_sparse_vectors_are_audited(spark, monkeypatch):
+    """Two pairs among 1,500 vectors that the search misses: the audit sees that, and brute force gives them."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1500, 24))
+    x[1400], x[1450] = x[3] + 0.02 * rng.standard_normal(24), x[700] + 0.02 * rng.standard_normal(24)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    compare = vector_dedup._compare
+    monkeypatch.setattr(vector_dedup, "_compare", lambda *a: compare(*a).where("sim < 0.9"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(df).collect()}
+    assert got == {i: (0, i) for i in range(1500)} | {3: (1, 3), 1400: (1, 3), 700: (1, 700), 1450: (1, 700)}
