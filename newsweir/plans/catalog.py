@@ -296,7 +296,7 @@ def story_clusters(spark, d):
 @query()
 def story_clusters_fuzzy(spark, d):
     a = articles(spark, d)
-    return stories.clusters(a, stories.story_pairs(a, BRANDS[:2])).select("seq", "cluster_id")
+    return stories.clusters(a, stories.story_pairs(a, BRANDS)).select("seq", "cluster_id")
 
 
 @query(
@@ -320,13 +320,13 @@ def _feed(spark, d) -> DataFrame:
 
 @query()
 def feed_route(spark, d):
-    s = stories.summaries(stories.same_title_clusters(articles(spark, d).where("seq % 20 in (1, 10)")))
+    s = stories.summaries(stories.same_title_clusters(articles(spark, d)))
     return stories.routed(s, _feed(spark, d)).select("cluster_id", "feed_row", "how")
 
 
 @query()
 def feed_merge(spark, d):
-    s = stories.summaries(stories.same_title_clusters(articles(spark, d).where("seq % 20 in (1, 10)")))
+    s = stories.summaries(stories.same_title_clusters(articles(spark, d)))
     return stories.merged(_feed(spark, d), stories.routed(s, _feed(spark, d))).select("row_id", F.size("urls").alias("urls"), "count")
 
 

@@ -137,3 +137,17 @@ def test_catalogue_against_sql(spark, name):
 
 def test_hash(spark):
     assert spark.createDataFrame([("https://E.com/a?utm_id=1",), ("https://e.com/a",)], "u string").select(url_hash(F.col("u"))).distinct().count() == 1
+
+
+def test_stories_and_feeds_take_all_documents(spark, tmp_path):
+    from newsweir.plans import catalog
+
+    rows = [(i, f"headline{i} number{i}\nbody", "en", "src1", 10) for i in range(40)] + [(40, "the river rises above its banks\nx", "en", "src1", 1), (41, "the river rises above its bank\nx", "en", "src2", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    times = [(i, catalog.NOW - timedelta(minutes=i)) for i in range(42)]
+    spark.createDataFrame(times, "event_id long, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    cluster = {r.seq: r.cluster_id for r in catalog.story_clusters_fuzzy(spark, str(tmp_path)).collect()}
+    assert len(cluster) == 42 and cluster[41] == 40
+    assert {r.cluster_id for r in catalog.feed_route(spark, str(tmp_path)).collect()} == set(range(42))
+    merged = {r.row_id: (r.urls, r["count"]) for r in catalog.feed_merge(spark, str(tmp_path)).collect()}
+    assert set(merged) == {0, 10, 20, 30, 40} and merged[40] == (2, 2)
