@@ -3,16 +3,22 @@
 Texts are lower-cased runs of letters and digits; shingles are five such words. An item is in a document if at least
 0.8 of the item's distinct shingles occur in it. An item with n shingles may then miss m = n - ceil(0.8 n), so of the
 m + 1 shingles with the least hashes (its MinHash sketch) one at least occurs in the document: the search loses nothing.
-Items are partitioned by size (powers of two); each class has a greatest sketch hash, and a document's shingle is looked
-up only if it is below that of the class in question, so long documents send a fraction of their shingles. Candidates
-are verified by the exact containment of shingle strings.
+Items are partitioned by size (powers of two). The greatest hash in the sketches of a partition is its limit, and the
+shingles of a document under that limit are the document's sketch for it: a longer item has a lower limit, so the sketch is a
+fraction of the shingles. A document has sketches only for the partitions whose items can be in it, those with no more than
+1.25 times its distinct shingles. Sketches meet by hash. Candidates are verified by the exact containment of shingle strings; only their documents are
+read a second time.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .base import cut, discard
+
 SHINGLE, LEAST = 5, 0.8
 
 
@@ -41,26 +47,42 @@ def sketches(items: DataFrame, least: float = LEAST, n: int = SHINGLE) -> DataFr
     return x.withColumn("sketch", F.slice("h", 1, (F.col("n_item") - F.ceil(least * F.col("n_item") - 1e-9) + 1).cast("int"))).drop("h")
 
 
+def partition_limits(sketched: DataFrame) -> list[tuple[int, int]]:
+    """(least size, greatest sketch hash) of every partition of items; as many as powers of two, so a bounded list."""
+    got = sketched.groupBy("size_class").agg(F.min("n_item").alias("n"), F.max(F.element_at("sketch", -1)).alias("limit")).collect()
+    return sorted((r.n, r.limit) for r in got)
+
+
+def document_sketches(docs: DataFrame, limits: list[tuple[int, int]], least: float = LEAST, n: int = SHINGLE) -> DataFrame:
+    """doc_id, hash: the shingle hashes of each document under the limit of a partition whose items it can hold."""
+    x = docs.select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", hashes_of("words", n).alias("h"))
+    of = F.greatest(F.lit(-(2**63)), *[F.when(F.size("h") >= math.ceil(least * size - 1e-9), F.lit(limit)).otherwise(-(2**63)) for size, limit in limits])
+    x = x.where(F.size("h") >= math.ceil(least * limits[0][0] - 1e-9)).withColumn("limit", of)
+    return x.select("doc_id", F.explode(F.filter("h", lambda h: h <= F.col("limit"))).alias("hash"))
+
+
 def candidates(docs: DataFrame, items: DataFrame, least: float = LEAST, n: int = SHINGLE) -> DataFrame:
     """Distinct (doc_id, item_id) that share a shingle of the item's sketch. No pair that passes `least` is missing."""
-    sk = sketches(items, least, n).select("item_id", "size_class", F.explode("sketch").alias("hash"))
-    limits = sk.groupBy("size_class").agg(F.max("hash").alias("limit"), F.count("*").alias("hashes"))
-    top = limits.agg(F.max("limit")).first()[0]
-    if top is None:
+    sketched = cut(sketches(items, least, n), "sketches")
+    limits = partition_limits(sketched)
+    if not limits:
+        discard(sketched)
         return docs.select("doc_id").join(items.select("item_id"), F.lit(False)).distinct()
-    x = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    x = x.select("doc_id", F.explode(F.filter(hashes_of("words", n), lambda h: h <= top)).alias("hash"))
-    per_class = sk.join(limits.select("size_class", "limit"), "size_class")
-    return x.join(per_class, "hash").where("hash <= limit").select("doc_id", "item_id").distinct()
+    x = document_sketches(docs, limits, least, n)
+    found = cut(x.join(sketched.select("item_id", F.explode("sketch").alias("hash")), "hash").select("doc_id", "item_id").distinct(), "found")
+    discard(sketched)
+    return found
 
 
 def contained(docs: DataFrame, items: DataFrame, least: float = LEAST, n: int = SHINGLE) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment of every document that holds an item.
 
     Null texts have no words; items and documents of fewer than five words have no shingles and match nothing. Rows that
-    repeat a doc_id or item_id count as one with the greatest containment. Empty tables give an empty one."""
+    repeat a doc_id or item_id count as one with the greatest containment. Empty tables give an empty one. Texts of any length
+    are read whole; equal hashes of different shingles only make candidates, which the strings then decide."""
     pairs = candidates(docs, items, least, n)
-    d = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    ids = pairs.select(F.col("doc_id").alias("p")).distinct()
+    d = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("p")), "left_semi").select("doc_id", words_of(F.col("text")).alias("words"))
     t = items.select("item_id", words_of(F.col("text")).alias("words")).select("item_id", F.array_distinct(shingles_of("words", n)).alias("of_item")).where("size(of_item) > 0")
     x = d.join(pairs.select(F.col("doc_id").alias("p"), "item_id"), F.col("doc_id").eqNullSafe(F.col("p"))).join(t.withColumnRenamed("item_id", "q"), F.col("item_id").eqNullSafe(F.col("q")))
     x = x.select("doc_id", "item_id", F.size("of_item").alias("n_item"), F.size(F.array_intersect("of_item", shingles_of("words", n))).alias("n_shared"))
@@ -70,7 +92,9 @@ def contained(docs: DataFrame, items: DataFrame, least: float = LEAST, n: int =
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """One row per contaminated document: doc_id, n_items, item_list (ascending, joined by commas), containment (greatest)."""
+    """One row per contaminated document: doc_id, n_items, item_list (ascending, joined by commas), containment (greatest).
+
+    Nulls, repeated rows, ties, empty tables and very long texts as in `contained`."""
     x = contained(docs, items, **how).groupBy("doc_id").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("s"), F.max("containment").alias("containment"))
     return x.select("doc_id", "n_items", F.array_join(F.col("s").cast("array<string>"), ",").alias("item_list"), "containment")
 

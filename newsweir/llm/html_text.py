@@ -1,11 +1,15 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. The first pass looks at each block alone: its place (navigation, header
-outside the article, footer, aside, form, class or id of an advert, notice, menu or comment section), link density,
-stop-word density and length make it good, bad, near-good or short. The second pass decides the ambiguous ones: a near
-or short block takes the label of its nearest decided neighbours, of the side that is nearer, and good if both are good.
-Inside an article element, blocks that are not bad by place are text of the article; what stands outside it, or outside a main
-element, isn't.
+A page is cut into blocks at block-level tags, by one scan that follows the HTML standard for tags, attributes and quotes
+and takes time in proportion to the page. The first pass looks at each block alone: link density, stop-word density and
+length make it good, bad, near-good or short; a block is also bad by its place (navigation, header outside an article,
+footer, aside, form, class or id of an advert, notice, menu or comment section). Place is evidence too: within an article
+or main element a block needs less to be good and may have more links. If such an element holds most of the good text of a
+page it bounds the main text, and what stands outside is bad; teaser cards in article elements don't.
+
+The second pass decides near-good blocks, good if a nearest decided neighbour on either side is, then the short ones, which
+inherit the label of the nearest decided neighbour, good if there are two as near and one is. Blocks that are bad by place have no say about blocks within
+the element that bounds the text, as an advert between two paragraphs says nothing about them.
 """
 
 from __future__ import annotations
@@ -14,22 +18,24 @@ import bisect
 import html as html_lib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 # fixed values: element names of the HTML standard
 BLOCKS = {*"address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()}
-DROPPED = {*"script style noscript template svg math iframe object embed applet canvas video audio select textarea button head title".split()}
+RAW = {*"script style noscript template svg math iframe object canvas video audio select textarea button title".split()}
 VOID = {*"area base br col embed hr img input link meta param source track wbr".split()}
 BAD_ELEMENTS = {*"nav footer aside form menu dialog fieldset".split()}
 BAD_ROLES = {*"navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split()}
+# names of page parts that hold no article, and parts of names that say nothing
 BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|foot|masthead|topbar|cookies?|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w*|signup|login|"
-    r"share|sharing|social|comment\w*|disqus|replies|respond|related\w*|recommend\w*|widget\w*|toolbar|pagination|pager|skip\w*|copyright|legal|disclaimer|paywall|tags)(?=$|[\s_-])",
-    re.IGNORECASE,
+    r"ads?|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|footer\w*|foot|masthead|topbar|cookies?|consent|gdpr|notice\w*|alert|popup|modal|newsletter|subscri\w*|signup|login|"
+    r"share|sharing|social|comment\w*|disqus|replies|respond|related\w*|recommend\w*|widget\w*|toolbar|pagination|pager|skip\w*|copyright|legal|disclaimer|paywall|tags"
 )
-_HEADER = re.compile(r"(?:^|[\s_-])(?:header|head)(?=$|[\s_-])", re.IGNORECASE)  # bad outside an article alone
+PLAIN_NAMES = re.compile(r"\d+|[a-z]|site|page|main|global|top|bottom|left|right|primary|secondary|inner|outer|wrap\w*|container|box|block|section|area|bar|list|item\w*|links?|text|group|panel|row|col\w*|posts?|articles?|stories|content|user|reader|form|buttons?|icons?|info|unit|slot|sticky|fixed|mobile|desktop|js|is|has")
+HEADER_NAMES = re.compile(r"header|head")  # bad outside an article alone
 # fixed values: frequent function words
 STOP = {*(
     "a about after all also an and any are as at be been but by can could did do for from had has have he her his how i if in into is it its just like more most my new no not of on one only or other our out over she so some than that the their them then there these they this to up us was we were what when which who will with would you your "
@@ -38,39 +44,132 @@ STOP = {*(
     "al como con cuando de del donde el ella en entre era es esta este fue ha hay la las le lo los más me mi muy no nos o para pero por que se si sin sobre su sus también un una y ya"
 ).split()}
 _OTHER = re.compile(r"[\W\d_]+")
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b", re.IGNORECASE)
-_RAW = {k: re.compile(rf"</{k}\s*>", re.IGNORECASE) for k in ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "select", "object", "canvas", "video", "audio", "button")}
-LINKS, STOP_LOW, STOP_HIGH, SHORT, LONG = 0.33, 0.12, 0.2, 70, 200
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTR = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)?")
+_IS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+_PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*|\d+|[^\W\d_a-zA-Z]+")
+_TOLD = {"class", "id", "role", "hidden", "aria-hidden", "style"}
+_RAW_END = {k: re.compile(rf"</{k}(?=[\s/>])[^>]*>", re.IGNORECASE) for k in RAW}
+LINKS, LINKS_WITHIN, STOP_LOW, STOP_HIGH, SHORT, LONG = 0.33, 0.66, 0.12, 0.2, 70, 200
+
+
+class Block(NamedTuple):
+    """A block's text, its characters in links, whether its place is bad, whether it is inside a main (1) or article (2)
+    element, and whether it is a heading."""
+
+    text: str
+    linked: int
+    bad: bool
+    place: int
+    heading: bool
+
 
+class _Tags:
+    """The tags of a page, in one pass: `next` gives (start, end, name, whether it is an end tag, whether it closes itself,
+    attributes that tell something), or None. Comments, declarations and the content of RAW elements have no name."""
+
+    def __init__(self, page: str):
+        self.page, self.at, self.missing = page, 0, set()
+
+    def _find(self, what: str, at: int) -> int:
+        """Where `what` comes next; what was once not found isn't sought again."""
+        if what in self.missing:
+            return -1
+        k = self.page.find(what, at)
+        if k < 0:
+            self.missing.add(what)
+        return k
+
+    def next(self) -> tuple[int, int, str, bool, bool, dict[str, str]] | None:
+        page, n = self.page, len(self.page)
+        while (lt := page.find("<", self.at)) >= 0:
+            after = page[lt + 1 : lt + 2]
+            if after in ("!", "?"):
+                close, skip = ("-->", 3) if page.startswith("<!--", lt) else (">", 1)
+                k = self._find(close, lt + 2)
+                self.at = k + skip if k >= 0 else n
+                return lt, self.at, "", False, False, {}
+            is_end = after == "/"
+            m = _NAME.match(page, lt + 1 + is_end)
+            if not m:
+                self.at = lt + 1  # a sign in a text
+                if is_end and (k := self._find(">", lt)) >= 0:
+                    self.at = k + 1
+                    return lt, self.at, "", False, False, {}
+                return lt, lt + 1, "<", False, False, {}
+            name, at, told = m[0].lower(), m.end(), {}
+            while True:
+                a = _ATTR.match(page, at)
+                at = a.end()
+                if a[1] is None:
+                    if at < n and page[at] == "=":  # an attribute's name may start with one
+                        at += 1
+                        continue
+                    break
+                value, eq = "", _IS.match(page, at)
+                if eq:
+                    at = eq.end()
+                    quote = page[at : at + 1]
+                    k = self._find(quote, at + 1) if quote in ('"', "'") else -1
+                    if k >= 0:
+                        value, at = page[at + 1 : k], k + 1
+                    else:
+                        v = _BARE.match(page, at)
+                        value, at = v[0], v.end()
+                if (key := a[1].lower()) in _TOLD:
+                    told.setdefault(key, value)
+            self.at = min(at + 1, n)
+            closed = page[at - 1 : at] == "/"
+            if name in RAW and not is_end and not closed and f"</{name}" not in self.missing:
+                if end := _RAW_END[name].search(page, self.at):
+                    self.at = end.end()
+                    return lt, self.at, "script" if name in ("script", "style") else "raw", False, True, {}
+                self.missing.add(f"</{name}")
+                if name in ("script", "style"):
+                    self.at = n
+                    return lt, n, "script", False, True, {}
+            return lt, self.at, name, is_end, closed, told
+        return None
 
-def _bad_place(name: str, attrs: str, in_article: bool) -> bool:
+
+def _bad_name(value: str, also: re.Pattern | None = None) -> bool:
+    """Whether one of the names in a class or id is that of a part without article text: made of such names and plain ones."""
+    for name in value.split():
+        parts = [p.lower() for p in _PARTS.findall(name)]
+        whole = "".join(parts)
+        bad = [bool(BAD_NAMES.fullmatch(p) or also and also.fullmatch(p)) for p in parts]
+        if BAD_NAMES.fullmatch(whole) or any(bad) and all(b or PLAIN_NAMES.fullmatch(p) for b, p in zip(bad, parts, strict=True)):
+            return True
+    return False
+
+
+def _bad_place(name: str, told: dict[str, str], in_article: bool) -> bool:
     if name in BAD_ELEMENTS or name == "header" and not in_article:
         return True
-    if "=" not in attrs and "hidden" not in attrs:
+    if not told:
         return False
-    for key, a, b, c, bare in _ATTR.findall(attrs):
-        value, key = a or b or c, (key or bare).lower()
-        if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-        if key == "role" and value.lower() in BAD_ROLES or key in ("class", "id") and name not in ("html", "body", "article", "main") and (BAD_NAMES.search(value) or not in_article and _HEADER.search(value)):
-            return True
-    return False
+    if "hidden" in told or told.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", told.get("style", "")[:1000], re.IGNORECASE):
+        return True
+    if told.get("role", "").lower() in BAD_ROLES:
+        return True
+    return name not in ("html", "body", "article", "main") and any(_bad_name(told[k], None if in_article else HEADER_NAMES) for k in ("class", "id") if k in told)
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
-    """Blocks in page order: text, characters in links, bad by place, inside a main element (1) or an article (2), a heading. Empty ones are left out."""
-    out, text, linked, at = [], [], 0, 0
+def blocks(page: str) -> list[Block]:
+    """Blocks in page order. Empty ones are left out."""
+    out, text, linked = [], [], 0
     stack: list[tuple[str, bool, int]] = []  # name, bad, place
-    links, breaks = 0, 0
+    open_names: dict[str, int] = {}
+    links, breaks, at, tags = 0, 0, 0, _Tags(page)
 
     def flush():
         nonlocal text, linked
         if text:
             joined = " ".join(html_lib.unescape("".join(text)).split())
             if joined:
-                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                out.append((joined, linked, bad, article, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[-3:])))
+                bad, place = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                out.append(Block(joined, linked, bad, place, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[-3:])))
         text, linked = [], 0
 
     def put(part: str):
@@ -82,110 +181,119 @@ def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
             if links:
                 linked += len(part.strip())
 
-    while m := _TAG.search(page, at):
-        put(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if m[1]:  # end tag
+    def pop_to(k: int):
+        for x in stack[k:]:
+            open_names[x[0]] -= 1
+        del stack[k:]
+
+    while t := tags.next():
+        start, end, name, is_end, closed, told = t
+        put(page[at:start])
+        at = end
+        if name == "<":
+            put("<")
+        elif name == "raw":  # its content isn't text
+            text.append(" ")
+        elif name in ("", "script"):
+            pass
+        elif is_end:
             if name == "a":
                 links = max(0, links - 1)
             elif name in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-            continue
-        if name in _RAW and not m[3].endswith("/"):  # its content isn't text
-            end = _RAW[name].search(page, at)
-            at = end.end() if end else (len(page) if name in ("script", "style") else at)
-            text.append(" ") if name not in ("script", "style") else None
-            continue
-        if name == "br":
+            if open_names.get(name):
+                pop_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
+        elif name == "br":
             breaks += 1
             if breaks >= 2:
                 flush()
             text.append(" ")
-            continue
-        if name == "a":
-            links += 1
-        if name in BLOCKS:
-            flush()
-            if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack:  # their end tags may be left out
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name or name in ("dt", "dd") and stack[k][0] in ("dt", "dd") or name in ("td", "th") and stack[k][0] in ("td", "th"):
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCKS and stack[k][0] != "p" and not (name == "tr" and stack[k][0] in ("td", "th")):
-                        break
-            elif stack and stack[-1][0] == "p":
-                stack.pop()
-        if name in BLOCKS or name in ("span", "b", "i", "em", "strong", "small", "font", "label", "a", "u"):
-            if name not in VOID and not m[3].endswith("/"):
-                bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                article = max(article, {"article": 2, "main": 1}.get(name, 0))
-                worse = bad or (name in BLOCKS or name == "span") and _bad_place(name, m[3], article > 0)
+        else:
+            if name == "a":
+                links += 1
+            if name in BLOCKS:
+                flush()
+                if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack:  # their end tags may be left out
+                    for k in range(len(stack) - 1, -1, -1):
+                        if stack[k][0] == name or name in ("dt", "dd") and stack[k][0] in ("dt", "dd") or name in ("td", "th") and stack[k][0] in ("td", "th"):
+                            pop_to(k)
+                            break
+                        if stack[k][0] in BLOCKS and stack[k][0] != "p" and not (name == "tr" and stack[k][0] in ("td", "th")):
+                            break
+                elif stack and stack[-1][0] == "p":
+                    pop_to(len(stack) - 1)
+            if name not in VOID and not closed and (name in BLOCKS or name in ("span", "b", "i", "em", "strong", "small", "font", "label", "a", "u")):
+                bad, place = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                place = max(place, {"article": 2, "main": 1}.get(name, 0))
+                worse = bad or (name in BLOCKS or name == "span") and _bad_place(name, told, place > 0)
                 if name in BLOCKS or worse != bad:
-                    stack.append((name, worse, article))
+                    stack.append((name, worse, place))
+                    open_names[name] = open_names.get(name, 0) + 1
     put(page[at:])
     flush()
     return out
 
 
-def labels(found: list[tuple[str, int, bool, int, bool]]) -> list[bool]:
-    """Whether each block is text of the article."""
-    first = []
-    # the narrowest element for main text that the page has: what stands outside it isn't part of the article
-    within = max((place for _, _, bad, place, _ in found if not bad), default=0)
-    for text, linked, bad, place, heading in found:
-        if bad or place < within:
-            first.append("bad")
-            continue
-        if within == 2:
-            first.append("good")
-            continue
-        words = [w for w in _OTHER.split(text.lower()) if w]
-        stop, density = sum(w in STOP for w in words) / max(len(words), 1), linked / max(len(text), 1)
-        if density > LINKS:
-            first.append("bad")
-        elif heading or len(text) < SHORT:
-            first.append("short")
-        elif stop >= STOP_HIGH and len(text) > LONG:
-            first.append("good")
-        elif stop >= STOP_LOW:
-            first.append("near")
-        else:
-            first.append("short" if stop == 0 and len(text) < LONG else "near")
-    decided = [k for k, x in enumerate(first) if x in ("good", "bad")]
-    anything = any(x == "good" for x in first)
-    out = []
-    for k, x in enumerate(first):
-        if x in ("good", "bad"):
-            out.append(x == "good")
-            continue
-        at = bisect.bisect(decided, k)
-        near = [(abs(d - k), first[d] == "good") for d in decided[max(at - 1, 0) : at + 1]]
-        if not anything:  # no block is decided as good: near-good ones are the text
-            out.append(x == "near" or not any(y == "near" for y in first) and not near)
-        elif x == "near":
-            out.append(not near or any(g for _, g in near))
-        elif len({g for _, g in near}) == 1:
-            out.append(near[0][1])
-        else:
-            out.append(min(near, key=lambda n: (n[0], not n[1]))[1])
-    return out
+def first_pass(b: Block) -> str:
+    """good, bad, near or short, by the block alone."""
+    if b.bad or b.linked > (LINKS_WITHIN if b.place else LINKS) * len(b.text):
+        return "bad"
+    if b.heading or len(b.text) < SHORT:
+        return "short"
+    words = [w for w in _OTHER.split(b.text.lower()) if w]
+    stop = sum(w in STOP for w in words) / max(len(words), 1)
+    if stop >= (STOP_LOW if b.place else STOP_HIGH) and (b.place or len(b.text) > LONG):
+        return "good"
+    return "short" if stop == 0 and len(b.text) < LONG else "near"
+
+
+def bound(found: list[Block], first: list[str]) -> int:
+    """The place that bounds the main text: 2 or 1 if article or main elements hold most of the good text, or of the near-good
+    if none is good, or of what isn't bad; else 0."""
+    for kinds in (("good",), ("near",), ("short",)):
+        size = [sum(len(b.text) for b, x in zip(found, first, strict=True) if x in kinds and b.place >= place) for place in range(3)]
+        if size[0]:
+            return 2 if 2 * size[2] > size[0] else 1 if 2 * size[1] > size[0] else 0
+    return 0
+
+
+def second_pass(found: list[Block], first: list[str], within: int) -> list[bool]:
+    """Whether each block is main text: near-good blocks are decided by their neighbours, then short ones by theirs."""
+    now = ["bad" if b.place < within else x for b, x in zip(found, first, strict=True)]
+    mute = [x == "bad" and within > 0 and (b.bad or b.place < within) for b, x in zip(found, now, strict=True)]
+    anything, near_there = "good" in now, "near" in now
+    for kind in ("near", "short"):
+        says, then = [k for k, x in enumerate(now) if x in ("good", "bad") and not mute[k]], now[:]
+        for k, x in enumerate(now):
+            if x != kind:
+                continue
+            at = bisect.bisect(says, k)
+            by = [(abs(d - k), now[d] == "bad") for d in says[max(at - 1, 0) : at + 1]]
+            if kind == "near":  # where no block is good alone, near-good ones are the text
+                good = not anything or not by or not all(bad for _, bad in by)
+            else:  # nearest neighbour, the good one of two as near
+                good = not min(by)[1] if by else within > 0 or not near_there
+            then[k] = "good" if good else "bad"
+        now = then
+    return [x == "good" for x in now]
+
+
+def labels(found: list[Block]) -> list[bool]:
+    """Whether each block is main text, by both passes."""
+    first = [first_pass(b) for b in found]
+    return second_pass(found, first, bound(found, first))
 
 
 def main_text(page: str | None) -> str:
     """The main text of a page, blocks joined by line breaks; empty if there is none."""
     found = blocks(page or "")
-    return "\n".join(x[0] for x, good in zip(found, labels(found), strict=True) if good)
+    return "\n".join(b.text for b, good in zip(found, labels(found), strict=True) if good)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every page. Null html is empty; rows that repeat a page_id keep their own rows."""
+    """page_id, url, text, n_chars of every page. Null html is empty, and so is the text of a page without main text; rows that
+    repeat a page_id keep their own rows; pages of any length are read whole, in time in proportion to it; of two neighbours
+    as near as each other the good one decides; an empty table gives an empty one; other columns are passed over."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

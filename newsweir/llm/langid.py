@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents of each language to learn from, documents in all and languages at most (the most frequent), as bounds of the model.
-PER_LANGUAGE, SAMPLE, LANGUAGES, LANDMARKS, RIDGE, ORDERS, PLACES = 300, 4096, 64, 256, 1e-2, (1, 2, 3, 4), 1 << 18
+from .base import cut, discard
+
+#: Documents of each language to learn from, and documents in all (but one of each language at least), as bounds of the model.
+PER_LANGUAGE, SAMPLE, LANDMARKS, RIDGE, ORDERS, PLACES = 300, 4096, 256, 1e-2, (1, 2, 3, 4), 1 << 18
 _OTHER = re.compile(r"[\W\d_]+")
-UNDECIDED = "und"
+UNDECIDED, LEAST = "und", 0.05
 
 
 def normalised(text: str | None) -> str:
@@ -122,17 +124,20 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE) -> Model:
-    """A model of a bounded sample: of each of the LANGUAGES most frequent languages the `per_language` documents with
-    the least hash of doc_id, of those that are not held out, have a language and a letter, and at most `most` in all.
-
-    Tasks read the whole texts; the driver gets their presence vectors, of 32 KB each at most."""
-    x = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    top = [r[0] for r in x.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    w = Window.partitionBy("lang").orderBy("h", "doc_id")
-    x = x.where(F.col("lang").isin(top) & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"), "text")
-    each = min(per_language, max(1, most // max(len(top), 1)))
-    sample = x.withColumn("k", F.row_number().over(w)).where(F.col("k") <= each).select("lang", "k", "text")
+    """A model of a bounded sample: of each language the `per_language` documents with the least hash of doc_id, of those that
+    are not held out, have a language and a letter, and at most `most` in all, but one of each language at least.
+
+    The sample is chosen by ids and hashes alone; tasks then read the whole texts of the chosen ones, and the driver gets
+    their presence vectors, of 32 KB each at most. Of equal hashes the least doc_id, then the least hash of the text comes
+    first; rows that are equal in all three count once."""
+    x = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out()).select("lang", "doc_id", F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")).alias("h"), F.xxhash64("text").alias("tie"))
+    each = min(per_language, max(1, most // max(x.agg(F.count_distinct("lang")).first()[0], 1)))
+    chosen = x.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "tie"))).where(F.col("k") <= each)
+    chosen = cut(chosen.groupBy("lang", "doc_id", "tie").agg(F.min("k").alias("k")), "chosen")
+    same = F.col("d.lang").eqNullSafe(F.col("c.lang")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.tie"))
+    sample = docs.select("lang", "doc_id", "text").alias("d").join(chosen.alias("c"), same).groupBy("c.lang", "c.k").agg(F.first("d.text").alias("text"))
     rows = sorted((r.lang, r.k, r.marks) for r in sample.mapInArrow(_marked, "lang string, k int, marks binary").where("marks is not null").collect())
+    discard(chosen)
     marks = np.frombuffer(b"".join(zlib.decompress(r[2]) for r in rows), np.uint8).reshape(len(rows), PLACES // 8)
     return Model.fit(marks, [r[0] for r in rows])
 
@@ -158,12 +163,19 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str,
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document, by a model of the labelled documents not held out.
 
-    Without labelled documents all are `und`. Rows that repeat a doc_id get their own rows."""
+    Without labelled documents all are `und`. Rows that repeat a doc_id get their own rows; texts of any length are read
+    whole; of languages with equal scores the first by name is predicted; an empty table gives an empty one."""
     return predicted(docs, train(docs), ["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def known_language(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """Documents, all columns as they are, but for those without a language (`und`, or a score under `least`)."""
-    cols = docs.columns
-    x = predicted(docs, train(docs), cols, ("_nw_lang", "_nw_score"))
-    return x.where((F.col("_nw_lang") != UNDECIDED) & (F.col("_nw_score") >= least)).select(*cols)
+def known_language(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """Documents, all columns as they are, of which the classifier knows the language: those go that are `und`, and those
+    whose score is not above chance (one by the number of languages) by `least` of what is left to certainty, as texts
+    in a script or language that it never saw. Without labelled documents there is no classifier, and only null texts and
+    texts without a letter go. Rows that repeat a doc_id are judged on their own; an empty table gives an empty one."""
+    cols, model = docs.columns, train(docs)
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    chance = 1 / len(model.labels)
+    x = predicted(docs, model, cols, ("_nw_lang", "_nw_score"))
+    return x.where((F.col("_nw_lang") != UNDECIDED) & (F.col("_nw_score") >= chance + least * (1 - chance) - 1e-9)).select(*cols)

@@ -1,16 +1,18 @@
 """Mixing sources to target weights, in DataFrame operations alone.
 
-The words of a source, documents in a fixed order, form one stream that is cut into blocks of `block` words. A mix
-is a row of slots. Slots are dealt to output shards; every slot draws a source, so that the counts of a shard are a
-multinomial draw, conditioned on the exact totals of the mix (slots pass through a pseudorandom permutation of
-0..S-1 and the source that owns the permuted index is drawn: totals are met without a correction pass). The index within
-the source passes through a permutation of that source's blocks, anew for every pass over them, and blocks are joined by
-index. No step holds all rows of a source in one task: running sums go over (source, bucket of doc_id) first.
+The words of a source, documents in a fixed order, form one stream that is cut into blocks of `block` words. A mix is a
+row of slots, dealt to output shards of SHARD slots. Every slot draws a source at random by the targets, seeded by its
+shard, so the counts of sources in a shard are a multinomial draw. The draws of all shards are then reconciled with the
+exact totals: a source drawn too often gives up evenly spaced draws of its own, which go to the sources drawn too seldom.
+A source's kept draws keep their numbers, so which draws it gives up decides which of its blocks are taken. A number
+passes through a permutation of the source's blocks, anew for every pass over them, and blocks are joined by index. A source
+whose draws would go beyond `cap` passes is numbered without gaps, so no block is taken more than `cap` times. No step
+holds all rows of a source in one task: ranks go over shards first, running sums over (source, bucket of doc_id).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .base import WORD, cut, partitions, word_count
@@ -47,6 +49,38 @@ def targets(sizes: DataFrame, share: float = SHARE, cap: float = CAP, weights: t
     return x.select("source", "source_size", "rn", F.coalesce(F.least("cap", F.col("at") * F.col("w")), F.col("cap")).alias("target"))
 
 
+def drawn_slots(spark: SparkSession, src: DataFrame, cap: float, seed: str) -> DataFrame:
+    """slot, shard, rn, block, pass of every slot of the mix. `src` has rn, blocks, slots (to take) and first (the slots of
+    the sources before it)."""
+    total = src.agg(F.sum("slots")).first()[0] or 0
+    # every slot throws a dart at the line of all targets: chunk of the line -> source that owns it
+    spread = src.where("slots > 0").withColumn("chunk", F.explode(F.sequence(F.expr(f"first div {CHUNK}"), F.expr(f"(first + slots - 1) div {CHUNK}"))))
+    line = spark.range(0, total, 1, partitions(spark)).select(F.col("id").alias("slot"), F.expr(f"id div {SHARD}").alias("shard"))
+    dart = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), "shard", F.col("slot") % SHARD)), 1, 15), 16, 10).cast("long")
+    line = line.withColumn("q", dart % max(total, 1)).withColumn("chunk", F.expr(f"q div {CHUNK}"))
+    draws = line.join(spread.select("chunk", "rn", "first", "slots"), "chunk").where("q >= first and q < first + slots").select("slot", "shard", "rn")
+    draws = draws.withColumn("k", F.row_number().over(Window.partitionBy("shard", "rn").orderBy("slot")) - 1)
+    # counts of the shards, then where each shard's draws of a source start among all of its draws
+    counts = draws.groupBy("shard", "rn").agg(F.count("*").alias("n")).withColumn("group", F.expr(f"shard div {SHARD}"))
+    before = (Window.unboundedPreceding, -1)
+    groups = counts.groupBy("group", "rn").agg(F.sum("n").alias("n"))
+    groups = groups.select("group", "rn", F.coalesce(F.sum("n").over(Window.partitionBy("rn").orderBy("group").rowsBetween(*before)), F.lit(0)).alias("base"))
+    counts = counts.join(groups, ["group", "rn"]).select("shard", "rn", (F.col("base") + F.coalesce(F.sum("n").over(Window.partitionBy("rn", "group").orderBy("shard").rowsBetween(*before)), F.lit(0))).alias("start"), "n")
+    # the totals: how much each source has too many or too few draws, and where these stand among all such
+    sums = src.join(counts.groupBy("rn").agg(F.sum("n").alias("n")), "rn", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    sums = sums.withColumns({"over": F.greatest(F.lit(0), F.col("n") - F.col("slots")), "lack": F.greatest(F.lit(0), F.col("slots") - F.col("n"))})
+    upto = lambda c: F.coalesce(F.sum(c).over(Window.orderBy("rn").rowsBetween(*before)), F.lit(0))
+    sums = cut(sums.select("rn", "blocks", "n", "over", "lack", upto("over").alias("over_at"), upto("lack").alias("lack_at")), "sums")
+    x = draws.join(counts.drop("n"), ["shard", "rn"]).join(sums.drop("lack", "lack_at"), "rn")
+    x = x.withColumn("j", F.col("start") + F.col("k")).withColumns({"gone": F.expr("j * over div n"), "gone_too": F.expr("(j + 1) * over div n")})
+    kept = x.where("gone = gone_too").select("slot", "shard", "rn", "blocks", F.when(F.col("n") > cap * F.col("blocks"), F.col("j") - F.col("gone")).otherwise(F.col("j")).alias("i"))
+    given = x.where("gone < gone_too").select("slot", "shard", (F.col("over_at") + F.col("gone")).alias("e")).withColumn("chunk", F.expr(f"e div {CHUNK}"))
+    lacking = sums.where("lack > 0").withColumn("chunk", F.explode(F.sequence(F.expr(f"lack_at div {CHUNK}"), F.expr(f"(lack_at + lack - 1) div {CHUNK}"))))
+    moved = given.join(lacking, "chunk").where("e >= lack_at and e < lack_at + lack").select("slot", "shard", "rn", "blocks", (F.col("n") + F.col("e") - F.col("lack_at")).alias("i"))
+    slots = kept.unionByName(moved).withColumn("pass", F.expr("i div blocks"))
+    return slots.select("slot", "shard", "rn", permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.concat_ws("-", F.lit(seed), "rn", "pass")).alias("block"), "pass")
+
+
 def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float = CAP, weights: tuple = WEIGHTS, seed: str = "mix") -> dict[str, DataFrame]:
     """The mix of `docs` (doc_id, text, source, any others).
 
@@ -55,7 +89,7 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float =
     often the mix takes it. Null and empty texts have no words and no pieces; null is a source of its own; rows that
     repeat a doc_id are documents of their own. An empty table, or one without words, gives empty tables."""
     spark = docs.sparkSession
-    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("tie"), F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(BUCKETS)).alias("bucket")), "sized")
+    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("tie"), F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(BUCKETS)).alias("bucket")), "sized")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     src = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), share, cap, weights)
     src = src.withColumn("blocks", F.ceil(F.col("source_size") / block)).withColumn(
@@ -63,15 +97,7 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float =
     )
     src = src.withColumn("first", F.coalesce(F.sum("slots").over(Window.orderBy("rn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     src = cut(src, "sources")
-    total = src.agg(F.sum("slots")).first()[0] or 0
-    # slots: permuted index -> chunk of the line of all slots -> source that owns it
-    spread = src.where("slots > 0").withColumn("chunk", F.explode(F.sequence(F.expr(f"first div {CHUNK}"), F.expr(f"(first + slots - 1) div {CHUNK}"))))
-    line = spark.range(0, total, 1, partitions(spark)).select(F.col("id").alias("slot"), F.expr(f"id div {SHARD}").alias("shard"), permuted(F.col("id"), F.lit(max(total, 1)), F.lit(seed)).alias("q"))
-    line = line.withColumn("chunk", F.expr(f"q div {CHUNK}"))
-    slots = line.join(spread, "chunk").where("q >= first and q < first + slots").withColumn("i", F.col("q") - F.col("first"))
-    slots = slots.withColumn("pass", F.expr("i div blocks")).select(
-        "slot", "shard", "rn", permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.concat_ws("-", F.lit(seed), "rn", "pass")).alias("block"), "pass"
-    )
+    slots = drawn_slots(spark, src, cap, seed)
     # documents: where each starts in its source's stream
     by_bucket = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.withColumn("base", F.coalesce(F.sum("words").over(by_bucket), F.lit(0))).join(src.select(F.col("source").alias("of"), "rn"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "words")

@@ -125,9 +125,15 @@ s6 AS (SELECT *, CAST(ceil(source_size / 32.0::DOUBLE) AS BIGINT) AS blocks FROM
 s7 AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(2 * blocks, CAST(floor(target * blocks / source_size + 0.5) AS BIGINT)) END AS slots FROM s6),
 s8 AS (SELECT *, coalesce(sum(slots) OVER (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM s7),
 tot AS (SELECT sum(slots)::BIGINT AS n FROM s8),
-line AS (SELECT {_permuted("g", "n", "'mix'")} AS q FROM (SELECT unnest(range(0, n)) AS g, n FROM tot)),
-drawn AS (SELECT rn, blocks, (q - first) % blocks AS i, (q - first) // blocks AS pass FROM line JOIN s8 ON q >= first AND q < first + slots),
-slot AS (SELECT rn, {_permuted("i", "blocks", "'mix-' || rn || '-' || pass")} AS block FROM drawn),
+line AS (SELECT g, CAST('0x' || substr(md5('mix-' || (g // 4096) || '-' || (g % 4096)), 1, 15) AS BIGINT) % n AS q FROM (SELECT unnest(range(0, n)) AS g, n FROM tot)),
+draw AS (SELECT rn, row_number() OVER (PARTITION BY rn ORDER BY g) - 1 AS j FROM line JOIN s8 ON q >= first AND q < first + slots),
+cnt AS (SELECT s8.rn, blocks, slots, count(j)::BIGINT AS n FROM s8 LEFT JOIN draw ON draw.rn = s8.rn GROUP BY ALL),
+c2 AS (SELECT *, greatest(0, n - slots) AS over, greatest(0, slots - n) AS lack FROM cnt),
+c3 AS (SELECT *, coalesce(sum(over) OVER w, 0)::BIGINT AS over_at, coalesce(sum(lack) OVER w, 0)::BIGINT AS lack_at FROM c2 WINDOW w AS (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+x AS (SELECT rn, blocks, n, over_at, j, j * over // n AS gone, (j + 1) * over // n AS gone_too FROM draw JOIN c3 USING (rn)),
+drawn AS (SELECT rn, blocks, CASE WHEN n > 2 * blocks THEN j - gone ELSE j END AS k FROM x WHERE gone = gone_too
+          UNION ALL SELECT c3.rn, c3.blocks, c3.n + x.over_at + x.gone - c3.lack_at FROM x JOIN c3 ON x.over_at + x.gone >= c3.lack_at AND x.over_at + x.gone < c3.lack_at + c3.lack WHERE x.gone < x.gone_too),
+slot AS (SELECT rn, {_permuted("k % blocks", "blocks", "'mix-' || rn || '-' || (k // blocks)")} AS block FROM drawn),
 times AS (SELECT rn, block, count(*) AS times FROM slot GROUP BY rn, block),
 placed AS (SELECT doc_id, size, rn, (sum(size) OVER (PARTITION BY d.source ORDER BY doc_id % 4096, doc_id) - size)::BIGINT AS pos
            FROM d JOIN s8 ON d.source IS NOT DISTINCT FROM s8.source),

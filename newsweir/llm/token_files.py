@@ -7,7 +7,8 @@ and a popcount of at most 64 bytes: any token is read without decoding others.
 
 Layout (little endian): b"DAC1", u32 documents D, u64 ids N, u8 levels, i64[D] doc ids, u8[D] whether the doc id is
 there, u64[D+1] first ids, then per level: u64 length n, u8[n] chunks, and unless it is the last: u8[(n+7)//8] bitmap,
-u64[n//512+1] directory. Files are rows of a Parquet table (part, seg, blob), which Spark commits whole or not at all.
+u64[n//512+1] directory. Files are rows of a Parquet table (part, seg, blob), which Spark commits whole or not at all. The
+table isn't compressed, so a blob stands in its Parquet file byte for byte, and an id is read by reading a few bytes of it.
 """
 
 from __future__ import annotations
@@ -138,7 +139,7 @@ def write_token_files(docs: DataFrame, path: str, name: str = TOKENIZER, end_id:
     order of doc_id (null first; rows that repeat a doc_id in the order of their texts' hashes)."""
     n = partitions(docs.sparkSession)
     by_range = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    by_range.mapInArrow(_writer(name, end_id, per_file), "part int, seg int, n_tokens long, blob binary").write.option("compression", "zstd").parquet(path)
+    by_range.mapInArrow(_writer(name, end_id, per_file), "part int, seg int, n_tokens long, blob binary").write.option("compression", "none").parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

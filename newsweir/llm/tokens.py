@@ -17,8 +17,15 @@ import pyarrow.compute as pc
 from .base import ragged
 
 MOST = 800_000
-#: Where a piece always ends: a letter or digit before a sign that is in no contraction and no special token.
-_EDGE = r"([\pL\pN])([!\"#$%&()*+,\-./:;=?@\[\]^_{}~])"
+# Letters and digits that stay letters and digits in every normal form, whatever stands beside them. Others (U+0130, whose
+# lower case ends in a combining mark, or letters that normal forms take apart) can join the signs after them.
+_STABLE = (
+    r"0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"  # Latin
+    r"\x{391}-\x{3A1}\x{3A3}-\x{3A9}\x{3AC}-\x{3CE}\x{400}-\x{481}\x{48A}-\x{52F}"  # Greek, Cyrillic
+    r"\x{5D0}-\x{5EA}\x{621}-\x{63A}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FA5}\x{AC00}-\x{D7A3}"
+)
+#: Where a piece always ends: such a letter or digit before a sign that is in no contraction and no special token.
+_EDGE = rf"([{_STABLE}])([!\"#$%&()*+,\-./:;=?@\[\]^_{{}}~])"
 _MEMO: dict[tuple[str, bool], Pieces] = {}
 
 

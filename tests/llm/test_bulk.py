@@ -33,6 +33,22 @@ def test_token_files_equal_plain_encoding(spark):
     assert token_files.token_files(odd(spark).limit(0)).count() == 0
 
 
+def test_pieces_of_all_code_points():
+    """No letter before a sign changes the ids, whatever its normal form is."""
+    import pyarrow as pa
+    from newsweir.llm.tokens import encode_words
+
+    cache, rng = Pieces(token_files.TOKENIZER), random.Random(2)
+    texts = [f"{chr(i)}- {chr(i)}.a b{chr(i)}/" for i in range(0x20, 0x30000) if not 0xD800 <= i < 0xE000]
+    texts += ["".join(rng.choices("abİßéЖя09 \n.-,!'’\u0338\u0301ΣΑς日本क\u0958ড়=<|>%/()", k=rng.randint(1, 25))) for _ in range(20_000)]
+    for lo in range(0, len(texts), 20_000):
+        part = texts[lo : lo + 20_000]
+        ids, n = encode_words(pa.array(part), cache)
+        parts = np.split(ids, np.cumsum(n)[:-1])
+        want = cache.tok.encode_batch_fast(part, add_special_tokens=False)
+        assert [t for t, a, w in zip(part, parts, want, strict=True) if a.tolist() != w.ids] == []
+
+
 def test_random_access():
     rng = random.Random(1)
     ids = [rng.choice([0, 1, 255, 256, 49407, 70000, 2**31]) for _ in range(3000)]
@@ -175,6 +191,90 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><
 PLAIN = """<body><div><a href=x>Home</a> | <a href=y>News</a> | <a href=z>About us and more</a></div><p>{}</p><p>Short one.</p><p>{}</p><div><a href=x>Terms of use</a> <a href=y>Privacy</a></div></body>"""
 
 
+def test_more_languages_than_landmarks(spark):
+    """Every label is learned, however many there are; ties of hashes and repeated rows change nothing."""
+    rows = [(i, f"wort{chr(97 + g % 26)}{chr(97 + g // 26)} " * 5, f"l{g:03}", "s", 0) for g in range(80) for i in range(6 * g, 6 * g + 6)]
+    out = langid.identify(frame(spark, rows + rows[:50])).collect()
+    held = [r for r in out if r.held_out]
+    want = {r[0]: r[2] for r in rows}
+    assert len(out) == len(rows) + 50 and len({r.lang_pred for r in out}) == 80
+    assert sum(r.lang_pred == want[r.doc_id] for r in held) >= 0.98 * len(held)
+
+
+def test_unknown_languages_go(spark):
+    """A text that shares nothing with any learned language is rejected by its score; without labels nothing with a letter is."""
+    rows = [(i, "the house of the river" if i % 2 else "das haus und der fluß", "en" if i % 2 else "de", "s", 0) for i in range(60)]
+    odd = [(100, "этого языка здесь нет", None, "s", 0), (101, "the river", None, "s", 0), (102, "!!", None, "s", 0)]
+    assert {r.doc_id for r in langid.known_language(frame(spark, rows + odd)).collect()} == {*range(60), 101}
+    assert {r.doc_id for r in langid.known_language(frame(spark, odd)).collect()} == {100, 101}
+    assert langid.known_language(frame(spark, [])).count() == 0 == langid.identify(frame(spark, [])).count()
+
+
+def test_folded_matrix_is_kernel_ridge():
+    """The scores from the folded matrix equal those of an explicit Nyström kernel ridge regression."""
+    rng = random.Random(9)
+    words = {"a": "alpha beta gamma delta".split(), "b": "uno due tre quattro".split(), "c": "eins zwei drei vier".split()}
+    langs = [rng.choice("abc") for _ in range(90)]
+    texts = [" ".join(rng.choices(words[g] + ["common"], k=8)) for g in langs]
+    grams = [{(n, t[i : i + n]) for t in [langid.normalised(x)] for n in langid.ORDERS for i in range(len(t) - n + 1)} for x in texts]
+    marks = np.zeros((90, langid.PLACES), np.uint8)
+    for row, x in zip(marks, texts, strict=True):
+        langid.presence(langid.normalised(x), row)
+    model = langid.Model.fit(np.packbits(marks, axis=1), langs, landmarks=30)
+    kernel = np.array([[len(x & y) / np.sqrt(len(x) * len(y)) for y in grams] for x in grams])
+    pick = [k for g in "abc" for k in [k for k in range(90) if langs[k] == g][:10]]
+    values, vectors = np.linalg.eigh(kernel[np.ix_(pick, pick)])
+    keep = values > 1e-6 * values[-1]
+    phi = kernel[:, pick] @ vectors[:, keep] / np.sqrt(values[keep])
+    y = np.array([[1.0 if g == c else -1.0 for c in "abc"] for g in langs])
+    w = np.array([90 / (3 * langs.count(g)) for g in langs])[:, None]
+    mp, my = (w * phi).sum(0) / w.sum(), (w * y).sum(0) / w.sum()
+    beta = np.linalg.solve((w * (phi - mp)).T @ (phi - mp) + langid.RIDGE * 90 * np.eye(phi.shape[1]), (w * (phi - mp)).T @ (y - my))
+    want = (phi - mp) @ beta + my
+    got, scores = model.predict(texts)
+    assert got == ["abc"[k] for k in want.argmax(1)]
+    e = np.exp(4 * (want - want.max(1, keepdims=True)))
+    assert np.allclose(scores, (e / e.sum(1, keepdims=True)).max(1), atol=2e-3)
+
+
+def test_draws_decide_what_is_taken(spark, monkeypatch):
+    """Each shard has its own multinomial counts; other draws take other blocks, and the totals stay what they are."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(["w"] * rng.randint(1, 900)), "en", rng.choice("aabc"), 0) for i in range(300)]
+    monkeypatch.setattr(mixing, "SHARD", 256)
+    m = mixing.mix(frame(spark, rows))
+    src = {r.rn: r for r in m["sources"].collect()}
+    slots = m["slots"].collect()
+    assert len(slots) == sum(r.slots for r in src.values()) == len({r.slot for r in slots})
+    counts = {}
+    for r in slots:
+        counts.setdefault(r.shard, {}).setdefault(r.rn, []).append((r.block, r["pass"]))
+    for rn, s in src.items():
+        mine = [x for c in counts.values() for x in c.get(rn, [])]
+        assert len(mine) == s.slots and len(set(mine)) == len(mine) and all(0 <= b < s.blocks and p < 2 for b, p in mine)
+        per = [len(c.get(rn, [])) for k, c in counts.items() if k < max(counts)]
+        share = s.slots / len(slots)
+        assert len(set(per)) > 3 and np.std(per) < 3 * np.sqrt(256 * share * (1 - share)) + 1 and np.std(per) > 0.3 * np.sqrt(256 * share * (1 - share))
+    one = {r.doc_id: r for r in mixing.mixed_sizes(frame(spark, rows)).collect()}
+    monkeypatch.setattr(mixing, "SHARD", 300)
+    two = {r.doc_id: r for r in mixing.mixed_sizes(frame(spark, rows)).collect()}
+    assert sum(one[d].taken != two[d].taken for d in one) > 10
+    for s in "abc":
+        ids = [r[0] for r in rows if r[3] == s]
+        assert all(abs(sum(x[d].taken for d in ids) - one[ids[0]].target) <= 40 for x in (one, two))
+
+
+def test_size_partitions_prune(spark):
+    """Long items have a low limit, so a document sends few shingles for them; and none where no item can be in it."""
+    rng = random.Random(12)
+    w = [f"w{i}" for i in range(3000)]
+    items = frame(spark, [(i, " ".join(rng.choices(w, k=rng.randint(250, 400)))) for i in range(20)], "item_id long, text string")
+    docs = frame(spark, [(0, " ".join(rng.choices(w, k=3000))), (1, " ".join(rng.choices(w, k=150)))], "doc_id long, text string")
+    limits = decontam.partition_limits(decontam.sketches(items))
+    sent = {r.doc_id: r["count"] for r in decontam.document_sketches(docs, limits).groupBy("doc_id").count().collect()}
+    assert len(limits) == 2 and 0.1 * 2996 < sent[0] + 2996 * 0.0 < 0.9 * 2996 and 1 not in sent
+
+
 def test_html(spark):
     assert html_text.main_text(PAGE) == "Title é\nOne two three.\nShort.\nLast <p> link text."
     a, b = "It was the best of the times and it was what they had in the town of their own. " * 4, "There is a house in the city that we like and it is not for sale, as you know. " * 4

@@ -2,7 +2,7 @@
 
 import random
 
-from newsweir.llm.token_files import tokenizer
+from newsweir.llm.tokens import tokenizer
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
