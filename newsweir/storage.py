@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset a local one (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a local folder serves for a
+    session of one machine (tests); on a cluster that is an error, as executors could not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='newsweir-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
