@@ -3,8 +3,9 @@
 Texts are lower-cased words. A k-mer is five consecutive words with its occurrence number in the document, so repeats
 count. For each of BANDS hash functions the LEAST k-mers of least hash are taken and hashed in the order in which they
 stand in the text: two documents agree on a band with the probability that they share those k-mers in that order, which
-follows edit similarity, not just the sets. With 3 k-mers and 10 bands, two documents that share 0.8 of their k-mers in
-order agree on a band with probability 0.999.
+follows edit similarity, not just the sets. With 2 k-mers and 64 bands, texts of which every fifth word, the most that is
+allowed, was replaced agree on a band with probability 0.9, and of which every tenth was with 0.9999. Short texts have some
+bands of two-word k-mers besides.
 
 Equal sequences of words are one vertex. In a bucket of equal bands every document is first compared with one other, the
 bucket's least (a star), which joins most of a large group. Then all pairs of a bucket whose classes differ are settled,
@@ -27,14 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .base import cut, mix64, partitions
+from .base import cut, discard, mix64, partitions
 from .repeats import gram_hashes
 
-SHINGLE, LEAST, BANDS, SIMILAR = 5, 3, 10, 0.8
+SHINGLE, LEAST, BANDS, SIMILAR = 5, 2, 64, 0.8
+#: Texts of fewer than SHORT words have SHORT_BANDS more bands of SHORT_SHINGLE words, as few of their k-mers outlive an edit.
+SHORT, SHORT_SHINGLE, SHORT_BANDS = 64, 2, 16
 TILE, TILE_WORDS = 512, 500_000
 _TILE = ["x", "y", "i", "j"]
-_ODD = (mix64(np.arange(1, BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
-_XOR = mix64(np.arange(101, BANDS + 101, dtype=np.uint64))[:, None]
+_ODD = (mix64(np.arange(1, BANDS + SHORT_BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
+_XOR = mix64(np.arange(101, BANDS + SHORT_BANDS + 101, dtype=np.uint64))[:, None]
 
 
 def words_of(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -50,9 +53,8 @@ def words_of(texts: pa.Array) -> Iterator[np.ndarray]:
         yield every[a:b][there[a:b]]
 
 
-def order_min_hash(words: np.ndarray) -> np.ndarray:
-    """The bands of a document of five words or more."""
-    g = gram_hashes(words, SHINGLE)
+def _bands(words: np.ndarray, shingle: int, bands: slice) -> np.ndarray:
+    g = gram_hashes(words, shingle)
     order = np.argsort(g, kind="stable")
     s = g[order]
     same = s[1:] == s[:-1]
@@ -60,64 +62,80 @@ def order_min_hash(words: np.ndarray) -> np.ndarray:
         first = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(s)), 0))
         label = np.empty(len(s), np.uint64)
         label[order] = (np.arange(len(s)) - first).astype(np.uint64)
-        g = mix64(g + label * np.uint64(0x9E3779B97F4A7C15))
-    h = (g[None, :] ^ _XOR) * _ODD
-    h ^= h >> np.uint64(31)
+        g = np.where(label > 0, mix64(g + label * np.uint64(0x9E3779B97F4A7C15)), g)  # the first stays as in a text without repeats
+    odd, xor, rows = _ODD[bands], _XOR[bands], np.arange(bands.stop - bands.start)
     n = min(LEAST, len(g))
-    at = np.sort(np.argpartition(h, n - 1, axis=1)[:, :n] if len(g) > n else np.tile(np.arange(n), (BANDS, 1)), axis=1)
-    out = np.arange(BANDS, dtype=np.uint64)
+    # the least of each band, some bands at a time so that what is at work stays small
+    at = np.empty((len(rows), n), np.int64)
+    step = max(1, (1 << 18) // len(g))
+    for lo in range(0, len(rows), step):
+        part = slice(lo, lo + step)
+        h = (g[None, :] ^ xor[part]) * odd[part]
+        h ^= h >> np.uint64(31)
+        for k in range(n):
+            at[part, k] = h.argmin(axis=1)
+            h[np.arange(len(h)), at[part, k]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+    at.sort(axis=1)
+    out = np.arange(bands.start, bands.stop, dtype=np.uint64)
     for k in range(n):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + g[at[:, k]])
     return out
 
 
-def _powers(words: np.ndarray) -> list[np.ndarray]:
-    """Hashes of runs of 1, 2, 4, ... words."""
-    out, mult = [words], np.uint64(0x9E3779B97F4A7C15)
-    while len(out[-1]) > 1 << len(out) - 1:
-        h, k = out[-1], 1 << len(out) - 1
-        out.append(mix64(h[:-k] * mult + h[k:]))
-    return out
+def order_min_hash(words: np.ndarray) -> np.ndarray:
+    """The bands of a document of five words or more."""
+    out = _bands(words, SHINGLE, slice(0, BANDS))
+    return out if len(words) >= SHORT else np.concatenate([out, _bands(words, SHORT_SHINGLE, slice(BANDS, BANDS + SHORT_BANDS))])
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
-    """Edit distance of two sequences if it is at most `limit`, else -1, on the diagonals within the band of `limit`."""
+    """Edit distance of two sequences if it is at most `limit`, else -1, on the diagonals within `limit` of the main one.
+
+    A column of the band is kept as two bit vectors, of the cells that are one more and one less than the cell above; a
+    column takes a few operations on integers of 2 * limit + 1 bits."""
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    if abs(n - m) > limit:
+    if n - m > limit:
         return -1
+    same = a[:m] == b  # equal ends change nothing
+    head = m if same.all() else int(np.argmin(same))
+    a, b = a[head:], b[head:]
+    n, m = n - head, m - head
+    same = a[n - m :][::-1] == b[::-1]
+    tail = m if same.all() else int(np.argmin(same))
+    n, m = n - tail, m - tail
+    a, b = a[:n], b[:m]
+    if not m:
+        return n
+    limit = min(limit, n)
     _, where = np.unique(np.concatenate([a, b]), return_inverse=True)
-    diff = np.bincount(where.ravel()[:n], minlength=1 + where.max(initial=0)) - np.bincount(where.ravel()[n:], minlength=1 + where.max(initial=0))
+    diff = np.bincount(where.ravel()[:n], minlength=1 + where.max()) - np.bincount(where.ravel()[n:], minlength=1 + where.max())
     if max(diff[diff > 0].sum(), -diff[diff < 0].sum()) > limit:  # the words alone tell
         return -1
-    pa_, pb = _powers(a), _powers(b)
-
-    def slide(i: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """Furthest points from (i, i - k) along equal words."""
-        i = i.copy()
-        for level in range(min(len(pa_), len(pb)) - 1, -1, -1):
-            x, y, size = pa_[level], pb[level], 1 << level
-            while True:
-                on = np.flatnonzero((i >= 0) & (i + size <= n) & (i - k >= 0) & (i - k + size <= m))
-                on = on[x[i[on]] == y[i[on] - k[on]]]
-                i[on] += size
-                if level < min(len(pa_), len(pb)) - 1 or not len(on):
-                    break
-        return i
-
-    k, reach = np.zeros(1, np.int64), slide(np.zeros(1, np.int64), np.zeros(1, np.int64))
-    for d in range(limit + 1):
-        if d:
-            wide = np.full(len(reach) + 4, -2, np.int64)
-            wide[2:-2] = reach
-            k = np.arange(-d, d + 1)
-            best = np.maximum(np.maximum(wide[:-2] + 1, wide[1:-1] + 1), wide[2:])  # delete, replace, insert
-            i = np.minimum(np.minimum(best, n), m + k)
-            i[(best < 0) | (i < 0) | (i - k < 0)] = -2
-            reach = slide(i, k)
-        end = n - m + d
-        if 0 <= end < len(reach) and reach[end] >= n:
-            return d
-    return -1
+    at: dict[int, int] = {}
+    for i, w in enumerate(a.tolist()):
+        at[w] = at.get(w, 0) | 1 << i
+    every, bottom = (1 << 2 * limit + 1) - 1, 1 << 2 * limit
+    # bit p of column j stands for row j - limit + p; `cost` is the cell at the band's lower edge, later that of the last row
+    up, down, cost = (1 << limit + 1) - 1 << limit, 0, limit
+    for j, w in enumerate(b.tolist()):
+        hit = at.get(w, 0)
+        hit = (hit >> j - limit if j > limit else hit << limit - j) & every
+        flat = ((hit & up) + up ^ up | hit | down) & every  # as cheap as the cell before on the diagonal
+        right, left = down | every & ~(flat | up), flat & up  # one more, one less than the cell to the left
+        if j < n - limit:
+            cost += not flat & bottom
+            if cost > 2 * limit - (n - m):
+                return -1
+        else:
+            p = n - j - 1 + limit
+            cost += (right >> p & 1) - (left >> p & 1)
+            if cost - (m - j - 1) > limit:
+                return -1
+        flat >>= 1
+        up, down = left | every & ~(flat | right), flat & right
+    return cost if cost <= limit else -1
 
 
 def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
@@ -185,7 +203,10 @@ def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
     """Links between different classes of a tile: of all pairs, or of those across its two parts, that meet in no earlier band."""
     docs = [w for c in tile.column("text").chunks for w in words_of(c)]
     ids, kind, part = (tile.column(c).to_numpy() for c in ("doc_id", "class", "part"))
-    bands = tile.column("bands").combine_chunks().flatten().to_numpy().reshape(len(docs), BANDS)
+    of = tile.column("bands").combine_chunks()
+    bands = np.tile(np.arange(BANDS + SHORT_BANDS), (len(docs), 1)) + np.arange(len(docs))[:, None] * (BANDS + SHORT_BANDS)  # unlike all others
+    size = np.diff(of.offsets.to_numpy())
+    bands[np.arange(BANDS + SHORT_BANDS) < size[:, None]] = of.flatten().to_numpy()
     x, i, j = (tile.column(c)[0].as_py() for c in "xij")
     maybe = candidates(docs, least) & (kind[:, None] != kind)
     if i != j:
@@ -255,17 +276,23 @@ def _dealt(members: DataFrame) -> DataFrame:
     return m.select("x", "y", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "class", "bands")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the document's class), kept (doc_id = class_id) of every row.
+def _numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """`docs` with _nw_uid, a number for each document, and whether there are rows that repeat a doc_id.
 
-    Documents with equal words are of one class, whatever their length. Null texts and texts without words are classes
-    of their own; texts of fewer than five words have only equal ones. Rows that repeat a doc_id are one document, of which
-    the least text counts.
-    Rows without doc_id have no class and are kept."""
-    known = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        known = known.groupBy("doc_id").agg(F.min("text").alias("text"))
-    sketches = cut(known.mapInArrow(_sketch, "doc_id long, c1 long, c2 long, words long, bands array<long>"), "sketches")
+    It is the doc_id; of rows that repeat one, that is for the least text, and others have a number from 2^62 on, made of
+    doc_id and text."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_nw_n")).where("_nw_n > 1")
+    if not repeated.limit(1).count():
+        return docs.withColumn("_nw_uid", F.col("doc_id")), False
+    first = docs.select(F.col("doc_id").alias("_nw_of"), "text").join(repeated.select(F.col("doc_id").alias("_nw_of")), "_nw_of").groupBy("_nw_of").agg(F.min(F.coalesce("text", F.lit(""))).alias("_nw_first"))
+    other = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
+    x = docs.join(first, F.col("doc_id") == F.col("_nw_of"), "left")
+    return x.withColumn("_nw_uid", F.when(F.coalesce("text", F.lit("")) != F.col("_nw_first"), other).otherwise(F.col("doc_id"))).drop("_nw_of", "_nw_first"), True
+
+
+def _classes(docs: DataFrame, least: float) -> DataFrame:
+    """id, component (its class) of the documents (doc_id, text; each doc_id once) that are similar to another."""
+    sketches = cut(docs.mapInArrow(_sketch, "doc_id long, c1 long, c2 long, words long, bands array<long>"), "sketches")
     exact = sketches.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.max("words").alias("words"), F.min_by("bands", "doc_id").alias("bands"))
     exact = cut(exact, "exact")
     copies = sketches.join(exact.where("n > 1").select("c1", "c2", "rep"), ["c1", "c2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -277,30 +304,48 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     pairs = cut(shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     # the documents that are compared at all; by a merge join at any size
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
-    texts = cut(known.join(ids, "doc_id", "left_semi"), "texts")
+    texts = cut(docs.join(ids, "doc_id", "left_semi"), "texts")
     ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     both = pairs.hint("merge").join(tb, "b").hint("merge").join(ta, "a").select("a", "b", "ta", "tb")
     got = cut(both.mapInArrow(_verify(least), "a long, b long, ok boolean"), "verified")
-    links = [copies, got.where("ok").select("a", "b")]
-    known_class = cut(components(links[1]), "classes")
-    classed = shared.drop("hub").join(known_class, F.col("doc_id") == F.col("id"), "left").withColumn("class", F.coalesce("component", "doc_id")).drop("id", "component")
-    tiles = cut(_dealt(cut(classed, "members").join(reps.select("doc_id", "bands"), "doc_id")), "tiles")
+    near = components(got.where("ok").select("a", "b"))
+    classed = shared.drop("hub").join(near, F.col("doc_id") == F.col("id"), "left").withColumn("class", F.coalesce("component", "doc_id")).drop("id", "component")
+    classed = cut(classed, "members")
+    tiles = cut(_dealt(classed.join(reps.select("doc_id", "bands"), "doc_id")), "tiles")
     dealt = tiles.hint("merge").join(texts, "doc_id").select(*_TILE, "part", "doc_id", "class", "bands", "text")
     dealt = dealt.repartition(4 * partitions(docs.sparkSession), *_TILE).sortWithinPartitions(*_TILE)
-    links.append(cut(dealt.mapInArrow(_tiles(least), "a long, b long"), "more"))
-    edges = links[0]
-    for x in links[1:]:
-        edges = edges.unionByName(x)
-    classes = components(edges)
-    out = docs.select("doc_id").alias("d").join(classes.alias("c"), F.col("d.doc_id") == F.col("c.id"), "left")
-    out = out.select("d.doc_id", F.coalesce("component", "doc_id").alias("class_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    more = cut(dealt.mapInArrow(_tiles(least), "a long, b long"), "more")
+    out = components(copies.unionByName(got.where("ok").select("a", "b")).unionByName(more))
+    for x in (sketches, exact, hubs, shared, pairs, texts, got, classed, tiles, more):
+        discard(x)
+    return out
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the document's class), kept (doc_id = class_id) of every row.
+
+    Documents with equal words are of one class, whatever their length. Null texts and texts without words are classes
+    of their own; texts of fewer than five words have only equal ones. Texts of any length are compared whole. Rows that
+    repeat a doc_id with another text are documents of their own: a class of such rows alone has a number from 2^62 on.
+    Rows without doc_id have no class and are kept. An empty table gives an empty one; of ties the least doc_id counts."""
+    numbered, repeats = _numbered(docs.select("doc_id", "text"))
+    return _classified(numbered, repeats, least).select("doc_id", F.coalesce("_nw_class", "doc_id").alias("class_id"), "kept")
+
+
+def _classified(numbered: DataFrame, repeats: bool, least: float) -> DataFrame:
+    """`numbered` documents with _nw_class and kept."""
+    known = numbered.where(F.col("_nw_uid").isNotNull()).select(F.col("_nw_uid").alias("doc_id"), "text")
+    classes = _classes(known.dropDuplicates(["doc_id"]) if repeats else known, least).select(F.col("id").alias("_nw_id"), F.col("component").alias("_nw_component"))
+    out = numbered.join(classes, F.col("_nw_uid") == F.col("_nw_id"), "left").withColumn("_nw_class", F.coalesce("_nw_component", "_nw_uid"))
+    return out.withColumn("kept", F.coalesce(F.col("_nw_uid") == F.col("_nw_class"), F.lit(True)))
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """The documents, all columns as they are, with one of every class of near duplicates. Of rows that repeat a doc_id
-    one stays."""
-    gone = near_duplicates(docs, least).where("not kept").select(F.col("doc_id").alias("_nw_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_nw_gone"), "left_anti")
-    twice = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null")) if twice else kept
+    """The documents, all columns as they are, with one of every class of near duplicates: that of the least doc_id. Rows that
+    repeat a doc_id with another text are documents of their own; of equal ones one stays. Rows without doc_id stay."""
+    numbered, repeats = _numbered(docs)
+    gone = _classified(numbered.select("doc_id", "text", "_nw_uid"), repeats, least).where("not kept").select(F.col("_nw_uid").alias("_nw_gone")).distinct()
+    kept = numbered.join(gone, F.col("_nw_uid") == F.col("_nw_gone"), "left_anti")
+    if repeats:
+        kept = kept.where("_nw_uid is not null").dropDuplicates(["_nw_uid"]).unionByName(kept.where("_nw_uid is null"))
+    return kept.drop("_nw_uid")

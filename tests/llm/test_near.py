@@ -89,7 +89,10 @@ def test_near_documents(spark):
     odd = [*rows, (3, "~ another text of the same id here", None, None, None), (None, texts[0], None, None, None)]
     kept = near_dedup.one_of_each(spark.createDataFrame(odd, DOC))
     ids = [r.doc_id for r in kept.collect()]
-    assert kept.columns == DOC.replace(" long", "").replace(" string", "").split(", ") and sorted(i for i in ids if i is not None) == sorted({r.class_id for r in got.values()}) and None in ids
+    assert kept.columns == DOC.replace(" long", "").replace(" string", "").split(", ") and sorted(i for i in ids if i is not None) == sorted([*{r.class_id for r in got.values()}, 3]) and None in ids
+    again = near_dedup.near_duplicates(spark.createDataFrame([*odd, rows[5], (2, texts[9], None, None, None)], DOC)).collect()
+    own = [r for r in again if r.doc_id == 3]  # another text of an id is a document of its own, and a copy is in its copy's class
+    assert len(again) == len(odd) + 2 and {r.class_id for r in own} > {got[3].class_id} and {r.class_id for r in again if r.doc_id == 2} == {got[2].class_id, got[9].class_id}
     assert near_dedup.near_duplicates(spark.createDataFrame([], DOC)).count() == 0
 
 
@@ -125,10 +128,55 @@ def band_classes(rows):
     code = {w: i for i, w in enumerate(sorted({w for t in tokens for w in t}))}
     docs = [np.array([code[w] for w in t], np.uint64) for t in tokens]
     bands = [near_dedup.order_min_hash(w) for t in tokens for w in near_dedup.words_of(near_dedup.pa.array([" ".join(t)]))]
-    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (bands[i] == bands[j]).any() and near_dedup.alike(docs[i], docs[j])]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if not {*bands[i].tolist()}.isdisjoint(bands[j].tolist()) and near_dedup.alike(docs[i], docs[j])]
     return components_of(pairs, range(len(rows))), pairs
 
 
+def test_recall_of_bands():
+    """Of pairs up to the threshold, one in five words replaced, nine in ten and more share a band, with repeats or without."""
+    rng, found, total = random.Random(3), 0, 0
+    for size in (20, 60, 150, 400, 900):
+        for _ in range(80):
+            x = [rng.randrange(5000) for _ in range(size)]
+            if rng.random() < 0.5:
+                x[: size // 4] = x[size // 2 : size // 2 + size // 4]
+            y = x[:]
+            for k in rng.sample(range(size), rng.randint(1, size // 5)):
+                y[k] = 10**6 + rng.randrange(10**6)
+            a, b = (near_dedup.order_min_hash(near_dedup.mix64(np.array(w, np.uint64))).tolist() for w in (x, y))
+            assert near_dedup.alike(np.array(x), np.array(y))
+            found, total = found + (not {*a}.isdisjoint(b)), total + 1
+    assert found >= 0.95 * total
+
+
+def test_recall_of_classes(spark):
+    """Against brute force over all pairs, by edit distance alone."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(900)]
+    texts = [rng.choices(words, k=rng.randint(10, 200)) for _ in range(60)]
+    for t in list(texts):
+        w = t[:]
+        for k in rng.sample(range(len(w)), max(1, int(rng.random() * 0.2 * len(w)))):
+            w[k] = f"x{rng.randrange(10**6)}"
+        texts.append(w)
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if plain_distance(texts[i], texts[j]) <= 0.2 * max(len(texts[i]), len(texts[j])) + 1e-9]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+    assert len(pairs) >= 60 and sum(got[i] == got[j] for i, j in pairs) >= 0.93 * len(pairs)
+    assert all(got[i] == i or (i, got[i]) in pairs for i in got)
+
+
+def test_very_long_texts(spark):
+    """Two long texts with a few edits, and a long one with another start, in the time of a test."""
+    rng = random.Random(22)
+    x = [f"w{rng.randrange(3000)}" for _ in range(60_000)]
+    y, z = x[:], [f"v{rng.randrange(3000)}" for _ in range(30_000)] + x[30_000:]
+    for k in range(0, 60_000, 37):
+        y[k] = "edited"
+    rows = [(i, " ".join(t), None, None, None) for i, t in enumerate((x, y, z))]
+    assert [r.class_id for r in sorted(near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect())] == [0, 0, 2]
+
+
 def test_pairs_within_a_template(spark, monkeypatch):
     """Texts of one template, nearly all unlike, of which a few late pairs are alike."""
     monkeypatch.setattr(near_dedup, "TILE", 64, raising=False)  # several tiles a bucket
