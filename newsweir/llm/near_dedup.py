@@ -34,7 +34,7 @@ from .repeats import gram_hashes
 SHINGLE, LEAST, BANDS, SIMILAR = 5, 2, 64, 0.8
 #: Texts of fewer than SHORT words have SHORT_BANDS more bands of SHORT_SHINGLE words, as few of their k-mers outlive an edit.
 SHORT, SHORT_SHINGLE, SHORT_BANDS = 64, 2, 16
-TILE, TILE_WORDS = 512, 500_000
+TILE, TILE_WORDS = 2048, 1_000_000
 _TILE = ["x", "y", "i", "j"]
 _ODD = (mix64(np.arange(1, BANDS + SHORT_BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _XOR = mix64(np.arange(101, BANDS + SHORT_BANDS + 101, dtype=np.uint64))[:, None]
@@ -204,7 +204,7 @@ def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
     docs = [w for c in tile.column("text").chunks for w in words_of(c)]
     ids, kind, part = (tile.column(c).to_numpy() for c in ("doc_id", "class", "part"))
     of = tile.column("bands").combine_chunks()
-    bands = np.tile(np.arange(BANDS + SHORT_BANDS), (len(docs), 1)) + np.arange(len(docs))[:, None] * (BANDS + SHORT_BANDS)  # unlike all others
+    bands = np.arange(len(docs))[:, None] + np.full((1, BANDS + SHORT_BANDS), 1 << 40)  # unlike all others
     size = np.diff(of.offsets.to_numpy())
     bands[np.arange(BANDS + SHORT_BANDS) < size[:, None]] = of.flatten().to_numpy()
     x, i, j = (tile.column(c)[0].as_py() for c in "xij")
@@ -273,7 +273,7 @@ def _dealt(members: DataFrame) -> DataFrame:
     m = m.withColumn("part", F.when(is_top, F.col("rest") + F.expr("pmod(xxhash64(doc_id, 'part'), greatest(tops, 1))")).otherwise(F.pmod(among, F.col("rest"))))
     other = F.explode(F.when(F.col("part") >= F.col("rest"), F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("rest") + F.col("tops") - 1)))
     m = m.withColumn("other", other)
-    return m.select("x", "y", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "class", "bands")
+    return m.select("x", "y", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "class")
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
@@ -304,14 +304,15 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
     pairs = cut(shared.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     # the documents that are compared at all; by a merge join at any size
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
-    texts = cut(docs.join(ids, "doc_id", "left_semi"), "texts")
+    short = reps.select("doc_id", F.transform("bands", lambda b: F.shiftright(b, 32).cast("int")).alias("bands"))  # halves are enough to tell bands apart
+    texts = cut(docs.join(ids, "doc_id", "left_semi").hint("merge").join(short, "doc_id"), "texts")
     ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     both = pairs.hint("merge").join(tb, "b").hint("merge").join(ta, "a").select("a", "b", "ta", "tb")
     got = cut(both.mapInArrow(_verify(least), "a long, b long, ok boolean"), "verified")
     near = components(got.where("ok").select("a", "b"))
     classed = shared.drop("hub").join(near, F.col("doc_id") == F.col("id"), "left").withColumn("class", F.coalesce("component", "doc_id")).drop("id", "component")
     classed = cut(classed, "members")
-    tiles = cut(_dealt(classed.join(reps.select("doc_id", "bands"), "doc_id")), "tiles")
+    tiles = cut(_dealt(classed), "tiles")
     dealt = tiles.hint("merge").join(texts, "doc_id").select(*_TILE, "part", "doc_id", "class", "bands", "text")
     dealt = dealt.repartition(4 * partitions(docs.sparkSession), *_TILE).sortWithinPartitions(*_TILE)
     more = cut(dealt.mapInArrow(_tiles(least), "a long, b long"), "more")
