@@ -7,51 +7,61 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: formats in order, and the years that a date may have
-FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "dd.MM.yyyy HH:mm", "dd.MM.yyyy", "dd/MM/yyyy", "dd MMM yyyy HH:mm:ss", "dd MMM yyyy", "MMMM d, yyyy", "d MMMM yyyy"]
+# fixed values: notations of times in order, the years that a date may have, and names of months
+ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
+FORMATS = ["yyyy-M-d HH:mm:ss", "yyyy-M-d", "yyyy/M/d", "d.M.yyyy HH:mm", "d.M.yyyy HH:mm:ss", "d.M.yyyy", "d/M/yyyy", "d-M-yyyy"]
+MAIL_FORMATS = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss XXX", "d MMM yyyy HH:mm:ss 'GMT'", "d MMM yyyy HH:mm:ss 'UTC'", "d MMM yyyy HH:mm:ss"]
 FIRST_YEAR, LAST_YEAR = 2015, 2030
-MONTHS_EN = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-MONTHS_RU = "янв фев мар апр мая июн июл авг сен окт ноя дек".split()
+MONTHS_RU = ["января", "февраля", "марта", "апреля", "мая", "июня", "июля", "августа", "сентября", "октября", "ноября", "декабря"]
+MONTHS_EN = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+SHORT_EN = {"jan": 1, "feb": 2, "mar": 3, "apr": 4, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "sept": 9, "oct": 10, "nov": 11, "dec": 12}
+IN_PATH = [r"/(\d{4})/(\d{1,2})/(\d{1,2})(?:/|$)", r"[/_-](\d{4})-(\d{1,2})-(\d{1,2})(?:[/_.-]|$)", r"/(\d{4})(\d{2})(\d{2})/"]
+
+_NUMBER_RU = {m: k + 1 for k, m in enumerate(MONTHS_RU)}
+_NUMBER_EN = {m: k + 1 for k, m in enumerate(MONTHS_EN)} | SHORT_EN
 
 
 def parsed(x: Column) -> Column:
-    """A timestamp from text: ISO with or without an offset, or one of FORMATS; a weekday is passed over. Null if none fits."""
-    t = F.regexp_replace(F.regexp_replace(x, r"^\s*[A-Za-z]{3},\s*", ""), r"\s*(?:GMT|UTC)\s*$", "")
-    return F.coalesce(F.try_to_timestamp(t), *[F.try_to_timestamp(t, F.lit(f)) for f in FORMATS])
+    """A timestamp from text: ISO with Z, an offset or neither, one of FORMATS, or the notation of mails, with a weekday (that
+    isn't checked) or without. Without an offset it is UTC; null if none fits."""
+    t = F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    mail = F.regexp_replace(t, r"^[A-Za-z]{3},\s+", "")
+    iso = F.regexp_replace(F.when(t.rlike(ISO), t), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.coalesce(F.try_to_timestamp(iso), *[F.try_to_timestamp(t, F.lit(f)) for f in FORMATS], *[F.try_to_timestamp(mail, F.lit(f)) for f in MAIL_FORMATS])
 
 
 def _date(y: Column, m: Column, d: Column) -> Column:
-    year = y.try_cast("int")
-    made = F.expr("null").cast("timestamp")
+    """Midnight of a day, null if the year is out of range or there is no such day."""
     made = F.try_to_timestamp(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), F.lit("yyyy-MM-dd"))
-    return F.when(year.between(FIRST_YEAR, LAST_YEAR), made)
+    return F.when(y.try_cast("int").between(FIRST_YEAR, LAST_YEAR), made)
 
 
 def from_url(url: Column) -> Column:
-    """The date in a URL's path: /2026/04/27/, /2026-04-27, /20260427."""
+    """The date in a URL's path: /2026/04/27/, -2026-04-27 between separators, /20260427/. Of each notation the first match
+    counts; one that is no date leaves it to the next notation."""
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    of = lambda p: _date(*(F.regexp_extract(path, p, k) for k in (1, 2, 3)))
-    return F.coalesce(of(r"/(20\d{2})/(\d{1,2})/(\d{1,2})(?:/|$)"), of(r"/(20\d{2})-(\d{1,2})-(\d{1,2})(?:[^0-9]|$)"), of(r"/(20\d{2})(\d{2})(\d{2})(?:[^0-9]|$)"))
+    return F.coalesce(*[_date(*(F.regexp_extract(path, p, k) for k in (1, 2, 3))) for p in IN_PATH])
 
 
-def _month(x: Column, names: list[str]) -> Column:
-    return F.array_position(F.array(*map(F.lit, names)), F.lower(F.substring(x, 1, 3))).cast("string")
+def _named(text: Column, pattern: str, months: dict[str, int], order: tuple[int, int, int]) -> Column:
+    """The first match of a notation with a month's name; `order` has the groups of year, month and day."""
+    number = F.create_map(*[F.lit(str(x)) for kv in months.items() for x in kv])
+    y, m, d = (F.regexp_extract(text, pattern, k) for k in order)
+    return _date(y, F.try_element_at(number, F.lower(m)), d)
 
 
 def from_text(title: Column, body: Column, most: int = 1500) -> Column:
-    """The date in a title and the start of a body: of each kind of notation the first match alone, in a fixed order."""
+    """The date in a title and the start of a body: of each notation (Russian, English with the month first, English with the
+    day first, numbers with dots or slashes, ISO) the first match alone; one that is no date leaves it to the next notation."""
     t = F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.substring(F.coalesce(body, F.lit("")), 1, most))
-    g = lambda p, k: F.regexp_extract(t, p, k)
-    ru = rf"(?iuU)\b(\d{{1,2}})\s+((?:{'|'.join(MONTHS_RU)})\w*)\s+(20\d{{2}})"
-    us = rf"(?iU)\b((?:{'|'.join(MONTHS_EN)})\w*)\s+(\d{{1,2}}),?\s+(20\d{{2}})"
-    uk = rf"(?iU)\b(\d{{1,2}})\s+((?:{'|'.join(MONTHS_EN)})\w*)\s+(20\d{{2}})"
-    dotted, iso = r"\b(\d{1,2})[./](\d{1,2})[./](20\d{2})\b", r"\b(20\d{2})-(\d{2})-(\d{2})\b"
+    ru, en = "|".join(MONTHS_RU), "|".join([*MONTHS_EN, *SHORT_EN])
+    numbers = lambda p, y, m, d: _date(*(F.regexp_extract(t, p, k) for k in (y, m, d)))
     return F.coalesce(
-        _date(g(ru, 3), _month(g(ru, 2), MONTHS_RU), g(ru, 1)),
-        _date(g(us, 3), _month(g(us, 1), MONTHS_EN), g(us, 2)),
-        _date(g(uk, 3), _month(g(uk, 2), MONTHS_EN), g(uk, 1)),
-        _date(g(dotted, 3), g(dotted, 2), g(dotted, 1)),
-        _date(g(iso, 1), g(iso, 2), g(iso, 3)),
+        _named(t, rf"(?iuU)\b(\d{{1,2}})\s+({ru})\s+(\d{{4}})\b", _NUMBER_RU, (3, 2, 1)),
+        _named(t, rf"(?iuU)\b({en})\.?\s+(\d{{1,2}}),?\s+(\d{{4}})\b", _NUMBER_EN, (3, 1, 2)),
+        _named(t, rf"(?iuU)\b(\d{{1,2}})\s+({en})\.?\s+(\d{{4}})\b", _NUMBER_EN, (3, 2, 1)),
+        numbers(r"(?U)\b(\d{1,2})[./](\d{1,2})[./](\d{4})\b", 3, 2, 1),
+        numbers(r"(?U)\b(\d{4})-(\d{2})-(\d{2})\b", 1, 2, 3),
     )
 
 
@@ -63,3 +73,8 @@ def published(*found: Column) -> Column:
 def is_fresh(when: Column, hours: int, now: datetime) -> Column:
     """At most `hours` old; without a date, or in the future, fresh."""
     return when.isNull() | (when >= F.lit(now) - F.expr(f"interval {int(hours)} hours"))
+
+
+def hours_or(asked: int | None, default: int) -> int:
+    """The span of freshness that was asked for; none and 0 mean the default."""
+    return asked or default

@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from .dates import from_text, from_url, parsed
 
 # fixed values: where pages say when they were published, in order
-DATE_META = "article:published_time og:article:published_time datePublished publishdate pubdate publish-date date DC.date.issued dc.date sailthru.date parsely-pub-date".split()
+DATE_META = ["article:published_time", "og:article:published_time", "datePublished", "publishdate", "pubdate", "publish-date", "date", "DC.date.issued", "dc.date", "sailthru.date", "parsely-pub-date"]
 _SKIP, _CHROME = {"script", "style", "noscript"}, {"nav", "header", "footer", "aside"}
 _TEXT, _TEXTS = StringType(), ArrayType(StringType())
 SCHEMA = StructType([StructField(c, _TEXTS if c in ("images", "outbound_links") else _TEXT) for c in ("title", "body", "image_url", "images", "outbound_links", "date_text", "feed_url")])

@@ -74,10 +74,10 @@ def hits(text: Column, words: list[str]) -> Column:
     """The words of a list that a lower-case text has, trimmed, in the list's order."""
     if not words:
         return F.array().cast("array<string>")
-    # a pattern is compiled for the few words alone that the text contains
-    rows = F.array(*[F.struct(F.lit(w.lower()).alias("w"), F.lit("(?U)" + p if p else "").alias("p"), F.lit(w.strip()).alias("say")) for w in words for p in [_pattern(w)]])
-    found = F.filter(rows, lambda k: F.contains(text, k["w"]) & ((k["p"] == "") | F.regexp_like(text, k["p"])))
-    return F.transform(found, lambda k: k["say"])
+    # patterns are constants, compiled once, and tried for the few words alone that the text contains
+    found = lambda t, w, p: F.contains(t, F.lit(w.lower())) & t.rlike("(?U)" + p) if p else F.contains(t, F.lit(w.lower()))
+    # as a bound variable, so that the text is made once and not for each word
+    return F.get(F.transform(F.array(text), lambda t: F.array_compact(F.array(*[F.when(found(t, w, _pattern(w)), F.lit(w.strip())) for w in words]))), F.lit(0))
 
 
 def topic_verdict(title: Column, body: Column, language: Column, topic: list[str] = fixed.TOPIC, off_topic: list[str] = fixed.OFF_TOPIC, covered: list[str] = fixed.COVERED_LANGUAGES) -> Column:

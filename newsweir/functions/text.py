@@ -11,6 +11,11 @@ from pyspark.sql.types import DoubleType
 
 from .urls import strip
 
+# fixed values: what titles lose, or have replaced, before they are compared
+LAST_TAG, ANY_TAG = (r"(?U)\([a-zа-я]{2,4}\)\s*$", ""), (r"\([a-zа-яё]{2,4}\)", "")
+EN_PREFIX, RU_PREFIX, RU_LINE = (r"(?U)^en:\s*", ""), (r"(?U)^ru:\s*", ""), (r"(?U)\n\s*ru:\s*", " | ")
+LAST_PART, FEED_LAST_PART = (r"(?U)\s*[—\-|]\s*[a-zа-я0-9 .&]+$", ""), (r"[—\-|]\s*[a-zа-я0-9 .&]+$", "")
+SPACES = (r"(?U)\s+", " ")
 _SUFFIX = r"(?U)\s*[–—\-|]\s+[^|–—\-]+$"
 
 
@@ -27,23 +32,23 @@ def normalised_title(title: Column) -> Column:
     return F.lower(F.when((one == t) | (F.length(one) < 20), t).when((two == one) | (F.length(two) < 20), one).otherwise(two))
 
 
+def _without(text: Column, *steps: tuple[str, str]) -> Column:
+    """A lower-case text after replacements one after another, with white space as one space and trimmed."""
+    t = F.lower(F.coalesce(text, F.lit("")))
+    for pattern, to in (*steps, SPACES):
+        t = F.regexp_replace(t, pattern, to)
+    return strip(t)
+
+
 def cluster_title(title: Column) -> Column:
     """The form in which stories are compared: lower case, without a language tag at the end, an EN: prefix (RU: lines
     follow after a bar) or the last part of letters and digits after a dash or bar, white space as one space."""
-    t = F.lower(F.coalesce(title, F.lit("")))
-    t = F.regexp_replace(t, r"(?U)\([a-zа-я]{2,4}\)\s*$", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?U)^en:\s*", ""), r"(?U)\n\s*ru:\s*", " | ")
-    t = F.regexp_replace(t, r"(?U)\s*[—\-|]\s*[a-zа-я0-9 .&]+$", "")
-    return strip(F.regexp_replace(t, r"(?U)\s+", " "))
+    return _without(title, LAST_TAG, EN_PREFIX, RU_LINE, LAST_PART)
 
 
 def feed_title(title: Column) -> Column:
     """The form in which stories are compared with a feed: as cluster_title, but without any language tag and RU: prefix."""
-    t = F.lower(F.coalesce(title, F.lit("")))
-    t = F.regexp_replace(F.regexp_replace(t, r"(?U)^en:\s*", ""), r"(?U)\n\s*ru:\s*", " | ")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?U)^ru:\s*", ""), r"\([a-zа-яё]{2,4}\)", "")
-    t = F.regexp_replace(t, r"[—\-|]\s*[a-zа-я0-9 .&]+$", "")
-    return strip(F.regexp_replace(t, r"(?U)\s+", " "))
+    return _without(title, EN_PREFIX, RU_LINE, RU_PREFIX, ANY_TAG, FEED_LAST_PART)
 
 
 def without_tags(html: Column) -> Column:
@@ -56,19 +61,31 @@ def without_language_tag(title: Column) -> Column:
     return F.regexp_replace(title, r"(?U)\s*\([A-ZА-ЯЁ]{2,4}\)\s*$", "")
 
 
-def language_lines(title: Column) -> Column:
-    """The last EN: and RU: lines of a combined title; all of it as en if there is no prefix."""
+def language_lines(title: Column, last: bool = True) -> Column:
+    """The EN: and RU: lines of a combined title, of several the last (or the first); all of it as en if there is no prefix."""
     lines = F.split(F.coalesce(title, F.lit("")), "\n")
-    of = lambda p: F.element_at(F.filter(lines, lambda x: F.startswith(x, F.lit(p))), -1)
-    some = F.exists(lines, lambda x: F.startswith(x, F.lit("EN:")) | F.startswith(x, F.lit("RU:")))
-    last = lambda p: F.when(F.exists(lines, lambda x: F.startswith(x, F.lit(p))), strip(F.substring(of(p), 4, 10_000))).otherwise("")
-    return F.struct(F.when(some, last("EN:")).otherwise(strip(F.coalesce(title, F.lit("")))).alias("en"), F.when(some, last("RU:")).otherwise("").alias("ru"))
+    of = lambda p: F.filter(lines, lambda x: F.startswith(x, F.lit(p)))
+    line = lambda p: strip(F.coalesce(F.substr(F.try_element_at(of(p), F.lit(-1 if last else 1)), F.lit(4)), F.lit("")))
+    some = (F.size(of("EN:")) > 0) | (F.size(of("RU:")) > 0)
+    return F.struct(F.when(some, line("EN:")).otherwise(strip(F.coalesce(title, F.lit("")))).alias("en"), F.when(some, line("RU:")).otherwise("").alias("ru"))
+
+
+def clean_title(title: Column) -> Column:
+    """The title to ask a model about again: the first EN: line, without a language tag, or all of it if there is none."""
+    return without_language_tag(language_lines(title, last=False)["en"])
 
 
 def combined_title(en: Column, ru: Column, tag: Column, most: int = 220) -> Column:
-    """EN and RU lines with a language tag."""
-    line = lambda p, x: F.concat(F.lit(f"{p}: "), F.substring(x, 1, most), F.when(tag != "", F.concat(F.lit(" ("), tag, F.lit(")"))).otherwise(""))
-    return F.concat(line("EN", en), F.lit("\n"), line("RU", ru))
+    """EN and RU lines, each cut to `most` characters (220 in reports, 400 for imported answers), with a language tag unless
+    it is empty. An empty or null line is left out."""
+    end = F.when(F.coalesce(tag, F.lit("")) != "", F.concat(F.lit(" ("), tag, F.lit(")"))).otherwise("")
+    line = lambda p, x: F.when(F.coalesce(x, F.lit("")) != "", F.concat(F.lit(f"{p}: "), F.substring(x, 1, most), end))
+    return F.concat_ws("\n", line("EN", en), line("RU", ru))
+
+
+def localised_title(en: Column, ru: Column, language: Column) -> Column:
+    """The title of a published row: both languages in one line, and the source's language."""
+    return F.concat(en, F.lit(" / "), ru, F.lit(" ("), F.upper(language), F.lit(")"))
 
 
 def prompt_hash(*parts: Column) -> Column:
@@ -82,6 +99,14 @@ def year_drift(en: Column, ru: Column) -> Column:
     return F.array_sort(F.array_union(F.array_except(years(en), years(ru)), F.array_except(years(ru), years(en))))
 
 
+def future_past(title: Column, body: Column, verbs: list[str], year: int) -> Column:
+    """The least year before `year` that a text speaks of in the future tense, by one of `verbs`; null if there is none."""
+    text = F.lower(F.concat_ws("\n", title, body))
+    told = F.exists(F.array(*map(F.lit, verbs)), lambda v: F.contains(text, v)) if verbs else F.lit(False)
+    years = F.transform(F.regexp_extract_all(text, F.lit(r"\b(20\d{2})\b")), lambda y: y.cast("int"))
+    return F.when(told, F.array_min(F.filter(years, lambda y: y < year)))
+
+
 def truthy(x: Column) -> Column:
     """A flag from text; null is false."""
     return F.coalesce(F.lower(strip(x)).isin("1", "true", "yes", "y", "да", "истина", "on"), F.lit(False))

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 # fixed values: query parameters that only track
 TRACKING = ["utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "yclid", "gclid", "fbclid", "mc_cid", "mc_eid", "ref", "ref_src"]
 # fixed values: parts of links that never lead to a source
-JUNK = (
-    "facebook.com/sharer/ facebook.com/share/ twitter.com/intent/ twitter.com/share t.me/share vk.com/share linkedin.com/share pinterest.com/pin/create wa.me/ api.whatsapp.com/send ok.ru/share reddit.com/submit "
-    "/print/ ?print= /print.html mailto: /email-this /sendtofriend /login /signin /sign-in /auth/ /oauth /register /signup /sign-up /contact /contacts /contact-us /contact.html /feedback /support "
-    "doubleclick.net googleadservices google.com/url? googletagmanager.com ga4- /redir? /redirect? /click? /r.php? /search? /search/ ?q="
-).split()
+JUNK = [
+    "facebook.com/sharer/", "facebook.com/share/", "twitter.com/intent/", "twitter.com/share", "t.me/share", "vk.com/share", "linkedin.com/share", "pinterest.com/pin/create", "wa.me/",
+    "api.whatsapp.com/send", "ok.ru/share", "reddit.com/submit", "/print/", "?print=", "/print.html", "mailto:", "/email-this", "/sendtofriend", "/login", "/signin", "/sign-in", "/auth/", "/oauth",
+    "/register", "/signup", "/sign-up", "/contact", "/contacts", "/contact-us", "/contact.html", "/feedback", "/support", "doubleclick.net", "googleadservices", "google.com/url?",
+    "googletagmanager.com", "ga4-", "/redir?", "/redirect?", "/click?", "/r.php?", "/search?", "/search/", "?q=",
+]
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 
 
