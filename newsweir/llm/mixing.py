@@ -12,6 +12,8 @@ holds all rows of a source in one task: ranks go over shards first, running sums
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,13 +24,13 @@ BLOCK, SHARE, CAP, WEIGHTS, BUCKETS, SHARD, CHUNK = 32, 1.5, 2, (5.0, 2.0, 1.0),
 PRIMES = (999983, 999979, 999961, 999959, 999953, 999931, 999917, 999907)
 
 
-def permuted(index: F.Column, n: F.Column, seed: F.Column) -> F.Column:
-    """A pseudorandom permutation of 0..n-1: an affine map whose multiplier is a prime that does not divide n."""
+def permutation(n: F.Column, seed: F.Column) -> F.Column:
+    """A pseudorandom permutation of 0..n-1 as struct (mul, add): an affine map whose multiplier is a prime that does not
+    divide n."""
     h = F.conv(F.substring(F.md5(seed), 1, 7), 16, 10).cast("long")
     p = F.array(*map(F.lit, PRIMES)).cast("array<bigint>")
     nth = lambda k: F.element_at(p, ((h + k) % len(PRIMES) + 1).cast("int"))
-    mul = F.when(n % nth(0) != 0, nth(0)).when(n % nth(1) != 0, nth(1)).otherwise(nth(2))
-    return (mul * index + h) % n
+    return F.struct(F.when(n % nth(0) != 0, nth(0)).when(n % nth(1) != 0, nth(1)).otherwise(nth(2)).alias("mul"), h.alias("add"))
 
 
 def targets(sizes: DataFrame, share: float = SHARE, cap: float = CAP, weights: tuple = WEIGHTS) -> DataFrame:
@@ -58,27 +60,31 @@ def drawn_slots(spark: SparkSession, src: DataFrame, cap: float, seed: str) -> D
     line = spark.range(0, total, 1, partitions(spark)).select(F.col("id").alias("slot"), F.expr(f"id div {SHARD}").alias("shard"))
     dart = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), "shard", F.col("slot") % SHARD)), 1, 15), 16, 10).cast("long")
     line = line.withColumn("q", dart % max(total, 1)).withColumn("chunk", F.expr(f"q div {CHUNK}"))
-    draws = line.join(spread.select("chunk", "rn", "first", "slots"), "chunk").where("q >= first and q < first + slots").select("slot", "shard", "rn")
-    draws = draws.withColumn("k", F.row_number().over(Window.partitionBy("shard", "rn").orderBy("slot")) - 1)
-    # counts of the shards, then where each shard's draws of a source start among all of its draws
-    counts = draws.groupBy("shard", "rn").agg(F.count("*").alias("n")).withColumn("group", F.expr(f"shard div {SHARD}"))
+    draws = line.join(spread.select("chunk", "rn", "first", "slots"), "chunk").where("q >= first and q < first + slots")
+    draws = cut(draws.groupBy("shard", "rn").agg(F.sort_array(F.collect_list("slot")).alias("at")), "draws")
+    # where each shard's draws of a source start among all of its draws; over groups of shards first
+    counts = draws.select("shard", "rn", F.size("at").alias("n"), F.expr(f"shard div {SHARD}").alias("group"))
     before = (Window.unboundedPreceding, -1)
     groups = counts.groupBy("group", "rn").agg(F.sum("n").alias("n"))
     groups = groups.select("group", "rn", F.coalesce(F.sum("n").over(Window.partitionBy("rn").orderBy("group").rowsBetween(*before)), F.lit(0)).alias("base"))
-    counts = counts.join(groups, ["group", "rn"]).select("shard", "rn", (F.col("base") + F.coalesce(F.sum("n").over(Window.partitionBy("rn", "group").orderBy("shard").rowsBetween(*before)), F.lit(0))).alias("start"), "n")
+    starts = counts.join(groups, ["group", "rn"]).select("shard", "rn", (F.col("base") + F.coalesce(F.sum("n").over(Window.partitionBy("rn", "group").orderBy("shard").rowsBetween(*before)), F.lit(0))).alias("start"))
     # the totals: how much each source has too many or too few draws, and where these stand among all such
     sums = src.join(counts.groupBy("rn").agg(F.sum("n").alias("n")), "rn", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     sums = sums.withColumns({"over": F.greatest(F.lit(0), F.col("n") - F.col("slots")), "lack": F.greatest(F.lit(0), F.col("slots") - F.col("n"))})
     upto = lambda c: F.coalesce(F.sum(c).over(Window.orderBy("rn").rowsBetween(*before)), F.lit(0))
     sums = cut(sums.select("rn", "blocks", "n", "over", "lack", upto("over").alias("over_at"), upto("lack").alias("lack_at")), "sums")
-    x = draws.join(counts.drop("n"), ["shard", "rn"]).join(sums.drop("lack", "lack_at"), "rn")
+    x = draws.join(starts, ["shard", "rn"]).join(sums.select("rn", "blocks", "n", "over", "over_at"), "rn").select("*", F.posexplode("at").alias("k", "slot"))
     x = x.withColumn("j", F.col("start") + F.col("k")).withColumns({"gone": F.expr("j * over div n"), "gone_too": F.expr("(j + 1) * over div n")})
-    kept = x.where("gone = gone_too").select("slot", "shard", "rn", "blocks", F.when(F.col("n") > cap * F.col("blocks"), F.col("j") - F.col("gone")).otherwise(F.col("j")).alias("i"))
-    given = x.where("gone < gone_too").select("slot", "shard", (F.col("over_at") + F.col("gone")).alias("e")).withColumn("chunk", F.expr(f"e div {CHUNK}"))
-    lacking = sums.where("lack > 0").withColumn("chunk", F.explode(F.sequence(F.expr(f"lack_at div {CHUNK}"), F.expr(f"(lack_at + lack - 1) div {CHUNK}"))))
-    moved = given.join(lacking, "chunk").where("e >= lack_at and e < lack_at + lack").select("slot", "shard", "rn", "blocks", (F.col("n") + F.col("e") - F.col("lack_at")).alias("i"))
-    slots = kept.unionByName(moved).withColumn("pass", F.expr("i div blocks"))
-    return slots.select("slot", "shard", "rn", permuted(F.col("i") % F.col("blocks"), F.col("blocks"), F.concat_ws("-", F.lit(seed), "rn", "pass")).alias("block"), "pass")
+    x = x.withColumn("e", F.when(F.col("gone") < F.col("gone_too"), F.col("over_at") + F.col("gone")))
+    lacking = sums.where("lack > 0").select(F.explode(F.sequence(F.expr(f"lack_at div {CHUNK}"), F.expr(f"(lack_at + lack - 1) div {CHUNK}"))).alias("chunk"), "lack_at", "lack", F.struct("rn", "blocks", "n").alias("to"))
+    x = x.join(lacking, (F.expr(f"e div {CHUNK}") == F.col("chunk")) & F.expr("e >= lack_at and e < lack_at + lack"), "left")
+    dense = F.when(F.col("n") > cap * F.col("blocks"), F.col("j") - F.col("gone")).otherwise(F.col("j"))
+    moved = F.col("e").isNotNull()
+    x = x.select("slot", "shard", F.when(moved, F.col("to.rn")).otherwise(F.col("rn")).alias("rn"), F.when(moved, F.col("to.n") + F.col("e") - F.col("lack_at")).otherwise(dense).alias("i"), F.when(moved, F.col("to.blocks")).otherwise(F.col("blocks")).alias("of"))
+    passes = sums.where("blocks > 0").select("rn", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(math.ceil(cap)).cast("long"))).alias("pass"))
+    passes = passes.select("rn", "pass", "blocks", permutation(F.col("blocks"), F.concat_ws("-", F.lit(seed), "rn", "pass")).alias("p"))
+    x = x.withColumn("pass", F.expr("i div of")).join(passes, ["rn", "pass"])
+    return x.select("slot", "shard", "rn", F.expr("(p.mul * (i % blocks) + p.add) % blocks").alias("block"), "pass")
 
 
 def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float = CAP, weights: tuple = WEIGHTS, seed: str = "mix") -> dict[str, DataFrame]:

@@ -163,7 +163,8 @@ def test_permutations(spark):
 
     for n in (1, 2, 31, 999983, 4096):
         m = min(n, 5000)
-        got = spark.range(m).select(mixing.permuted(F.col("id"), F.lit(n), F.lit("x")).alias("p")).distinct().where(f"p >= 0 and p < {n}").count()
+        p = mixing.permutation(F.lit(n), F.lit("x"))
+        got = spark.range(m).select(((p["mul"] * F.col("id") + p["add"]) % n).alias("p")).distinct().where(f"p >= 0 and p < {n}").count()
         assert got == m
 
 
@@ -268,11 +269,11 @@ def test_size_partitions_prune(spark):
     """Long items have a low limit, so a document sends few shingles for them; and none where no item can be in it."""
     rng = random.Random(12)
     w = [f"w{i}" for i in range(3000)]
-    items = frame(spark, [(i, " ".join(rng.choices(w, k=rng.randint(250, 400)))) for i in range(20)], "item_id long, text string")
-    docs = frame(spark, [(0, " ".join(rng.choices(w, k=3000))), (1, " ".join(rng.choices(w, k=150)))], "doc_id long, text string")
+    items = frame(spark, [(i, " ".join(rng.choices(w, k=rng.randint(140, 400)))) for i in range(40)], "item_id long, text string")
+    docs = frame(spark, [(0, " ".join(rng.choices(w, k=3000))), (1, " ".join(rng.choices(w, k=90)))], "doc_id long, text string")
     limits = decontam.partition_limits(decontam.sketches(items))
     sent = {r.doc_id: r["count"] for r in decontam.document_sketches(docs, limits).groupBy("doc_id").count().collect()}
-    assert len(limits) == 2 and 0.1 * 2996 < sent[0] + 2996 * 0.0 < 0.9 * 2996 and 1 not in sent
+    assert len(limits) == 2 and 0.1 * 2996 < sent[0] < 0.6 * 2996 and 1 not in sent
 
 
 def test_html(spark):
