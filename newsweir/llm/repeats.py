@@ -5,12 +5,13 @@ of equals. As the anchor is a function of the window alone, equal windows have e
 windows with the same anchor form a run, and a run is known by its anchor's hash and a 128-bit digest of its symbols.
 
 1. Runs whose anchor occurs once hold no repeated window and go (two counts by key, combined before the shuffle).
-2. Equal runs form a class. All windows of a class with two or more runs are repeated.
-3. Anchors with several classes are settled by comparing one run of each class: the strings are dealt to tasks by anchor,
-   so that equal windows meet in one task, and a `settle` function says which windows occur in two strings.
+2. Runs with equal digests form a class, of which the first and the last run stand for all: a class of very many copies sends
+   two strings on, not more.
+3. The strings of all anchors with two runs or more are dealt to tasks by anchor, so that equal windows meet in one task, and
+   a `settle` function compares them and says which windows occur twice, copies of whole runs included.
 4. Anchors with more than MANY classes never meet in a task: their strings are cut into parts of few windows, dealt by the
    symbols that these have in common, and parts of which more than MANY meet are counted by digests of single windows.
-5. Repeated windows go back to their documents, which are read once more to apply them.
+5. Repeated windows go back to all runs of their class and to their documents, which are read once more to apply them.
 
 Steps 1, 2 and 4 hold however many rows share an anchor or a run; joins by run have one row per run on one side.
 """
@@ -108,10 +109,11 @@ def _slices(symbols: Callable, width: int):
                 out, data = [], []
                 for sym, want in zip(symbols(part.column(0)), part.column(1).to_pylist(), strict=True):
                     raw, size = memoryview(np.ascontiguousarray(sym)).cast("B"), sym.itemsize
-                    out += want
-                    data += [bytes(raw[w["s"] * size : (w["s"] + w["n"] - 1 + width) * size]) for w in want]
+                    for w in want:
+                        out += [w] * w["times"]
+                        data += [bytes(raw[w["s"] * size : (w["s"] + w["n"] - 1 + width) * size])] * w["times"]
                 if out:
-                    yield pa.RecordBatch.from_pydict({c: pa.array([w[c] for w in out], pa.int64()) for c in (*_CLASS, "n", "runs", "classes")} | {"data": pa.array(data, pa.binary())})
+                    yield pa.RecordBatch.from_pydict({c: pa.array([w[c] for w in out], pa.int64()) for c in (*_CLASS, "n", "classes")} | {"data": pa.array(data, pa.binary())})
 
     return take
 
@@ -131,10 +133,8 @@ def _settled(settle: Callable, dtype: str, width: int):
         windows = size - width + 1
         first = np.cumsum(windows) - windows
         starts = np.arange(int(windows.sum())) + np.repeat(at - first, windows)
-        key = np.concatenate(keys)  # mh, c1, c2, off, runs
-        # classes of two or more runs are repeated as a whole: no need to say so again
-        twice = settle(text, starts) & np.repeat(key[:, 4] == 1, windows)
-        a, b = _ranges_within(twice, first, windows)
+        key = np.concatenate(keys)  # mh, c1, c2, off
+        a, b = _ranges_within(settle(text, starts), first, windows)
         of = np.searchsorted(first, a, "right") - 1
         move = key[of, 3] - first[of]
         return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(3)), pa.array(a + move), pa.array(b + move)], names=[*_CLASS, "a", "b"])
@@ -144,8 +144,8 @@ def _settled(settle: Callable, dtype: str, width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bucket, d = batch.column(0).to_numpy(), batch.column(6).to_pylist()
-            k = np.stack([batch.column(j).to_numpy() for j in range(1, 6)], 1)
+            bucket, d = batch.column(0).to_numpy(), batch.column(5).to_pylist()
+            k = np.stack([batch.column(j).to_numpy() for j in range(1, 5)], 1)
             lo = 0
             for c in [*np.flatnonzero(np.concatenate([[last != bucket[0]], bucket[1:] != bucket[:-1]])).tolist(), len(k)]:
                 if c > lo:
@@ -182,7 +182,7 @@ def _parts(hashed: Callable, dtype: str, width: int, gram: int):
         size, step = np.dtype(dtype).itemsize, max(1, width // 12)
         for batch in batches:
             rows, data = [], []
-            for row, raw in enumerate(batch.column(6)):
+            for row, raw in enumerate(batch.column(5)):
                 raw = raw.as_py()
                 sym = np.frombuffer(raw, dtype)
                 n = len(sym) - width + 1
@@ -197,7 +197,7 @@ def _parts(hashed: Callable, dtype: str, width: int, gram: int):
             if rows:
                 at = pa.array([r[0] for r in rows])
                 fixed = [batch.column(j).take(at) for j in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), *fixed, pa.array([r[1] for r in rows], pa.int64()), batch.column(4).take(at), pa.array(data, pa.binary())], names=["bucket", *_CLASS, "off", "runs", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), *fixed, pa.array([r[1] for r in rows], pa.int64()), pa.array(data, pa.binary())], names=["bucket", *_CLASS, "off", "data"])
 
     return go
 
@@ -209,11 +209,11 @@ def _windows(width: int, dtype: str):
         size = np.dtype(dtype).itemsize
         for batch in batches:
             for row in range(batch.num_rows):
-                data = memoryview(batch.column(6)[row].as_py())
+                data = memoryview(batch.column(5)[row].as_py())
                 n = len(data) // size - width + 1
                 w = digests(data, np.arange(n) * size, (np.arange(n) + width) * size)
-                fixed = [pa.array(np.full(n, batch.column(j)[row].as_py())) for j in (1, 2, 3, 5)]
-                yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n) + batch.column(4)[row].as_py()), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())], names=[*_CLASS, "runs", "a", "w1", "w2"])
+                fixed = [pa.array(np.full(n, batch.column(j)[row].as_py())) for j in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n) + batch.column(4)[row].as_py()), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy())], names=[*_CLASS, "a", "w1", "w2"])
 
     return go
 
@@ -230,30 +230,34 @@ def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settl
     often = cut(runs.groupBy("mh").agg(F.count("*").alias("c")).where("c > 1").select("mh"), "often")
     live = cut(runs.join(often, "mh", "left_semi"), "live")
     discard(runs)
-    classes = live.groupBy(*_CLASS).agg(F.count("*").alias("runs"), F.min(F.struct("doc_id", "k", "s")).alias("rep"), F.max("n").alias("n"))
+    place = F.struct("doc_id", "k", "s")
+    classes = live.groupBy(*_CLASS).agg(F.count("*").alias("runs"), F.min(place).alias("rep"), F.max(place).alias("last"), F.max("n").alias("n"))
     classes = cut(classes, "classes")
-    several = classes.groupBy("mh").agg(F.count("*").alias("classes")).where("classes > 1")
-    asked = classes.join(several, "mh").select("rep.doc_id", "rep.k", F.struct(*_CLASS, "n", "runs", "classes", "rep.s").alias("want"))
+    several = classes.groupBy("mh").agg(F.count("*").alias("classes"))
+    # two runs of a class at one place are rows that are equal in id and text: that place is sent twice
+    alone = F.col("rep").eqNullSafe(F.col("last"))
+    sent = F.when(alone, F.array(F.struct(F.col("rep").alias("at"), F.least("runs", F.lit(2)).cast("int").alias("times")))).otherwise(F.array(F.struct(F.col("rep").alias("at"), F.lit(1).alias("times")), F.struct(F.col("last").alias("at"), F.lit(1).alias("times"))))
+    asked = classes.join(several, "mh").where("classes > 1 or runs > 1").select(*_CLASS, "n", "classes", F.explode(sent).alias("x"))
+    asked = asked.select("x.at.doc_id", "x.at.k", F.struct(*_CLASS, "n", "classes", "x.times", "x.at.s").alias("want"))
     asked = asked.groupBy("doc_id", "k").agg(F.collect_list("want").alias("want"))
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.k").eqNullSafe(F.col(f"{b}.k"))
     strings = texts.alias("t").join(asked.alias("q"), same("t", "q")).select("text", "want")
-    strings = cut(strings.mapInArrow(_slices(symbols, width), "mh long, c1 long, c2 long, n long, runs long, classes long, data binary"), "strings")
+    strings = cut(strings.mapInArrow(_slices(symbols, width), "mh long, c1 long, c2 long, n long, classes long, data binary"), "strings")
     n, ranged = partitions(docs.sparkSession), "mh long, c1 long, c2 long, a long, b long"
-    row = ["bucket", *_CLASS, "off", "runs", "data"]
-    few = strings.where(F.col("classes") <= many).select(F.col("mh").alias("bucket"), *_CLASS, F.lit(0).cast("long").alias("off"), "runs", "data")
+    row = ["bucket", *_CLASS, "off", "data"]
+    few = strings.where(F.col("classes") <= many).select(F.col("mh").alias("bucket"), *_CLASS, F.lit(0).cast("long").alias("off"), "data")
     # anchors with many classes: by what windows at about the same place have in common
-    parts = strings.where(F.col("classes") > many).mapInArrow(_parts(hashed, dtype, width, gram), "bucket long, mh long, c1 long, c2 long, off long, runs long, data binary")
+    parts = strings.where(F.col("classes") > many).select(*_CLASS, "n", "classes", "data").mapInArrow(_parts(hashed, dtype, width, gram), "bucket long, mh long, c1 long, c2 long, off long, data binary")
     sizes = parts.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     parts = cut(parts.join(sizes, "bucket").select(*row, "c"), "parts")
     few = few.unionByName(parts.where(F.col("c") <= many).select(*row))
     few = few.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_settled(settle, dtype, width), ranged)
     # and what is still too much for a task, by digests of single windows
-    hot = parts.where(F.col("c") > many).select(*row).mapInArrow(_windows(width, dtype), "mh long, c1 long, c2 long, runs long, a long, w1 long, w2 long")
-    counted = hot.groupBy("w1", "w2").agg(F.sum("runs").alias("c")).where("c > 1").select("w1", "w2")
-    hot = hot.where("runs = 1").join(counted, ["w1", "w2"], "left_semi").select(*_CLASS, "a", (F.col("a") + 1).alias("b"))
-    whole = classes.where("runs > 1").select(*_CLASS, F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))
-    ranges = few.unionByName(hot).unionByName(whole)
-    ranges = cut(ranges.groupBy(*_CLASS).agg(F.collect_list(F.struct("a", "b")).alias("r")), "ranges")
+    hot = parts.where(F.col("c") > many).select(*row).mapInArrow(_windows(width, dtype), "mh long, c1 long, c2 long, a long, w1 long, w2 long")
+    counted = hot.groupBy("w1", "w2").agg(F.count("*").alias("c")).where("c > 1").select("w1", "w2")
+    hot = hot.join(counted, ["w1", "w2"], "left_semi").select(*_CLASS, "a", (F.col("a") + 1).alias("b"))
+    ranges = few.unionByName(hot)
+    ranges = cut(ranges.groupBy(*_CLASS).agg(F.collect_set(F.struct("a", "b")).alias("r")), "ranges")
     spans = live.join(ranges, _CLASS).select("doc_id", "k", F.transform("r", lambda x: F.struct((x["a"] + F.col("s")).alias("a"), (x["b"] + F.col("s")).alias("b"))).alias("r"))
     spans = cut(spans.groupBy("doc_id", "k").agg(F.flatten(F.collect_list("r")).alias("spans")), "spans")
     for x in (live, classes, strings, parts, often, ranges):

@@ -1,6 +1,7 @@
 """Exact substring dedup over bytes, with suffix arrays built by the difference-cover algorithm.
 
-`repeats` deals strings to tasks by anchor, so that equal windows meet in one task, however large the corpus. A task sorts
+`repeats` deals strings to tasks by anchor, so that equal windows meet in one task, however large the corpus; of strings with
+many copies it deals two. Every repeated string is found by a task's suffix array. A task sorts
 the suffixes of its strings by the difference cover {1, 2} modulo 3: it sorts the sampled triples, names them, recurses on
 the names until they are unique or cover a window, merges the remaining suffixes, and compares the prefixes of suffixes
 that are adjacent in order, byte by byte. Anchors with too many classes for one task are cut
@@ -39,21 +40,25 @@ def _before(x: np.ndarray) -> np.ndarray:
 
 
 def suffix_ranks(s: np.ndarray, depth: int, span: int = 1) -> np.ndarray:
-    """Ranks of the suffixes of s (positive integers under 2^21, fewer than 2^20 of them, each spanning `span` symbols
+    """Ranks of the suffixes of s (positive integers, no more different ones than symbols, each spanning `span` symbols
     of the text). Suffixes that agree over `depth` symbols may share a rank."""
     n = len(s)
+    bits = 21 if n < 1 << 20 else 31  # of a symbol or a rank
     p = np.concatenate([s, np.zeros(3, np.int64)])
     one, two, zero = np.arange(1, n + 1, 3), np.arange(2, n + 2, 3), np.arange(0, n, 3)
     sample = np.concatenate([one, two])
     p3 = np.concatenate([p, np.zeros(3, np.int64)])
-    named = names_of(p3[sample] << 42 | p3[sample + 1] << 21 | p3[sample + 2])
+    # two symbols as one; where three don't fit into 63 bits, by their rank
+    two_in_one = p3[:-1] << bits | p3[1:]
+    two_in_one = two_in_one if bits == 21 else names_of(two_in_one)
+    named = names_of(two_in_one[sample] << bits | p3[sample + 2])
     if named.max(initial=0) < len(sample) and span * 3 < depth:
         named = names_of(suffix_ranks(named, depth, span * 3))
     r = np.zeros(n + 6, np.int64)
     r[sample] = named
     # keys that compare suffixes at multiples of 3 with the others
-    pair = lambda i: p3[i] << 21 | r[i + 1]
-    triple = lambda i: p3[i] << 42 | p3[i + 1] << 21 | r[i + 2]
+    pair = lambda i: p3[i] << bits | r[i + 1]
+    triple = lambda i: two_in_one[i] << bits | r[i + 2]
     one, two = one[one < n], two[two < n]
     k0, k0t, k1, k2 = pair(zero), triple(zero), pair(one), triple(two)
     o0, ot, o1, o2 = np.argsort(k0), np.argsort(k0t), np.argsort(r[one]), np.argsort(r[two])
@@ -71,22 +76,6 @@ def suffix_ranks(s: np.ndarray, depth: int, span: int = 1) -> np.ndarray:
 def equal_windows(text: np.ndarray, starts: np.ndarray, width: int = WIDTH) -> np.ndarray:
     """Which windows of bytes at `starts` are equal to a window at another of `starts`."""
     out = np.zeros(len(starts), bool)
-    most = (1 << 20) - 4 * width
-    if len(text) > most:  # one anchor's strings can be long: a larger alphabet of ranks doesn't fit, so split by the first bytes
-        lead = text[starts].astype(np.int64) << 16 | text[starts + width // 2].astype(np.int64) << 8 | text[starts + width - 1]
-        size = max(1, most // width)
-        order = np.argsort(lead, kind="stable")
-        edges = np.flatnonzero(np.diff(lead[order], prepend=-1, append=-1))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            part = order[a:b]
-            if len(part) > size:  # compare in full by sorting the windows themselves
-                rows = np.lib.stride_tricks.sliding_window_view(text, width)[starts[part]]
-                _, back, count = np.unique(np.ascontiguousarray(rows).view(f"V{width}").ravel(), return_inverse=True, return_counts=True)
-                out[part] = count[back.ravel()] > 1
-            elif len(part) > 1:
-                some = np.concatenate([text[i : i + width] for i in starts[part]])
-                out[part] = equal_windows(some, np.arange(len(part)) * width, width)
-        return out
     if len(starts) < 2:
         return out
     padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(4 * width, np.int64)])
