@@ -141,7 +141,12 @@ def set_ratio(a: str, b: str, least: float = 0.0) -> float:
     return max(best, 100 - 100 * (d + e - 2 * _lcs(" ".join(only_x), " ".join(only_y))) / total)
 
 
-@F.pandas_udf(DoubleType())
-def token_set_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in pairs:
-        yield pd.Series([set_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def token_set_ratio(least: float = 0.0):
+    """A function of two columns: `set_ratio` of each row. Ratios below `least` may come as 0."""
+
+    @F.pandas_udf(DoubleType())
+    def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in pairs:
+            yield pd.Series([set_ratio(x, y, least) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return ratio

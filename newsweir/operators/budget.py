@@ -11,7 +11,7 @@ def call_costs(calls: DataFrame, prices: DataFrame, write: float = 1.25, read: f
 
     `prices` (model, input_price, output_price, per million tokens). A model that isn't there costs as the dearest."""
     dearest = prices.agg(F.max_by(F.struct("input_price", "output_price"), F.col("input_price") + F.col("output_price")).alias("d"))
-    x = calls.join(F.broadcast(prices), "model", "left").crossJoin(F.broadcast(dearest))
+    x = calls.join(prices, "model", "left").crossJoin(F.broadcast(dearest))  # one row
     i, o = F.coalesce("input_price", "d.input_price"), F.coalesce("output_price", "d.output_price")
     tokens = lambda c: F.coalesce(c, F.lit(0)) / 1_000_000
     cost = tokens("input_tokens") * i + tokens("cache_write_tokens") * i * write + tokens("cache_read_tokens") * i * read + tokens("output_tokens") * o

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import is_fresh
 from ..functions.text import token_set_ratio
 from ..functions.urls import canonical, domain, url_hash
+from ..storage import cut, discard, partitions
+
+#: The most that the characters of unrelated words are alike; runs of characters, and the share of them that may be left out.
+UNRELATED, GRAMS, LONG_RUN, SHORT_RUN, SHORT_TITLE = 0.62, 0.5, 6, 3, 40
 
 
 def candidates(articles: DataFrame) -> DataFrame:
@@ -52,21 +56,54 @@ def upserted(seen: DataFrame, run: DataFrame) -> DataFrame:
     return x.select(*[F.when(F.col("s.url_hash").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in keep], *newer)
 
 
-def similar_titles(left: DataFrame, right: DataFrame, least: float, gate: Column | None = None) -> DataFrame:
-    """Pairs (left_id, right_id, ratio) of titles (id, title, and what `gate` reads of l and r) with a ratio of `least` or more.
-
-    Pairs meet on a word that both have. Two titles without a common word can pass by their characters alone only
-    with long words in common parts; those aren't found."""
-    words = lambda d, p: d.select(F.struct(*d.columns).alias(p), F.explode(F.array_distinct(F.filter(F.split("title", r"(?U)\s+"), lambda w: w != ""))).alias("word"))
-    x = words(left, "l").join(words(right, "r"), "word")
-    if gate is not None:
-        x = x.where(gate)
-    x = x.groupBy(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id")).agg(F.min("l.title").alias("a"), F.min("r.title").alias("b"))
-    return x.withColumn("ratio", token_set_ratio("a", "b")).where(F.col("ratio") >= least).drop("a", "b")
+def _weighed(titles: DataFrame) -> DataFrame:
+    """tid, token, weight (its share of the title) of distinct titles (tid, title): words by characters, and runs of
+    characters across the words in order of the alphabet, as the ratio compares them (in short titles also shorter runs)."""
+    words = F.array_distinct(F.filter(F.split("title", r"(?U)\s+"), lambda w: w != ""))
+    x = titles.select("tid", F.array_sort(words).alias("ws")).withColumn("t", F.array_join("ws", " "))
+    runs = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring(F.col("t"), i, n)))
+    grams = F.concat(runs(LONG_RUN), F.when(F.length("t") < SHORT_TITLE, runs(SHORT_RUN)).otherwise(F.array().cast("array<string>")))
+    x = x.where("size(ws) > 0").withColumn("gs", grams)
+    word = lambda w: F.struct(F.concat(F.lit("w"), w).alias("token"), ((F.length(w) + 1) / (F.length("t") + 1)).alias("weight"))
+    gram = lambda g: F.struct(F.concat(F.lit("c"), g).alias("token"), (1 / F.size("gs")).alias("weight"))
+    return x.select("tid", F.explode(F.concat(F.transform("ws", word), F.transform("gs", gram))).alias("x")).select("tid", "x.token", "x.weight")
+
+
+def title_pairs(left: DataFrame, right: DataFrame, least: float, exact: bool = False) -> DataFrame:
+    """a, b, ratio: the pairs of distinct titles of `left` and `right` (title) with a ratio of `least` or more.
+
+    Titles meet on a word or on a run of characters that is among the rarest of one of them: of words as many as hold more
+    than all but `need` of its characters, of runs as many as are more than all but `GRAMS` of them, where `need` is the
+    share that common words must have if the other words are as alike as unrelated ones can be. `exact` compares all pairs,
+    block by block, for tables of moderate size and for measuring what the search finds."""
+    l, r = (x.where("title <> ''").select("title").distinct().withColumn("tid", F.xxhash64("title")) for x in (left, right))
+    titles = cut(l.withColumn("side", F.lit(1)).unionByName(r.withColumn("side", F.lit(2))).groupBy("tid").agg(F.min("title").alias("title"), F.sum("side").alias("side")), "titles")
+    if exact:
+        n = partitions(left.sparkSession)
+        blocks = lambda d, p: d.select(F.col("title").alias(p), F.pmod("tid", F.lit(n)).alias(f"{p}_at"))
+        one = blocks(titles.where("side <> 2"), "a").withColumn("b_at", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        x = one.join(blocks(titles.where("side <> 1"), "b"), "b_at").select("a", "b")
+        return x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least)
+    need = max(0.05, (least / 100 - UNRELATED) / (1 - UNRELATED))
+    tokens = cut(_weighed(titles), "tokens")
+    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = tokens.join(often, "token").withColumn("before", F.coalesce(F.sum("weight").over(Window.partitionBy("tid", F.substring("token", 1, 1)).orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)))
+    # the commonest tokens that together hold less than what two similar titles must share aren't needed
+    rare = F.col("before") >= F.when(F.startswith("token", F.lit("w")), need).otherwise(GRAMS)
+    ranked = cut(ranked.select("tid", "token", rare.alias("rare")).join(titles.select("tid", "side"), "tid"), "ranked")
+    side = lambda p, own, rare: ranked.where(own if not rare else f"({own}) and rare").select(F.col("tid").alias(p), "token")
+    found = side("a", "side <> 2", True).join(side("b", "side <> 1", False), "token").unionByName(side("a", "side <> 2", False).join(side("b", "side <> 1", True), "token"))
+    same = titles.where("side = 3").select(F.col("tid").alias("a"), F.col("tid").alias("b"))
+    found = cut(found.select("a", "b").unionByName(same).distinct(), "found")
+    of = lambda p: titles.select(F.col("tid").alias(p), F.col("title").alias(f"t{p}"))
+    x = found.join(of("a"), "a").join(of("b"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).repartition(partitions(left.sparkSession))
+    out = cut(x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least), "similar")
+    for t in (titles, tokens, ranked, found):
+        discard(t)
+    return out
 
 
 def without_similar(found: DataFrame, titles: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Rows (with seq, title) but those whose title is similar to one of `titles` (title). Empty titles match nothing."""
-    known = titles.where(F.coalesce("title", F.lit("")) != "").select("title").distinct().withColumn("id", F.xxhash64("title"))
-    bad = similar_titles(found.select(F.col("seq").alias("id"), "title"), known.select("id", "title"), 100 * threshold)
-    return found.join(bad.select(F.col("left_id").alias("seq")).distinct(), "seq", "left_anti")
+    bad = title_pairs(found.select("title"), titles.select("title"), 100 * threshold).select(F.col("a").alias("title")).distinct()
+    return found.join(bad, "title", "left_anti").select(*found.columns)

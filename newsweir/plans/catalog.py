@@ -5,6 +5,7 @@ time; pages stand for captured pages, labels for what people said, events for ca
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import datetime
 
@@ -149,12 +150,11 @@ def seen_upsert(spark, d):
     return dedup.upserted(_seen(spark, d), run)
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '\s+', ' ', 'g')) AS title FROM pages WHERE NOT regexp_matches(html, '<h1>[^<]*&')")
+@query()
 def html_title(spark, d):
     from ..functions.pages import articles as read
 
-    plain = table(spark, d, "pages").where(~F.col("html").rlike("<h1>[^<]*&"))
-    return read(plain).select("page_id", "title")
+    return read(table(spark, d, "pages")).select("page_id", "title")
 
 
 @query()
@@ -185,23 +185,25 @@ def article_rubric(spark, d):
     return articles(spark, d).withColumn("v", v).select("seq", "v.is_article", "v.score")
 
 
-def _word(w: str) -> str:
-    return ("" if w.startswith(" ") else r"\b") + w + ("" if w.endswith(" ") else r"\b")
+# word ends of letters that RE2 knows as such alone when they are spelled out
+
+
+def _whole(w: str) -> str:
+    end = "" if w.endswith(" ") else rf"(?:$|[^\p{{L}}\p{{N}}\p{{M}}_])"
+    return rf"(?:^|[^\p{{L}}\p{{N}}\p{{M}}_]){w}{end}"
 
 
-def _hits(words: list[str]) -> str:
-    return "[x FOR x IN [" + ", ".join(f"CASE WHEN regexp_matches(t, '{_word(w)}') THEN '{w.strip()}' END" for w in words) + "] IF x IS NOT NULL]"
+def _found(words: list[str]) -> str:
+    return "[x FOR x IN [" + ", ".join(f"CASE WHEN regexp_matches(t, '{_whole(w)}', 's') THEN '{w.strip()}' END" for w in words) + "] IF x IS NOT NULL]"
 
 
 @query(
-    f"WITH {_ARTICLES}, x AS (SELECT seq, lower(title || chr(10) || substr(body, 1, 2000)) AS t FROM a WHERE NOT regexp_matches(body, '[^\\x00-\\x7F]')), "
-    f"y AS (SELECT seq, {_hits(TOPIC)} AS good, len({_hits(AGAINST)}) AS bad FROM x) SELECT seq, len(good) >= 1 AND len(good) > bad AS passes, len(good) AS hits, bad AS negative, array_to_string(good[1:5], ',') AS samples FROM y"
+    f"WITH {_ARTICLES}, x AS (SELECT seq, lower(title || chr(10) || substr(body, 1, 2000)) AS t FROM a), "
+    f"y AS (SELECT seq, {_found(TOPIC)} AS good, len({_found(AGAINST)}) AS bad FROM x) SELECT seq, len(good) >= 1 AND len(good) > bad AS passes, len(good) AS hits, bad AS negative, array_to_string(good[1:5], ',') AS samples FROM y"
 )
 def topic_hits(spark, d):
-    """Texts in ASCII alone, as word ends of other letters differ between regex engines."""
-    x = articles(spark, d).where(~F.col("body").rlike(r"[^\x00-\x7F]"))
     v = rules.topic_verdict(F.col("title"), F.col("body"), F.lit("en"), TOPIC, AGAINST)
-    return x.withColumn("v", v).select("seq", "v.passes", "v.hits", "v.negative", F.array_join("v.samples", ",").alias("samples"))
+    return articles(spark, d).withColumn("v", v).select("seq", "v.passes", "v.hits", "v.negative", F.array_join("v.samples", ",").alias("samples"))
 
 
 @query()
@@ -220,13 +222,48 @@ def blacklist_verdict(spark, d):
     return articles(spark, d).select("seq", r.alias("reason"))
 
 
+_FORMS = [("/%Y/%m/%d/a", True), ("/news_%Y-%m-%d.html", True), ("/x-%Y-%m-%d/b", True), ("/%Y%m%d/c", True), ("/%Y%m%dx/d", False), ("/%Y-13-%d/e", False), ("/19/%m/%d", False)]
+
+
 @query(
-    r"WITH v(k, u) AS (VALUES (1, 'https://e.com/2026/04/27/a'), (2, 'https://e.com/a/2026-04-27/b'), (3, 'https://e.com/20260424/x'), (4, 'https://e.com/2026/13/27/'), (5, 'https://e.com/2010/04/27/'), (6, 'https://e.com/2026/02/31/'), (7, 'https://e.com/a')) "
-    "SELECT k, CASE k WHEN 1 THEN TIMESTAMP '2026-04-27' WHEN 2 THEN TIMESTAMP '2026-04-27' WHEN 3 THEN TIMESTAMP '2026-04-24' END AS published_at FROM v"
+    f"SELECT event_id, CASE WHEN event_id % {len(_FORMS)} IN ({', '.join(str(k) for k, f in enumerate(_FORMS) if f[1])}) THEN date_trunc('day', ts)::TIMESTAMP END AS published_at FROM events"
 )
 def date_from_url(spark, d):
-    v = [(1, "https://e.com/2026/04/27/a"), (2, "https://e.com/a/2026-04-27/b"), (3, "https://e.com/20260424/x"), (4, "https://e.com/2026/13/27/"), (5, "https://e.com/2010/04/27/"), (6, "https://e.com/2026/02/31/"), (7, "https://e.com/a")]
-    return spark.createDataFrame(v, "k int, u string").select("k", dates.from_url(F.col("u")).alias("published_at"))
+    """Every event's day in a URL, in the notations that count and in some that don't."""
+    java = lambda f: F.date_format("ts", "".join(f"'{p}'" if k % 2 == 0 else {"Y": "yyyy", "m": "MM", "d": "dd"}[p] for k, p in enumerate(re.split("%(.)", f)) if p or k % 2))
+    u = F.element_at(F.array(*[java(f) for f, _ in _FORMS]), (F.col("event_id") % len(_FORMS) + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", dates.from_url(F.concat(F.lit("https://e.com"), u)).alias("published_at"))
+
+
+_SAID = ["on {d} {ru} {y} it", "{en} {d}, {y}: news", "{short}. {d} {y}", "the {d} {en} {y}", "as of {d}.{m}.{y}.", "{y}-{mm}-{dd} x", "decade {d}, {y}", "31.02.{y}"]
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_id % 8 < 6 AND ts IS NOT NULL THEN date_trunc('day', ts)::TIMESTAMP END AS published_at FROM events"
+)
+def date_from_text(spark, d):
+    """Every event's day in a title, in the notations that count and in some that don't."""
+    month = F.month("ts")
+    short = {n: s for s, n in dates.SHORT_EN.items() if s != "sept"} | {5: "may"}
+    fill = {"d": F.dayofmonth("ts"), "dd": F.date_format("ts", "dd"), "m": month, "mm": F.date_format("ts", "MM"), "y": F.year("ts")}
+    fill |= {k: F.element_at(F.array(*map(F.lit, v)), month) for k, v in (("ru", dates.MONTHS_RU), ("en", dates.MONTHS_EN), ("short", [short[k] for k in range(1, 13)]))}
+    said = [F.concat(*[fill[p].cast("string") if k % 2 else F.lit(p) for k, p in enumerate(re.split("[{}]", f))]) for f in _SAID]
+    t = F.element_at(F.array(*said), (F.col("event_id") % 8 + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", dates.from_text(t, F.lit("")).alias("published_at"))
+
+
+_TIMES = ["%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S+03:00", "%d.%m.%Y %H:%M:%S", "%Y/%m/%d", "%d-%m-%Y", "Sun, %d %b %Y %H:%M:%S +0300", "Sun, %d %b %Y %H:%M:%S GMT"]  # the weekday isn't checked
+
+
+@query(
+    "SELECT event_id, CASE event_id % 7 WHEN 1 THEN date_trunc('second', ts) - INTERVAL 3 HOUR WHEN 5 THEN date_trunc('second', ts) - INTERVAL 3 HOUR WHEN 3 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END::TIMESTAMP AS published_at FROM events"
+)
+def date_parsed(spark, d):
+    """Every event's time in the notations that feeds and pages use."""
+    to = {"Y": "yyyy", "m": "MM", "d": "dd", "H": "HH", "M": "mm", "S": "ss", "b": "MMM"}
+    java = lambda f: F.date_format("ts", "".join((f"'{p}'" if p else "") if k % 2 == 0 else to[p] for k, p in enumerate(re.split("%(.)", f))))
+    t = F.element_at(F.array(*[java(f) for f in _TIMES]), (F.col("event_id") % len(_TIMES) + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", dates.parsed(t).alias("published_at"))
 
 
 @query("SELECT event_id, ts FROM events WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-31' - INTERVAL 48 HOUR")
@@ -296,7 +333,7 @@ def story_clusters(spark, d):
 @query()
 def story_clusters_fuzzy(spark, d):
     a = articles(spark, d)
-    return stories.clusters(a, stories.story_pairs(a, BRANDS)).select("seq", "cluster_id")
+    return stories.clusters(a, BRANDS).select("seq", "cluster_id")
 
 
 @query(
@@ -417,9 +454,9 @@ def per_source_report(spark, d):
     return stats.per_source(articles(spark, d), "source_name", F.col("source_language") == "en")
 
 
-@query("WITH g AS (SELECT conv_id, count(DISTINCT role) AS p, count(DISTINCT length(text) % 2) AS v FROM conversations WHERE turn < 2 GROUP BY 1 HAVING count(DISTINCT role) >= 2) SELECT count(*) AS items, count(*) FILTER (v = 1) AS agree, coalesce(count(*) FILTER (v = 1) / nullif(count(*), 0), 0)::DOUBLE AS share FROM g")
+@query("WITH g AS (SELECT conv_id, count(DISTINCT role) AS p, count(DISTINCT length(text) % 2) AS v FROM conversations GROUP BY 1 HAVING count(DISTINCT role) >= 2) SELECT count(*) AS items, count(*) FILTER (v = 1) AS agree, coalesce(count(*) FILTER (v = 1) / nullif(count(*), 0), 0)::DOUBLE AS share FROM g")
 def llm_agreement(spark, d):
-    x = table(spark, d, "conversations").where("turn < 2").withColumn("v", F.length("text") % 2)
+    x = table(spark, d, "conversations").withColumn("v", F.length("text") % 2)
     return stats.agreement(x, "conv_id", "role", "v")
 
 
@@ -500,13 +537,16 @@ def brand_counts(spark, d):
     return articles(spark, d).select(F.explode(names).alias("brand")).groupBy("brand").agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id AS seq, CASE WHEN doc_id % 2 = 0 THEN 'years: 2024,2025' ELSE 'years: 2024' END AS issue FROM documents WHERE doc_id % 3 = 0")
+@query(
+    "WITH x AS (SELECT doc_id, doc_id % 4 AS k FROM documents) SELECT doc_id AS seq, unnest(CASE k WHEN 0 THEN ['years: 2024,2025'] WHEN 1 THEN ['years: 2024'] WHEN 2 THEN ['unlike'] END) AS issue FROM x WHERE k < 3"
+)
 def suspect_titles(spark, d):
     from .runs import suspects
 
-    ru = F.when(F.col("doc_id") % 2 == 0, "same words 2025").otherwise("same words")
-    t = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("EN: same words 2024\nRU: "), ru)).otherwise("EN: same words 2024\nRU: same words 2024")
-    return suspects(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), t.alias("title"))).select("seq", F.explode("issues").alias("issue")).where("issue <> 'unlike'")
+    k = F.col("doc_id") % 4
+    ru = F.when(k == 0, "same words 2025").when(k == 1, "same words").when(k == 2, "zzzzz qqqqq xxxxx").otherwise("same words 2024")
+    en = F.when(k == 2, "a b c d e f g h i j").otherwise("same words 2024")
+    return suspects(table(spark, d, "documents").select(F.col("doc_id").alias("seq"), F.concat(F.lit("EN: "), en, F.lit("\nRU: "), ru).alias("title"))).select("seq", F.explode("issues").alias("issue"))
 
 
 @query("SELECT lang AS source_language, count(*) AS n, count(*) FILTER (doc_id % 2 = 0) AS patched FROM documents GROUP BY 1")

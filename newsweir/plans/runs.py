@@ -49,7 +49,8 @@ def graded(articles: DataFrame, s: Settings, seen: DataFrame | None = None) -> D
     x = x.withColumn("a", rules.article_verdict(F.col("title"), F.col("body"), F.col("url"), html, F.col("published_at"), s.whitelist))
     x = x.withColumn("t", rules.topic_verdict(F.col("title"), F.col("body"), F.col("source_language")))
     verdict = F.when(F.col("reason").isNotNull(), "blacklisted").when(F.col("copy") > 1, "duplicate").when(F.col("from_cache"), "cached").otherwise(rules.grade(F.col("a"), F.col("t")))
-    return x.withColumns({"verdict": verdict, "score": F.col("a.score"), "hits": F.col("t.hits")}).drop("a", "t", "copy")
+    told = {"is_article": F.col("a.is_article"), "reasons": F.col("a.reasons"), "on_topic": F.col("t.passes"), "samples": F.col("t.samples")}
+    return x.withColumns({"verdict": verdict, "score": F.col("a.score"), "hits": F.col("t.hits"), **told}).drop("a", "t", "copy")
 
 
 def with_answers(articles: DataFrame, answers: DataFrame, s: Settings) -> DataFrame:
@@ -58,23 +59,27 @@ def with_answers(articles: DataFrame, answers: DataFrame, s: Settings) -> DataFr
     The key is the hash of title and excerpt. An irrelevant article gets the verdict rejected; one with an error keeps a
     note; a possible one that is relevant becomes certain; unknown sections are Other news. Without an answer: a note."""
     x = articles.withColumn("key", text.prompt_hash(F.coalesce("title", F.lit("")), F.substring(F.coalesce("body", F.lit("")), 1, 500)))
-    x = x.join(answers.dropDuplicates(["key"]), "key", "left")
+    # of several answers to one prompt the least by all columns, so that reruns agree
+    x = x.join(answers.groupBy("key").agg(F.min(F.struct(*[c for c in answers.columns if c != "key"])).alias("_a")).select("key", "_a.*"), "key", "left")
     section = F.when(F.col("section").isin(s.sections or [""]), F.col("section")).when(F.col("section").isNotNull(), "Other news")
     verdict = F.when(F.col("relevant") == F.lit(False), "rejected").when((F.col("verdict") == "possible_news") & F.col("relevant"), "certain_news").otherwise(F.col("verdict"))
     note = F.coalesce("error", F.when(F.col("relevant").isNull(), "no answer"))
     return x.withColumns({"section": section, "verdict": verdict, "note": note, "cost": F.round(F.coalesce("cost", F.lit(0.0)), 5)})
 
 
-def with_primary(articles: DataFrame, s: Settings) -> DataFrame:
-    """Articles with their primary source by links, and where that is the article itself with low confidence, by the
-    earliest copy of the title."""
+def with_primary(articles: DataFrame, s: Settings, corpus: DataFrame | None = None) -> DataFrame:
+    """Articles with their primary source by links, and where its confidence isn't high, by the earliest article of the
+    corpus (seq, url, title, published_at; the articles themselves by default) with a similar title, if there is one."""
     links = F.col("outbound_links") if "outbound_links" in articles.columns else F.array().cast("array<string>")
     p = origins.primary_source(F.col("url"), F.col("title"), F.col("body"), links, s.brands, s.cues, s.press, s.mirrors, s.whitelist)
     x = articles.withColumn("p", p)
-    early = origins.earliest_same_title(articles, s.press, s.whitelist, s.mirrors).select("seq", F.struct(F.col("primary_url").alias("url"), F.col("primary_domain").alias("domain"), "confidence").alias("e"))
-    x = x.join(early, "seq", "left")
-    best = F.when((F.col("p.confidence") == "low") & F.col("e").isNotNull(), F.col("e")).otherwise(F.col("p"))
-    return x.withColumns({"primary_url": best["url"], "primary_domain": best["domain"], "primary_confidence": best["confidence"]}).drop("p", "e")
+    rows = articles.select("seq", "url", "title", "published_at")
+    every = rows if corpus is None else corpus.select(*rows.columns)
+    early = origins.earliest_similar(every, s.press, s.whitelist, s.mirrors, wanted=x.where("p.confidence <> 'high'").select("seq"))
+    x = x.join(early.select("seq", F.struct(F.col("primary_url").alias("url"), F.col("primary_domain").alias("domain"), "confidence").alias("e")), "seq", "left")
+    found = (F.col("p.confidence") != "high") & F.col("e").isNotNull()
+    best = F.when(found, F.col("e")).otherwise(F.col("p"))
+    return x.withColumns({"primary_url": best["url"], "primary_domain": best["domain"], "primary_confidence": best["confidence"], "primary_method": F.when(found, "earliest").when(F.col("p.url") == F.col("url"), "self").otherwise("links")}).drop("p", "e")
 
 
 def production_run(articles: DataFrame, seen: DataFrame, titles: DataFrame, answers: DataFrame, s: Settings) -> dict[str, DataFrame]:
@@ -86,14 +91,19 @@ def production_run(articles: DataFrame, seen: DataFrame, titles: DataFrame, answ
     new = dedup.without_similar(dedup.unseen(found, seen), titles, s.title_threshold)
     answered = with_answers(new.withColumn("verdict", F.lit("possible_news")), answers, s)
     paid = budget.within(answered, s.cap, ["seq"])
-    kept = with_primary(paid.where("verdict = 'certain_news' and note is null"), s)
+    kept = with_primary(paid.where("verdict = 'certain_news' and note is null"), s, articles)
     rows = kept.select(
         "seq", text.combined_title(F.col("title_en"), F.col("title_ru"), F.upper(F.coalesce("source_language", F.lit("")))).alias("title"), "section", "region", F.lit(s.country).alias("country"), "url", domain(F.col("url")).alias("domain"),
         "published_at", "primary_url", "primary_domain", "primary_confidence", F.bround("confidence", 3).alias("confidence"), "url_hash",
     )
     marks = kept.select("url_hash", "canonical_url", "title", "published_at", F.lit(s.now).alias("first_seen_at"), F.lit(s.now).alias("last_seen_at"), "source_domain", F.lit(s.portal).alias("portal"), F.lit(None).cast("string").alias("cached_row_json"))
-    count = lambda d, c: d.agg(F.count("*").alias(c))
-    summary = count(articles, "found").crossJoin(count(found, "fresh")).crossJoin(count(new, "new")).crossJoin(count(rows, "written"))
+    # one pass over small marks of every step
+    steps = {"found": articles, "fresh": found, "new": new, "written": rows}
+    marks_of = [d.select(F.lit(c).alias("step"), F.lit(0.0).alias("cost")) for c, d in steps.items()] + [paid.select(F.lit("paid").alias("step"), F.coalesce("cost", F.lit(0.0)).alias("cost"))]
+    every = marks_of[0]
+    for m in marks_of[1:]:
+        every = every.unionByName(m)
+    summary = every.agg(*[F.count_if(F.col("step") == c).alias(c) for c in steps], F.round(F.sum("cost"), 5).alias("cost"))
     return {"rows": rows, "seen": dedup.upserted(seen, marks), "summary": summary}
 
 
@@ -114,7 +124,7 @@ def suspect(title: Column, similar: Column) -> Column:
 def suspects(rows: DataFrame) -> DataFrame:
     """seq, issues of rows (seq, title) with an odd title."""
     lines = text.language_lines(F.col("title"))
-    x = rows.withColumn("ratio", text.token_set_ratio(lines["en"], lines["ru"])).withColumn("issues", suspect(F.col("title"), F.col("ratio")))
+    x = rows.withColumn("ratio", text.token_set_ratio()(lines["en"], lines["ru"])).withColumn("issues", suspect(F.col("title"), F.col("ratio")))
     return x.where("size(issues) > 0").select("seq", "issues")
 
 

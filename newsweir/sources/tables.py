@@ -85,16 +85,21 @@ def titles(*tabs: DataFrame) -> DataFrame:
 
 
 def feed_items(spark: SparkSession, path: str, row: str = "item") -> DataFrame:
-    """title, link, published text of the items of feeds, by the XML reader."""
-    x = spark.read.format("xml").option("rowTag", row).schema("title string, link string, pubDate string, published string, updated string").load(path)
-    return x.select(strip(F.col("title")).alias("title"), strip(F.col("link")).alias("link"), F.coalesce("published", "pubDate", "updated").alias("published_text")).where("coalesce(link, '') <> ''")
+    """pos, title, link, published_text of the items of feeds (`entry` for Atom), by the XML reader. A link is the text of its
+    element, or the address of one that isn't to another form of the item."""
+    link = "array<struct<_VALUE: string, _href: string, _rel: string>>"
+    x = spark.read.format("xml").option("rowTag", row).schema(f"title string, link {link}, pubDate string, published string, updated string, created string").load(path)
+    good = F.filter("link", lambda a: F.coalesce(a["_rel"], F.lit("alternate")) == "alternate")
+    address = F.get(F.filter(F.transform(good, lambda a: F.coalesce(F.nullif(strip(a["_VALUE"]), F.lit("")), strip(a["_href"]))), lambda a: a != ""), F.lit(0))
+    x = x.select(F.monotonically_increasing_id().alias("pos"), strip(F.col("title")).alias("title"), address.alias("link"), F.coalesce("published", "pubDate", "updated", "created").alias("published_text"))
+    return x.where("coalesce(link, '') <> ''")
 
 
 def merged_runs(spark: SparkSession, path: str, key: str = "sheet_row") -> DataFrame:
     """JSON records of several run files, one per key: that of the last file by name. Records without a key, or with 0, go."""
-    x = spark.read.option("multiLine", True).json(path).withColumn("_file", F.input_file_name())
+    x = spark.read.option("multiLine", True).json(path).withColumns({"_file": F.input_file_name(), "_place": F.monotonically_increasing_id()})  # of one file the last record
     x = x.where(F.coalesce(F.col(key).cast("long"), F.lit(0)) != 0)
-    return x.groupBy(key).agg(F.max_by(F.struct(*[c for c in x.columns if c not in (key, "_file")]), "_file").alias("r")).select(key, "r.*")
+    return x.groupBy(key).agg(F.max_by(F.struct(*[c for c in x.columns if c not in (key, "_file", "_place")]), F.struct("_file", "_place")).alias("r")).select(key, "r.*")
 
 
 def source_counts(found: DataFrame, portal: str = "portal") -> DataFrame:

@@ -39,3 +39,8 @@ def discard(df: DataFrame | None) -> None:
         spark = df.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def partitions(spark: SparkSession) -> int:
+    """Partitions for an explicit repartition: at least the cores, at least what the session sets for shuffles."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

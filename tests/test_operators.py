@@ -1,12 +1,14 @@
 """Relational operators, sources, sinks and streams on small tables."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
+from newsweir.functions import text
 from newsweir.functions.urls import url_hash
-from newsweir.operators import budget, dedup, origins, stats, stories
+from newsweir.operators import budget, dedup, origins, reports, stats, stories
 from newsweir.operators.components import components
-from newsweir.sources import sinks, tables
+from newsweir.sources import config, discovery, sinks, tables
 from newsweir.streaming import articles as streams
 from pyspark.sql import functions as F
 
@@ -47,11 +49,9 @@ def test_earliest(spark):
 def test_stories(spark):
     rows = [(1, "https://a.com/1", "Toyota recalls cars in Japan", T), (2, "https://b.com/1", "Toyota recalls its cars in Japan", T + timedelta(hours=30)), (3, "https://press.com/1", "Toyota recalls cars in Japan", T + timedelta(hours=60)), (4, "https://c.com/1", "Toyota recalls cars in Japan", T + timedelta(days=9)), (5, "https://d.com/1", "Toyota recalls cars in Japan", None), (6, "https://e.com/1", "BMW sales", T)]
     a = arts(spark, rows)
-    pairs = {(r.a, r.b) for r in stories.story_pairs(a, ["toyota", "bmw"]).collect()}
-    assert pairs == {(1, 2), (2, 3), (1, 5), (2, 5), (3, 5), (4, 5)}
-    got = {r.seq: r.cluster_id for r in stories.clusters(a.where("seq <> 5"), stories.story_pairs(a.where("seq <> 5"), ["toyota", "bmw"])).collect()}
+    got = {r.seq: r.cluster_id for r in stories.clusters(a.where("seq <> 5"), ["toyota", "bmw"]).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 6: 6}
-    s = stories.summaries(stories.clusters(a, stories.story_pairs(a, ["toyota"])), ["press.com"])
+    s = stories.summaries(stories.clusters(a, ["toyota"]), ["press.com"])
     assert {r.cluster_id: (r.size, r.canonical_seq) for r in s.collect()} == {1: (5, 3), 6: (1, 6)}
     feed = spark.createDataFrame([(10, "EN: Toyota recalls cars in Japan", ["https://x.com"], 1), (11, "EN: other", ["https://e.com/1"], None)], "row_id long, title string, urls array<string>, count int")
     placed = stories.routed(s, feed, ["toyota", "bmw"])
@@ -60,6 +60,104 @@ def test_stories(spark):
     assert stories.roll_up(s.limit(0)).first().clusters == 0
 
 
+def plain_stories(rows, brands, hours=36):
+    """Stories by all pairs of articles."""
+    from newsweir.functions.text import set_ratio
+
+    up = {r[0]: r[0] for r in rows}
+
+    def top(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for x in rows:
+        for y in rows:
+            near = not x[3] or not y[3] or abs(x[3] - y[3]) <= timedelta(hours=hours)
+            if x[0] < y[0] and near and any(b in x[2].lower() and b in y[2].lower() for b in brands) and set_ratio(x[2].lower(), y[2].lower()) >= 72:
+                a, b = sorted((top(x[0]), top(y[0])))
+                up[b] = a
+    return {k: top(k) for k in up}
+
+
+def test_stories_against_all_pairs(spark):
+    rng = random.Random(4)
+    words = "toyota bmw recalls cars japan germany sales of the new sedan plant opens closes workers".split()
+    base = [" ".join(rng.choices(words, k=rng.randint(3, 9))) for _ in range(25)]
+    rows = []
+    for k in range(300):
+        t = rng.choice(base).split()
+        if rng.random() < 0.3:
+            t[rng.randrange(len(t))] = rng.choice(words)
+        rows.append((k, f"https://e.com/{k}", " ".join(t), None if rng.random() < 0.05 else T + timedelta(hours=rng.randrange(2000))))
+    got = {r.seq: r.cluster_id for r in stories.clusters(arts(spark, rows), ["toyota", "bmw"]).collect()}
+    assert got == plain_stories(rows, ["toyota", "bmw"]) and len({*got.values()}) > 30
+
+
+def test_similar_titles_against_all_pairs(spark):
+    """Latin titles with edited words, titles without a common word, and titles without spaces."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(300)]
+    titles = [" ".join(rng.choices(words, k=rng.randint(2, 14))) for _ in range(120)]
+    for t in list(titles):
+        w = t.split()
+        w[rng.randrange(len(w))] = rng.choice(words)
+        titles += [" ".join(w), t[: len(t) // 2] + "x" + t[len(t) // 2 + 1 :], t.upper()]
+    titles += ["新型の電気自動車を東京で発表した", "新型の電気自動車を大阪で発表した", "自動車", "Toyota", "Toyotas", "toyota"]
+    x = spark.createDataFrame([(t,) for t in titles], "title string")
+    for least in (72.0, 85.0):
+        found, every = ({(r.a, r.b) for r in dedup.title_pairs(x, x, least, exact).collect()} for exact in (False, True))
+        assert found <= every and len(found) >= 0.99 * len(every) and ("新型の電気自動車を東京で発表した", "新型の電気自動車を大阪で発表した") in found
+    assert every == {(a, b) for a in {*titles} for b in {*titles} if text.set_ratio(a, b) >= 85}
+    assert dedup.title_pairs(x.limit(0), x, 72.0).count() == 0
+
+
+def test_links_and_feeds(spark):
+    html = """<a href="/news/a-1">1</a> <a class=x href='https://www.e.com/news/b?utm_source=x'>2</a><a href=/news/a-1#top>again</a><a href="//other.org/news/c">no</a><a href="mailto:x@e.com">m</a>
+    <a href="../news/d.html">3</a><a href="/about">no</a><a href="/news/b?utm_id=2">b again</a>"""
+    pages = spark.createDataFrame([("https://www.e.com/x/y/", html), ("https://f.com/", None)], "url string, html string")
+    assert [r.url for r in discovery.article_links(pages, 9).orderBy("rank").collect()] == ["https://www.e.com/news/a-1", "https://www.e.com/news/b?utm_source=x", "https://www.e.com/x/news/d.html"]
+    assert len(discovery.article_links(pages, 9, by_canonical=False).collect()) == 4 and len(discovery.article_links(pages, 2).collect()) == 2
+    items = spark.createDataFrame([("s", k, t, u, "Sun, 27 Apr 2026 13:45:00 +0300") for k, (t, u) in enumerate([("T1", "https://e.com/1"), ("", "https://e.com/2"), ("T3", "https://e.com/3"), ("T4", "https://e.com/4")])], "source_url string, pos int, title string, link string, published_text string")
+    read = spark.createDataFrame([("https://e.com/1", None, "b", None), ("https://e.com/3", "Own", "b", T)], "url string, title string, body string, published_at timestamp")
+    got = {r.url: (r.title, r.published_at) for r in discovery.feed_articles(items, read, 2).collect()}
+    assert got == {"https://e.com/1": ("T1", datetime(2026, 4, 27, 10, 45)), "https://e.com/3": ("Own", T)}
+    found = spark.createDataFrame([(s, k) for s, n in (("a", 3), ("b", 4), ("c", 2)) for k in range(n)], "source_url string, rank int")
+    assert {r.source_url for r in discovery.soft_cap(found, 4).collect()} == {"a", "b"}
+
+
+def test_config(spark, tmp_path):
+    (tmp_path / "blacklist.json").write_text('{"domains": ["Bad.com"], "topic_phrases_ru": ["Слон"], "topic_phrases_en": ["Circus"]}', encoding="utf-8")
+    (tmp_path / "brand_domains.json").write_text('{"brands": [{"brand": "Maker", "aliases": ["MK"], "domains": ["maker.com"]}]}')
+    (tmp_path / "sources_overrides.json").write_text('{"overrides": [{"url": "https://a.com/", "rss_url": "https://a.com/rss"}]}')
+    (tmp_path / "whitelist_domains.json").write_text("")
+    s = config.settings(str(tmp_path), T, hours=48)
+    assert (s.blocked_domains, s.blocked_phrases, s.brands, s.whitelist, s.hours) == (["bad.com"], ["слон", "circus"], [("Maker", ["MK"], ["maker.com"])], [], 48)
+    assert [r.rss_url for r in config.overrides(spark, str(tmp_path)).collect()] == ["https://a.com/rss"]
+    assert config.quirks(str(tmp_path))["rewrites"] == {} and config.source_columns(str(tmp_path))["url"] == "url" and stories.lexicon(s.brands and [(n, a) for n, a, _ in s.brands]) == ["maker"]
+
+
+def test_reports(spark):
+    v1 = spark.createDataFrame([(1, "u1", "pass", "not_news"), (2, "u2", "pass", "news_in_topic"), (3, "u3", "pass", None), (4, "u4", "no", None), (5, "u1", "pass", "not_news")], "seq long, url string, verdict string, label string")
+    v2 = spark.createDataFrame([(1, "u1", "no"), (2, "u2", "pass"), (3, "u3", "no"), (4, "u4", "no")], "seq long, url string, verdict string")
+    r = reports.version_summary(v1, v2, "url", "pass").first()
+    assert tuple(r) == (4, 2, 1, 0, 1, 0, 1)
+    rows = spark.createDataFrame([("in", "A", "1,5"), ("in", "A (неактивный)", "x"), ("out", "B", None), (None, None, "0.25")], "verdict string, section string, cost string")
+    got = {(x.block, x.label): (x.n, x.share) for x in reports.panel(rows, {"verdict": "(empty)"}, F.coalesce(F.col("verdict") == "in", F.lit(False))).collect()}
+    assert got == {("verdict", "in"): (2, "50.0%"), ("verdict", "out"): (1, "25.0%"), ("verdict", "(empty)"): (1, "25.0%"), ("section", "A"): (2, "100.0%"), ("cost", "sum"): (4, "1.7500")}
+    assert reports.markdown(spark.createDataFrame([("a|b", None)], "x string, y string")) == "| x | y |\n| --- | --- |\n| a\\|b |  |"
+    feed = spark.createDataFrame([(1, "t", ["https://bad.com/a"]), (2, "t", ["https://a.com/1", "https://www.bad.com/x"]), (3, "t", ["https://a.com/x.pdf"]), (4, "A shocking video", ["https://a.com/1"]), (5, "Football cup", ["https://a.com/1"]), (6, "New sedan", ["https://a.com/1"])], "row_id long, title string, urls array<string>")
+    assert {r.row_id: r.reason for r in stories.cleaned(feed, ["bad.com"], []).collect()} == {1: "domain", 2: "member", 3: "document", 4: "phrase", 5: "topic"}
+
+
+def test_command_line(capsys, tmp_path):
+    from newsweir.__main__ import main, shown
+
+    assert main(["queries"]) == 0 and "url_canonical" in capsys.readouterr().out
+    assert main(["show-config", str(tmp_path)]) == 0 and '"hours": 24' in capsys.readouterr().out
+    assert shown({"api_key": "x", "hours": 1}) == {"api_key": "***", "hours": 1}
+
+
 def test_components(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame([(1, 2), (3, 2), (5, 4), (4, 5), (9, 9)], "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
