@@ -150,7 +150,7 @@ def seen_upsert(spark, d):
     return dedup.upserted(_seen(spark, d), run)
 
 
-@query()
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
 def html_title(spark, d):
     from ..functions.pages import articles as read
 
