@@ -137,9 +137,8 @@ def _bad_name(value: str, also: re.Pattern | None = None) -> bool:
     """Whether one of the names in a class or id is that of a part without article text: made of such names and plain ones."""
     for name in value.split():
         parts = [p.lower() for p in _PARTS.findall(name)]
-        whole = "".join(parts)
         bad = [bool(BAD_NAMES.fullmatch(p) or also and also.fullmatch(p)) for p in parts]
-        if BAD_NAMES.fullmatch(whole) or any(bad) and all(b or PLAIN_NAMES.fullmatch(p) for b, p in zip(bad, parts, strict=True)):
+        if any(bad) and all(b or PLAIN_NAMES.fullmatch(p) for b, p in zip(bad, parts, strict=True)):
             return True
     return False
 

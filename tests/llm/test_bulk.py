@@ -288,6 +288,101 @@ def test_html(spark):
     assert next(r for r in out if r.page_id == 2).text == "" and next(r for r in out if r.page_id == 5).text.count("x y") == 5000
 
 
+def test_html_places_and_quotes():
+    a, b = "It was the best of the times and it was what they had in the town of their own. " * 4, "There is a house in the city that we like and it is not for sale, as you know. " * 4
+    text = html_text.main_text
+    assert text("<article><p data-x='it's'>text of it</p></article>") == "text of it"
+    assert text("<article><p title=\"a > b\">one</p><p title='x>two</p></article>") == "one\ntwo"  # a quote that never ends ends at the tag's end
+    for name in ("legal-analysis", "social-history", "related-work theory", "navigators-guide"):
+        assert text(f"<article><div class='{name}'><p>{a}</p></div></article>") == a.strip(), name
+    for name in ("cookie-notice", "adBanner", "share-buttons", "site_footer", "related-posts", "ad-3"):
+        assert text(f"<article><p>{b}</p><div class='{name}'><p>{a}</p></div></article>") == b.strip(), name
+    # teaser cards in article elements don't bound the text, whether it stands in main or in a div
+    cards = "".join(f"<article><a href=/{k}>A card of some words {k}</a></article>" for k in range(5))
+    for tag in ("div", "main"):
+        assert text(f"<nav><a href=/>Home</a></nav><{tag}><h1>Head</h1><p>{a}</p><p>{b}</p></{tag}><section>{cards}</section>") == f"Head\n{a.strip()}\n{b.strip()}"
+    # a list of nothing but links inside an article goes, by its density; what is around it stays
+    assert text(f"<article><p>{a}</p><ul><li><a href=x>Other story of the day</a></li><li><a href=y>One more</a></li></ul><p>{b}</p></article>") == f"{a.strip()}\n{b.strip()}"
+
+
+def test_html_two_passes():
+    """Both passes take part on a page with an article element, and without them the text is another."""
+    a = "It was the best of the times and it was what they had in the town of their own. " * 4
+    found = html_text.blocks(f"<article><h1>Head</h1><p>{a}</p><p>Short.</p><p><a href=x>All of it a link</a></p></article><p>{a}</p>")
+    first = [html_text.first_pass(b) for b in found]
+    assert first == ["short", "good", "short", "bad", "good"] and html_text.bound(found, first) == 0
+    found = found[:4]
+    assert html_text.bound(found, first[:4]) == 2 and html_text.labels(found) == [True, True, True, False]
+
+
+def test_html_gold():
+    """Pages put together from parts whose label is known, with an article element, a main element or neither."""
+    rng = random.Random(13)
+    common, rare = "the of and to in is it that was for as with".split(), [f"w{i}x" for i in range(200)]
+    para = lambda n: " ".join(rng.choice(common) if rng.random() < 0.45 else rng.choice(rare) for _ in range(n)).capitalize() + "."
+    right = total = extra = 0
+    for k in range(150):
+        tag, want = ("article", "main", "div")[k % 3], []
+        body = []
+        for _ in range(rng.randint(3, 8)):
+            p = para(rng.choice([6, 12, 70, 90]))
+            body.append(f"<p>{p}</p>")
+            want.append(p)
+        long = para(80)
+        body.insert(rng.randrange(len(body) + 1), f"<p>{long}</p>")
+        want.append(long)
+        if k % 3 == 0:
+            body.insert(1, f"<div class='ad-box'>{para(9)}</div>")
+        links = lambda n: "".join(f"<li><a href=/{i}>{para(2)}</a></li>" for i in range(n))
+        page = f"<nav><ul>{links(6)}</ul></nav><div class=sidebar><p>{para(30)}</p></div><{tag}>{''.join(body)}</{tag}><ul>{links(4)}</ul><div id=comments><p>{para(70)}</p></div><footer>{para(8)}</footer>"
+        got = html_text.main_text(page).split("\n")
+        right += sum(p in got for p in want)
+        total += len(want)
+        extra += sum(g not in want for g in got)
+        if tag != "div":
+            assert sorted(got) == sorted(want), page
+    assert right >= 0.97 * total and extra == 0
+
+
+def test_html_in_linear_time():
+    import time
+
+    for part in ("<a b=\"x\" c='", "<p title='it's'>text", "<!-- ", "<svg>", "<div>", "&amp", "<", "</p", "<p x='", "<b><i></b>", "<li>"):
+        start = time.time()
+        html_text.main_text(part * (3_000_000 // len(part)))
+        assert time.time() - start < 40, part
+
+
+def test_very_long_texts_and_empty_tables(spark):
+    from newsweir.llm import substring_dedup, suffix_dedup
+
+    long = " ".join(f"w{i % 5000}x{i // 5000 % 7}" for i in range(120_000))
+    docs = frame(spark, [(1, long, None, None, 0), (2, long, None, None, 0), (3, "x", None, None, 0)])
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(docs).collect()} == {1: len(long), 2: len(long), 3: 0}
+    assert {r.doc_id: r.n_removed for r in substring_dedup.without_repeats(docs).collect()} == {1: 120_000, 2: 120_000, 3: 0}
+    assert {r.doc_id: r.n_items for r in decontam.contaminated(docs, frame(spark, [(1, long[500:2000])], "item_id long, text string")).collect()} == {1: 1, 2: 1}
+    assert sum(r.taken for r in mixing.mixed_sizes(docs).collect()) >= 240_000
+    none = docs.limit(0)
+    assert token_counts.section_tokens(none).count() == 0 == html_text.extracted(frame(spark, [], "page_id long, url string, html string")).count()
+
+
+def test_clashing_columns_of_reports(spark):
+    """Columns of any name beside those that an operator reads change nothing."""
+    from newsweir.llm import substring_dedup, suffix_dedup, vector_dedup
+    from pyspark.sql import functions as F
+
+    def more(df):
+        for c in ("k", "spans", "n_removed", "start", "n_tokens", "section", "v", "u", "sim", "component_id", "n_links", "n_chars", "kept", "bands", "rep"):
+            if c not in df.columns:
+                df = df.withColumn(c, F.lit(c))
+        return df
+
+    docs, pages = odd(spark), frame(spark, [(1, "u", PAGE), (2, None, None)], "page_id long, url string, html string")
+    vectors = frame(spark, [(k, [1.0, k / 100, 0.5]) for k in range(20)], "vec_id long, embedding array<double>")
+    for f, df in ((suffix_dedup.without_repeats, docs), (substring_dedup.without_repeats, docs), (html_text.extracted, pages), (token_files.token_files, docs), (token_counts.section_tokens, docs), (vector_dedup.near_vectors, vectors)):
+        assert sorted(map(str, f(df).collect())) == sorted(map(str, f(more(df)).collect()))
+
+
 def test_clashing_columns(spark):
     """Columns of any name come through unchanged."""
     from newsweir.llm import near_dedup

@@ -111,3 +111,13 @@ def test_runs_are_functions_of_windows():
             for i in range(f, f + n):
                 at.setdefault(i - off, []).append(p - off)
     assert all(len(set(v)) == 1 for i, v in at.items() if i >= 0)
+
+
+def test_comparing_decides(spark):
+    """Without what tasks compare, by suffix arrays or levels, nothing is repeated, copies of whole texts included."""
+    rng = random.Random(5)
+    rows = corpus(rng, ["alpha", "be", "gamma"], 9, 120)
+    docs = spark.createDataFrame(rows, DOC)
+    none = lambda text, starts: np.zeros(len(starts), bool)
+    assert repeats.repeated_windows(docs, suffix_dedup._bytes, suffix_dedup._BYTE_HASH.__getitem__, none, 200, 32, "u1").count() == 0
+    assert repeats.repeated_windows(docs, substring_dedup._words, substring_dedup._same, none, 35, 9, "u8").count() == 0
