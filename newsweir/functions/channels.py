@@ -13,59 +13,67 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .dates import parsed
 
+# fixed values: marks of the preview page: the attribute with a post's name, and classes of its text and its pictures
+POST_ATTRIBUTE, HOST = "data-post", "t.me/"
+TEXT_CLASS, PICTURE_CLASSES = "tgme_widget_message_text", ["tgme_widget_message_photo_wrap", "link_preview_image", "link_preview_right_image"]
+LEAST_TITLE, MOST_TITLE = 3, 220
+
 _POST = StructType([StructField(c, ArrayType(StringType()) if c == "outbound_links" else StringType()) for c in ("url", "title", "body", "date_text", "image_url", "outbound_links")])
+_PICTURE = re.compile(r"url\(['\"]?([^'\")]+)")
 
 
-class _Posts(HTMLParser):
-    """Posts in page order: a message element opens one, its text element holds body and links."""
+class _Preview(HTMLParser):
+    """Events of a preview page in order: (post, name), (text, part), (link, address), (date, time), (picture, address)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.posts, self.depth, self.text_at = [], 0, None
+        self.events: list[tuple[str, str]] = []
+        self.open_divs, self.text_div = 0, 0  # divs that are open, and which of them is the text's, 0 for none
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        names = (a.get("class") or "").split()
-        if tag == "div":
-            self.depth += 1
-        if a.get("data-post") and "/" in a["data-post"]:
-            self.posts.append({"url": f"https://t.me/{a['data-post']}", "parts": [], "links": [], "date": None, "image": None})
-        if not self.posts:
-            return
-        p = self.posts[-1]
-        if tag == "div" and "tgme_widget_message_text" in names and self.text_at is None:
-            self.text_at = self.depth
-        if tag == "br" and self.text_at is not None:
-            p["parts"].append("\n")
-        if tag == "a" and self.text_at is not None and (a.get("href") or "").strip().startswith(("http://", "https://")) and "t.me/" not in a["href"]:
-            p["links"].append(a["href"].strip())
-        if tag == "time" and a.get("datetime") and not p["date"]:
-            p["date"] = a["datetime"]
-        if {"tgme_widget_message_photo_wrap", "link_preview_image", "link_preview_right_image"} & set(names) and not p["image"]:
-            found = re.search(r"url\(['\"]?([^'\")]+)", a.get("style") or "")
-            p["image"] = found[1] if found else None
+        a = {k: v or "" for k, v in attrs}
+        classes = a.get("class", "").split()
+        self.open_divs += tag == "div"
+        if "/" in a.get(POST_ATTRIBUTE, ""):
+            self.events.append(("post", a[POST_ATTRIBUTE]))
+        if tag == "div" and TEXT_CLASS in classes and not self.text_div:
+            self.text_div = self.open_divs
+        if tag == "time" and a.get("datetime"):
+            self.events.append(("date", a["datetime"]))
+        if not {*PICTURE_CLASSES}.isdisjoint(classes) and (found := _PICTURE.search(a.get("style", ""))):
+            self.events.append(("picture", found[1]))
+        if self.text_div and tag == "br":
+            self.events.append(("text", "\n"))
+        if self.text_div and tag == "a":
+            self.events.append(("link", a.get("href", "").strip()))
 
     def handle_endtag(self, tag):
         if tag == "div":
-            if self.text_at == self.depth:
-                self.text_at = None
-            self.depth -= 1
+            self.text_div = 0 if self.text_div == self.open_divs else self.text_div
+            self.open_divs -= 1
 
     def handle_data(self, data):
-        if self.text_at is not None and self.posts:
-            self.posts[-1]["parts"].append(data)
+        if self.text_div:
+            self.events.append(("text", data))
 
 
 def read_posts(html: str | None) -> list[dict]:
-    """Posts with a text, newest (last on the page) first. The title is the first line, of three characters or more."""
-    r = _Posts()
-    r.feed(html or "")
+    """Posts with a text, newest (last on the page) first. The title is the first line, of three characters or more; the first
+    date and the first picture count; links to the site itself don't."""
+    page = _Preview()
+    page.feed(html or "")
+    posts: list[dict[str, list[str]]] = []
+    for kind, value in page.events:
+        if kind == "post":
+            posts.append({"post": [value], "text": [], "link": [], "date": [], "picture": []})
+        elif posts:
+            posts[-1][kind].append(value)
     out = []
-    for p in reversed(r.posts):
-        body = "\n".join(line.strip() for line in "".join(p["parts"]).split("\n") if line.strip())
-        title = body.split("\n", 1)[0].strip()[:220]
-        if len(title) >= 3:
-            out.append({"url": p["url"], "title": title, "body": body, "date_text": p["date"], "image_url": p["image"], "outbound_links": list(dict.fromkeys(p["links"]))})
+    for p in posts[::-1]:
+        lines = [x for x in map(str.strip, "".join(p["text"]).splitlines()) if x]
+        if lines and len(lines[0]) >= LEAST_TITLE:
+            links = {u: None for u in p["link"] if re.match("https?://", u) and HOST not in u}
+            out.append({"url": f"https://{HOST}{p['post'][0]}", "title": lines[0][:MOST_TITLE].strip(), "body": "\n".join(lines), "date_text": next(iter(p["date"]), None), "image_url": next(iter(p["picture"]), None), "outbound_links": [*links]})
     return out
 
 

@@ -17,8 +17,8 @@ def one(spark, value, make, kind="string"):
 @pytest.mark.parametrize(
     "url,want",
     [
-        ("HTTPS://Example.COM/path/?utm_source=x&id=1#frag", "https://example.com/path/?id=1"),
-        ("https://Example.com", "https://example.com/"),
+        ("HTTP://News.Weir.ORG/River/?gclid=7&page=2&fbclid=q#top", "http://news.weir.org/River/?page=2"),
+        ("https://Weir.org?", "https://weir.org/"),
         ("http://e.com:80/A?b=&UTM_id=3&c", "http://e.com/A?b=&c="),
         ("https://e.com:443/a?q=a b*~&x=%C3%A9", "https://e.com/a?q=a+b%2A~&x=%C3%A9"),
         ("  https://e.com/a/  ", "https://e.com/a/"),
@@ -32,18 +32,18 @@ def test_canonical(spark, url, want):
 
 
 def test_urls(spark):
-    assert one(spark, "https://www.example.com/x", urls.domain) == "example.com"
-    assert one(spark, "m.example.com", urls.bare_domain) == "example.com"
+    assert one(spark, "https://www.weir.org/x", urls.domain) == "weir.org"
+    assert one(spark, "m.weir.org", urls.bare_domain) == "weir.org"
     assert one(spark, "press.bmw.com", lambda x: urls.host_in(x, ["www.bmw.com"])) is True
     assert one(spark, "notbmw.com", lambda x: urls.host_in(x, ["bmw.com"])) is False
     assert one(spark, "https://e.com/", urls.is_junk) is True and one(spark, None, urls.is_junk) is True and one(spark, "https://e.com/a/b", urls.is_junk) is False
     assert one(spark, "https://e.com/2026/4/a-b-c/index", urls.path_pattern) == "/YYYY/NN/_slug_/index"
-    assert [one(spark, u, urls.channel_preview) for u in ("https://t.me/x", "https://t.me/s/x", "https://t.me/x/1", "https://t.me/+abc", "")] == ["https://t.me/s/x"] * 3 + [None, None]
+    assert [one(spark, u, urls.channel_preview) for u in ("https://t.me/weir", "http://www.t.me/s/weir", "t.me/weir/77?single", "https://t.me/+Invite", "")] == ["https://t.me/s/weir"] * 3 + [None, None]
 
 
 def test_titles(spark):
-    assert one(spark, "A long enough title about cars — MotorTrend", text.normalised_title) == "a long enough title about cars"
-    assert one(spark, "A long enough title about cars | CarNewsChina.com", text.normalised_title) == "a long enough title about cars"
+    assert one(spark, "A long enough title about cars — River Post", text.normalised_title) == "a long enough title about cars"
+    assert one(spark, "A long enough title about cars | weir.org | News", text.normalised_title) == "a long enough title about cars"
     assert one(spark, None, text.normalised_title) == ""
     assert one(spark, "Sets its line-up to 10 models in India", text.cluster_title) == "sets its line"
     r = one(spark, "EN: One 2024\nRU: Два 2025", text.language_lines)
@@ -80,6 +80,52 @@ def test_dates(spark):
     assert [one(spark, t, lambda x: dates.is_fresh(x, 48, now), "timestamp") for t in (datetime(2026, 4, 27, 7), datetime(2026, 4, 24), None, datetime(2027, 1, 1))] == [True, False, True, True]
 
 
+@pytest.mark.parametrize(
+    "x,want",
+    [
+        ("2025-11-03T07:08:09Z", datetime(2025, 11, 3, 7, 8, 9)),
+        ("2025-11-03 07:08:09+0500", datetime(2025, 11, 3, 2, 8, 9)),
+        ("2025-11-03T07:08", datetime(2025, 11, 3, 7, 8)),
+        ("2025/11/3", datetime(2025, 11, 3)),
+        ("3-11-2025", datetime(2025, 11, 3)),
+        (" 3.11.2025 07:08:09 ", datetime(2025, 11, 3, 7, 8, 9)),
+        ("Fri, 03 Nov 2025 07:08:09 -0200", datetime(2025, 11, 3, 9, 8, 9)),
+        ("Mon, 3 Nov 2025 07:08:09 GMT", datetime(2025, 11, 3, 7, 8, 9)),
+        ("2025", None),
+        ("31.11.2025", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_times(spark, x, want):
+    assert one(spark, x, dates.parsed) == want
+
+
+@pytest.mark.parametrize("path,want", [("a_2025-11-03.html", True), ("x-2025-11-03/b", True), ("20251103/c", True), ("2025/11/3", True), ("20251103x/", False), ("2025-11-031/", False), ("2014/11/03/", False), ("2025/13/03/", False), ("2014/11/03/and-2025-11-03", True)])
+def test_dates_in_paths(spark, path, want):
+    assert one(spark, f"https://weir.org/{path}", dates.from_url) == (datetime(2025, 11, 3) if want else None)
+
+
+@pytest.mark.parametrize(
+    "said,want",
+    [("3 ноября 2025 года", True), ("Nov. 3, 2025", True), ("Sept 3 2025", False), ("3 NOVEMBER 2025", True), ("3/11/2025", True), ("5 маршрутов 2025", False), ("decade 12, 2025", False), ("3 ноября 2014, 3 ноября 2025", False), ("30 февраля 2025, Nov 3, 2025", True), ("12025-11-03", False)],
+)
+def test_dates_in_texts(spark, said, want):
+    got = one(spark, said, lambda x: dates.from_text(F.lit("news"), x))
+    assert (got == datetime(2025, 11, 3)) is want
+
+
+def test_channel():
+    from newsweir.functions.channels import read_posts
+
+    page = """<div class="m" data-post="weir/1"><div class="tgme_widget_message_text js">Old<br/>line <a href="https://a.org/x">a</a><a href="https://t.me/b">b</a></div><time datetime="2025-11-03T07:00:00+00:00"></time></div>
+    <div class="m" data-post="weir/2"><a class="tgme_widget_message_photo_wrap" style="width:9px;background-image:url('https://c.org/p.jpg')"></a><div class="tgme_widget_message_text"><div>Newer  </div><br>text &amp; more</div></div>
+    <div class="m" data-post="weir/3"><a class="tgme_widget_message_photo_wrap" style="url(x)"></a></div>"""
+    got = read_posts(page)
+    assert [(p["url"], p["title"], p["image_url"], p["outbound_links"]) for p in got] == [("https://t.me/weir/2", "Newer", "https://c.org/p.jpg", []), ("https://t.me/weir/1", "Old", None, ["https://a.org/x"])]
+    assert got[0]["body"] == "Newer\ntext & more" and got[1]["date_text"].startswith("2025-11-03") and read_posts(None) == []
+
+
 def test_verdicts(spark):
     rows = [
         ("A car market review of the year", "x" * 1200, "https://e.com/news/a", '{"@type": "NewsArticle"}', datetime(2026, 1, 1)),
