@@ -142,15 +142,16 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents that the mix holds, with the columns of `docs` (doc_id, text, lang, source, n_chars).
 
     A document whose blocks are taken twice comes twice. A text whose blocks are all taken stays as it is; of others
-    the taken words remain, joined by one space."""
+    the taken words remain, with the white space after them, so lines stay lines."""
     m = mix(docs, **how)
     p = m["pieces"].where("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     p = p.groupBy("doc_id", "tie", "pass").agg(F.sum("words").alias("_nw_got"), F.array_sort(F.collect_list(F.struct("from", "words"))).alias("_nw_parts"))
     p = p.select(F.col("doc_id").alias("_nw_id"), F.col("tie").alias("_nw_of"), "_nw_got", "_nw_parts")
     copies = docs.withColumn("_nw_tie", F.xxhash64("text"))
     out = copies.join(p, F.col("doc_id").eqNullSafe(F.col("_nw_id")) & F.col("_nw_tie").eqNullSafe(F.col("_nw_of")))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"))
-    some = F.array_join(F.flatten(F.transform("_nw_parts", lambda x: F.slice(F.col("_nw_words"), x["from"].cast("int") + 1, x["words"].cast("int")))), " ")
+    words = F.regexp_extract_all("text", F.lit(rf"({WORD}[\x20\x09-\x0D]*)"))
+    some = F.array_join(F.flatten(F.transform("_nw_parts", lambda x: F.slice(F.col("_nw_words"), x["from"].cast("int") + 1, x["words"].cast("int")))), "")
+    some = F.regexp_replace(some, r"[\x20\x09-\x0D]+$", "")
     out = out.withColumn("_nw_words", F.when(F.col("_nw_got") < word_count("text"), words))
     out = out.withColumn("_nw_text", F.when(F.col("_nw_words").isNull(), F.col("text")).otherwise(some))
     return out.select(*[F.col("_nw_text").alias("text") if c == "text" else F.length("_nw_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
