@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.types import DoubleType
 
 from .urls import strip
 
+#: Cells of the table of matches of a batch of pairs at once.
+MATCHES = 1 << 18
 # fixed values: what titles lose, or have replaced, before they are compared
 LAST_TAG, ANY_TAG = (r"(?U)\([a-zа-я]{2,4}\)\s*$", ""), (r"\([a-zа-яё]{2,4}\)", "")
 EN_PREFIX, RU_PREFIX, RU_LINE = (r"(?U)^en:\s*", ""), (r"(?U)^ru:\s*", ""), (r"(?U)\n\s*ru:\s*", " | ")
@@ -112,33 +115,73 @@ def truthy(x: Column) -> Column:
     return F.coalesce(F.lower(strip(x)).isin("1", "true", "yes", "y", "да", "истина", "on"), F.lit(False))
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a bit per character of b."""
-    at: dict[str, int] = {}
-    for k, c in enumerate(b):
-        at[c] = at.get(c, 0) | 1 << k
-    row = all_ones = (1 << len(b)) - 1
-    for c in a:
-        hit = row & at.get(c, 0)
-        row = (row + hit | row - hit) & all_ones
-    return len(b) - row.bit_count()
+def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of many pairs at once, a bit per character of b, in words of 64."""
+    n, la, lb = len(a), np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    out = np.zeros(n, np.int64)
+    chars, coded = np.unique(np.frombuffer("".join([*a, *b]).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+    many, words = len(chars), int(lb.max(initial=0)) // 64 + 1
+    starts_a, starts_b = np.cumsum(la) - la, int(la.sum()) + np.cumsum(lb) - lb
+    step = max(1, MATCHES // ((many + 1) * words))
+    for lo in range(0, n, step):
+        own_a, own_b = la[lo : lo + step], lb[lo : lo + step]
+        rows = np.arange(len(own_a)) * (many + 1)
+
+        def codes(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+            """Where each character's matches stand, a row for each place; the last of a pair's is of no character."""
+            k = np.arange(int(size.max(initial=0)))[:, None]
+            return rows + np.where(k < size, coded[np.minimum(starts + k, len(coded) - 1)] if len(coded) else many, many)
+
+        match = np.zeros((words, len(rows) * (many + 1)), np.uint64)
+        for k, at in enumerate(codes(starts_b[lo : lo + step], own_b)):
+            match[k // 64, at] |= np.uint64(1 << k % 64)
+        match[:, rows + many] = 0
+        bits = np.clip(own_b - 64 * np.arange(words)[:, None], 0, 64)
+        full = np.where(bits == 64, ~np.uint64(0), (np.uint64(1) << np.minimum(bits, 63).astype(np.uint64)) - np.uint64(1))
+        state = full.copy()
+        for at in codes(starts_a[lo : lo + step], own_a):
+            carry = None
+            for w in range(words):
+                hit = state[w] & match[w, at]
+                total = state[w] + hit
+                more = total < hit
+                if carry is not None:
+                    total += carry
+                    more |= total < carry
+                carry = more.astype(np.uint64)
+                state[w] = total | (state[w] ^ hit)
+        out[lo : lo + step] = own_b - np.bitwise_count(state & full).sum(0, dtype=np.int64)
+    return out
+
+
+def set_ratios(a: list[str | None], b: list[str | None], least: float = 0.0) -> np.ndarray:
+    """Similarity, 0 to 100, of pairs of texts as sets of words, case-sensitive; 0 if either is empty. Ratios below `least`
+    may be 0."""
+    out, later = np.zeros(len(a)), []
+    for k, (s, t) in enumerate(zip(a, b, strict=True)):
+        x, y = set((s or "").split()), set((t or "").split())
+        if not x or not y:
+            continue
+        both, only_x, only_y = x & y, x - y, y - x
+        if both and (not only_x or not only_y):
+            out[k] = 100.0
+            continue
+        i, d, e = (sum(map(len, w)) + max(len(w) - 1, 0) for w in (both, only_x, only_y))
+        gap = 1 if both else 0
+        if both:
+            out[k] = max(100 - 100 * (gap + d) / (2 * i + gap + d), 100 - 100 * (gap + e) / (2 * i + gap + e))
+        total = 2 * (i + gap) + d + e
+        if not out[k] >= least > 0 and 100 - 100 * abs(d - e) / total >= least:
+            later.append((k, d, e, total, " ".join(sorted(only_x)), " ".join(sorted(only_y))))
+    if later:
+        k, d, e, total = (np.array([x[c] for x in later]) for c in range(4))
+        out[k] = np.maximum(out[k], 100 - 100 * (d + e - 2 * lcs_lengths([x[4] for x in later], [x[5] for x in later])) / total)
+    return out
 
 
 def set_ratio(a: str, b: str, least: float = 0.0) -> float:
-    """Similarity, 0 to 100, of two texts as sets of words, case-sensitive; 0 if either is empty. Below `least` it may be 0."""
-    x, y = set((a or "").split()), set((b or "").split())
-    if not x or not y:
-        return 0.0
-    both, only_x, only_y = sorted(x & y), sorted(x - y), sorted(y - x)
-    if both and (not only_x or not only_y):
-        return 100.0
-    i, d, e = (len(" ".join(s)) for s in (both, only_x, only_y))
-    gap = 1 if both else 0
-    best = max(100 - 100 * (gap + d) / (2 * i + gap + d), 100 - 100 * (gap + e) / (2 * i + gap + e)) if both else 0.0
-    total = 2 * (i + gap) + d + e
-    if best >= least > 0 or 100 - 100 * abs(d - e) / total < least:
-        return best
-    return max(best, 100 - 100 * (d + e - 2 * _lcs(" ".join(only_x), " ".join(only_y))) / total)
+    """`set_ratios` of one pair."""
+    return float(set_ratios([a], [b], least)[0])
 
 
 def token_set_ratio(least: float = 0.0):
@@ -147,6 +190,6 @@ def token_set_ratio(least: float = 0.0):
     @F.pandas_udf(DoubleType())
     def ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in pairs:
-            yield pd.Series([set_ratio(x, y, least) for x, y in zip(a, b, strict=True)], dtype="float64")
+            yield pd.Series(set_ratios(a.tolist(), b.tolist(), least))
 
     return ratio

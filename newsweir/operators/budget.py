@@ -21,9 +21,10 @@ def call_costs(calls: DataFrame, prices: DataFrame, write: float = 1.25, read: f
 def running(calls: DataFrame, order: list[str], cost: str = "cost", span: str = "bucket") -> DataFrame:
     """`calls` with spent, the sum of cost up to each call in `order`.
 
-    The sum goes over spans of the first order column's days first and then within a day, so no task has all calls."""
-    day = F.to_date(order[0]) if dict(calls.dtypes)[order[0]].startswith("timestamp") else F.expr(f"{order[0]} div 100000")
-    x = calls.withColumn(span, day)
+    The sum goes over spans of the first order column (minutes, or 100,000 numbers) first and then within a span, so no
+    task has all calls."""
+    of = F.date_trunc("minute", order[0]) if dict(calls.dtypes)[order[0]].startswith("timestamp") else F.expr(f"{order[0]} div 100000")
+    x = calls.withColumn(span, of)
     sums = x.groupBy(span).agg(F.sum(cost).alias("c"))
     sums = sums.select(F.col(span).alias("_s"), F.coalesce(F.sum("c").over(Window.orderBy(span).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("base"))
     w = Window.partitionBy(span).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

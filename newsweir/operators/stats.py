@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def top(df: DataFrame, key: Column, name: str, k: int, order: str = "seq") -> DataFrame:
     """The k most frequent values with n and their share of all rows; ties in the order in which they first come."""
     g = df.groupBy(key.alias(name)).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    g = g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
-    return g.orderBy(F.desc("n"), "first").limit(k).drop("first")
+    # the total is one row, so that the values, which can be very many, needn't meet in one task
+    some = g.orderBy(F.desc("n"), "first").limit(k).crossJoin(F.broadcast(df.agg(F.count("*").alias("all"))))
+    return some.orderBy(F.desc("n"), "first").select(name, "n", (F.col("n") / F.col("all")).alias("share"))
 
 
 def hours_of_day(df: DataFrame, at: Column) -> DataFrame:

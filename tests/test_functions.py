@@ -62,10 +62,24 @@ def test_set_ratio():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 row[i + 1][j + 1] = row[i][j] + 1 if x == y else max(row[i][j + 1], row[i + 1][j])
-        assert text._lcs(a, b) == row[-1][-1]
+        assert text.lcs_lengths([a], [b]).tolist() == [row[-1][-1]]
         assert text.set_ratio(a, b) == text.set_ratio(b, a) and 0 <= text.set_ratio(a, b) <= 100
 
 
+def test_lengths_of_many_pairs():
+    rng = random.Random(3)
+    pairs = [("".join(rng.choices("abcdé日", k=rng.randrange(200))), "".join(rng.choices("abcdé日", k=rng.choice([0, 5, 63, 64, 65, 128, 200])))) for _ in range(120)]
+    got = text.lcs_lengths([a for a, _ in pairs], [b for _, b in pairs])
+    for (a, b), n in zip(pairs, got.tolist(), strict=True):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+        assert n == row[-1]
+    assert text.set_ratios(["a b", None, "x"], ["b a", "x", ""]).tolist() == [100, 0, 0]
+
+
 def test_dates(spark):
     day = datetime(2026, 4, 27)
     assert one(spark, "https://e.com/2026/04/27/x", dates.from_url) == day and one(spark, "https://e.com/2026/02/31/", dates.from_url) is None
