@@ -8,7 +8,8 @@ windows with the same anchor form a run, and a run is known by its anchor's hash
 2. Runs with equal digests form a class, of which the first and the last run stand for all: a class of very many copies sends
    two strings on, not more.
 3. The strings of all anchors with two runs or more are dealt to tasks by anchor, so that equal windows meet in one task, and
-   a `settle` function compares them and says which windows occur twice, copies of whole runs included.
+   the two strings of a class are compared as they lie side by side, and a `settle` function compares the windows of all
+   different strings and says which occur twice.
 4. Anchors with more than MANY classes never meet in a task: their strings are cut into parts of few windows, dealt by the
    symbols that these have in common, and parts of which more than MANY meet are counted by digests of single windows.
 5. Repeated windows go back to all runs of their class and to their documents, which are read once more to apply them.
@@ -127,17 +128,23 @@ def _settled(settle: Callable, dtype: str, width: int):
     """Ranges of windows that occur in two strings, from strings in order of bucket."""
 
     def work(keys: list[np.ndarray], data: list[bytes]):
-        text = np.frombuffer(b"".join(data), dtype)
-        size = np.array([len(d) for d in data]) // text.itemsize
-        at = np.cumsum(size) - size
-        windows = size - width + 1
-        first = np.cumsum(windows) - windows
-        starts = np.arange(int(windows.sum())) + np.repeat(at - first, windows)
         key = np.concatenate(keys)  # mh, c1, c2, off
-        a, b = _ranges_within(settle(text, starts), first, windows)
+        alike = np.concatenate([[False], (key[1:] == key[:-1]).all(axis=1)])
+        # a string that is equal to the one before, byte for byte, is its copy: all windows of both are repeated
+        copy = np.array([bool(x) and data[k] == data[k - 1] for k, x in enumerate(alike.tolist())], bool)
+        windows = np.array([len(d) for d in data]) // np.dtype(dtype).itemsize - width + 1
+        own = np.flatnonzero(~copy)
+        text = np.frombuffer(b"".join([data[k] for k in own.tolist()]), dtype)
+        count = windows[own]
+        at, first = np.cumsum(count + width - 1) - (count + width - 1), np.cumsum(count) - count
+        starts = np.arange(int(count.sum())) + np.repeat(at - first, count)
+        a, b = _ranges_within(settle(text, starts), first, count)
         of = np.searchsorted(first, a, "right") - 1
-        move = key[of, 3] - first[of]
-        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(3)), pa.array(a + move), pa.array(b + move)], names=[*_CLASS, "a", "b"])
+        move = key[own[of], 3] - first[of]
+        twice = np.flatnonzero(copy)
+        of = np.concatenate([own[of], twice])
+        a, b = np.concatenate([a + move, key[twice, 3]]), np.concatenate([b + move, key[twice, 3] + windows[twice]])
+        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(3)), pa.array(a), pa.array(b)], names=[*_CLASS, "a", "b"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, data, held, last = [], [], 0, None
@@ -251,7 +258,7 @@ def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settl
     sizes = parts.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     parts = cut(parts.join(sizes, "bucket").select(*row, "c"), "parts")
     few = few.unionByName(parts.where(F.col("c") <= many).select(*row))
-    few = few.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_settled(settle, dtype, width), ranged)
+    few = few.repartition(n, "bucket").sortWithinPartitions("bucket", *_CLASS, "off").mapInArrow(_settled(settle, dtype, width), ranged)
     # and what is still too much for a task, by digests of single windows
     hot = parts.where(F.col("c") > many).select(*row).mapInArrow(_windows(width, dtype), "mh long, c1 long, c2 long, a long, w1 long, w2 long")
     counted = hot.groupBy("w1", "w2").agg(F.count("*").alias("c")).where("c > 1").select("w1", "w2")

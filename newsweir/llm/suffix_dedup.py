@@ -1,7 +1,7 @@
 """Exact substring dedup over bytes, with suffix arrays built by the difference-cover algorithm.
 
 `repeats` deals strings to tasks by anchor, so that equal windows meet in one task, however large the corpus; of strings with
-many copies it deals two. Every repeated string is found by a task's suffix array. A task sorts
+many copies it deals two, which are compared byte for byte as they lie side by side. A task sorts
 the suffixes of its strings by the difference cover {1, 2} modulo 3: it sorts the sampled triples, names them, recurses on
 the names until they are unique or cover a window, merges the remaining suffixes, and compares the prefixes of suffixes
 that are adjacent in order, byte by byte. Anchors with too many classes for one task are cut
