@@ -93,7 +93,8 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float =
     Returns sources (source, source_size, rn, target, blocks, slots, first), slots (slot, shard, rn, block, pass) and
     pieces (row, doc_id, size, rn, block, from, words, times): the part of a document that lies in a block, with how
     often the mix takes it. Null and empty texts have no words and no pieces; null is a source of its own; rows that
-    repeat a doc_id are documents of their own. An empty table, or one without words, gives empty tables."""
+    repeat a doc_id are documents of their own; of equal doc_ids the hash of the text gives the order. Texts of any length
+    are cut into blocks whole. An empty table, or one without words, gives empty tables."""
     spark = docs.sparkSession
     sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("tie"), F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(BUCKETS)).alias("bucket")), "sized")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))

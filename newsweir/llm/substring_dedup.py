@@ -89,7 +89,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, with_text: bool = False
     """Remove every word that lies in a window of `width` words whose sequence also starts elsewhere in `docs`.
 
     One row per document: doc_id, n_words, n_removed, kept_sha256, and with `with_text` the kept words joined by a space.
-    Windows are judged on the input; null texts have no words; rows that repeat a doc_id are documents of their own."""
+    Windows are judged on the input; null texts have no words; rows that repeat a doc_id are documents of their own,
+    so equal rows lose all windows; texts of any length are taken whole; an empty table gives an empty one."""
     spans = repeated_windows(docs, _words, _same, lambda t, s: equal_windows(t, s, width), width, (width + 3) // 4, "u8", **how)
     t, q = docs.select("doc_id", "text", F.xxhash64("text").alias("k")).alias("t"), spans.alias("q")
     x = t.join(q, F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & F.col("t.k").eqNullSafe(F.col("q.k")), "left").select("t.doc_id", "text", "spans")

@@ -118,7 +118,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_
 
     One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with `with_text`
     the kept bytes. Strings are judged on the input; null texts are empty; texts shorter than `width` stay; rows that
-    repeat a doc_id are documents of their own, so equal rows lose all windows."""
+    repeat a doc_id are documents of their own, so equal rows lose all windows; texts of any length are taken whole; an
+    empty table gives an empty one."""
     spans = repeated_windows(docs, _bytes, _BYTE_HASH.__getitem__, lambda t, s: equal_windows(t, s, width), width, gram, "u1", **how)
     t, q = docs.select("doc_id", "text", F.xxhash64("text").alias("k")).alias("t"), spans.alias("q")
     x = t.join(q, F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & F.col("t.k").eqNullSafe(F.col("q.k")), "left").select("t.doc_id", "text", "spans")

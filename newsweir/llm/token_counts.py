@@ -49,7 +49,8 @@ def section_tokens(docs: DataFrame, name: str = TOKENIZER, rule: str = "first")
     """One row per section (line) of every document: doc_id, section (from 0), begin, end (characters), n_tokens.
 
     Null and empty texts have one section of no tokens. The counts of a document's sections sum to its tokens. Rows that
-    repeat a doc_id give their own sections."""
+    repeat a doc_id give their own sections; texts of any length are encoded whole; a token that begins where two sections
+    meet belongs to the later one; an empty table gives an empty one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Pieces.of(name, offsets=True)

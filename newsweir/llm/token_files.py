@@ -136,7 +136,8 @@ def _writer(name: str, end_id: int, per_file: int):
 
 def write_token_files(docs: DataFrame, path: str, name: str = TOKENIZER, end_id: int = END, per_file: int = PER_FILE) -> None:
     """Encode every text (null: empty), append `end_id` to each, and write the files to the table `path` in ascending
-    order of doc_id (null first; rows that repeat a doc_id in the order of their texts' hashes)."""
+    order of doc_id (null first; rows that repeat a doc_id in the order of their texts' hashes). Texts of any length are
+    encoded whole; an empty table gives a table without files."""
     n = partitions(docs.sparkSession)
     by_range = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     by_range.mapInArrow(_writer(name, end_id, per_file), "part int, seg int, n_tokens long, blob binary").write.option("compression", "none").parquet(path)

@@ -38,3 +38,14 @@ def test_pipeline(spark, tmp_path):
     assert sorted((r.doc_id, r.n_tokens) for r in seen["token files"]) == want
     assert max(r.start + r.n_tokens for r in seen["token files"]) == sum(n for _, n in want)
     assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == len(want)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    """Empty tables, and a table of odd rows alone, go through all stages."""
+    import corpus_pipeline
+
+    odd = [(1, None, None, None, None), (2, "", "en", None, 0), (2, "one two three", None, None, 13), (None, "one two three", None, "s", 13), (5, "one two three", None, "s", 13)]
+    for name, rows, want in (("none", [], 0), ("odd", odd, 2)):
+        spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        assert len(corpus_pipeline.run(spark, f"{tmp_path}/{name}").select("doc_id").distinct().collect()) == want, name
