@@ -128,23 +128,26 @@ def _settled(settle: Callable, dtype: str, width: int):
     """Ranges of windows that occur in two strings, from strings in order of bucket."""
 
     def work(keys: list[np.ndarray], data: list[bytes]):
-        key = np.concatenate(keys)  # mh, c1, c2, off
+        key = np.concatenate(keys)  # bucket, mh, c1, c2, off
         alike = np.concatenate([[False], (key[1:] == key[:-1]).all(axis=1)])
         # a string that is equal to the one before, byte for byte, is its copy: all windows of both are repeated
         copy = np.array([bool(x) and data[k] == data[k - 1] for k, x in enumerate(alike.tolist())], bool)
         windows = np.array([len(d) for d in data]) // np.dtype(dtype).itemsize - width + 1
+        # a string that is alone in its bucket is compared with none: its windows have one anchor at unlike places
         own = np.flatnonzero(~copy)
+        new = np.concatenate([[True], key[own[1:], 0] != key[own[:-1], 0]])
+        own = own[~(new & np.append(new[1:], True))]
         text = np.frombuffer(b"".join([data[k] for k in own.tolist()]), dtype)
         count = windows[own]
         at, first = np.cumsum(count + width - 1) - (count + width - 1), np.cumsum(count) - count
         starts = np.arange(int(count.sum())) + np.repeat(at - first, count)
         a, b = _ranges_within(settle(text, starts), first, count)
         of = np.searchsorted(first, a, "right") - 1
-        move = key[own[of], 3] - first[of]
+        move = key[own[of], 4] - first[of]
         twice = np.flatnonzero(copy)
         of = np.concatenate([own[of], twice])
-        a, b = np.concatenate([a + move, key[twice, 3]]), np.concatenate([b + move, key[twice, 3] + windows[twice]])
-        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(3)), pa.array(a), pa.array(b)], names=[*_CLASS, "a", "b"])
+        a, b = np.concatenate([a + move, key[twice, 4]]), np.concatenate([b + move, key[twice, 4] + windows[twice]])
+        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(1, 4)), pa.array(a), pa.array(b)], names=[*_CLASS, "a", "b"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, data, held, last = [], [], 0, None
@@ -152,7 +155,7 @@ def _settled(settle: Callable, dtype: str, width: int):
             if not batch.num_rows:
                 continue
             bucket, d = batch.column(0).to_numpy(), batch.column(5).to_pylist()
-            k = np.stack([batch.column(j).to_numpy() for j in range(1, 5)], 1)
+            k = np.stack([batch.column(j).to_numpy() for j in range(5)], 1)
             lo = 0
             for c in [*np.flatnonzero(np.concatenate([[last != bucket[0]], bucket[1:] != bucket[:-1]])).tolist(), len(k)]:
                 if c > lo:
