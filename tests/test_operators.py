@@ -218,14 +218,14 @@ def test_registry():
     assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 40
 
 
-@pytest.mark.parametrize("name", ["url_canonical", "story_clusters", "earliest_copy", "budget_running_cap"])
+@pytest.mark.parametrize("name", ["url_canonical", "story_clusters", "earliest_copy", "budget_running_cap", "date_from_text", "page_links", "review_panel", "versions_compared", "batch_report", "channel_previews"])
 def test_catalogue_against_sql(spark, name):
     import duckdb
-    from newsweir.plans import catalog
+    from newsweir.plans import catalog, catalog_rules  # noqa: F401, the second adds to the first
 
     d = "/root/testdata/sf0.001"
     c = duckdb.connect()
-    for t in ("pages", "documents", "events"):
+    for t in ("pages", "documents", "events", "labels"):
         c.sql(f"create view {t} as select * from '{d}/{t}.parquet'")
     got = catalog.QUERIES[name](spark, d).toPandas()
     want = c.sql(catalog.SQL[name]).df()[list(got.columns)]
