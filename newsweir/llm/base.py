@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +47,22 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     ends = np.cumsum(counts)
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - counts), counts)
+
+
+def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts and where each starts (and the last ends); null is empty."""
+    texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, at - at[0]
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with at most `size` bytes, or of one row."""
+    at, lo = utf8(texts)[1], 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + size, "right")) - 1)
+        yield lo, hi
+        lo = hi

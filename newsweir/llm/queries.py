@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .base import table
 
@@ -79,6 +80,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without lines that many documents hold."""
+    from .line_dedup import without_common_lines
+
+    out = without_common_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and put together for filling in the middle."""
+    from .fill_middle import fill_middle, restored
+
+    out = fill_middle(table(spark, sf_dir, "documents"))
+    back = F.sha2(restored(F.col("output"), F.col("form")), 256)
+    return out.select("doc_id", "n", "form", F.col("prefix_n").alias("prefix_chars"), F.col("middle_n").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"), back.alias("restored_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, by source."""
+    from .filter_audit import audited, failures
+
+    return audited(failures(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries op<N>_<name> of the subpackage."""
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
@@ -86,7 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {"op6_decontamination": OP6, "op2_mixing": OP2, "op1_suffix_array_dedup": OP1, "op8_substring_dedup": OP8, "op9_embedding_near_dedup": OP9}
+    return {"op6_decontamination": OP6, "op2_mixing": OP2, "op1_suffix_array_dedup": OP1, "op8_substring_dedup": OP8, "op9_embedding_near_dedup": OP9, "op11_line_dedup": OP11, "op12_fill_in_middle": OP12, "op13_filter_audit": OP13}
 
 
 OP6 = r"""
@@ -177,3 +202,41 @@ r(id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON
 n AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN m ON id = vec_id LEFT JOIN n ON a = vec_id
 """
+
+OP11 = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+line AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+cut AS (SELECT *, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line),
+often AS (SELECT key, max(doc_id) AS last FROM cut WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, chr(10) ORDER BY p) AS t FROM cut LEFT JOIN often USING (key) WHERE last IS NULL OR last = doc_id GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_lines, (len(w) - coalesce(n, 0))::BIGINT AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || doc_id) AS h FROM documents),
+g AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS u, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS v, CAST('0x' || h[17:24] AS BIGINT) % 100 AS r, CAST('0x' || h[25:32] AS BIGINT) % 100 AS s FROM d),
+f AS (SELECT *, least(u, v) AS a, greatest(u, v) AS b, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 90 THEN 'plain' WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+o AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS z FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM o
+"""
+
+OP13 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+e AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+f AS (SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * (doc_id > least)::INT AS fails,
+        coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM d JOIN e USING (t) LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS c, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+parts AS (SELECT DISTINCT part FROM g),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+o(filter_order, mask) AS (SELECT '', 0 UNION ALL SELECT filter_order || letter, mask + bit FROM o JOIN x ON mask & bit = 0),
+steps AS (SELECT o.filter_order, step, letter, bit, (SELECT coalesce(sum(y.bit), 0) FROM x y WHERE instr(substring(o.filter_order, 1, step - 1), y.letter) > 0)::INT AS before
+          FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o WHERE mask = 31) o JOIN x ON letter = substring(o.filter_order, step, 1)),
+s AS (SELECT part, filter_order, step, letter, coalesce(sum(c) FILTER (fails & (before | bit) = 0), 0)::BIGINT AS kept,
+        coalesce(sum(c) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS removed, coalesce(sum(c) FILTER (fails & before > 0 AND fails & bit > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(c) FILTER (fails = bit), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit > 0), 0)::BIGINT AS toxic_lost FROM parts JOIN g USING (part) CROSS JOIN steps GROUP BY ALL)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM s
+"""
