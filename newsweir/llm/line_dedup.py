@@ -181,7 +181,7 @@ def _routed(common: bytes, shards: int, min_docs: int):
         for batch in batches:
             shard = batch.column("h").to_numpy() % shards
             held, gone = _gone(index, batch, min_docs)
-            shard[gone] = -1 - batch.column("k").to_numpy()[gone] % shards
+            shard[gone] = -1 - (batch.column("id").to_numpy()[gone] + gone) % shards  # dealt out evenly, whatever the rows are
             stays = np.ones(batch.num_rows, bool)
             stays[held] = False
             stays[gone] = True
@@ -260,5 +260,6 @@ def without_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs:
     discard(lines)
     discard(counts)
     key = docs.schema["doc_id"].dataType.simpleString()
-    out = texts.join(gone, ["id", "k"], "left").select("doc_id", "text", "lines")
+    # a merge join at every size: texts are dealt out alike whether or not the lines that go would fit into a broadcast
+    out = texts.join(gone.hint("merge"), ["id", "k"], "left").select("doc_id", "text", "lines")
     return out.mapInArrow(_kept, f"doc_id {key}, n_lines long, n_dropped long, kept string")
