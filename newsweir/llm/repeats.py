@@ -8,8 +8,8 @@ windows with the same anchor form a run, and a run is known by its anchor's hash
 2. Runs with equal digests form a class, of which the first and the last run stand for all: a class of very many copies sends
    two strings on, not more.
 3. The strings of all anchors with two runs or more are dealt to tasks by anchor, so that equal windows meet in one task, and
-   the two strings of a class are compared as they lie side by side, and a `settle` function compares the windows of all
-   different strings and says which occur twice.
+   a `settle` function compares the windows of all strings, those of the two runs of a class included, and says which occur
+   twice.
 4. Anchors with more than MANY classes never meet in a task: their strings are cut into parts of few windows, dealt by the
    symbols that these have in common, and parts of which more than MANY meet are counted by digests of single windows.
 5. Repeated windows go back to all runs of their class and to their documents, which are read once more to apply them.
@@ -101,14 +101,18 @@ def _runs(symbols: Callable, hashed: Callable, width: int, gram: int):
 
 
 def _slices(symbols: Callable, width: int):
-    """Symbols of the runs that a document is asked for."""
+    """Symbols of the runs that a document is asked for; a task answers for one of the rows that are equal in id and text."""
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answered: set[tuple] = set()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 out, data = [], []
-                for sym, want in zip(symbols(part.column(0)), part.column(1).to_pylist(), strict=True):
+                for doc, k, sym, want in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), symbols(part.column(2)), part.column(3).to_pylist(), strict=True):
+                    if (doc, k) in answered:
+                        continue
+                    answered.add((doc, k))
                     raw, size = memoryview(np.ascontiguousarray(sym)).cast("B"), sym.itemsize
                     for w in want:
                         out += [w] * w["times"]
@@ -129,25 +133,17 @@ def _settled(settle: Callable, dtype: str, width: int):
 
     def work(keys: list[np.ndarray], data: list[bytes]):
         key = np.concatenate(keys)  # bucket, mh, c1, c2, off
-        alike = np.concatenate([[False], (key[1:] == key[:-1]).all(axis=1)])
-        # a string that is equal to the one before, byte for byte, is its copy: all windows of both are repeated
-        copy = np.array([bool(x) and data[k] == data[k - 1] for k, x in enumerate(alike.tolist())], bool)
-        windows = np.array([len(d) for d in data]) // np.dtype(dtype).itemsize - width + 1
         # a string that is alone in its bucket is compared with none: its windows have one anchor at unlike places
-        own = np.flatnonzero(~copy)
-        new = np.concatenate([[True], key[own[1:], 0] != key[own[:-1], 0]])
-        own = own[~(new & np.append(new[1:], True))]
+        new = np.concatenate([[True], key[1:, 0] != key[:-1, 0]])
+        own = np.flatnonzero(~(new & np.append(new[1:], True)))
         text = np.frombuffer(b"".join([data[k] for k in own.tolist()]), dtype)
-        count = windows[own]
+        count = np.array([len(data[k]) for k in own.tolist()], np.int64) // np.dtype(dtype).itemsize - width + 1
         at, first = np.cumsum(count + width - 1) - (count + width - 1), np.cumsum(count) - count
         starts = np.arange(int(count.sum())) + np.repeat(at - first, count)
         a, b = _ranges_within(settle(text, starts), first, count)
         of = np.searchsorted(first, a, "right") - 1
-        move = key[own[of], 4] - first[of]
-        twice = np.flatnonzero(copy)
-        of = np.concatenate([own[of], twice])
-        a, b = np.concatenate([a + move, key[twice, 4]]), np.concatenate([b + move, key[twice, 4] + windows[twice]])
-        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(1, 4)), pa.array(a), pa.array(b)], names=[*_CLASS, "a", "b"])
+        move, of = key[own[of], 4] - first[of], own[of]
+        return pa.RecordBatch.from_arrays([*(pa.array(key[of, j]) for j in range(1, 4)), pa.array(a + move), pa.array(b + move)], names=[*_CLASS, "a", "b"])
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, data, held, last = [], [], 0, None
@@ -251,7 +247,7 @@ def repeated_windows(docs: DataFrame, symbols: Callable, hashed: Callable, settl
     asked = asked.select("x.at.doc_id", "x.at.k", F.struct(*_CLASS, "n", "classes", "x.times", "x.at.s").alias("want"))
     asked = asked.groupBy("doc_id", "k").agg(F.collect_list("want").alias("want"))
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & F.col(f"{a}.k").eqNullSafe(F.col(f"{b}.k"))
-    strings = texts.alias("t").join(asked.alias("q"), same("t", "q")).select("text", "want")
+    strings = texts.alias("t").join(asked.alias("q"), same("t", "q")).select("t.doc_id", "t.k", "text", "want")
     strings = cut(strings.mapInArrow(_slices(symbols, width), "mh long, c1 long, c2 long, n long, classes long, data binary"), "strings")
     n, ranged = partitions(docs.sparkSession), "mh long, c1 long, c2 long, a long, b long"
     row = ["bucket", *_CLASS, "off", "data"]
