@@ -14,6 +14,7 @@ JUNK = [
     "/register", "/signup", "/sign-up", "/contact", "/contacts", "/contact-us", "/contact.html", "/feedback", "/support", "doubleclick.net", "googleadservices", "google.com/url?",
     "googletagmanager.com", "ga4-", "/redir?", "/redirect?", "/click?", "/r.php?", "/search?", "/search/", "?q=",
 ]
+_WITH_HOST = ["http", "https", "ftp", "file", "ws", "wss"]
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 
 
@@ -43,7 +44,7 @@ def _encoded(x: Column) -> Column:
 def canonical(url: Column) -> Column:
     """Lower-case scheme (https if none) and host, no default port, no tracking parameters, no fragment, an empty path as /.
 
-    Null for null, and for URLs without a host, which have no canonical form."""
+    A URL without a host keeps its path: https:///path, or mailto:name where the scheme has no host. Null for null."""
     u = strip(url)
     scheme = F.coalesce(F.nullif(F.lower(part(u, 1)), F.lit("")), F.lit("https"))
     host = F.when(scheme == "http", F.regexp_replace(netloc(u), ":80$", "")).when(scheme == "https", F.regexp_replace(netloc(u), ":443$", "")).otherwise(netloc(u))
@@ -52,7 +53,8 @@ def canonical(url: Column) -> Column:
     named = F.transform(pairs, lambda x: F.struct(_decoded(F.regexp_extract(x, "^([^=]*)", 1)).alias("k"), _decoded(F.regexp_extract(x, "^[^=]*=(.*)$", 1)).alias("v")))
     kept = F.filter(named, lambda x: ~F.lower(x["k"]).isin(TRACKING))
     query = F.array_join(F.transform(kept, lambda x: F.concat(_encoded(x["k"]), F.lit("="), _encoded(x["v"]))), "&")
-    return F.when(netloc(u) != "", F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
+    slashes = (host != "") | F.startswith(path, F.lit("//")) | (scheme.isin(_WITH_HOST) & F.startswith(path, F.lit("/")))
+    return F.concat(scheme, F.when(slashes, "://").otherwise(":"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
 
 
 def url_hash(url: Column) -> Column:

@@ -34,3 +34,18 @@ def running(calls: DataFrame, order: list[str], cost: str = "cost", span: str =
 def within(calls: DataFrame, cap: float, order: list[str], cost: str = "cost") -> DataFrame:
     """Calls up to the cap: the call that breaks it is charged, but it and all later ones give nothing."""
     return running(calls, order, cost).where(F.col("spent") <= cap)
+
+
+def charged(articles: DataFrame, cap: float, order: list[str]) -> DataFrame:
+    """The calls (an array of structs step, call, key, cost) of articles, one row each, in order of article and step, with
+    spent; up to the one that breaks the cap, which is charged too. What was spent is the last row's, the greatest."""
+    x = running(articles.select(*order, F.inline("calls")), [*order, "step"])
+    return x.where(F.col("spent") - F.col("cost") <= cap)
+
+
+def whole_within(articles: DataFrame, cap: float, order: list[str]) -> DataFrame:
+    """The articles all of whose calls are within the cap: the one whose call breaks it is lost, though its earlier calls were
+    paid, and so are all after it. Articles without calls stay if no call before them breaks the cap."""
+    x = articles.withColumn("_cost", F.aggregate("calls", F.lit(0.0), lambda a, c: a + c["cost"]))
+    # costs aren't negative: an article's last call is its dearest sum
+    return running(x, order, "_cost").where(F.col("spent") <= cap).drop("_cost")

@@ -5,13 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..functions.dates import is_fresh
 from ..functions.urls import domain, url_hash
 from ..operators import budget, dedup, origins
+from ..sources.state import Store
+from ..storage import cut
+from . import calls
 
 
 @dataclass
@@ -31,7 +34,8 @@ class Settings:
     press: list[str] = field(default_factory=list)
     mirrors: list[str] = field(default_factory=list)
     whitelist: list[str] = field(default_factory=list)
-    sections: list[str] = field(default_factory=list)
+    sections: list[str | tuple[str, str]] = field(default_factory=list)
+    shots: list[tuple[str, str]] = field(default_factory=list)
 
 
 def graded(articles: DataFrame, s: Settings, seen: DataFrame | None = None) -> DataFrame:
@@ -42,7 +46,8 @@ def graded(articles: DataFrame, s: Settings, seen: DataFrame | None = None) -> D
     x = articles.where(is_fresh(F.col("published_at"), s.hours, s.now)).withColumn("url_hash", url_hash(F.col("url")))
     names = [n for name, aliases, _ in s.brands for n in (name, *aliases)]
     x = x.withColumn("reason", rules.blacklist_reason(F.col("url"), F.col("title"), s.blocked_domains, s.blocked_phrases, names))
-    order = Window.partitionBy("url_hash", F.col("reason").isNull()).orderBy("seq")
+    own = F.coalesce("url_hash", F.concat(F.lit("seq "), F.col("seq").cast("string")))  # an article without a URL has no copies
+    order = Window.partitionBy(own, F.col("reason").isNull()).orderBy("seq")
     x = x.withColumn("copy", F.when(F.col("reason").isNull(), F.row_number().over(order)).otherwise(1))
     x = dedup.restored(x, seen, s.portal) if seen is not None else x.withColumn("from_cache", F.lit(False))
     html = F.col("html") if "html" in articles.columns else F.lit(None).cast("string")
@@ -82,29 +87,44 @@ def with_primary(articles: DataFrame, s: Settings, corpus: DataFrame | None = No
     return x.withColumns({"primary_url": best["url"], "primary_domain": best["domain"], "primary_confidence": best["confidence"], "primary_method": F.when(found, "earliest").when(F.col("p.url") == F.col("url"), "self").otherwise("links")}).drop("p", "e")
 
 
-def production_run(articles: DataFrame, seen: DataFrame, titles: DataFrame, answers: DataFrame, s: Settings) -> dict[str, DataFrame]:
-    """rows: what is published of a run; seen: the state after it; summary: its counters.
+def production_run(articles: DataFrame, seen: DataFrame, titles: DataFrame, answers: DataFrame | dict[str, DataFrame], s: Settings) -> dict[str, DataFrame]:
+    """rows: what is published of a run; marks: what the state gets, and seen: the state with it; summary: its counters;
+    requests: with one table of answers a call (`plans.calls`), the calls that have no answer yet. Those of a run that isn't
+    committed can be answered and the run made again; articles that wait aren't marked seen.
 
     Fresh candidates not seen before and without a similar title get a model's answers in order of seq until the cost
-    breaks the cap: rows before that are published and marked seen, the others, and the rejected, come again."""
-    found = dedup.fresh_candidates(articles, s.hours, s.now)
-    new = dedup.without_similar(dedup.unseen(found, seen), titles, s.title_threshold)
-    answered = with_answers(new.withColumn("verdict", F.lit("possible_news")), answers, s)
-    paid = budget.within(answered, s.cap, ["seq"])
+    breaks the cap: rows before that are published and marked seen, the others, and the rejected, come again. Steps that are
+    read twice are written once, and counted by observation as they are."""
+    told = {step: Observation(step) for step in ("found", "fresh", "new", "paid", "written")}
+    n = F.count(F.lit(1)).alias("n")
+    found = cut(dedup.fresh_candidates(articles.observe(told["found"], n), s.hours, s.now).observe(told["fresh"], n), "fresh")
+    new = dedup.without_similar(dedup.unseen(found, seen), titles, s.title_threshold).observe(told["new"], n)
+    new = new.withColumn("verdict", F.lit("possible_news"))
+    one = isinstance(answers, DataFrame)
+    answered = cut(with_answers(new, answers, s) if one else calls.chained(new, answers, [(n, "") if isinstance(n, str) else n for n in s.sections], s.shots, s.country), "answered")
+    within = budget.within(answered, s.cap, ["seq"]) if one else budget.whole_within(answered, s.cap, ["seq"]).where("pending is null")
+    paid = cut(within.observe(told["paid"], n, F.round(F.coalesce(F.sum("cost"), F.lit(0.0)), 5).alias("cost")), "paid")
     kept = with_primary(paid.where("verdict = 'certain_news' and note is null"), s, articles)
     rows = kept.select(
         "seq", text.combined_title(F.col("title_en"), F.col("title_ru"), F.upper(F.coalesce("source_language", F.lit("")))).alias("title"), "section", "region", F.lit(s.country).alias("country"), "url", domain(F.col("url")).alias("domain"),
         "published_at", "primary_url", "primary_domain", "primary_confidence", F.bround("confidence", 3).alias("confidence"), "url_hash",
     )
-    marks = kept.select("url_hash", "canonical_url", "title", "published_at", F.lit(s.now).alias("first_seen_at"), F.lit(s.now).alias("last_seen_at"), "source_domain", F.lit(s.portal).alias("portal"), F.lit(None).cast("string").alias("cached_row_json"))
-    # one pass over small marks of every step
-    steps = {"found": articles, "fresh": found, "new": new, "written": rows}
-    marks_of = [d.select(F.lit(c).alias("step"), F.lit(0.0).alias("cost")) for c, d in steps.items()] + [paid.select(F.lit("paid").alias("step"), F.coalesce("cost", F.lit(0.0)).alias("cost"))]
-    every = marks_of[0]
-    for m in marks_of[1:]:
-        every = every.unionByName(m)
-    summary = every.agg(*[F.count_if(F.col("step") == c).alias(c) for c in steps], F.round(F.sum("cost"), 5).alias("cost"))
-    return {"rows": rows, "seen": dedup.upserted(seen, marks), "summary": summary}
+    rows = cut(rows.observe(told["written"], n), "rows")
+    marks = paid.join(rows.select("seq"), "seq", "left_semi").select("url_hash", "canonical_url", "title", "published_at", F.lit(s.now).alias("first_seen_at"), F.lit(s.now).alias("last_seen_at"), "source_domain", F.lit(s.portal).alias("portal"), F.lit(None).cast("string").alias("cached_row_json"))
+    counts = {step: o.get.get("n") or 0 for step, o in told.items()} | {"cost": told["paid"].get.get("cost") or 0.0}
+    summary = articles.sparkSession.createDataFrame([counts], ", ".join(f"{c} {'double' if c == 'cost' else 'long'}" for c in counts))
+    asked = {} if one else {"requests": calls.requests(answered)}
+    return asked | {"rows": rows, "marks": marks, "seen": dedup.upserted(seen, marks), "summary": summary}
+
+
+def committed_run(store: Store, run: str, articles: DataFrame, titles: DataFrame, answers: DataFrame, s: Settings) -> bool:
+    """Run and commit once under the name `run`: only the partitions of the state that the articles fall into are read and
+    rewritten, and of a run that failed half-way nothing is lost or written twice. False if it was committed before."""
+
+    def made() -> dict[str, DataFrame]:
+        return production_run(articles, store.seen_of(dedup.candidates(articles)), titles, answers, s)
+
+    return store.commit(run, made)
 
 
 def report_rows(articles: DataFrame) -> DataFrame:

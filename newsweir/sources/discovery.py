@@ -14,19 +14,27 @@ FEED_PATHS = ["/feed", "/rss", "/rss.xml", "/feed.xml", "/atom.xml", "/index.xml
 _HREF = r"(?is)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 
 
+def _resolved(segments: Column) -> Column:
+    """The path of segments, each `..` with the segment before it taken out, none above the root."""
+    up = lambda seen: F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0)))
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda seen, s: F.when(s == "..", up(seen)).when(s == ".", seen).otherwise(F.concat(seen, F.array(s))))
+    kept = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.concat(F.lit("/"), F.regexp_replace(F.array_join(kept, "/"), "^/", ""))
+
+
 def absolute(base: Column, href: Column) -> Column:
     """A link as seen from a page, without fragment; null for other schemes than http and https and for bare fragments."""
     h = F.regexp_replace(strip(href), "#.*$", "")
     root, scheme = F.regexp_extract(base, "^([A-Za-z]+://[^/?#]*)", 1), F.regexp_extract(base, "^([A-Za-z]+:)//", 1)
-    folder = F.concat(root, F.coalesce(F.nullif(F.regexp_extract(base, "^[A-Za-z]+://[^/?#]*(/[^?#]*/|/)", 1), F.lit("")), F.lit("/")))
-    full = (
+    path, query = F.regexp_extract(h, r"^([^?]*)", 1), F.regexp_extract(h, r"^[^?]*(\?.*)$", 1)
+    folder = F.split(F.regexp_extract(base, "^[A-Za-z]+://[^/?#]*((?:/[^/?#]*)*)/", 1), "/")
+    own = F.split(path, "/")
+    inner = F.filter(F.concat(folder, F.slice(own, F.lit(1), F.size(own) - 1)), lambda s: s != "")
+    below = F.concat(inner, F.slice(own, F.size(own), F.lit(1)))
+    return (
         F.when(h.rlike("^(?i)https?://"), h).when(h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None)).when(F.startswith(h, F.lit("//")), F.concat(scheme, h))
-        .when(F.startswith(h, F.lit("/")), F.concat(root, h)).when(F.startswith(h, F.lit("?")), F.concat(F.regexp_extract(base, "^([^?#]*)", 1), h)).when(h != "", F.concat(folder, h))
+        .when(F.startswith(h, F.lit("/")), F.concat(root, _resolved(own), query)).when(F.startswith(h, F.lit("?")), F.concat(F.regexp_extract(base, "^([^?#]*)", 1), h)).when(h != "", F.concat(root, _resolved(below), query))
     )
-    full = F.regexp_replace(full, r"/(?:\./)+", "/")
-    for _ in range(4):  # as deep as links go up
-        full = F.regexp_replace(full, r"(://[^/]+(?:/[^/]+)*?)/(?!\.\./)[^/]+/\.\./", "$1/")
-    return full
 
 
 def article_links(pages: DataFrame, limit: int, hints: list[str] = DISCOVERY_URL, by_canonical: bool = True) -> DataFrame:

@@ -39,7 +39,7 @@ def test_production_run(spark):
     assert set(rows) == {1}  # 6 breaks the cap, 5 is of another topic, 8 has no answer
     assert (rows[1].title, rows[1].section, rows[1].domain, rows[1].confidence) == ("EN: T 1 (EN)\nRU: Т (EN)", "Market", "blog.com", 0.877)
     assert (rows[1].primary_domain, rows[1].primary_confidence) == ("press.com", "high")  # an earlier article with a similar title
-    assert tuple(out["summary"].first()) == (8, 6, 4, 1, 0.2)
+    assert tuple(out["summary"].first()) == (8, 6, 4, 3, 1, 0.2)
     assert out["seen"].count() == 2
     more = runs.production_run(a, seen, known, said, runs.Settings(now=T, hours=48, cap=9.0, sections=["Market"]))
     assert {r.seq: r.section for r in more["rows"].collect()} == {1: "Market", 6: "Other news"}
