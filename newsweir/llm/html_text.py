@@ -9,7 +9,8 @@ page it bounds the main text, and what stands outside is bad; teaser cards in ar
 
 The second pass decides near-good blocks, good if a nearest decided neighbour on either side is, then the short ones, which
 inherit the label of the nearest decided neighbour, good if there are two as near and one is. Blocks that are bad by place have no say about blocks within
-the element that bounds the text, as an advert between two paragraphs says nothing about them.
+the element that bounds the text, as an advert between two paragraphs says nothing about them; and an item of links in a list or
+table there says nothing about a block without links.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 BLOCKS = {*"address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()}
 RAW = {*"script style noscript template svg math iframe object canvas video audio select textarea button title".split()}
 VOID = {*"area base br col embed hr img input link meta param source track wbr".split()}
+HEADINGS, LISTS = {*"h1 h2 h3 h4 h5 h6".split()}, {*"ul ol dl table".split()}
 BAD_ELEMENTS = {*"nav footer aside form menu dialog fieldset".split()}
 BAD_ROLES = {*"navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split()}
 # names of page parts that hold no article, and parts of names that say nothing
@@ -43,6 +45,7 @@ STOP = {*(
     "au aux avec ce ces cette dans de des du elle en est et il ils je la le les leur mais même ne nous on ou par pas plus pour qu que qui sa sans se ses son sont sur tout un une vous "
     "al como con cuando de del donde el ella en entre era es esta este fue ha hay la las le lo los más me mi muy no nos o para pero por que se si sin sobre su sus también un una y ya"
 ).split()}
+_WIDE = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _OTHER = re.compile(r"[\W\d_]+")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)?")
@@ -56,13 +59,14 @@ LINKS, LINKS_WITHIN, STOP_LOW, STOP_HIGH, SHORT, LONG = 0.33, 0.66, 0.12, 0.2, 7
 
 class Block(NamedTuple):
     """A block's text, its characters in links, whether its place is bad, whether it is inside a main (1) or article (2)
-    element, and whether it is a heading."""
+    element, whether it is a heading, and whether it is part of a list or table."""
 
     text: str
     linked: int
     bad: bool
     place: int
     heading: bool
+    listed: bool = False
 
 
 class _Tags:
@@ -148,7 +152,7 @@ def _bad_place(name: str, told: dict[str, str], in_article: bool) -> bool:
         return True
     if not told:
         return False
-    if "hidden" in told or told.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", told.get("style", "")[:1000], re.IGNORECASE):
+    if "hidden" in told or told.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", told.get("style", ""), re.IGNORECASE):
         return True
     if told.get("role", "").lower() in BAD_ROLES:
         return True
@@ -158,7 +162,7 @@ def _bad_place(name: str, told: dict[str, str], in_article: bool) -> bool:
 def blocks(page: str) -> list[Block]:
     """Blocks in page order. Empty ones are left out."""
     out, text, linked = [], [], 0
-    stack: list[tuple[str, bool, int]] = []  # name, bad, place
+    stack: list[tuple[str, bool, int, bool, bool]] = []  # name, bad, place, within a heading, within a list or table
     open_names: dict[str, int] = {}
     links, breaks, at, tags = 0, 0, 0, _Tags(page)
 
@@ -167,8 +171,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             joined = " ".join(html_lib.unescape("".join(text)).split())
             if joined:
-                bad, place = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                out.append(Block(joined, linked, bad, place, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[-3:])))
+                out.append(Block(joined, linked, *(stack[-1][1:] if stack else (False, 0, False, False))))
         text, linked = [], 0
 
     def put(part: str):
@@ -222,28 +225,34 @@ def blocks(page: str) -> list[Block]:
                 elif stack and stack[-1][0] == "p":
                     pop_to(len(stack) - 1)
             if name not in VOID and not closed and (name in BLOCKS or name in ("span", "b", "i", "em", "strong", "small", "font", "label", "a", "u")):
-                bad, place = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                bad, place, heading, listed = stack[-1][1:] if stack else (False, 0, False, False)
                 place = max(place, {"article": 2, "main": 1}.get(name, 0))
                 worse = bad or (name in BLOCKS or name == "span") and _bad_place(name, told, place > 0)
                 if name in BLOCKS or worse != bad:
-                    stack.append((name, worse, place))
+                    stack.append((name, worse, place, heading or name in HEADINGS, listed or name in LISTS))
                     open_names[name] = open_names.get(name, 0) + 1
     put(page[at:])
     flush()
     return out
 
 
+def weight(text: str) -> int:
+    """Characters of a text, those of scripts that need about a third as many as Latin ones counted three times."""
+    return len(text) if len(text) >= LONG else len(text) + 2 * len(_WIDE.findall(text))
+
+
 def first_pass(b: Block) -> str:
     """good, bad, near or short, by the block alone."""
     if b.bad or b.linked > (LINKS_WITHIN if b.place else LINKS) * len(b.text):
         return "bad"
-    if b.heading or len(b.text) < SHORT:
+    size = weight(b.text)
+    if b.heading or size < SHORT:
         return "short"
     words = [w for w in _OTHER.split(b.text.lower()) if w]
     stop = sum(w in STOP for w in words) / max(len(words), 1)
-    if stop >= (STOP_LOW if b.place else STOP_HIGH) and (b.place or len(b.text) > LONG):
+    if stop >= (STOP_LOW if b.place else STOP_HIGH) and (b.place or size > LONG):
         return "good"
-    return "short" if stop == 0 and len(b.text) < LONG else "near"
+    return "short" if stop == 0 and size < LONG else "near"
 
 
 def bound(found: list[Block], first: list[str]) -> int:
@@ -260,12 +269,15 @@ def second_pass(found: list[Block], first: list[str], within: int) -> list[bool]
     """Whether each block is main text: near-good blocks are decided by their neighbours, then short ones by theirs."""
     now = ["bad" if b.place < within else x for b, x in zip(found, first, strict=True)]
     mute = [x == "bad" and within > 0 and (b.bad or b.place < within) for b, x in zip(found, now, strict=True)]
+    links = [x == "bad" and within > 0 and b.listed for b, x in zip(found, now, strict=True)]  # bad by their links, if not by place
     anything, near_there = "good" in now, "near" in now
     for kind in ("near", "short"):
-        says, then = [k for k, x in enumerate(now) if x in ("good", "bad") and not mute[k]], now[:]
+        every, then = [k for k, x in enumerate(now) if x in ("good", "bad") and not mute[k]], now[:]
+        plain = [k for k in every if not links[k]]  # those that have a say about a block without links
         for k, x in enumerate(now):
             if x != kind:
                 continue
+            says = every if found[k].linked else plain
             at = bisect.bisect(says, k)
             by = [(abs(d - k), now[d] == "bad") for d in says[max(at - 1, 0) : at + 1]]
             if kind == "near":  # where no block is good alone, near-good ones are the text
