@@ -3,10 +3,13 @@
 import random
 from collections import Counter
 
+import math
+
 import numpy as np
 import pytest
 from newsweir.llm import near_dedup, vector_dedup
 from newsweir.operators import components as graph
+from pyspark.sql import functions as F
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -223,3 +226,38 @@ def test_sparse_vectors_are_audited(spark, monkeypatch):
     monkeypatch.setattr(vector_dedup, "_compare", lambda *a: compare(*a).where("sim < 0.9"))
     got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_vectors(df).collect()}
     assert got == {i: (0, i) for i in range(1500)} | {3: (1, 3), 1400: (1, 3), 700: (1, 700), 1450: (1, 700)}
+
+
+def test_links_come_from_the_lists(spark, monkeypatch):
+    """2,000 vectors with pairs, a chain, a dense group, equal vectors and repeated ids: all links are found by the search, the
+    audit comes to its sample alone, and no brute force is run. The same where nothing is linked."""
+    r = np.random.default_rng(7)
+    x = r.standard_normal((2000, 32))
+    for k in range(0, 300, 2):  # pairs just above and just below the threshold
+        y = r.standard_normal(32)
+        y -= (y @ x[k]) * x[k] / (x[k] @ x[k])
+        c = [0.97, 0.905, 0.895][k // 2 % 3]
+        x[k + 1] = c * x[k] / np.linalg.norm(x[k]) + math.sqrt(1 - c * c) * y / np.linalg.norm(y)
+    for k in range(301, 330):
+        x[k] = x[k - 1] + 0.25 * r.standard_normal(32)
+    x[400:460] = x[400] + 0.1 * r.standard_normal((60, 32))
+    x[500:520] = x[500]
+    ids = np.arange(2000) * 3
+    ids[510] = ids[500]  # a repeated id
+    monkeypatch.setattr(vector_dedup, "brute_force", lambda *a: pytest.fail("brute force"))
+    sizes = []
+    true = vector_dedup._true
+    monkeypatch.setattr(vector_dedup, "_true", lambda vectors, drawn, cosine: (sizes.append(drawn.count()), true(vectors, drawn, cosine))[1])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    classes = df.groupBy("embedding").agg(F.min("vec_id").alias("v")).select("v", F.col("embedding").alias("vec"))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argwhere(u @ u.T >= 0.9)
+    want = {(int(ids[a]), int(ids[b])) for a, b in near if a != b and not (500 < a < 520 or 500 < b < 520)}
+    monkeypatch.setattr(vector_dedup, "AUDIT", 200)
+    found = {(q.u, q.v) for q in vector_dedup.links(classes, 0.9).collect()}
+    assert found <= want and len(found) >= 0.98 * len(want) and len(want) > 3000
+    assert len(sizes) == 1 and 100 < sizes[0] < 320
+    far = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(r.standard_normal((500, 64)))], "v long, vec array<float>")
+    assert vector_dedup.links(far, 0.9).count() == 0 and len(sizes) == 2
+    got = {q.vec_id: q for q in vector_dedup.near_vectors(df.where("vec_id between 1400 and 1700")).dropDuplicates(["vec_id"]).collect()}
+    assert got[1500].component_id == got[1557].component_id == 1500 and got[1500].n_links == 19
