@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from ..functions.text import token_set_ratio
 from ..functions.urls import canonical, domain, url_hash
 from ..storage import cut, discard, partitions
 
+if TYPE_CHECKING:
+    from .title_index import TitleIndex
+
 #: The most that the characters of unrelated words are alike; runs of characters, and the share of them that may be left out.
 UNRELATED, GRAMS, LONG_RUN, SHORT_RUN, SHORT_TITLE = 0.62, 0.5, 6, 3, 40
 
@@ -56,7 +60,7 @@ def upserted(seen: DataFrame, run: DataFrame) -> DataFrame:
     return x.select(*[F.when(F.col("s.url_hash").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in keep], *newer)
 
 
-def _weighed(titles: DataFrame) -> DataFrame:
+def weighed_tokens(titles: DataFrame) -> DataFrame:
     """tid, token, weight (its share of the title) of distinct titles (tid, title): words by characters, and runs of
     characters across the words in order of the alphabet, as the ratio compares them (in short titles also shorter runs)."""
     words = F.array_distinct(F.filter(F.split("title", r"(?U)\s+"), lambda w: w != ""))
@@ -69,13 +73,37 @@ def _weighed(titles: DataFrame) -> DataFrame:
     return x.select("tid", F.explode(F.concat(F.transform("ws", word), F.transform("gs", gram))).alias("x")).select("tid", "x.token", "x.weight")
 
 
-def title_pairs(left: DataFrame, right: DataFrame, least: float, exact: bool = False) -> DataFrame:
-    """a, b, ratio: the pairs of distinct titles of `left` and `right` (title) with a ratio of `least` or more.
+def ranked_tokens(tokens: DataFrame, often: DataFrame) -> DataFrame:
+    """tid, token, before of weighed tokens: the share of a title in its commoner words, or runs of characters, and itself.
+    `often` (token, df) says how common tokens are; one that isn't there is rarer than all."""
+    order = Window.partitionBy("tid", F.substring("token", 1, 1)).orderBy(F.desc("df"), "token")
+    x = tokens.join(often, "token", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    return x.select("tid", "token", F.coalesce(F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)).alias("before"))
+
+
+def is_rare(least: float) -> Column:
+    """Whether two titles with a ratio of `least` may have to meet on a token: the commonest ones that together hold less than
+    what similar titles must share aren't needed."""
+    need = max(0.05, (least / 100 - UNRELATED) / (1 - UNRELATED))
+    return F.col("before") >= F.when(F.startswith("token", F.lit("w")), need).otherwise(GRAMS)
+
+
+def compared(found: DataFrame, a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """a, b, ratio of candidate pairs (a, b: numbers of titles of the tables a and b: tid, title) that have a ratio of `least`."""
+    of = lambda t, p: t.select(F.col("tid").alias(p), F.col("title").alias(f"t{p}"))
+    x = found.join(of(a, "a"), "a").join(of(b, "b"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).repartition(partitions(found.sparkSession))
+    return cut(x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least), "similar")
+
+
+def title_pairs(left: DataFrame, right: DataFrame | TitleIndex, least: float, exact: bool = False) -> DataFrame:
+    """a, b, ratio: the pairs of distinct titles of `left` and `right` (title, or an index of titles) with a ratio of `least`
+    or more.
 
     Titles meet on a word or on a run of characters that is among the rarest of one of them: of words as many as hold more
-    than all but `need` of its characters, of runs as many as are more than all but `GRAMS` of them, where `need` is the
-    share that common words must have if the other words are as alike as unrelated ones can be. `exact` compares all pairs,
-    block by block, for tables of moderate size and for measuring what the search finds."""
+    than all but a share of its characters (see `is_rare`), of runs as many as are more than all but `GRAMS` of them. `exact`
+    compares all pairs, block by block, for tables of moderate size and for measuring what the search finds."""
+    if not isinstance(right, DataFrame):
+        return right.pairs(left, least)
     l, r = (x.where("title <> ''").select("title").distinct().withColumn("tid", F.xxhash64("title")) for x in (left, right))
     titles = cut(l.withColumn("side", F.lit(1)).unionByName(r.withColumn("side", F.lit(2))).groupBy("tid").agg(F.min("title").alias("title"), F.sum("side").alias("side")), "titles")
     if exact:
@@ -84,26 +112,24 @@ def title_pairs(left: DataFrame, right: DataFrame, least: float, exact: bool = F
         one = blocks(titles.where("side <> 2"), "a").withColumn("b_at", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
         x = one.join(blocks(titles.where("side <> 1"), "b"), "b_at").select("a", "b")
         return x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least)
-    need = max(0.05, (least / 100 - UNRELATED) / (1 - UNRELATED))
-    tokens = cut(_weighed(titles), "tokens")
+    tokens = cut(weighed_tokens(titles), "tokens")
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = tokens.join(often, "token").withColumn("before", F.coalesce(F.sum("weight").over(Window.partitionBy("tid", F.substring("token", 1, 1)).orderBy(F.desc("df"), "token").rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)))
-    # the commonest tokens that together hold less than what two similar titles must share aren't needed
-    rare = F.col("before") >= F.when(F.startswith("token", F.lit("w")), need).otherwise(GRAMS)
-    ranked = cut(ranked.select("tid", "token", rare.alias("rare")).join(titles.select("tid", "side"), "tid"), "ranked")
+    # tokens of one title alone meet nothing
+    ranked = ranked_tokens(tokens.join(often.select("token"), "token", "left_semi"), often)
+    ranked = cut(ranked.select("tid", "token", is_rare(least).alias("rare")).join(titles.select("tid", "side"), "tid"), "ranked")
     side = lambda p, own, rare: ranked.where(own if not rare else f"({own}) and rare").select(F.col("tid").alias(p), "token")
     found = side("a", "side <> 2", True).join(side("b", "side <> 1", False), "token").unionByName(side("a", "side <> 2", False).join(side("b", "side <> 1", True), "token"))
     same = titles.where("side = 3").select(F.col("tid").alias("a"), F.col("tid").alias("b"))
     found = cut(found.select("a", "b").unionByName(same).distinct(), "found")
-    of = lambda p: titles.select(F.col("tid").alias(p), F.col("title").alias(f"t{p}"))
-    x = found.join(of("a"), "a").join(of("b"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).repartition(partitions(left.sparkSession))
-    out = cut(x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least), "similar")
+    out = compared(found, titles, titles, least)
     for t in (titles, tokens, ranked, found):
         discard(t)
     return out
 
 
-def without_similar(found: DataFrame, titles: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """Rows (with seq, title) but those whose title is similar to one of `titles` (title). Empty titles match nothing."""
-    bad = title_pairs(found.select("title"), titles.select("title"), 100 * threshold).select(F.col("a").alias("title")).distinct()
+def without_similar(found: DataFrame, titles: DataFrame | TitleIndex, threshold: float = 0.85) -> DataFrame:
+    """Rows (with seq, title) but those whose title is similar to one of `titles` (title, or an index of titles). Empty titles
+    match nothing."""
+    right = titles.select("title") if isinstance(titles, DataFrame) else titles
+    bad = title_pairs(found.select("title"), right, 100 * threshold).select(F.col("a").alias("title")).distinct()
     return found.join(bad, "title", "left_anti").select(*found.columns)
