@@ -26,7 +26,7 @@ def main(args: list[str] | None = None) -> int:
     sub.add_parser("show-config").add_argument("folder")
     a = p.parse_args(args)
     logging.basicConfig(level=a.log, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    from .plans import catalog, catalog_rules  # noqa: F401, the second adds to the first
+    from .plans import catalog, catalog_rules, catalog_state  # noqa: F401, the others add to the first
 
     if a.what == "queries":
         print("\n".join(sorted(catalog.QUERIES)))

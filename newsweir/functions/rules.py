@@ -175,7 +175,7 @@ def looks_like_news(title: Column, body: Column, published: Column, url_hint: Co
 
 
 def language_tag(language: Column, tags: dict[str, str]) -> Column:
-    """The tag of a language, its code in upper case if it has none, empty for null or blank."""
+    """The tag of a language by its first two letters, these in upper case if it has none, empty for null or blank."""
     known = F.create_map(*[F.lit(x) for kv in tags.items() for x in kv]) if tags else F.create_map().cast("map<string,string>")
-    low = F.lower(strip(F.coalesce(language, F.lit(""))))
+    low = F.substring(F.lower(strip(F.coalesce(language, F.lit("")))), 1, 2)
     return F.coalesce(F.try_element_at(known, low), F.upper(low))

@@ -37,3 +37,23 @@ def components(edges: DataFrame) -> DataFrame:
         now = after
     tops = now.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(tops)
+
+
+def grown(stars: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, component after new edges (a, b) are added to the components of earlier runs (stars: id, component).
+
+    Each edge is one of components: those that it joins become the least of them, which is the oldest where ids grow with time,
+    and all their vertices move. Only the components that new edges touch are searched; the earlier edges aren't needed."""
+    of = lambda c: stars.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
+    x = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    x = cut(x.select("a", "b", F.coalesce("a_of", "a").alias("ca"), F.coalesce("b_of", "b").alias("cb")), "new-edges")
+    part = components(x.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("least"))
+    ends = x.select(F.col("a").alias("id")).unionByName(x.select(F.col("b").alias("id"))).distinct()
+    every = stars.select("id", "component").unionByName(ends.join(stars.select("id"), "id", "left_anti").select("id", F.col("id").alias("component")))
+    return every.join(part, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+
+
+def moved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """component, now: components of an earlier run that have become part of another."""
+    x = before.select(F.col("component").alias("id")).distinct().join(after, "id")
+    return x.where(F.col("id") != F.col("component")).select(F.col("id").alias("component"), F.col("component").alias("now"))

@@ -35,7 +35,7 @@ def image_and_rewrites(spark, d):
 )
 def language_tags(spark, d):
     t = F.concat("title", F.when(F.col("seq") % 3 == 0, " (RU)").when(F.col("seq") % 3 == 1, " (abc)").otherwise(" (НЕМ) "))
-    return articles(spark, d).select("seq", text.without_language_tag(t).alias("bare"), rules.language_tag(F.col("source_language"), {"en": "АНГЛ", "de": "НЕМ"}).alias("tag"))
+    return articles(spark, d).select("seq", text.without_language_tag(t).alias("bare"), rules.language_tag(F.concat("source_language", F.lit("-x")), {"en": "АНГЛ", "de": "НЕМ"}).alias("tag"))
 
 
 @query(f"WITH {_ARTICLES} SELECT seq, 'EN: ' || substr(title, 1, 220) || ' (' || upper(lang) || ')' || chr(10) || 'RU: ' || substr(source, 1, 220) || ' (' || upper(lang) || ')' AS combined, title AS en, source AS ru, title || ' / ' || source || ' (' || upper(lang) || ')' AS localised FROM a WHERE title <> ''")
@@ -135,8 +135,8 @@ def page_links(spark, d):
 
 
 @query(
-    "WITH g AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents WHERE source IS NOT NULL AND doc_id % 3 <> 0), e AS (SELECT event_id, ts FROM events) "
-    "SELECT source AS source_url, 'https://e.com/' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN 'page ' || doc_id ELSE 'item ' || doc_id END AS title, CASE WHEN doc_id % 2 = 0 THEN ts ELSE TIMESTAMP '2024-01-02 03:04:05' END AS published_at FROM g LEFT JOIN e ON event_id = doc_id WHERE k <= 5 AND (doc_id % 2 = 1 OR ts IS NOT NULL)"
+    "WITH g AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents WHERE source IS NOT NULL), e AS (SELECT event_id, ts FROM events) "
+    "SELECT source AS source_url, 'https://e.com/' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN 'page ' || doc_id ELSE 'item ' || doc_id END AS title, CASE WHEN doc_id % 2 = 0 THEN ts ELSE TIMESTAMP '2024-01-02 03:04:05' END AS published_at FROM g LEFT JOIN e ON event_id = doc_id WHERE k <= 5 AND doc_id % 3 <> 0 AND (doc_id % 2 = 1 OR ts IS NOT NULL)"
 )
 def feed_articles(spark, d):
     n, link = F.col("doc_id"), F.concat(F.lit("https://e.com/"), "doc_id")

@@ -54,14 +54,29 @@ def feed_candidates(base: Column) -> Column:
     return F.transform(F.array(*map(F.lit, FEED_PATHS)), lambda p: F.concat(root, p))
 
 
-def feed_articles(items: DataFrame, pages: DataFrame, most: int) -> DataFrame:
+def first_articles(links: DataFrame, pages: DataFrame, most: int) -> DataFrame:
+    """The first `most` links of each source (source_url, rank, url) of which an article was captured (pages: url, others), by
+    rank, with their page's columns. Links are tried in order until enough succeed: what comes after isn't asked for."""
+    x = links.select("source_url", "rank", "url").join(pages, "url")
+    x = x.withColumn("_k", F.row_number().over(Window.partitionBy("source_url").orderBy("rank"))).where(F.col("_k") <= most)
+    return x.withColumn("rank", F.col("_k").cast("int")).drop("_k")
+
+
+def index_articles(index: DataFrame, pages: DataFrame, most: int, hints: list[str] = DISCOVERY_URL) -> DataFrame:
+    """The first `most` articles of each index page (url, html): of its first 3 * `most` links those that were captured."""
+    return first_articles(article_links(index, 3 * most, hints), pages, most)
+
+
+def feed_articles(items: DataFrame, pages: DataFrame, most: int, from_feed: bool = True) -> DataFrame:
     """The first `most` items of each feed (source_url, pos, title, link, published_text) as articles: seq-less rows with title
-    and date of the captured page (url, title, body, published_at), or of the feed where the page has none. Items without
-    a title or link go, and those of which no page was captured."""
-    x = items.where((F.coalesce("link", F.lit("")) != "") & (F.coalesce("title", F.lit("")) != ""))
-    x = x.withColumn("k", F.row_number().over(Window.partitionBy("source_url").orderBy("pos"))).where(F.col("k") <= most)
+    and date of the captured page (url, title, body, published_at), or with `from_feed` those of the feed where the page has
+    none; without it a title in the feed isn't needed. Items without a link go, and those of which no page was captured."""
+    x = items.withColumn("k", F.row_number().over(Window.partitionBy("source_url").orderBy("pos"))).where(F.col("k") <= most)
+    x = x.where((F.coalesce("link", F.lit("")) != "") & ((F.coalesce("title", F.lit("")) != "") | F.lit(not from_feed)))
     i, p = x.alias("i"), pages.alias("p")
-    return i.join(p, F.col("i.link") == F.col("p.url")).select("i.source_url", "p.url", F.coalesce(F.nullif(F.col("p.title"), F.lit("")), F.col("i.title")).alias("title"), "p.body", F.coalesce("p.published_at", parsed(F.col("i.published_text"))).alias("published_at"))
+    title = F.coalesce(F.nullif(F.col("p.title"), F.lit("")), F.col("i.title") if from_feed else F.lit(None))
+    at = F.coalesce("p.published_at", parsed(F.col("i.published_text"))) if from_feed else F.col("p.published_at")
+    return i.join(p, F.col("i.link") == F.col("p.url")).select("i.source_url", "p.url", title.alias("title"), "p.body", at.alias("published_at"))
 
 
 def soft_cap(found: DataFrame, most: int, source: str = "source_url", order: str = "rank") -> DataFrame:

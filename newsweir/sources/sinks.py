@@ -21,7 +21,8 @@ def output_rows(classified: DataFrame, country: Column) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
@@ -31,7 +32,7 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     at = spark._jvm.org.apache.hadoop.fs.Path(base)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
-    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and _exists(spark, f"{base}/{n}/_SUCCESS"))
+    return sorted(int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit() and exists(spark, f"{base}/{n}/_SUCCESS"))
 
 
 def write_version(df: DataFrame, base: str) -> int:

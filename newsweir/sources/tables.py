@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import parsed
 from ..functions.text import truthy
 from ..functions.urls import strip
 
@@ -84,15 +85,26 @@ def titles(*tabs: DataFrame) -> DataFrame:
     return out
 
 
-def feed_items(spark: SparkSession, path: str, row: str = "item") -> DataFrame:
-    """pos, title, link, published_text of the items of feeds (`entry` for Atom), by the XML reader. A link is the text of its
-    element, or the address of one that isn't to another form of the item."""
+def feed_items(spark: SparkSession, path: str, row: str = "item", names: DataFrame | None = None) -> DataFrame:
+    """source_url, pos, title, link, published_text of the items of feeds (`entry` for Atom), by the XML reader, as
+    `discovery.feed_articles` takes them.
+
+    A feed is a file; `names` (file, source_url) gives its source by the file's whole path, which stands for it else. pos counts within the
+    file. A link is the text of its element, or the address of one that isn't to another form of the item; null if there is none, as such items count among the
+    first of a feed. The date is the first of
+    published, updated and created that can be read."""
     link = "array<struct<_VALUE: string, _href: string, _rel: string>>"
     x = spark.read.format("xml").option("rowTag", row).schema(f"title string, link {link}, pubDate string, published string, updated string, created string").load(path)
     good = F.filter("link", lambda a: F.coalesce(a["_rel"], F.lit("alternate")) == "alternate")
     address = F.get(F.filter(F.transform(good, lambda a: F.coalesce(F.nullif(strip(a["_VALUE"]), F.lit("")), strip(a["_href"]))), lambda a: a != ""), F.lit(0))
-    x = x.select(F.monotonically_increasing_id().alias("pos"), strip(F.col("title")).alias("title"), address.alias("link"), F.coalesce("published", "pubDate", "updated", "created").alias("published_text"))
-    return x.where("coalesce(link, '') <> ''")
+    told = ["published", "pubDate", "updated", "created"]
+    when = F.coalesce(*[F.when(parsed(F.col(c)).isNotNull(), F.col(c)) for c in told], *told)
+    x = x.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("_at"), strip(F.col("title")).alias("title"), address.alias("link"), when.alias("published_text"))
+    x = x.withColumn("pos", F.row_number().over(Window.partitionBy("file").orderBy("_at")).cast("long"))
+    if names is not None:
+        x = x.join(names.select("file", "source_url"), "file", "left")
+    source = F.coalesce("source_url", "file") if names is not None else F.col("file")
+    return x.select(source.alias("source_url"), "pos", "title", "link", "published_text")
 
 
 def merged_runs(spark: SparkSession, path: str, key: str = "sheet_row") -> DataFrame:

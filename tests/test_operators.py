@@ -221,7 +221,7 @@ def test_registry():
 @pytest.mark.parametrize("name", ["url_canonical", "story_clusters", "earliest_copy", "budget_running_cap", "date_from_text", "page_links", "review_panel", "versions_compared", "batch_report", "channel_previews"])
 def test_catalogue_against_sql(spark, name):
     import duckdb
-    from newsweir.plans import catalog, catalog_rules  # noqa: F401, the second adds to the first
+    from newsweir.plans import catalog, catalog_rules, catalog_state  # noqa: F401, the others add to the first
 
     d = "/root/testdata/sf0.001"
     c = duckdb.connect()

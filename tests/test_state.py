@@ -142,3 +142,69 @@ def test_sessions(spark):
     got = sorted(map(tuple, streams.sessions(x, "key", "at").collect()))
     t = lambda m: datetime(2026, 4, 27, 12) + timedelta(minutes=m)
     assert got == [("k", t(0), t(69), 3), ("k", t(70), t(100), 1), ("k", t(200), t(259), 2), ("k", t(260), t(290), 1), ("other", t(0), t(30), 1)]
+
+
+def test_edits(spark, tmp_path):
+    from newsweir.sources import edits, sinks
+
+    base = f"file://{tmp_path}/t"
+    x = spark.createDataFrame([(k, f"t{k}", k) for k in range(6)], "row_id long, title string, n int")
+    sinks.write_version(x, base)
+    assert sorted(map(tuple, edits.read_live(spark, base).collect())) == sorted(map(tuple, x.collect())) and edits.deleted(spark, base).count() == 0
+    edits.delete_rows(spark.createDataFrame([(1, "phrase"), (9, "none")], "row_id long, reason string"), base)
+    edits.delete_rows(spark.createDataFrame([(1,)], "row_id long"), base)
+    edits.patch_rows(spark.createDataFrame([(2, "new", None), (3, None, 7)], "row_id long, title string, n int"), base)
+    edits.patch_rows(spark.createDataFrame([(2, None, "note"), (8, "nobody", "x")], "row_id long, title string, note string"), base)
+    live = edits.read_live(spark, base)
+    assert sorted((r.row_id, r.title, r.n, r.note) for r in live.collect()) == [(0, "t0", 0, None), (2, "new", 2, "note"), (3, "t3", 7, None), (4, "t4", 4, None), (5, "t5", 5, None)]
+    assert {r["_key"]: r.reason for r in edits.deleted(spark, base).collect()} == {1: "phrase", 9: "none"}
+    assert edits.compact(spark, base) == 2 and edits.read_live(spark, base).count() == 5 and sinks.read_version(spark, base, 1).count() == 6
+    sinks.write_version(x, base)
+    assert edits.read_live(spark, base).count() == 6  # a row that a later version brings back stays
+
+
+def test_components_that_grow(spark):
+    """Two increments give what one run gives, whatever joins what."""
+    import random
+
+    from newsweir.operators import components as graph
+
+    r = random.Random(6)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(230)]
+    of = lambda part: spark.createDataFrame(part, "a long, b long")
+    want = {q.id: q.component for q in graph.components(of(edges)).collect()}
+    first = graph.components(of(edges[:90]))
+    second = graph.grown(first, of(edges[90:170]))
+    third = graph.grown(second, of(edges[170:]))
+    loops = {a for a, b in edges if a == b} - set(want)  # a link of a vertex to itself makes it one of its own
+    got = {q.id: q.component for q in third.collect()}
+    assert {k: v for k, v in got.items() if k not in loops} == want and all(got.get(k, k) == k for k in loops)
+    now = {q.component: q.now for q in graph.moved(second, third).collect()}
+    before = {q.component for q in second.collect()}
+    assert now == {c: got[c] for c in before if got[c] != c} and now
+    assert graph.grown(of([]).select(F.col("a").alias("id"), F.col("b").alias("component")), of(edges)).count() == len(got)
+
+
+def test_feed_chain(spark, tmp_path):
+    from newsweir.operators import stories
+    from newsweir.sources import discovery, tables
+
+    item = "<item><title>{}</title><link>{}</link>{}</item>"
+    (tmp_path / "one.xml").write_text("<rss>" + "".join(item.format(*x) for x in [("A", "https://e.com/a", "<pubDate>soon</pubDate><updated>2026-04-27T10:00:00Z</updated>"), ("", "https://e.com/b", ""), ("C", "", ""), ("D", "https://e.com/d", "")]) + "</rss>")
+    (tmp_path / "two.xml").write_text("<rss>" + item.format("A", "https://e.com/a", "") + "</rss>")
+    names = spark.createDataFrame([(f"file://{tmp_path}/one.xml", "https://one.com/feed")], "file string, source_url string")
+    names = names.withColumn("file", F.replace("file", F.lit("file:///"), F.lit("file:/"))).unionByName(names)
+    items = tables.feed_items(spark, f"{tmp_path}/*.xml", names=names)
+    assert {(r.source_url.split("/")[-1], r.pos, r.title) for r in items.collect()} == {("feed", 1, "A"), ("feed", 2, ""), ("feed", 3, "C"), ("feed", 4, "D"), ("two.xml", 1, "A")}
+    pages = spark.createDataFrame([("https://e.com/a", "", "body", None), ("https://e.com/b", "own", "body", T), ("https://e.com/d", "page", "body", None)], "url string, title string, body string, published_at timestamp")
+    get = lambda *a: {(r.source_url.split("/")[-1], r.url[-1], r.title, r.published_at) for r in discovery.feed_articles(items, pages, *a).collect()}
+    assert get(3) == {("feed", "a", "A", datetime(2026, 4, 27, 10)), ("two.xml", "a", "A", None)}  # the first three, of which two are good
+    assert get(9, False) == {("feed", "a", None, None), ("feed", "b", "own", T), ("feed", "d", "page", None), ("two.xml", "a", None, None)}
+    links = spark.createDataFrame([("s", k, f"https://e.com/{k}") for k in range(1, 10)], "source_url string, rank int, url string")
+    captured = spark.createDataFrame([(f"https://e.com/{k}", f"t{k}") for k in (2, 3, 5, 7)], "url string, title string")
+    assert sorted((r.rank, r.title) for r in discovery.first_articles(links, captured, 3).collect()) == [(1, "t2"), (2, "t3"), (3, "t5")]
+    feed = spark.createDataFrame([(10, "x", ["https://x.com", "https://y.com"], None), (11, "y", ["https://x.com"], T)], "row_id long, title string, urls array<string>, published_at timestamp")
+    summary = spark.createDataFrame([(1, "https://x.com", "zzz", ["https://x.com"], T), (2, "https://y.com", "qqq", ["https://y.com"], T)], "cluster_id long, canonical_url string, canonical_title string, members array<string>, published_at timestamp")
+    placed = stories.routed(summary, feed)
+    assert {r.cluster_id: r.feed_row for r in placed.collect()} == {1: 11, 2: 10}  # the later row of a URL
+    assert {r.row_id: r.published_at for r in stories.redated(feed, placed).collect()} == {10: T, 11: T}
