@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ def any_of(text: Column, parts: list[str]) -> Column:
     return F.exists(F.array(*map(F.lit, parts)), lambda p: F.contains(text, p)) if parts else F.lit(False)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is made once, however often it is read."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def link_density(html: Column, body_length: Column) -> Column:
     """Links for each character of the body, 0 without html or body."""
     links = F.regexp_count(F.coalesce(html, F.lit("")), F.lit("<a "))
@@ -25,7 +31,11 @@ def link_density(html: Column, body_length: Column) -> Column:
 def article_verdict(title: Column, body: Column, url: Column, html: Column, published: Column, whitelist: list[str] | None = None) -> Column:
     """is_article, score (0 to 1, three decimals) and reasons of an article, by an additive rubric."""
     html, title, body = (F.coalesce(x, F.lit("")) for x in (html, title, body))
-    packed, name, size = F.replace(html, F.lit(" "), F.lit("")), F.lower(strip(title)), F.length(strip(body))
+    return bound(F.length(strip(body)), lambda size: _article_verdict(title, size, url, html, published, whitelist))
+
+
+def _article_verdict(title: Column, size: Column, url: Column, html: Column, published: Column, whitelist: list[str] | None) -> Column:
+    packed, name = F.replace(html, F.lit(" "), F.lit("")), F.lower(strip(title))
     low, path, full = F.lower(title), F.lower(part(url, 3)), F.lower(url)
     typed = lambda t: F.contains(packed, F.lit(f'"@type":"{t}"'))
     density = link_density(html, size)
@@ -49,18 +59,21 @@ def article_verdict(title: Column, body: Column, url: Column, html: Column, publ
         (host.isin(whitelist) if whitelist else F.lit(False), 0.15, "whitelist-domain"),
         (density > 0.08, -0.3, "high-link-density"),
     ]
-    total = F.lit(0.0)
-    for on, weight, _ in terms:
-        total = total + F.when(on, weight).otherwise(0.0)
-    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(total, 6))), 3)
-    reasons = F.array_compact(F.array(*[F.when(on, F.lit(said)) for on, _, said in terms]))
-    empty = name.isin(fixed.PLACEHOLDER)
-    return F.struct(
-        (~empty & (score >= 0.35) & (size >= 200) & ~binary).alias("is_article"),
-        F.when(empty, 0.0).otherwise(score).alias("score"),
-        F.when(empty, F.array(F.lit("missing-or-placeholder-title"))).otherwise(reasons).alias("reasons"),
-        (~empty & binary).alias("binary"),
-    )
+
+    def verdict(f: Column) -> Column:
+        total = F.lit(0.0)
+        for k, (_, weight, _) in enumerate(terms):
+            total = total + F.when(f["on"][k], weight).otherwise(0.0)
+        score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(total, 6))), 3)
+        reasons = F.array_compact(F.array(*[F.when(f["on"][k], F.lit(said)) for k, (_, _, said) in enumerate(terms)]))
+        return F.struct(
+            (~f["empty"] & (score >= 0.35) & f["long"] & ~f["binary"]).alias("is_article"),
+            F.when(f["empty"], 0.0).otherwise(score).alias("score"),
+            F.when(f["empty"], F.array(F.lit("missing-or-placeholder-title"))).otherwise(reasons).alias("reasons"),
+            (~f["empty"] & f["binary"]).alias("binary"),
+        )
+
+    return bound(F.struct(F.array(*[on for on, _, _ in terms]).alias("on"), (size >= 200).alias("long"), binary.alias("binary"), name.isin(fixed.PLACEHOLDER).alias("empty")), verdict)
 
 
 def _pattern(word: str) -> str | None:
@@ -77,7 +90,7 @@ def hits(text: Column, words: list[str]) -> Column:
     # patterns are constants, compiled once, and tried for the few words alone that the text contains
     found = lambda t, w, p: F.contains(t, F.lit(w.lower())) & t.rlike("(?U)" + p) if p else F.contains(t, F.lit(w.lower()))
     # as a bound variable, so that the text is made once and not for each word
-    return F.get(F.transform(F.array(text), lambda t: F.array_compact(F.array(*[F.when(found(t, w, _pattern(w)), F.lit(w.strip())) for w in words]))), F.lit(0))
+    return bound(text, lambda t: F.array_compact(F.array(*[F.when(found(t, w, _pattern(w)), F.lit(w.strip())) for w in words])))
 
 
 def topic_verdict(title: Column, body: Column, language: Column, topic: list[str] = fixed.TOPIC, off_topic: list[str] = fixed.OFF_TOPIC, covered: list[str] = fixed.COVERED_LANGUAGES) -> Column:
@@ -85,15 +98,19 @@ def topic_verdict(title: Column, body: Column, language: Column, topic: list[str
 
     In a language that the lists don't cover, a text without any word of either passes with one hit."""
     text = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.substring(F.coalesce(body, F.lit("")), 1, 2000)))
-    good, bad = F.array_distinct(hits(text, topic)), F.size(hits(text, off_topic))
     lang = F.substring(F.lower(F.coalesce(language, F.lit(""))), 1, 2)
-    trust = (F.size(good) == 0) & (bad == 0) & (lang != "") & ~lang.isin(covered)
-    return F.struct(
-        (trust | (F.size(good) >= 1) & (F.size(good) > bad)).alias("passes"),
-        F.when(trust, 1).otherwise(F.size(good)).alias("hits"),
-        bad.alias("negative"),
-        F.when(trust, F.array(F.concat(F.lit("lang-fallback:"), lang))).otherwise(F.slice(good, 1, 5)).alias("samples"),
-    )
+
+    def verdict(f: Column) -> Column:
+        good, bad = f["good"], f["bad"]
+        trust = (F.size(good) == 0) & (bad == 0) & (lang != "") & ~lang.isin(covered)
+        return F.struct(
+            (trust | (F.size(good) >= 1) & (F.size(good) > bad)).alias("passes"),
+            F.when(trust, 1).otherwise(F.size(good)).alias("hits"),
+            bad.alias("negative"),
+            F.when(trust, F.array(F.concat(F.lit("lang-fallback:"), lang))).otherwise(F.slice(good, 1, 5)).alias("samples"),
+        )
+
+    return bound(text, lambda t: bound(F.struct(F.array_distinct(hits(t, topic)).alias("good"), F.size(hits(t, off_topic)).alias("bad")), verdict))
 
 
 def grade(article: Column, topic: Column) -> Column:

@@ -18,9 +18,13 @@ _WITH_HOST = ["http", "https", "ftp", "file", "ws", "wss"]
 _SPLIT = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 
 
+#: All white space of Unicode.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Column) -> Column:
     """Without white space at both ends, no-break spaces included."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
 def part(url: Column, k: int) -> Column:
