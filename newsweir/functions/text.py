@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from .urls import strip
 
 #: Cells of the table of matches of a batch of pairs at once.
-MATCHES = 1 << 18
+MATCHES, KINDS = 1 << 18, 64
 # fixed values: what titles lose, or have replaced, before they are compared
 LAST_TAG, ANY_TAG = (r"(?U)\([a-zа-я]{2,4}\)\s*$", ""), (r"\([a-zа-яё]{2,4}\)", "")
 EN_PREFIX, RU_PREFIX, RU_LINE = (r"(?U)^en:\s*", ""), (r"(?U)^ru:\s*", ""), (r"(?U)\n\s*ru:\s*", " | ")
@@ -156,23 +156,37 @@ def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
 
 def set_ratios(a: list[str | None], b: list[str | None], least: float = 0.0) -> np.ndarray:
     """Similarity, 0 to 100, of pairs of texts as sets of words, case-sensitive; 0 if either is empty. Ratios below `least`
-    may be 0."""
+    may be 0.
+
+    Words and characters of each text are counted once. Where two texts have too few characters in common, wherever they stand, for
+    the ratio in question, their common subsequence isn't sought."""
+    place: dict[str, int] = {}
+    ia, ib = (np.array([place.setdefault(x or "", len(place)) for x in side], np.int64) for side in (a, b))
+    words = [set(x.split()) for x in place]
+    joined = [" ".join(w) for w in words]
+    size = np.array([len(x) for x in joined], np.int64)
+    chars = np.frombuffer("".join(joined).encode("utf-32-le", "surrogatepass"), np.uint32) % KINDS  # what shares a number looks alike
+    counts = np.bincount(np.repeat(np.arange(len(joined)), size) * KINDS + chars, minlength=len(joined) * KINDS).reshape(-1, KINDS).astype(np.int32)
+    common = np.concatenate([np.minimum(counts[ia[k : k + 4096]], counts[ib[k : k + 4096]]).sum(1) for k in range(0, len(ia), 4096)] or [np.zeros(0, np.int64)])
+    near = (200 * common >= least * (size[ia] + size[ib])).tolist()
     out, later = np.zeros(len(a)), []
-    for k, (s, t) in enumerate(zip(a, b, strict=True)):
-        x, y = set((s or "").split()), set((t or "").split())
+    for k, (p, q) in enumerate(zip(ia.tolist(), ib.tolist(), strict=True)):
+        x, y = words[p], words[q]
         if not x or not y:
             continue
-        both, only_x, only_y = x & y, x - y, y - x
-        if both and (not only_x or not only_y):
+        both = x & y
+        if len(both) == len(x) or len(both) == len(y):
             out[k] = 100.0
             continue
-        i, d, e = (sum(map(len, w)) + max(len(w) - 1, 0) for w in (both, only_x, only_y))
-        gap = 1 if both else 0
+        i, gap = 0, 0
+        if both:
+            i, gap = sum(map(len, both)) + len(both) - 1, 1
+        total = int(size[p] + size[q])  # of what is common and what is of one text alone, and the spaces between
+        d, e = int(size[p]) - i - gap, int(size[q]) - i - gap
         if both:
             out[k] = max(100 - 100 * (gap + d) / (2 * i + gap + d), 100 - 100 * (gap + e) / (2 * i + gap + e))
-        total = 2 * (i + gap) + d + e
-        if not out[k] >= least > 0 and 100 - 100 * abs(d - e) / total >= least:
-            later.append((k, d, e, total, " ".join(sorted(only_x)), " ".join(sorted(only_y))))
+        if near[k] and not out[k] >= least > 0:
+            later.append((k, d, e, total, " ".join(sorted(x - both)), " ".join(sorted(y - both))))
     if later:
         k, d, e, total = (np.array([x[c] for x in later]) for c in range(4))
         out[k] = np.maximum(out[k], 100 - 100 * (d + e - 2 * lcs_lengths([x[4] for x in later], [x[5] for x in later])) / total)
