@@ -119,8 +119,11 @@ def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     """Lengths of the longest common subsequences of many pairs at once, a bit per character of b, in words of 64."""
     n, la, lb = len(a), np.array([len(x) for x in a]), np.array([len(x) for x in b])
     out = np.zeros(n, np.int64)
-    chars, coded = np.unique(np.frombuffer("".join([*a, *b]).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
-    many, words = len(chars), int(lb.max(initial=0)) // 64 + 1
+    chars = np.frombuffer("".join([*a, *b]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    there = np.zeros(int(chars.max(initial=0)) + 1, bool)
+    there[chars] = True
+    coded = (np.cumsum(there) - 1)[chars]
+    many, words = int(there.sum()), int(lb.max(initial=0)) // 64 + 1
     starts_a, starts_b = np.cumsum(la) - la, int(la.sum()) + np.cumsum(lb) - lb
     step = max(1, MATCHES // ((many + 1) * words))
     for lo in range(0, n, step):

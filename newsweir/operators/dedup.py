@@ -91,7 +91,8 @@ def is_rare(least: float) -> Column:
 def compared(found: DataFrame, a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """a, b, ratio of candidate pairs (a, b: numbers of titles of the tables a and b: tid, title) that have a ratio of `least`."""
     of = lambda t, p: t.select(F.col("tid").alias(p), F.col("title").alias(f"t{p}"))
-    x = found.join(of(a, "a"), "a").join(of(b, "b"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b")).repartition(partitions(found.sparkSession))
+    found = found.repartition(partitions(found.sparkSession))  # numbers alone, before they get their titles
+    x = found.join(of(a, "a"), "a").join(of(b, "b"), "b").select(F.col("ta").alias("a"), F.col("tb").alias("b"))
     return cut(x.withColumn("ratio", token_set_ratio(least)("a", "b")).where(F.col("ratio") >= least), "similar")
 
 

@@ -24,7 +24,7 @@ def one(spark, value, make, kind="string"):
         ("  https://e.com/a/  ", "https://e.com/a/"),
         ("https://e.com/?a=1=2&&b=3", "https://e.com/?a=1%3D2&b=3"),
         (None, None),
-        ("nothing", None),
+        ("nothing", "https:nothing"),
     ],
 )
 def test_canonical(spark, url, want):
