@@ -139,11 +139,13 @@ def blacklist_reason(url: Column, title: Column, domains: list[str], phrases: li
     return F.coalesce(F.concat(F.lit("domain: "), by_domain), F.concat(F.lit("clickbait: "), forced), F.when(~brand_signal(low, [b.lower() for b in brands or []]), F.concat(F.lit("phrase: "), phrase)))
 
 
-def human_label(raw: Column) -> Column:
-    """news_in_topic, news_off_topic or not_news of what people wrote; empty if it is none."""
+def human_label(raw: Column, exact: bool = True) -> Column:
+    """news_in_topic, news_off_topic or not_news of what people wrote; empty if it is none. Without `exact` only by what the text
+    contains, not by the lists of whole answers."""
+    whole = lambda values: t.isin(values) if exact else F.lit(False)
     t = F.replace(F.lower(strip(F.coalesce(raw, F.lit("")))), F.lit("ё"), F.lit("е"))
     return (
-        F.when(t.isin(fixed.IN_TOPIC), "news_in_topic").when(t.isin(fixed.NOT_IN_TOPIC), "news_off_topic").when(t.isin(fixed.NOT_NEWS), "not_news")
+        F.when(whole(fixed.IN_TOPIC), "news_in_topic").when(whole(fixed.NOT_IN_TOPIC), "news_off_topic").when(whole(fixed.NOT_NEWS), "not_news")
         .when(F.contains(t, F.lit("не новост")), "not_news").when(F.contains(t, F.lit("не по теме")), "news_off_topic").when(F.contains(t, F.lit("новост")), "news_in_topic").otherwise("")
     )
 

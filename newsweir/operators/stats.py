@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import without_tags
+
 
 def top(df: DataFrame, key: Column, name: str, k: int, order: str = "seq") -> DataFrame:
     """The k most frequent values with n and their share of all rows; ties in the order in which they first come."""
@@ -74,3 +76,11 @@ def outcomes(df: DataFrame, section: Column, note: Column) -> DataFrame:
 def spent(calls: DataFrame, by: str) -> DataFrame:
     """Calls, cost, and mean tokens and latency of each provider."""
     return calls.groupBy(by).agg(F.count("*").alias("calls"), F.sum("cost").alias("cost"), F.avg(F.col("input_tokens") + F.col("output_tokens")).alias("mean_tokens"), F.avg("latency_ms").alias("mean_latency"))
+
+
+def mean_lengths(rows: DataFrame, **texts: Column) -> DataFrame:
+    """n, and for each of `texts` the mean length of those that aren't empty, without tags, rounded half to even; 0 if there
+    are none."""
+    size = lambda t: F.length(without_tags(t))
+    mean = lambda t: F.coalesce(F.bround(F.avg(F.when(F.coalesce(t, F.lit("")) != "", size(t))), 0), F.lit(0)).cast("long")
+    return rows.agg(F.count("*").alias("n"), *[mean(t).alias(k) for k, t in texts.items()])

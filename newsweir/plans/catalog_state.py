@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, text, urls
-from ..operators import budget, components, dedup, reports
+from ..functions import dates, rules, text, urls
+from ..operators import budget, components, dedup, reports, stats
 from ..operators.title_index import TitleIndex
 from ..sources import discovery, edits, sinks, tables
 from ..sources.state import Store
@@ -247,3 +247,32 @@ def freshness_asked(spark, d):
     x = table(spark, d, "events").where("ts is not null")
     of = lambda k, asked: x.where(F.col("event_id") % 2 == k).where(dates.is_fresh(F.col("ts"), dates.hours_or(asked, 24), NOW)).select("event_id")
     return of(0, 0).unionByName(of(1, 72))
+
+
+@query(
+    f"WITH {_ARTICLES}, t AS (SELECT CASE WHEN title <> '' THEN length(title) END AS n, CASE WHEN seq % 3 > 0 AND body <> '' THEN length(trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160))) END AS b FROM a) "
+    "SELECT count(*) AS n, coalesce(round_even(avg(n), 0), 0)::BIGINT AS title, coalesce(round_even(avg(b), 0), 0)::BIGINT AS bullets FROM t"
+)
+def mean_lengths(spark, d):
+    """Mean lengths of titles and of bodies as lists of bullets, where there are some."""
+    bullets = F.when(F.col("seq") % 3 > 0, F.concat(F.lit("<ul><li>"), F.when(F.col("body") != "", F.col("body")), F.lit("</li></ul>")))
+    return stats.mean_lengths(articles(spark, d), title=F.col("title"), bullets=bullets)
+
+
+_SAID = ["Новость", "новость, но не по теме", "Не новость", "это точно новость!", "", "не по теме", "новость не по тематике", "?"]
+
+
+@query(
+    "SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'news_in_topic' WHEN 1 THEN 'news_off_topic' WHEN 2 THEN 'not_news' WHEN 3 THEN 'news_in_topic' WHEN 5 THEN 'news_off_topic' WHEN 6 THEN 'news_in_topic' ELSE '' END AS label, event_id % 2 = 0 AS is_article FROM events"
+)
+def labels_compared(spark, d):
+    """Labels by what people's answers contain, beside the reader of review tabs."""
+    said = F.element_at(F.lit(_SAID), (F.col("event_id") % len(_SAID) + 1).cast("int"))
+    tab = table(spark, d, "events").select(F.col("event_id").cast("string").alias("URL"), F.when(F.col("event_id") % 2 == 0, "Новость ").otherwise("нет").alias("Статья"), said.alias("Проверка"))
+    x = tables.labels(tab, {"article": "статья", "human": "проверка"})
+    return x.select(F.col("url").cast("long").alias("event_id"), rules.human_label(F.col("said"), exact=False).alias("label"), "is_article")
+
+
+@query(f"WITH {_CANON} SELECT page_id, regexp_replace(host, '^(?:www|m|amp)\\.', '') IN ('example.com') OR ends_with(host, '.example.com') AS insecure FROM c")
+def pages_insecure(spark, d):
+    return table(spark, d, "pages").select("page_id", discovery.insecure(F.col("url"), ["www.example.com"]).alias("insecure"))

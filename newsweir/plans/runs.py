@@ -25,6 +25,7 @@ class Settings:
     hours: int = 24
     portal: str = "RU"
     country: str = "Russia [7]"
+    countries: dict[str, str] = field(default_factory=dict)
     title_threshold: float = 0.85
     cap: float = 5.0
     blocked_domains: list[str] = field(default_factory=list)
@@ -37,6 +38,11 @@ class Settings:
     sections: list[str | tuple[str, str]] = field(default_factory=list)
     shots: list[tuple[str, str]] = field(default_factory=list)
 
+    @property
+    def cell(self) -> str:
+        """What the column country has for the portal."""
+        return self.countries.get(self.portal, self.country)
+
 
 def graded(articles: DataFrame, s: Settings, seen: DataFrame | None = None) -> DataFrame:
     """Fresh articles (seq, url, title, body, html, published_at, source_language) with verdict, score, hits and reason.
@@ -66,7 +72,8 @@ def with_answers(articles: DataFrame, answers: DataFrame, s: Settings) -> DataFr
     x = articles.withColumn("key", text.prompt_hash(F.coalesce("title", F.lit("")), F.substring(F.coalesce("body", F.lit("")), 1, 500)))
     # of several answers to one prompt the least by all columns, so that reruns agree
     x = x.join(answers.groupBy("key").agg(F.min(F.struct(*[c for c in answers.columns if c != "key"])).alias("_a")).select("key", "_a.*"), "key", "left")
-    section = F.when(F.col("section").isin(s.sections or [""]), F.col("section")).when(F.col("section").isNotNull(), "Other news")
+    names = [n if isinstance(n, str) else n[0] for n in s.sections]
+    section = F.when(F.col("section").isin(names or [""]), F.col("section")).when(F.col("section").isNotNull(), "Other news")
     verdict = F.when(F.col("relevant") == F.lit(False), "rejected").when((F.col("verdict") == "possible_news") & F.col("relevant"), "certain_news").otherwise(F.col("verdict"))
     note = F.coalesce("error", F.when(F.col("relevant").isNull(), "no answer"))
     return x.withColumns({"section": section, "verdict": verdict, "note": note, "cost": F.round(F.coalesce("cost", F.lit(0.0)), 5)})
@@ -93,26 +100,32 @@ def production_run(articles: DataFrame, seen: DataFrame, titles: DataFrame, answ
     committed can be answered and the run made again; articles that wait aren't marked seen.
 
     Fresh candidates not seen before and without a similar title get a model's answers in order of seq until the cost
-    breaks the cap: rows before that are published and marked seen, the others, and the rejected, come again. Steps that are
-    read twice are written once, and counted by observation as they are."""
-    told = {step: Observation(step) for step in ("found", "fresh", "new", "paid", "written")}
+    breaks the cap, which is charged (spent) and ends the run (aborted): rows before that are published and marked seen, the
+    others, and the rejected, come again. cost is that of the rows within the cap. Steps that are read twice are written once, and counted by observation as they are."""
+    told = {step: Observation(step) for step in ("found", "fresh", "new", "asked", "paid", "written")}
     n = F.count(F.lit(1)).alias("n")
     found = cut(dedup.fresh_candidates(articles.observe(told["found"], n), s.hours, s.now).observe(told["fresh"], n), "fresh")
     new = dedup.without_similar(dedup.unseen(found, seen), titles, s.title_threshold).observe(told["new"], n)
     new = new.withColumn("verdict", F.lit("possible_news"))
     one = isinstance(answers, DataFrame)
-    answered = cut(with_answers(new, answers, s) if one else calls.chained(new, answers, [(n, "") if isinstance(n, str) else n for n in s.sections], s.shots, s.country), "answered")
+    answered = with_answers(new, answers, s) if one else calls.chained(new, answers, [(n, "") if isinstance(n, str) else n for n in s.sections], s.shots, s.cell)
+    answered = cut(answered.observe(told["asked"], n, F.coalesce(F.sum("cost"), F.lit(0.0)).alias("cost")), "answered")
     within = budget.within(answered, s.cap, ["seq"]) if one else budget.whole_within(answered, s.cap, ["seq"]).where("pending is null")
     paid = cut(within.observe(told["paid"], n, F.round(F.coalesce(F.sum("cost"), F.lit(0.0)), 5).alias("cost")), "paid")
+    single = F.array(F.struct(F.lit(1).alias("step"), F.lit("all").alias("call"), F.lit("").alias("key"), "cost"))
+    spent = budget.charged(answered.withColumn("calls", single) if one else answered, s.cap, ["seq"]).agg(F.coalesce(F.max("spent"), F.lit(0.0))).first()[0]
     kept = with_primary(paid.where("verdict = 'certain_news' and note is null"), s, articles)
     rows = kept.select(
-        "seq", text.combined_title(F.col("title_en"), F.col("title_ru"), F.upper(F.coalesce("source_language", F.lit("")))).alias("title"), "section", "region", F.lit(s.country).alias("country"), "url", domain(F.col("url")).alias("domain"),
+        "seq", text.combined_title(F.col("title_en"), F.col("title_ru"), F.upper(F.coalesce("source_language", F.lit("")))).alias("title"), "section", "region", F.lit(s.cell).alias("country"), "url", domain(F.col("url")).alias("domain"),
         "published_at", "primary_url", "primary_domain", "primary_confidence", F.bround("confidence", 3).alias("confidence"), "url_hash",
     )
     rows = cut(rows.observe(told["written"], n), "rows")
     marks = paid.join(rows.select("seq"), "seq", "left_semi").select("url_hash", "canonical_url", "title", "published_at", F.lit(s.now).alias("first_seen_at"), F.lit(s.now).alias("last_seen_at"), "source_domain", F.lit(s.portal).alias("portal"), F.lit(None).cast("string").alias("cached_row_json"))
-    counts = {step: o.get.get("n") or 0 for step, o in told.items()} | {"cost": told["paid"].get.get("cost") or 0.0}
-    summary = articles.sparkSession.createDataFrame([counts], ", ".join(f"{c} {'double' if c == 'cost' else 'long'}" for c in counts))
+    counts = {step: o.get.get("n") or 0 for step, o in told.items() if step != "asked"}
+    # costs aren't negative: a call breaks the cap exactly if all together do
+    counts |= {"cost": told["paid"].get.get("cost") or 0.0, "spent": round(spent, 5), "aborted": (told["asked"].get.get("cost") or 0.0) > s.cap}
+    kinds = {"cost": "double", "spent": "double", "aborted": "boolean"}
+    summary = articles.sparkSession.createDataFrame([counts], ", ".join(f"{c} {kinds.get(c, 'long')}" for c in counts))
     asked = {} if one else {"requests": calls.requests(answered)}
     return asked | {"rows": rows, "marks": marks, "seen": dedup.upserted(seen, marks), "summary": summary}
 

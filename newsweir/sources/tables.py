@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parsed
+from ..functions.rules import human_label
 from ..functions.text import truthy
 from ..functions.urls import strip
 
@@ -76,6 +77,16 @@ def few_shots(tab: DataFrame, most: int = 3) -> DataFrame:
     return x.orderBy("first", "seq").drop("k", "first")
 
 
+def labels(tab: DataFrame, columns: dict[str, str], article: str = "Новость", topic: str = "Авто/эконом") -> DataFrame:
+    """url, title, is_article, on_topic, verdict, said, label of a tab that people reviewed. `columns` gives the header of url,
+    title, article, topic, verdict and human; `article` and `topic` are the cells that mean yes (fixed values)."""
+    c = lambda k: strip(_column(tab, columns.get(k, k)))
+    return tab.select(
+        c("url").alias("url"), c("title").alias("title"), (c("article") == article).alias("is_article"), (c("topic") == topic).alias("on_topic"), c("verdict").alias("verdict"), c("human").alias("said"),
+        human_label(c("human")).alias("label"),
+    )
+
+
 def titles(*tabs: DataFrame) -> DataFrame:
     """All titles that aren't blank, copies included, of several tables: each by the first of its headers name, title, название."""
     parts = [t.select(strip(_column(t, "name", "title", "название")).alias("title")).where("title <> ''") for t in tabs]

@@ -1,7 +1,9 @@
 """Whole runs on small tables."""
 
+import json
 from datetime import datetime, timedelta
 
+import pytest
 from newsweir.functions.text import prompt_hash
 from newsweir.functions.urls import url_hash
 from newsweir.plans import runs
@@ -39,7 +41,7 @@ def test_production_run(spark):
     assert set(rows) == {1}  # 6 breaks the cap, 5 is of another topic, 8 has no answer
     assert (rows[1].title, rows[1].section, rows[1].domain, rows[1].confidence) == ("EN: T 1 (EN)\nRU: Т (EN)", "Market", "blog.com", 0.877)
     assert (rows[1].primary_domain, rows[1].primary_confidence) == ("press.com", "high")  # an earlier article with a similar title
-    assert tuple(out["summary"].first()) == (8, 6, 4, 3, 1, 0.2)
+    assert tuple(out["summary"].first()) == (8, 6, 4, 2, 1, 0.2, 0.3, True)
     assert out["seen"].count() == 2
     more = runs.production_run(a, seen, known, said, runs.Settings(now=T, hours=48, cap=9.0, sections=["Market"]))
     assert {r.seq: r.section for r in more["rows"].collect()} == {1: "Market", 6: "Other news"}
@@ -69,3 +71,31 @@ def test_run_files(spark, tmp_path):
     (tmp_path / "atom.xml").write_text('<feed><entry><title>A</title><link rel="self" href="https://e.com/self"/><link href="https://e.com/a"/><updated>2026-04-27T10:00:00Z</updated></entry></feed>')
     got = tables.feed_items(spark, f"{tmp_path}/atom.xml", "entry").collect()
     assert [(r.title, r.link, r.published_text) for r in got] == [("A", "https://e.com/a", "2026-04-27T10:00:00Z")]
+
+
+def test_publish(spark, tmp_path, capsys):
+    """A run from the command line: shown, committed once, ended by its cap."""
+    from newsweir.__main__ import main
+
+    a, _, known, said = world(spark)
+    a.withColumn("source_name", F.lit("one")).write.parquet(f"{tmp_path}/articles")
+    said.write.parquet(f"{tmp_path}/answers")
+    known.write.parquet(f"{tmp_path}/titles")
+    args = ["--json-log", "publish", f"file://{tmp_path}/store", "r1", f"{tmp_path}/articles", f"{tmp_path}/answers", "--titles", f"{tmp_path}/titles", "-p", "kz", "--since-hours", "48", "--now", "2026-04-27T12:00:00+00:00"]
+    assert main([*args, "--dry-run"]) == 0
+    out = capsys.readouterr()
+    told = [json.loads(x) for x in out.err.splitlines() if x.startswith("{")]
+    assert [x["event"] for x in told if x["logger"] == "newsweir.publish"] == ["run begins", "row", "row"] and told[0]["portal"] == "KZ"
+    assert json.loads(out.out)["written"] == 2 and not (tmp_path / "store").exists()
+    assert main([*args, "--limit", "1"]) == 0 and json.loads(capsys.readouterr().out)["written"] == 1
+    assert main(args) == 0 and json.loads(capsys.readouterr().out)["written"] == 1  # r1 is committed
+    args[3] = "r2"
+    assert main(args) == 0 and json.loads(capsys.readouterr().out)["written"] == 1  # the other article alone
+    (tmp_path / "config").mkdir()
+    args[3] = "r3"
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(runs.Settings, "cap", 0.05, raising=False)
+        m.setattr("newsweir.sources.config.settings", lambda folder, now: runs.Settings(now=now, cap=0.05))
+        assert main([*args, "--config", str(tmp_path)]) == 2
+    with pytest.raises(SystemExit):
+        main([*args[:-4], "-p", "xx"])
