@@ -7,7 +7,7 @@ exact totals: a source drawn too often gives up evenly spaced draws of its own,
 A source's kept draws keep their numbers, so which draws it gives up decides which of its blocks are taken. A number
 passes through a permutation of the source's blocks, anew for every pass over them, and blocks are joined by index. A source
 whose draws would go beyond `cap` passes is numbered without gaps, so no block is taken more than `cap` times. No step
-holds all rows of a source in one task: ranks go over shards first, running sums over (source, bucket of doc_id).
+holds all rows of a source in one task: ranks go over shards first, running sums over (source, bucket of a hash of doc_id).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .base import WORD, cut, partitions, word_count
 
-BLOCK, SHARE, CAP, WEIGHTS, BUCKETS, SHARD, CHUNK = 32, 1.5, 2, (5.0, 2.0, 1.0), 4096, 4096, 8192
+BLOCK, SHARE, CAP, WEIGHTS, BUCKETS, BUCKET_ROWS, SHARD, CHUNK = 32, 1.5, 2, (5.0, 2.0, 1.0), 4096, 16384, 4096, 8192
 #: Multipliers of the index permutations; primes, so each is coprime to any count that it does not divide.
 PRIMES = (999983, 999979, 999961, 999959, 999953, 999931, 999917, 999907)
 
@@ -96,7 +96,10 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, cap: float =
     repeat a doc_id are documents of their own; of equal doc_ids the hash of the text gives the order. Texts of any length
     are cut into blocks whole. An empty table, or one without words, gives empty tables."""
     spark = docs.sparkSession
-    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("tie"), F.pmod(F.coalesce("doc_id", F.xxhash64("text")), F.lit(BUCKETS)).alias("bucket")), "sized")
+    # documents are dealt to buckets by a hash, whatever their ids have in common, and to more of them if there are more
+    buckets = max(BUCKETS, docs.count() // BUCKET_ROWS)
+    place = F.conv(F.substring(F.md5(F.concat(F.lit("place-"), F.coalesce("doc_id", F.xxhash64("text")).cast("string"))), 1, 8), 16, 10).cast("long") % buckets
+    sized = cut(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("tie"), place.alias("bucket")), "sized")
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     src = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), share, cap, weights)
     src = src.withColumn("blocks", F.ceil(F.col("source_size") / block)).withColumn(

@@ -160,7 +160,7 @@ drawn AS (SELECT rn, blocks, CASE WHEN n > 2 * blocks THEN j - gone ELSE j END A
           UNION ALL SELECT c3.rn, c3.blocks, c3.n + x.over_at + x.gone - c3.lack_at FROM x JOIN c3 ON x.over_at + x.gone >= c3.lack_at AND x.over_at + x.gone < c3.lack_at + c3.lack WHERE x.gone < x.gone_too),
 slot AS (SELECT rn, {_permuted("k % blocks", "blocks", "'mix-' || rn || '-' || (k // blocks)")} AS block FROM drawn),
 times AS (SELECT rn, block, count(*) AS times FROM slot GROUP BY rn, block),
-placed AS (SELECT doc_id, size, rn, (sum(size) OVER (PARTITION BY d.source ORDER BY doc_id % 4096, doc_id) - size)::BIGINT AS pos
+placed AS (SELECT doc_id, size, rn, (sum(size) OVER (PARTITION BY d.source ORDER BY CAST('0x' || substr(md5('place-' || doc_id), 1, 8) AS BIGINT) % (SELECT greatest(4096, count(*) // 16384) FROM documents), doc_id) - size)::BIGINT AS pos
            FROM d JOIN s8 ON d.source IS NOT DISTINCT FROM s8.source),
 cuts AS (SELECT *, unnest(range(pos // 32, (pos + size - 1) // 32 + 1)) AS block FROM placed WHERE size > 0),
 got AS (SELECT doc_id, sum((least(size, (c.block + 1) * 32 - pos) - greatest(0, c.block * 32 - pos)) * coalesce(times, 0))::BIGINT AS taken
