@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,10 +142,23 @@ def prepended(batches: DataFrame, batch: str = "run_at") -> DataFrame:
     return batches.select(batch, "ord", "title").unionByName(heads).orderBy(F.desc(batch), "ord")
 
 
+def _first_rows(df: DataFrame, most: int) -> tuple[list, bool]:
+    """At most `most` rows, and whether there are more."""
+    rows = df.limit(most + 1).collect()
+    return rows[:most], len(rows) > most
+
+
 def markdown(df: DataFrame, most: int = 1000) -> str:
-    """A small report as a Markdown table, of at most `most` rows."""
+    """A small report as a Markdown table, of at most `most` rows; a last line says so if there are more."""
     line = lambda cells: "| " + " | ".join(str(c).replace("|", "\\|").replace("\n", " ") for c in cells) + " |"
-    return "\n".join([line(df.columns), line("---" for _ in df.columns), *[line("" if v is None else v for v in r) for r in df.limit(most).collect()]])
+    rows, more = _first_rows(df, most)
+    return "\n".join([line(df.columns), line("---" for _ in df.columns), *[line("" if v is None else v for v in r) for r in rows], *[f"\nThe first {most} rows of more."] * more])
+
+
+def as_json(df: DataFrame, most: int = 1000) -> str:
+    """A small report as JSON: rows (at most `most`), and whether there are more. Times are text."""
+    rows, more = _first_rows(df, most)
+    return json.dumps({"rows": [r.asDict(recursive=True) for r in rows], "more": more}, ensure_ascii=False, default=str, indent=1)
 
 
 def answered_titles(rows: DataFrame) -> DataFrame:

@@ -249,3 +249,23 @@ def test_stories_and_feeds_take_all_documents(spark, tmp_path):
     assert {r.cluster_id for r in catalog.feed_route(spark, str(tmp_path)).collect()} == set(range(42))
     merged = {r.row_id: (r.urls, r["count"]) for r in catalog.feed_merge(spark, str(tmp_path)).collect()}
     assert set(merged) == {0, 10, 20, 30, 40} and merged[40] == (2, 2)
+
+
+def test_small_reports(spark):
+    import json
+
+    x = spark.createDataFrame([(k, f"a|b{k}", T) for k in range(5)], "n long, t string, at timestamp").orderBy("n")
+    assert reports.markdown(x.select("n", "t"), 2) == "| n | t |\n| --- | --- |\n| 0 | a\\|b0 |\n| 1 | a\\|b1 |\n\nThe first 2 rows of more."
+    assert reports.markdown(x.select("n").limit(1)).count("\n") == 2
+    got = json.loads(reports.as_json(x, 3))
+    assert got["more"] and [r["n"] for r in got["rows"]] == [0, 1, 2] and got["rows"][0]["at"] == "2026-04-27 12:00:00"
+
+
+def test_readers_of_tabs(spark):
+    tab = spark.createDataFrame([("u", "t", "Новость", "нет", "v", " не новость ")], "URL string, Title string, A string, B string, V string, H string")
+    got = tables.labels(tab, {"article": "a", "topic": "b", "verdict": "v", "human": "h"}).first()
+    assert tuple(got) == ("u", "t", True, False, "v", "не новость", "not_news")
+    x = spark.createDataFrame([("ab", "<ul><li>abc</li></ul>"), ("abc", ""), ("abcd", None), ("abcdef", "<p>x</p>")], "t string, b string")
+    assert tuple(stats.mean_lengths(x, t=F.col("t"), b=F.col("b")).first()) == (4, 4, 2)  # 3.75, 2
+    assert tuple(stats.mean_lengths(x.where("t in ('ab', 'abc')"), t=F.col("t"), b=F.col("b")).first()) == (2, 2, 3)  # 2.5 to even
+    assert tuple(stats.mean_lengths(x.limit(0), t=F.col("t")).first()) == (0, 0)
