@@ -100,6 +100,10 @@ def contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The documents that hold no item, all columns as they are."""
+    """The documents that hold no item, all columns as they are.
+
+    Null and empty texts, and texts of too few words for a shingle, hold none and stay; so do all documents if there are no
+    items. Rows that repeat a doc_id, null ones included, are judged together: if one holds an item, all go. A containment of
+    exactly the limit counts. Texts of any length are read whole; an empty table gives an empty one."""
     bad = contained(docs, items, **how).select(F.col("doc_id").alias("_nw_bad")).distinct()
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_nw_bad")), "left_anti")

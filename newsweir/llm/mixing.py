@@ -145,6 +145,9 @@ def mixed_sizes(docs: DataFrame, **how) -> DataFrame:
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents that the mix holds, with the columns of `docs` (doc_id, text, lang, source, n_chars).
 
+    A null source is a source of its own; null texts and texts without words are in no block and don't come; documents
+    without a doc_id are dealt by the hash of their text; rows equal in doc_id and text share what is taken of them; of equal doc_ids the
+    hash of the text gives the order. Texts of any length are cut whole; an empty table gives an empty one.
     A document whose blocks are taken twice comes twice. A text whose blocks are all taken stays as it is; of others
     the taken words remain, with the white space after them, so lines stay lines."""
     m = mix(docs, **how)

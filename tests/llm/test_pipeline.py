@@ -31,7 +31,8 @@ def test_pipeline(spark, tmp_path):
         if k < 4:
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert {r.doc_id for r in seen["language ID"]} == {r[0] for r in rows} - {71, 72}
-    assert {r.doc_id for r in seen["near dedup"]} == {*range(60), 70} - ({70} if 70 not in {r.doc_id for r in seen["near dedup"]} else set())
+    alike = len(rows[7][1].split()) >= 4 * 30  # whether 70 is 0.8 like 7, of which it is a copy with an item
+    assert {r.doc_id for r in seen["near dedup"]} == {*range(60)} | (set() if alike else {70})
     assert {r.doc_id for r in seen["decontamination"]} == {r.doc_id for r in seen["near dedup"]} - {70}
     t = tokenizer("word_bpe_49k.json")
     want = sorted((r.doc_id, len(t.encode(r.text, add_special_tokens=False).ids) + 1) for r in seen["mixing"])
