@@ -11,7 +11,9 @@ Equal sequences of words are one vertex. In a bucket of equal bands every docume
 bucket's least (a star), which joins most of a large group. Then all pairs of a bucket whose classes differ are settled,
 also those with a document that has its link already: buckets are dealt in tiles of about TILE documents a side, and
 within a tile only pairs are compared that share a word among their rarest fifth and one more. Similar texts share
-at least 0.8 of the longer one's words, so none is lost by that. Compared pairs are verified:
+at least 0.8 of the longer one's words, so none is lost by that. Documents of buckets that are larger than a tile, as those
+of one template, are dealt by these words instead, if that sends fewer texts than the tiles of such buckets: documents that have no
+rare word in common never meet then, and the others meet whatever their bucket. Compared pairs are verified:
 the edit distance of the word sequences, by furthest-reaching points on a band of diagonals, is at most 0.2 of the
 longer one. Classes are the connected components of the links, which are those of all similar pairs that share a band.
 """
@@ -35,6 +37,8 @@ SHINGLE, LEAST, BANDS, SIMILAR = 5, 2, 64, 0.8
 #: Texts of fewer than SHORT words have SHORT_BANDS more bands of SHORT_SHINGLE words, as few of their k-mers outlive an edit.
 SHORT, SHORT_SHINGLE, SHORT_BANDS = 64, 2, 16
 TILE, TILE_WORDS = 2048, 1_000_000
+#: Documents, by hash, whose words tell how common a word is; and the most words that are told of.
+DRAWN, KNOWN = 4096, 100_000
 _TILE = ["x", "y", "i", "j"]
 _ODD = (mix64(np.arange(1, BANDS + SHORT_BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _XOR = mix64(np.arange(101, BANDS + SHORT_BANDS + 101, dtype=np.uint64))[:, None]
@@ -172,6 +176,35 @@ def _verify(least: float):
     return go
 
 
+def tokens_of(words: np.ndarray) -> np.ndarray:
+    """A number for each word and its occurrence, so that repeated words are told apart."""
+    words = np.sort(words)
+    first = np.maximum.accumulate(np.where(np.concatenate([[True], words[1:] != words[:-1]]), np.arange(len(words)), 0)) if len(words) else np.zeros(0, np.int64)
+    return words + mix64((np.arange(len(words)) - first).astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for w in words_of(batch.column(0)):
+            yield pa.RecordBatch.from_arrays([pa.array(tokens_of(w).view(np.int64))], names=["token"])
+
+
+def _prefixes(known: np.ndarray, often: np.ndarray, least: float):
+    """The rarest words of each document, of which similar ones have one in common, in one order of all words."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for w in words_of(batch.column(3)):
+                t = tokens_of(w)
+                at = np.minimum(np.searchsorted(known, t), max(len(known) - 1, 0))
+                df = np.where(known[at] == t, often[at], 0) if len(known) else np.zeros(len(t), np.int64)
+                out.append(t[np.lexsort((t, df))][: int((1 - least) * len(t) + 1e-9) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), pa.array([o.tolist() for o in out], pa.list_(pa.int64()))], names=["doc_id", "class", "words", "tokens"])
+
+    return go
+
+
 def candidates(docs: list[np.ndarray], least: float) -> np.ndarray:
     """Symmetric matrix that has every pair of documents (by their words) whose edit similarity can be `least` or more.
 
@@ -200,7 +233,8 @@ def candidates(docs: list[np.ndarray], least: float) -> np.ndarray:
 
 
 def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
-    """Links between different classes of a tile: of all pairs, or of those across its two parts, that meet in no earlier band."""
+    """Links between different classes of a tile: of all pairs, or of those across its two parts, that meet in no earlier band;
+    in a tile of a word (band -1) of all that share a band."""
     docs = [w for c in tile.column("text").chunks for w in words_of(c)]
     ids, kind, part = (tile.column(c).to_numpy() for c in ("doc_id", "class", "part"))
     of = tile.column("bands").combine_chunks()
@@ -212,7 +246,8 @@ def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
     if i != j:
         maybe &= part[:, None] != part
     a, b = np.nonzero(np.triu(maybe))
-    here = (bands[a] == bands[b]).argmax(axis=1) == x if len(a) else np.zeros(0, bool)
+    same = bands[a] == bands[b]
+    here = np.zeros(0, bool) if not len(a) else same.any(axis=1) if x < 0 else same.argmax(axis=1) == x
     up: dict[int, int] = {}
 
     def top(c: int) -> int:
@@ -276,6 +311,36 @@ def _dealt(members: DataFrame) -> DataFrame:
     return m.select("x", "y", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "class")
 
 
+def _by_words(large: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The documents of large buckets (doc_id, class, words) as members of buckets of their rarest words, x is -1."""
+    own = large.select("doc_id", "class", "words").distinct()
+    n = own.count()
+    some = own.where(F.pmod(F.xxhash64("doc_id", F.lit("words")), F.lit(max(1, n // DRAWN))) == 0).select("doc_id").hint("merge")
+    told = texts.join(some, "doc_id", "left_semi").select("text").mapInArrow(_counted, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    told = sorted((r.token & (1 << 64) - 1, r.n) for r in told.orderBy(F.desc("n"), "token").limit(KNOWN).collect())
+    known, often = np.array([t for t, _ in told], np.uint64), np.array([c for _, c in told], np.int64)
+    x = own.hint("merge").join(texts.select("doc_id", "text"), "doc_id").select("doc_id", "class", "words", "text")
+    x = x.mapInArrow(_prefixes(known, often, least), "doc_id long, class long, words long, tokens array<long>")
+    return x.select(F.lit(-1).cast("long").alias("x"), F.explode("tokens").alias("y"), "doc_id", "words", "class")
+
+
+def _all_tiles(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The tiles of all buckets (members: x, y, doc_id, words, class), as a written table."""
+    sizes = members.groupBy("x", "y").agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    big = cut(sizes.where((F.col("n") > TILE) | (F.col("w") > TILE_WORDS)).where("lo < hi").select("x", "y"), "large")
+    if not big.limit(1).count():
+        discard(big)
+        return cut(_dealt(members), "tiles")
+    large = cut(members.join(big, ["x", "y"]), "large-members")
+    by_words = cut(_by_words(large, texts, least), "by-words")
+    tiles, other = cut(_dealt(large), "tiles"), cut(_dealt(by_words), "tiles")
+    fewer = other if other.count() < tiles.count() else tiles
+    out = cut(_dealt(members.join(big, ["x", "y"], "left_anti")).unionByName(fewer), "tiles")
+    for t in (big, large, by_words, tiles, other):
+        discard(t)
+    return out
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
     """`docs` with _nw_uid, a number for each document, and whether there are rows that repeat a doc_id.
 
@@ -312,7 +377,7 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
     near = components(got.where("ok").select("a", "b"))
     classed = shared.drop("hub").join(near, F.col("doc_id") == F.col("id"), "left").withColumn("class", F.coalesce("component", "doc_id")).drop("id", "component")
     classed = cut(classed, "members")
-    tiles = cut(_dealt(classed), "tiles")
+    tiles = _all_tiles(classed, texts, least)
     dealt = tiles.hint("merge").join(texts, "doc_id").select(*_TILE, "part", "doc_id", "class", "bands", "text")
     dealt = dealt.repartition(4 * partitions(docs.sparkSession), *_TILE).sortWithinPartitions(*_TILE)
     more = cut(dealt.mapInArrow(_tiles(least), "a long, b long"), "more")

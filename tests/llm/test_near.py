@@ -261,3 +261,31 @@ def test_links_come_from_the_lists(spark, monkeypatch):
     assert vector_dedup.links(far, 0.9).count() == 0 and len(sizes) == 2
     got = {q.vec_id: q for q in vector_dedup.near_vectors(df.where("vec_id between 1400 and 1700")).dropDuplicates(["vec_id"]).collect()}
     assert got[1500].component_id == got[1557].component_id == 1500 and got[1500].n_links == 19
+
+
+def test_templates_grow_in_proportion(spark, monkeypatch):
+    """Unlike documents of one template, a few of which are alike: the texts that tiles get grow as the documents, not as
+    their square, and the classes are those of all pairs. Where words tell nothing, tiles of whole buckets stay."""
+    monkeypatch.setattr(near_dedup, "TILE", 32)
+    sizes, tiles = [], near_dedup._all_tiles
+    monkeypatch.setattr(near_dedup, "_all_tiles", lambda *a: (lambda t: (sizes.append((t.count(), t.where("x < 0").count())), t)[1])(tiles(*a)))
+
+    def classes(n):
+        rng = random.Random(n)
+        template, texts = [f"t{i}" for i in range(70)], []
+        for _ in range(n):
+            texts.append(" ".join(template + [f"v{rng.randrange(10**9)}" for _ in range(30)]))
+        for k in range(20):
+            texts.append(" ".join(w if i < 70 or i % 3 else f"u{k}-{i}" for i, w in enumerate(texts[k].split())))
+        rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+        return rows, {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, DOC)).collect()}
+
+    rows, got = classes(300)
+    assert got == band_classes(rows)[0]
+    many, got = classes(2400)
+    assert {got[2400 + k] for k in range(20)} == set(range(20)) and len(set(got.values())) == 2400
+    (small, _), (large, by_words) = sizes
+    assert by_words == large and large < 400 and large <= 10 * max(small, 1)
+    rng = random.Random(1)  # few words in all, none rare
+    few = [(i, " ".join(["same"] * 30 + [rng.choice("abcdefgh") for _ in range(20)]), "en", "s", 0) for i in range(150)]
+    assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(few, DOC)).collect()} == band_classes(few)[0]
