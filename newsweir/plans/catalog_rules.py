@@ -88,9 +88,13 @@ def dates_again(spark, d):
 @query("WITH g AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS k FROM documents WHERE source IS NOT NULL) SELECT source, (k - 1)::INT AS pos, 'https://t.me/' || source || '/' || doc_id AS url, 'Post ' || doc_id AS title, 'Post ' || doc_id || chr(10) || 'of ' || source AS body FROM g WHERE k <= 15")
 def channel_previews(spark, d):
     """The newest posts of preview pages made of all documents, a channel for each source."""
+    return channels.channel_posts(_previews(spark, d)).select(F.col("source_url").alias("source"), "pos", "url", "title", "body")
+
+
+def _previews(spark, d):
     post = F.concat(F.lit('<div class="tgme_widget_message" data-post="'), "source", F.lit("/"), "doc_id", F.lit('"><div class="tgme_widget_message_text">Post '), "doc_id", F.lit("<br>of "), "source", F.lit("</div></div>"))
     page = table(spark, d, "documents").where("source is not null").groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", post.alias("p")))), lambda x: x["p"]), "").alias("html"))
-    return channels.channel_posts(page.select(F.col("source").alias("url"), "html")).select(F.col("source_url").alias("source"), "pos", "url", "title", "body")
+    return page.select(F.col("source").alias("url"), "html")
 
 
 _TAB = "t AS (SELECT page_id AS seq, url, CASE WHEN page_id % 4 = 0 THEN 'RSS' ELSE 'page' END AS type, CASE page_id % 5 WHEN 0 THEN 'нет' WHEN 1 THEN '' ELSE 'да' END AS on_, CASE WHEN page_id % 3 = 0 THEN '' ELSE 'n' || page_id END AS name, 'p' || (page_id % 2) AS portal FROM pages)"

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import dates, rules, text, urls
+from ..functions import dates, rules, text, udtfs, urls
 from ..operators import budget, components, dedup, reports, stats
 from ..operators.title_index import TitleIndex
 from ..sources import discovery, edits, sinks, tables
@@ -16,7 +16,8 @@ from ..sources.state import Store
 from ..storage import cut, shared_dir
 from ..streaming.articles import sessions
 from . import calls
-from .catalog import _ARTICLES, _CANON, NOW, articles, query, table
+from .catalog import _ARTICLES, _CANON, NOW, SQL, articles, query, table
+from .catalog_rules import _previews
 
 LATER = datetime(2024, 2, 1)
 
@@ -276,3 +277,15 @@ def labels_compared(spark, d):
 @query(f"WITH {_CANON} SELECT page_id, regexp_replace(host, '^(?:www|m|amp)\\.', '') IN ('example.com') OR ends_with(host, '.example.com') AS insecure FROM c")
 def pages_insecure(spark, d):
     return table(spark, d, "pages").select("page_id", discovery.insecure(F.col("url"), ["www.example.com"]).alias("insecure"))
+
+
+@query(SQL["channel_previews"])
+def channel_previews_lateral(spark, d):
+    """The posts of channel_previews by a table function in SQL."""
+    udtfs.register(spark)
+    return spark.sql("SELECT p.url AS source, pos, x.url, title, body FROM {pages} AS p, LATERAL channel_posts(p.html, 15) AS x", pages=_previews(spark, d))
+
+
+@query(SQL["html_title"])
+def html_title_lateral(spark, d):
+    return udtfs.articles(table(spark, d, "pages")).select("page_id", "title")

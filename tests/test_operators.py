@@ -269,3 +269,18 @@ def test_readers_of_tabs(spark):
     assert tuple(stats.mean_lengths(x, t=F.col("t"), b=F.col("b")).first()) == (4, 4, 2)  # 3.75, 2
     assert tuple(stats.mean_lengths(x.where("t in ('ab', 'abc')"), t=F.col("t"), b=F.col("b")).first()) == (2, 2, 3)  # 2.5 to even
     assert tuple(stats.mean_lengths(x.limit(0), t=F.col("t")).first()) == (0, 0)
+
+
+def test_table_functions(spark):
+    """Table functions give the rows of the functions that they stand for; a page without rows, or null, gives none."""
+    from newsweir.functions import channels, pages, udtfs
+
+    post = '<div class="tgme_widget_message" data-post="c/{}"><div class="tgme_widget_message_text">{}<br>x <a href="https://e.com/{}">l</a></div></div>'
+    x = spark.createDataFrame([("https://t.me/s/c", "".join(post.format(k, f"Title {k}", k) for k in range(5))), ("https://t.me/s/d", None), (None, "<p>no posts")], "url string, html string")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
+    assert same(channels.channel_posts(x, 3), udtfs.channel_posts(x, 3)) and udtfs.channel_posts(x, 3).count() == 3
+    html = spark.createDataFrame([(1, "https://e.com/2026/04/27/a", "<html><title>A title of a page</title><article><p>Text</p><img src='/i.png'></article>"), (2, "u", "<p>none"), (3, None, None)], "page_id long, url string, html string")
+    assert same(pages.articles(html), udtfs.articles(html)) and {r.page_id for r in udtfs.articles(html).collect()} == {r.page_id for r in pages.articles(html).collect()}
+    udtfs.register(spark)
+    html.createOrReplaceTempView("captured")
+    assert spark.sql("SELECT page_id, a.title FROM captured, LATERAL page_article(url, html) AS a WHERE a.title LIKE 'A%'").collect()[0].page_id == 1
