@@ -206,7 +206,9 @@ def title_index(spark, d):
     index.begin(x.where("seq % 2 = 0").select("title"))
     for k in (0, 2):
         index.add(x.where(F.col("seq") % 4 == k).select("title"))
-    return index.pairs(x.where("seq % 2 = 1").select("title"), 85.0)
+    found = index.pairs(x.where("seq % 2 = 1").select("title"), 85.0)  # a written table
+    index.forget()
+    return found
 
 
 @query(f"WITH {_ARTICLES} SELECT trim(source) AS name, trim(coalesce(lang, '')) AS description, count(*) AS n FROM a WHERE trim(source) <> '' GROUP BY 1, 2")
