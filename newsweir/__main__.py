@@ -81,7 +81,9 @@ def main(args: list[str] | None = None) -> int:
     a = p.parse_args(args)
     handler = logging.StreamHandler()
     handler.setFormatter(JsonLines() if a.json_log else logging.Formatter("%(asctime)s %(levelname)s %(name)s %(message)s"))
-    logging.basicConfig(level=a.log, handlers=[handler], force=True)
+    own = logging.getLogger("newsweir")  # others' loggers stay as they are
+    own.handlers, own.propagate = [handler], False
+    own.setLevel(a.log)
     from .plans import catalog, catalog_rules, catalog_state  # noqa: F401, the others add to the first
 
     if a.what == "queries":

@@ -189,7 +189,7 @@ def test_sources(spark, tmp_path):
     shots = spark.createDataFrame([(k, "s2" if k % 2 else "s1", f"t{k}", "local") for k in range(9)], "seq long, section string, title string, region string")
     assert [r.seq for r in tables.few_shots(shots).collect()] == [0, 2, 4, 1, 3, 5]
     (tmp_path / "f.xml").write_text("<rss><channel><item><title>T</title><link>https://e.com/a</link><pubDate>Sun, 27 Apr 2026 13:45:00 GMT</pubDate></item><item><title>no link</title></item></channel></rss>")
-    assert [r.link for r in tables.feed_items(spark, f"{tmp_path}/f.xml").collect()] == ["https://e.com/a"]
+    assert [(r.pos, r.link) for r in tables.feed_items(spark, f"{tmp_path}/f.xml").where("link is not null").collect()] == [(1, "https://e.com/a")]
 
 
 def test_versions(spark, tmp_path):
