@@ -84,7 +84,7 @@ class Model:
         weights = np.concatenate([np.unpackbits(marks[pick, part], axis=1).T.astype(np.float64) @ of_mark for part in parts])
         return cls(labels, places, weights[places].astype(np.float32), mean_y - mean_phi @ beta)
 
-    def predict(self, texts: list[str | None], batch: int = 64) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str | None], batch: int = 16) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. The score is the softmax of the regressions (times 4), 0 if undecided."""
         out, scores = [], np.zeros(len(texts))
         marks = np.zeros(PLACES, np.uint8)

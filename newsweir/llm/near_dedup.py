@@ -39,6 +39,8 @@ SHORT, SHORT_SHINGLE, SHORT_BANDS = 64, 2, 16
 TILE, TILE_WORDS = 2048, 1_000_000
 #: Documents, by hash, whose words tell how common a word is; and the most words that are told of.
 DRAWN, KNOWN = 4096, 100_000
+#: Rows and pairs of a tile that are looked at together.
+ROWS, PAIRS = 64, 1 << 14
 _TILE = ["x", "y", "i", "j"]
 _ODD = (mix64(np.arange(1, BANDS + SHORT_BANDS + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 _XOR = mix64(np.arange(101, BANDS + SHORT_BANDS + 101, dtype=np.uint64))[:, None]
@@ -150,8 +152,8 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
             ids, exact, sizes, bands = [], [], [], []
             for row, w in enumerate(words_of(part.column(1))):
                 if not len(w):
@@ -229,7 +231,10 @@ def candidates(docs: list[np.ndarray], least: float) -> np.ndarray:
     out = np.zeros((len(n), len(n)), bool)
     for a, b in zip(starts[many].tolist(), ends[many].tolist(), strict=True):
         out[doc[a:b, None], doc[a:b]] = True
-    return out & (np.abs(n[:, None] - n) <= (1 - least) * np.maximum(n[:, None], n) + 1e-9)
+    for lo in range(0, len(n), ROWS):  # lengths that are too unlike, some rows at a time as their table is large
+        own = n[lo : lo + ROWS, None]
+        out[lo : lo + ROWS] &= np.abs(own - n) <= (1 - least) * np.maximum(own, n) + 1e-9
+    return out
 
 
 def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
@@ -242,12 +247,24 @@ def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
     size = np.diff(of.offsets.to_numpy())
     bands[np.arange(BANDS + SHORT_BANDS) < size[:, None]] = of.flatten().to_numpy()
     x, i, j = (tile.column(c)[0].as_py() for c in "xij")
-    maybe = candidates(docs, least) & (kind[:, None] != kind)
-    if i != j:
-        maybe &= part[:, None] != part
-    a, b = np.nonzero(np.triu(maybe))
-    same = bands[a] == bands[b]
-    here = np.zeros(0, bool) if not len(a) else same.any(axis=1) if x < 0 else same.argmax(axis=1) == x
+    maybe = candidates(docs, least)
+
+    def here() -> Iterator[tuple[int, int]]:
+        """Pairs that may be links, in order, of which some rows and then some pairs are looked at together."""
+        for lo in range(0, len(docs), ROWS):
+            rows = slice(lo, lo + ROWS)
+            some = maybe[rows] & (kind[rows, None] != kind)
+            if i != j:
+                some &= part[rows, None] != part
+            a, b = np.nonzero(some)
+            a += lo
+            a, b = a[a < b], b[a < b]
+            for k in range(0, len(a), PAIRS):
+                p, q = a[k : k + PAIRS], b[k : k + PAIRS]
+                same = bands[p] == bands[q]
+                on = same.any(axis=1) if x < 0 else same.argmax(axis=1) == x
+                yield from zip(p[on].tolist(), q[on].tolist(), strict=True)
+
     up: dict[int, int] = {}
 
     def top(c: int) -> int:
@@ -256,7 +273,7 @@ def _tile_links(tile: pa.Table, least: float) -> list[tuple[int, int]]:
         return c
 
     out = []
-    for p, q in zip(a[here].tolist(), b[here].tolist(), strict=True):
+    for p, q in here():
         c, d = top(int(kind[p])), top(int(kind[q]))
         if c != d and alike(docs[p], docs[q], least):
             up[max(c, d)] = min(c, d)
