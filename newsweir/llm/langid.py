@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import cut, discard
+from .tokens import let_go
 
 #: Documents of each language to learn from, and documents in all (but one of each language at least), as bounds of the model.
 PER_LANGUAGE, SAMPLE, LANDMARKS, RIDGE, ORDERS, PLACES = 300, 4096, 256, 1e-2, (1, 2, 3, 4), 1 << 18
@@ -150,6 +151,7 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str,
     text = "_text_" if "text" not in keep else "text"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)

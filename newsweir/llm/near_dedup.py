@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from .base import cut, discard, mix64, partitions
 from .repeats import gram_hashes
+from .tokens import let_go
 
 SHINGLE, LEAST, BANDS, SIMILAR = 5, 2, 64, 0.8
 #: Texts of fewer than SHORT words have SHORT_BANDS more bands of SHORT_SHINGLE words, as few of their k-mers outlive an edit.
@@ -151,6 +152,7 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)

@@ -38,6 +38,11 @@ def tokenizer(name: str):
     return Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
 
 
+def let_go() -> None:
+    """Free the pieces that this process keeps: operators that don't encode call it, as a worker goes from one to another."""
+    _MEMO.clear()
+
+
 class Pieces:
     """Token ids of pieces, and the characters at which tokens start and end in their piece."""
 
