@@ -11,9 +11,10 @@ Equal sequences of words are one vertex. In a bucket of equal bands every docume
 bucket's least (a star), which joins most of a large group. Then all pairs of a bucket whose classes differ are settled,
 also those with a document that has its link already: buckets are dealt in tiles of about TILE documents a side, and
 within a tile only pairs are compared that share a word among their rarest fifth and one more. Similar texts share
-at least 0.8 of the longer one's words, so none is lost by that. Documents of buckets that are larger than a tile, as those
-of one template, are dealt by these words instead, if that sends fewer texts than the tiles of such buckets: documents that have no
-rare word in common never meet then, and the others meet whatever their bucket. Compared pairs are verified:
+at least 0.8 of the longer one's words, so none is lost by that. Where tiles would
+get more than MORE times all texts, as by many unlike documents of one template, documents of buckets that are larger than a tile
+are dealt by these words instead, if that sends fewer texts: documents that have no rare word in common never meet then, and
+the others meet whatever their bucket. Compared pairs are verified:
 the edit distance of the word sequences, by furthest-reaching points on a band of diagonals, is at most 0.2 of the
 longer one. Classes are the connected components of the links, which are those of all similar pairs that share a band.
 """
@@ -40,6 +41,8 @@ SHORT, SHORT_SHINGLE, SHORT_BANDS = 64, 2, 16
 TILE, TILE_WORDS = 2048, 1_000_000
 #: Documents, by hash, whose words tell how common a word is; and the most words that are told of.
 DRAWN, KNOWN = 4096, 100_000
+#: Times all texts that tiles may get before large buckets are dealt by words.
+MORE = 8
 #: Rows and pairs of a tile that are looked at together.
 ROWS, PAIRS = 64, 1 << 14
 _TILE = ["x", "y", "i", "j"]
@@ -312,16 +315,21 @@ def _tiles(least: float):
     return go
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Tiles x, y, i, j with their members, whose `part` is i or j, of buckets x, y with several classes.
-
-    The members of a bucket's largest class need not be compared with each other: they meet only the rest."""
+def _parts(members: DataFrame) -> DataFrame:
+    """x, y, n, top_n, top (largest class), rest, tops (parts of its members and of the others) of buckets with several classes."""
     per = members.groupBy("x", "y", "class").agg(F.count("*").alias("n"), F.sum("words").alias("w"))
     total = per.groupBy("x", "y").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "w", "class")).alias("top")).where("n > top.n")
     parts = lambda n, w: F.ceil(F.greatest(n / TILE, w / TILE_WORDS))
     whole = parts(F.col("n"), F.col("w")) <= 1
-    total = total.select("x", "y", F.col("top.class").alias("top"), F.when(whole, 1).otherwise(parts(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w"))).alias("rest"), F.when(whole, 0).otherwise(parts(F.col("top.n"), F.col("top.w"))).alias("tops"))
-    m = members.join(total, ["x", "y"])
+    return total.select("x", "y", "n", F.col("top.n").alias("top_n"), F.col("top.class").alias("top"), F.when(whole, 1).otherwise(parts(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w"))).alias("rest"), F.when(whole, 0).otherwise(parts(F.col("top.n"), F.col("top.w"))).alias("tops"))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Tiles x, y, i, j with their members, whose `part` is i or j, of buckets x, y with several classes.
+
+    The members of a bucket's largest class need not be compared with each other: they meet only the rest."""
+    total = _parts(members)
+    m = members.join(total.drop("n", "top_n"), ["x", "y"])
     among = F.xxhash64("doc_id", F.lit("part"))
     is_top = (F.col("class") == F.col("top")) & (F.col("tops") > 0)
     m = m.withColumn("part", F.when(is_top, F.col("rest") + F.expr("pmod(xxhash64(doc_id, 'part'), greatest(tops, 1))")).otherwise(F.pmod(among, F.col("rest"))))
@@ -343,19 +351,24 @@ def _by_words(large: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return x.select(F.lit(-1).cast("long").alias("x"), F.explode("tokens").alias("y"), "doc_id", "words", "class")
 
 
+def _sent(parts: DataFrame) -> int:
+    """How many texts the tiles of buckets get."""
+    rows = F.when(F.col("tops") == 0, F.col("n") * F.col("rest")).otherwise((F.col("n") - F.col("top_n")) * (F.col("rest") + F.col("tops")) + F.col("top_n") * F.col("rest"))
+    return parts.agg(F.sum(rows)).first()[0] or 0
+
+
 def _all_tiles(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The tiles of all buckets (members: x, y, doc_id, words, class), as a written table."""
-    sizes = members.groupBy("x", "y").agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.min("class").alias("lo"), F.max("class").alias("hi"))
-    big = cut(sizes.where((F.col("n") > TILE) | (F.col("w") > TILE_WORDS)).where("lo < hi").select("x", "y"), "large")
-    if not big.limit(1).count():
-        discard(big)
+    """The tiles of all buckets (members: x, y, doc_id, words, class), as a written table.
+
+    Only where they would get more than MORE times all texts are large buckets dealt by words, if that is less."""
+    if _sent(_parts(members)) <= MORE * texts.count():
         return cut(_dealt(members), "tiles")
+    big = cut(_parts(members).where("rest + tops > 1").select("x", "y"), "large")
     large = cut(members.join(big, ["x", "y"]), "large-members")
     by_words = cut(_by_words(large, texts, least), "by-words")
-    tiles, other = cut(_dealt(large), "tiles"), cut(_dealt(by_words), "tiles")
-    fewer = other if other.count() < tiles.count() else tiles
-    out = cut(_dealt(members.join(big, ["x", "y"], "left_anti")).unionByName(fewer), "tiles")
-    for t in (big, large, by_words, tiles, other):
+    fewer = by_words if _sent(_parts(by_words)) < _sent(_parts(large)) else large
+    out = cut(_dealt(members.join(big, ["x", "y"], "left_anti")).unionByName(_dealt(fewer)), "tiles")
+    for t in (big, large, by_words):
         discard(t)
     return out
 

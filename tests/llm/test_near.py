@@ -267,6 +267,7 @@ def test_templates_grow_in_proportion(spark, monkeypatch):
     """Unlike documents of one template, a few of which are alike: the texts that tiles get grow as the documents, not as
     their square, and the classes are those of all pairs. Where words tell nothing, tiles of whole buckets stay."""
     monkeypatch.setattr(near_dedup, "TILE", 32)
+    monkeypatch.setattr(near_dedup, "MORE", 1)
     sizes, tiles = [], near_dedup._all_tiles
     monkeypatch.setattr(near_dedup, "_all_tiles", lambda *a: (lambda t: (sizes.append((t.count(), t.where("x < 0").count())), t)[1])(tiles(*a)))
 
