@@ -30,14 +30,14 @@ def _column(df: DataFrame, *names: str) -> Column:
     return F.col(f"`{found}`") if found else F.lit("")
 
 
-def sources(tab: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """name, url, type (rss or html), is_active, requires_js, language of the rows with a URL. `columns` gives the header
-    of each field. A blank flag of activity is true, a blank name is the URL."""
+def sources(tab: DataFrame, columns: dict[str, str], others: list[str] = ()) -> DataFrame:
+    """name, url, type (rss or html), is_active, requires_js, language of the rows with a URL, and `others` as they stand.
+    `columns` gives the header of each field. A blank flag of activity is true, a blank name is the URL."""
     c = lambda k: strip(_column(tab, columns.get(k, k)))
     kind = F.when(F.lower(c("type")) == "rss", "rss").otherwise("html")
     x = tab.select(
         F.coalesce(F.nullif(c("name"), F.lit("")), c("url")).alias("name"), c("url").alias("url"), kind.alias("type"),
-        truthy(F.coalesce(F.nullif(c("is_active"), F.lit("")), F.lit("true"))).alias("is_active"), truthy(c("requires_js")).alias("requires_js"), F.nullif(c("language"), F.lit("")).alias("language"),
+        truthy(F.coalesce(F.nullif(c("is_active"), F.lit("")), F.lit("true"))).alias("is_active"), truthy(c("requires_js")).alias("requires_js"), F.nullif(c("language"), F.lit("")).alias("language"), *others,
     )
     return x.where("url <> ''")
 
