@@ -42,7 +42,9 @@ def _answered(x: DataFrame, call: str, answers: DataFrame, asked: Column) -> Dat
     fields = [c.split()[0] for c in ANSWERS[call].split(", ")][1:]
     # of several answers to one prompt the least by all columns, so that reruns agree
     one = answers.groupBy("key").agg(F.min(F.struct(*[F.col(c) for c in fields])).alias(call)).withColumnRenamed("key", "_key")
-    return x.withColumn("_ask", F.when(asked, F.col(f"_{call}"))).join(one, F.col("_ask") == F.col("_key"), "left").drop("_ask", "_key").withColumn(f"_asked_{call}", F.coalesce(asked, F.lit(False)))
+    # rows that don't ask meet nothing; each has a key of its own, or all would go to the task of nulls
+    apart = F.concat(F.lit("no call "), F.xxhash64(*[F.col(f"_{c}") for c in CALLS], "seq").cast("string"))
+    return x.withColumn("_ask", F.when(asked, F.col(f"_{call}")).otherwise(apart)).join(one, F.col("_ask") == F.col("_key"), "left").drop("_ask", "_key").withColumn(f"_asked_{call}", F.coalesce(asked, F.lit(False)))
 
 
 def chained(articles: DataFrame, answers: dict[str, DataFrame], sections: list[tuple[str, str]], shots: list[tuple[str, str]] = (), country: str = "") -> DataFrame:

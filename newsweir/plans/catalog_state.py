@@ -100,7 +100,8 @@ def _chained(spark, d) -> DataFrame:
         "section": x.where(s % 7 > 0).select(k["section"].alias("key"), F.when(s % 2 == 0, "Market").otherwise("Weather").alias("section"), F.lit("Local").alias("region"), F.lit(0.5).alias("confidence"), F.lit(2.0).alias("cost"), no),
         "titles": x.where(s % 11 > 0).select(k["titles"].alias("key"), F.concat(F.lit("T"), s).alias("title_en"), F.lit("RU").alias("title_ru"), F.lit("EN").alias("language"), F.lit(1.0).alias("cost"), no),
     }
-    return cut(calls.chained(x, answers, _SECTIONS, _SHOTS, _COUNTRY), "chained")
+    # neither bodies nor answers' other columns are written or shuffled: keys are made where the articles are read
+    return cut(calls.chained(x, answers, _SECTIONS, _SHOTS, _COUNTRY).select("seq", "verdict", "section", "title_en", "cost", "calls", "pending"), "chained")
 
 
 @query(

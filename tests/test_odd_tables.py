@@ -22,7 +22,7 @@ def odd(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", ["cache_restore", "seen_upsert", "source_totals", "html_title", "html_title_lateral", "feed_new_rows"])
+@pytest.mark.parametrize("name", ["cache_restore", "seen_upsert", "source_totals", "html_title", "html_title_lateral", "feed_new_rows", "calls_whole", "calls_charged", "calls_promoted", "calls_pending"])
 def test_against_sql(spark, odd, name):
     import duckdb
     from newsweir.plans import catalog, catalog_rules, catalog_state  # noqa: F401, the others add to the first
@@ -43,3 +43,16 @@ def test_restored_once(spark):
     seen = spark.createDataFrame([("a", "RU", 1, ("old", None)), ("a", "RU", 2, ("new", None)), ("a", "KZ", 3, ("other", None))], "url_hash string, portal string, last_seen_at int, cached struct<section: string, verdict: string>")
     got = dedup.restored(spark.createDataFrame([(1, "a"), (2, "b")], "seq long, url_hash string"), seen, "RU").collect()
     assert {r.seq: (r.cached and r.cached.section, r.from_cache) for r in got} == {1: ("new", True), 2: (None, False)} and len(got) == 2
+
+
+def test_calls_not_asked_are_spread(spark):
+    """Rows that don't ask have join keys of their own: a call that nobody makes puts no task in charge of all rows."""
+    from newsweir.plans import calls
+
+    x = spark.range(400).selectExpr("id AS seq", "concat('t', id) AS title", "'b' AS body", "'en' AS source_language", "'possible_news' AS verdict")
+    none = {c: spark.createDataFrame([], calls.ANSWERS[c]) for c in calls.CALLS}
+    asked = calls._answered(x.withColumns({f"_{c}": x.title for c in calls.CALLS}), "section", none["section"], x.seq < 0)
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    assert "no call" in plan and asked.where("section is not null or _asked_section").count() == 0 and asked.count() == 400
+    keys = x.selectExpr("concat('no call ', xxhash64(title, title, title, seq)) AS k")
+    assert keys.distinct().count() == 400
