@@ -56,3 +56,18 @@ def test_calls_not_asked_are_spread(spark):
     assert "no call" in plan and asked.where("section is not null or _asked_section").count() == 0 and asked.count() == 400
     keys = x.selectExpr("concat('no call ', xxhash64(title, title, title, seq)) AS k")
     assert keys.distinct().count() == 400
+
+
+def test_pages_in_slices(spark, monkeypatch):
+    """Pages become Python objects a slice at a time, in order, whatever batch Spark hands over; null pages have no article."""
+    import pyarrow as pa
+    from newsweir.functions import pages
+
+    n = 3 * pages.AT_ONCE + 5
+    read = []
+    monkeypatch.setattr(pages, "read_page", lambda u, h: read.append(u) or {"title": h, "images": [u]})
+    out = []
+    for part in pages._pages.func(iter([(pa.array([f"u{k}" for k in range(n)]), pa.array(["x"] * (n - 1) + [None]))])):
+        assert len(part) <= pages.AT_ONCE and len(read) <= len(out) + pages.AT_ONCE
+        out += part.to_pylist()
+    assert [p["images"][0] for p in out] == [f"u{k}" for k in range(n)] and out[-1]["title"] is None
