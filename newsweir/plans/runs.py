@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules, text
+from ..functions import fixed, rules, text
 from ..functions.dates import is_fresh
 from ..functions.urls import domain, url_hash
 from ..operators import budget, dedup, origins
@@ -30,6 +30,7 @@ class Settings:
     cap: float = 5.0
     blocked_domains: list[str] = field(default_factory=list)
     blocked_phrases: list[str] = field(default_factory=list)
+    forced_phrases: list[str] = field(default_factory=lambda: list(fixed.FORCE_REJECT))
     brands: origins.Brands = field(default_factory=list)
     cues: list[str] = field(default_factory=list)
     press: list[str] = field(default_factory=list)
@@ -51,7 +52,7 @@ def graded(articles: DataFrame, s: Settings, seen: DataFrame | None = None) -> D
     two rule verdicts. A blacklisted article never makes a later one a duplicate."""
     x = articles.where(is_fresh(F.col("published_at"), s.hours, s.now)).withColumn("url_hash", url_hash(F.col("url")))
     names = [n for name, aliases, _ in s.brands for n in (name, *aliases)]
-    x = x.withColumn("reason", rules.blacklist_reason(F.col("url"), F.col("title"), s.blocked_domains, s.blocked_phrases, names))
+    x = x.withColumn("reason", rules.blacklist_reason(F.col("url"), F.col("title"), s.blocked_domains, s.blocked_phrases, names, s.forced_phrases))
     own = F.coalesce("url_hash", F.concat(F.lit("seq "), F.col("seq").cast("string")))  # an article without a URL has no copies
     order = Window.partitionBy(own, F.col("reason").isNull()).orderBy("seq")
     x = x.withColumn("copy", F.when(F.col("reason").isNull(), F.row_number().over(order)).otherwise(1))

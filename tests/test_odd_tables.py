@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from newsweir.functions.fixed import STRONG_MARKERS
 
 LONG = "Long enough a title of the page"
 H = '<h1>{}</h1><a href="/a{}">a</a><a href="/b">b</a>'
@@ -15,14 +16,14 @@ def odd(spark, tmp_path_factory):
     titles = ["One &amp; two", "Three &quot;four&quot;", "Cut &amp;&amp;&amp", "Cut &quot", "AT&T &copy5", "&amp;amp; twice"]
     pages = [(k, f"https://e.com/{'same' if k in (3, 4, 8, 9, 12) else k}?utm_source=x", H.format(titles[k % len(titles)], "")) for k in range(24)]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
-    texts = ["A title of 2019\nbody", "A title\nCall +1 (962) 555-2005 in 2001", "Plain\n", f"{LONG} - Site\nx"]
+    texts = ["A title of 2019\nbody", "A title\nCall +1 (962) 555-2005 in 2001", f"A trash {STRONG_MARKERS[0]}\n", f"{LONG} - Site\nx"]
     docs = [(k, f"{texts[k % 4]} {k}", "en", f"src{k % 9}", 10) for k in range(16)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(k, datetime(2024, 1, 30) - timedelta(hours=k)) for k in range(12)], "event_id long, ts timestamp").write.parquet(f"{d}/events.parquet")
     return d
 
 
-@pytest.mark.parametrize("name", ["cache_restore", "seen_upsert", "source_totals", "html_title", "html_title_lateral", "feed_new_rows", "calls_whole", "calls_charged", "calls_promoted", "calls_pending"])
+@pytest.mark.parametrize("name", ["cache_restore", "seen_upsert", "source_totals", "html_title", "html_title_lateral", "feed_new_rows", "calls_whole", "calls_charged", "calls_promoted", "calls_pending", "gate_order"])
 def test_against_sql(spark, odd, name):
     import duckdb
     from newsweir.plans import catalog, catalog_rules, catalog_state  # noqa: F401, the others add to the first
