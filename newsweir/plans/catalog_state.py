@@ -193,6 +193,7 @@ def components_grown(spark, d):
     """Articles linked to the next one of their title, in three runs of which each adds its links to the components so far."""
     x = articles(spark, d).select("seq", "title")
     e = x.select("seq", F.lag("seq").over(Window.partitionBy("title").orderBy("seq")).alias("before")).where("before is not null").select(F.col("before").alias("a"), F.col("seq").alias("b"), (F.col("seq") % 3).alias("k"))
+    e = cut(e, "links")  # each run would shuffle the titles again
     stars = components.components(e.where("k = 0"))
     for k in (1, 2):
         stars = cut(components.grown(stars, e.where(F.col("k") == k)), "stars")

@@ -72,3 +72,12 @@ def test_pages_in_slices(spark, monkeypatch):
         assert len(part) <= pages.AT_ONCE and len(read) <= len(out) + pages.AT_ONCE
         out += part.to_pylist()
     assert [p["images"][0] for p in out] == [f"u{k}" for k in range(n)] and out[-1]["title"] is None
+
+
+def test_titles_are_made_before_events_are_joined(spark, odd):
+    """Queries that don't want texts don't shuffle them: below the join there are titles, and no text comes out of it."""
+    from newsweir.plans import catalog
+
+    plan = catalog.articles(spark, odd).select("seq", "title")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.split("Join")[0]
+    assert "substring" not in above and "substring" in plan
