@@ -81,3 +81,15 @@ def test_titles_are_made_before_events_are_joined(spark, odd):
     plan = catalog.articles(spark, odd).select("seq", "title")._jdf.queryExecution().optimizedPlan().toString()
     above = plan.split("Join")[0]
     assert "substring" not in above and "substring" in plan
+
+
+def test_ratios_in_slices():
+    """Pairs are compared a slice at a time, in order, whatever batch Spark hands over."""
+    import pandas as pd
+    from newsweir.functions import text
+
+    n = 2 * text.PAIRS + 7
+    a, b = pd.Series([f"word {k} more" for k in range(n)]), pd.Series([f"word {k - k % 2} more" for k in range(n)])
+    parts = list(text.token_set_ratio().func(iter([(a, b)])))
+    assert [len(p) for p in parts] == [text.PAIRS, text.PAIRS, 7]
+    assert [x == 100 for p in parts for x in p] == [k % 2 == 0 for k in range(n)]
