@@ -129,14 +129,14 @@ def brand_signal(title: Column, names: list[str], markers: list[str] = fixed.STR
     return any_of(title, markers) | any_of(title, long) | any_of(F.concat(F.lit(" "), title, F.lit(" ")), [f" {n} " for n in short])
 
 
-def blacklist_reason(url: Column, title: Column, domains: list[str], phrases: list[str], brands: list[str] | None = None, force: list[str] = fixed.FORCE_REJECT) -> Column:
+def blacklist_reason(url: Column, title: Column, domains: list[str], phrases: list[str], brands: list[str] | None = None, force: list[str] = fixed.FORCE_REJECT, markers: list[str] = fixed.STRONG_MARKERS) -> Column:
     """Why an article is rejected outright: its domain, a phrase that always rejects, or a phrase of a title without a
-    brand or strong marker; null if it isn't."""
+    brand or one of `markers`; null if it isn't."""
     d, low = domain(F.coalesce(url, F.lit(""))), F.lower(F.coalesce(title, F.lit("")))
     first = lambda values, test: F.get(F.filter(F.array(*map(F.lit, values)) if values else F.array().cast("array<string>"), test), F.lit(0))
     by_domain = first(domains, lambda b: (d == b) | F.endswith(d, F.concat(F.lit("."), b)))
     forced, phrase = first(force, lambda p: F.contains(low, p)), first([p for p in phrases if p], lambda p: F.contains(low, p))
-    return F.coalesce(F.concat(F.lit("domain: "), by_domain), F.concat(F.lit("clickbait: "), forced), F.when(~brand_signal(low, [b.lower() for b in brands or []]), F.concat(F.lit("phrase: "), phrase)))
+    return F.coalesce(F.concat(F.lit("domain: "), by_domain), F.concat(F.lit("clickbait: "), forced), F.when(~brand_signal(low, [b.lower() for b in brands or []], markers), F.concat(F.lit("phrase: "), phrase)))
 
 
 def human_label(raw: Column, exact: bool = True) -> Column:

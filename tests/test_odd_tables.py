@@ -37,6 +37,11 @@ def test_against_sql(spark, odd, name):
     assert rows(got) == rows(want)
 
 
+def test_phrase_beside_a_marker(spark, odd):
+    """A title with the phrase and a strong marker is rejected, as the SQL of the query knows no markers."""
+    test_against_sql(spark, odd, "blacklist_verdict")
+
+
 def test_restored_once(spark):
     """A URL that was cached twice gives one row, with what was seen last."""
     from newsweir.operators import dedup
