@@ -44,7 +44,7 @@ def article_links(pages: DataFrame, limit: int, hints: list[str] = DISCOVERY_URL
     x = pages.select(F.col("url").alias("source_url"), F.posexplode(parts).alias("pos", "href")).withColumn("url", absolute(F.col("source_url"), F.col("href")))
     x = x.where(F.col("url").isNotNull() & (netloc(F.col("url")) == netloc(F.col("source_url"))) & looks_like_article(F.col("url"), hints))
     x = x.groupBy("source_url", (canonical(F.col("url")) if by_canonical else F.col("url")).alias("key")).agg(F.min(F.struct("pos", "url")).alias("m"))
-    x = x.withColumn("rank", F.row_number().over(Window.partitionBy("source_url").orderBy("m.pos")))
+    x = x.withColumn("rank", F.row_number().over(Window.partitionBy("source_url").orderBy("m")))  # links at one place, of pages under one URL, by the link
     return x.where(F.col("rank") <= limit).select("source_url", "rank", F.col("m.url").alias("url"))
 
 

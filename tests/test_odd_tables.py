@@ -42,6 +42,20 @@ def test_phrase_beside_a_marker(spark, odd):
     test_against_sql(spark, odd, "blacklist_verdict")
 
 
+def test_links_of_pages_under_one_url(spark):
+    """Links that stand at one place of several pages under one URL are ranked by the link, in every run."""
+    from newsweir.sources import discovery
+
+    pages = [(f"https://e.com/p{k}", f'<a href="/{x}{k}">x</a>') for k in range(30) for x in "dbca"]
+    x = spark.createDataFrame(pages, "url string, html string")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        got = {(r.source_url, r.rank): r.url for r in discovery.article_links(x, 3, ["/"], by_canonical=False).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert got == {(f"https://e.com/p{k}", n + 1): f"https://e.com/{x}{k}" for k in range(30) for n, x in enumerate("abc")}
+
+
 def test_restored_once(spark):
     """A URL that was cached twice gives one row, with what was seen last."""
     from newsweir.operators import dedup
