@@ -56,3 +56,14 @@ def test_pairs_of_common_words_alone(spark):
     finally:
         dedup.TILE_LEAST = least
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_blocks_are_told_once(monkeypatch):
+    """What a block of titles is told by is made once, not again for each block that it meets."""
+    told, side = [], s._Side
+    monkeypatch.setattr(s, "COLUMNS", 20)
+    monkeypatch.setattr(s, "_Side", lambda titles, *how: told.append(tuple(titles)) or side(titles, *how))
+    a, b = made(30, 4), made(25, 5)
+    i, j, _ = s.similar(a, b, 72.0)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(by_all(a, b, 72.0))
+    assert len(told) == -(-len(a) // 20) + -(-len(b) // 20)
