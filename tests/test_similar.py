@@ -67,3 +67,19 @@ def test_blocks_are_told_once(monkeypatch):
     i, j, _ = s.similar(a, b, 72.0)
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(by_all(a, b, 72.0))
     assert len(told) == -(-len(a) // 20) + -(-len(b) // 20)
+
+
+def test_titles_of_near_slots(spark, monkeypatch):
+    """Of titles in slots all similar pairs of one slot or of two that follow each other are found, once, and no others."""
+    from newsweir.operators import dedup
+
+    monkeypatch.setattr(dedup, "SLOT_LEAST", 12)
+    monkeypatch.setattr(dedup, "TILE_MOST", 12)
+    titles = sorted({t for t in made(70, 6) if t.strip() and "\ud800" not in t})
+    slots = [(t, (k * 7 + n) % 6) for k, t in enumerate(titles) for n in range(1 + k % 2)]
+    of = {t: {x for u, x in slots if u == t} for t in titles}
+    near = lambda p, q: any(abs(x - y) <= 1 for x in of[p] for y in of[q])
+    every = {(titles[p], titles[q]) for p, q in by_all(titles, titles, 72.0) if p < q}
+    got = [(x.a, x.b) for x in dedup.searched_near(spark.createDataFrame(slots, "title string, slot long"), 72.0).collect()]
+    want = {x for x in every if near(*x)}
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < len(every)
