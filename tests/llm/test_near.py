@@ -290,3 +290,20 @@ def test_templates_grow_in_proportion(spark, monkeypatch):
     rng = random.Random(1)  # few words in all, none rare
     few = [(i, " ".join(["same"] * 30 + [rng.choice("abcdefgh") for _ in range(20)]), "en", "s", 0) for i in range(150)]
     assert {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(few, DOC)).collect()} == band_classes(few)[0]
+
+
+def test_vectors_in_slices(spark, monkeypatch):
+    """Groups are compared a slice at a time, each of a part of them, and the links are those of all pairs."""
+    r = np.random.default_rng(11)
+    x = r.standard_normal((500, 24))
+    for k in range(80):
+        x[400 + k] = x[k % 50] + 0.05 * r.standard_normal(24)
+    rows, compare = [], vector_dedup._compare
+    monkeypatch.setattr(vector_dedup, "SLICE", 125)
+    monkeypatch.setattr(vector_dedup, "_compare", lambda groups, *how: rows.append(groups.count()) or compare(groups, *how))
+    got = {(q.u, q.v) for q in vector_dedup.links(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "v long, vec array<double>"), 0.9).collect()}
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    s = x @ x.T
+    np.fill_diagonal(s, 0)
+    assert got == set(zip(*(p.tolist() for p in np.nonzero(s >= 0.9)), strict=True)) and len(got) >= 160
+    assert len(rows) % 4 == 0 and max(rows[:4]) < 0.6 * sum(rows[:4])
