@@ -83,3 +83,21 @@ def test_titles_of_near_slots(spark, monkeypatch):
     got = [(x.a, x.b) for x in dedup.searched_near(spark.createDataFrame(slots, "title string, slot long"), 72.0).collect()]
     want = {x for x in every if near(*x)}
     assert len(got) == len(set(got)) and set(got) == want and 0 < len(want) < len(every)
+
+
+def test_few_titles_go_to_all_tiles(spark, monkeypatch):
+    """Where one side has few titles each of the other is dealt once; all pairs are found, whichever side has few."""
+    from newsweir.operators import dedup
+
+    rows, tiles = [], dedup._of_tiles
+    monkeypatch.setattr(dedup, "FEW", 20)
+    monkeypatch.setattr(dedup, "TILE_LEAST", 20)
+    monkeypatch.setattr(dedup, "_of_tiles", lambda dealt, *how: rows.append(dealt.count()) or tiles(dealt, *how))
+    many = sorted({t for t in made(80, 7) if t.strip() and "\ud800" not in t})
+    few = [*many[:8], *(t + " x" for t in many[8:16])]
+    df = lambda x: spark.createDataFrame([(t,) for t in x], "title string")
+    want = {(few[p], many[q]) for p, q in by_all(few, many, 72.0)}
+    got = [(x.a, x.b) for x in dedup.title_pairs(df(few), df(many), 72.0).collect()]
+    back = [(x.b, x.a) for x in dedup.title_pairs(df(many), df(few), 72.0).collect()]
+    assert sorted(got) == sorted(back) == sorted(want) and len(want) > 16
+    assert max(rows) <= len(many) + len(few) * -(-len({*few, *many}) // 20)
